@@ -18,7 +18,8 @@ _TYPES = "map {" + ", ".join(f"{k}: '{v}'" for k, v in K.STELLAR_TYPES.items())
 
 
 def r(expr: str, digits: int = 6) -> str:
-    return f"round(cast({expr} AS double), {digits}) + 0.0"
+    """Rounded like `queries.tidy`: a relative 1e-13 nudge keeps decimal ties from differing."""
+    return f"round(cast({expr} AS double) * cast(1.0000000000001 AS double), {digits}) + 0.0"
 
 
 def big(expr: str) -> str:
@@ -441,7 +442,7 @@ LONG = (
 oracle(
     "lagrangian_long",
     "singles scalars",
-    f"SELECT simulation_id, {r('ttot')} AS ttot, suffix, l.percent, metric, {r('value', 5)} AS value "
+    f"SELECT simulation_id, {r('ttot')} AS ttot, suffix, l.percent, metric, {r('value')} AS value "
     f"FROM both_rows JOIN (VALUES {_LABELS}) l(suffix, percent) USING (suffix)",
     STARS,
     PROFILE,
@@ -660,8 +661,8 @@ GENERATIONS = """
 ordered AS (SELECT *, row_number() OVER (PARTITION BY simulation_id ORDER BY ttot, seq) AS i
   FROM mergers),
 inputs AS (SELECT simulation_id, i, unnest([parent_name_1, parent_name_2]) AS name FROM ordered),
-edges AS (SELECT DISTINCT n.simulation_id, n.i, p.i AS j FROM inputs n ASOF JOIN ordered p
-  ON n.simulation_id = p.simulation_id AND n.name = p.product_name AND n.i > p.i),
+edges AS (SELECT n.simulation_id, n.i, n.name, max(p.i) AS j FROM inputs n JOIN ordered p
+  ON n.simulation_id = p.simulation_id AND n.name = p.product_name AND n.i > p.i GROUP BY ALL),
 reached(simulation_id, i, g) USING KEY (simulation_id, i) AS (
   SELECT simulation_id, i, cast(1 AS bigint) FROM ordered
   UNION
@@ -863,9 +864,9 @@ oracle(
     "singles scalars",
     f"""
 SELECT simulation_id, {r('ttot')} AS ttot, object_id, {r('m')} AS mass_msun,
-  {r('k', 4)} AS e_kin_specific, {r('p', 4)} AS e_pot_specific, {r('l', 4)} AS l_z_specific,
-  {r('k+p', 4)} AS e_gal_specific, {r('m*k', 4)} AS e_kin, {r('m*p', 4)} AS e_pot,
-  {r('m*(k+p)', 4)} AS e_gal, {r('m*l', 4)} AS l_z
+  {r('k', 1)} AS e_kin_specific, {r('p', 1)} AS e_pot_specific, {r('l', 1)} AS l_z_specific,
+  {r('k+p', 1)} AS e_gal_specific, {r('m*k', 1)} AS e_kin, {r('m*p', 1)} AS e_pot,
+  {r('m*(k+p)', 1)} AS e_gal, {r('m*l', 1)} AS l_z
 FROM (SELECT simulation_id, ttot, object_id, m, 0.5*(u*u+v*v+w*w) AS k, (x*v-y*u)/1000 AS l,
     {_potential('x', 'y', 'z')} AS p
   FROM (SELECT simulation_id, ttot, object_id, mass_msun AS m, x_pc+rg_x_pc*rbar_pc AS x,
@@ -877,9 +878,9 @@ oracle(
     "cluster_energy",
     "singles scalars",
     f"""
-SELECT simulation_id, {r('ttot')} AS ttot, {r('k', 4)} AS e_kin_specific,
-  {r('p', 4)} AS e_pot_specific, {r('l', 4)} AS l_z_specific, {r('k+p', 4)} AS e_gal_specific,
-  {r('m*k', 4)} AS e_kin, {r('m*p', 4)} AS e_pot, {r('m*(k+p)', 4)} AS e_gal, {r('m*l', 4)} AS l_z
+SELECT simulation_id, {r('ttot')} AS ttot, {r('k', 1)} AS e_kin_specific,
+  {r('p', 1)} AS e_pot_specific, {r('l', 1)} AS l_z_specific, {r('k+p', 1)} AS e_gal_specific,
+  {r('m*k', 1)} AS e_kin, {r('m*p', 1)} AS e_pot, {r('m*(k+p)', 1)} AS e_gal, {r('m*l', 1)} AS l_z
 FROM (SELECT simulation_id, ttot, m, 0.5*(u*u+v*v+w*w) AS k, (x*v-y*u)/1000 AS l,
     {_potential('x', 'y', 'z')} AS p
   FROM (SELECT simulation_id, ttot, rg_x_pc*rbar_pc AS x, rg_y_pc*rbar_pc AS y,
@@ -893,9 +894,9 @@ oracle(
     "binaries",
     f"""
 SELECT {_PAIR_ID},
-  {r('-m2/(m1+m2)*x', 4)} AS x1_pc, {r('-m2/(m1+m2)*y', 4)} AS y1_pc, {r('-m2/(m1+m2)*z', 4)} AS z1_pc,
-  {r('m1/(m1+m2)*x', 4)} AS x2_pc, {r('m1/(m1+m2)*y', 4)} AS y2_pc, {r('m1/(m1+m2)*z', 4)} AS z2_pc,
-  {r('a0*m2/(m1+m2)', 4)} AS a1_au, {r('a0*m1/(m1+m2)', 4)} AS a2_au,
+  {r('-m2/(m1+m2)*x')} AS x1_pc, {r('-m2/(m1+m2)*y')} AS y1_pc, {r('-m2/(m1+m2)*z')} AS z1_pc,
+  {r('m1/(m1+m2)*x')} AS x2_pc, {r('m1/(m1+m2)*y')} AS y2_pc, {r('m1/(m1+m2)*z')} AS z2_pc,
+  {r('a0*m2/(m1+m2)')} AS a1_au, {r('a0*m1/(m1+m2)')} AS a2_au,
   {r('1/nullif(2/nullif(rn,0) - (u*u+v*v+w*w)/mu, 0)', 4)} AS orbit_a, {r('e', 4)} AS orbit_e,
   {r('acos(greatest(-1, least(1, hz/nullif(hn,0))))', 4)} AS orbit_inclination,
   {r('CASE WHEN nn < 1e-14 THEN 0 WHEN atan2(ny,nx) < 0 THEN atan2(ny,nx)+2*pi() '
@@ -939,7 +940,7 @@ oracle(
     "GROUP BY simulation_id, t.ttot, bin_0",
 )
 _PCT = ", ".join(
-    f"{r(f'quantile_cont({c}, {p})', 9)} AS {c}_{n}"
+    f"{r(f'quantile_cont({c}, {p})')} AS {c}_{n}"
     for c in ("vx_kms", "luminosity_lsun")
     for n, p in (("low", 0.001), ("high", 0.999))
 )

@@ -54,34 +54,38 @@ class Lake:
         return raw.withColumn("source_hdf5_path", path)
 
 
-def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
+def tidy(df: DataFrame, digits: dict[str, int]) -> DataFrame:
     """Doubles rounded (and -0.0 made 0.0), integers widened: engine-independent output."""
     cols = []
     for field in df.schema.fields:
         kind = field.dataType.simpleString()
         c = F.col(f"`{field.name}`")
         if kind in ("double", "float"):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            places = digits.get(field.name, digits.get("*", 6))
+            c = F.round(c.cast("double") * NUDGE, places) + F.lit(0.0)
         elif kind in ("int", "smallint", "tinyint"):
             c = c.cast("bigint")
         cols.append(c.alias(field.name))
     return df.select(*cols)
 
 
-# Decimal digits kept in the output, where six are not right: wide value ranges keep fewer,
-# interpolated values on a grid finer than 1e-6 keep more.
-DIGITS = {
-    "galactic_energy": 4,
-    "cluster_energy": 4,
-    "orbit_elements": 4,
-    "lagrangian_long": 5,
-    "percentile_limits": 9,
+# Decimal digits kept in the output where six are too many: energies near 1e7, angles and
+# elements of nearly degenerate orbits.
+DIGITS: dict[str, dict[str, int]] = {
+    "galactic_energy": {"*": 1, "mass_msun": 6},
+    "cluster_energy": {"*": 1},
+    "orbit_elements": dict.fromkeys(
+        ("orbit_a", "orbit_e", "orbit_inclination", "orbit_node", "orbit_periapsis"), 4
+    ),
 }
+# Relative nudge before rounding: exact decimal ties then round up in Spark and DuckDB alike,
+# whose rounding functions disagree on ties that a double cannot hold.
+NUDGE = 1.0000000000001
 
 
 def query(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
     name = fn.__name__
-    QUERIES[name] = lambda spark, sf_dir: tidy(fn(Lake(spark, sf_dir)), DIGITS.get(name, 6))
+    QUERIES[name] = lambda spark, sf_dir: tidy(fn(Lake(spark, sf_dir)), DIGITS.get(name, {}))
     return fn
 
 
