@@ -999,3 +999,21 @@ oracle(
     f"SELECT simulation_id, seq, {_EVENT} FROM merger_events "
     "WHERE parent_kw_1 BETWEEN 10 AND 14 AND parent_kw_2 BETWEEN 10 AND 14",
 )
+oracle(
+    "stream_ingest",
+    "steps",
+    f"SELECT simulation_id, {r('ttot')} AS ttot, {r('mtime')} AS mtime, source_hdf5_path "
+    "FROM winners",
+    STEPS,
+    _DIR,
+)
+oracle(
+    "compact_object_store",
+    "singles binaries",
+    f"""
+SELECT simulation_id, {r('ttot')} AS ttot, object_id, 'BH' AS object_type, {r('m')} AS mass_msun
+FROM (SELECT simulation_id, ttot, object_id, kw, mass_msun AS m FROM snapshot_singles
+  UNION ALL SELECT simulation_id, ttot, object_id_1, kw_1, mass_1_msun FROM snapshot_binaries
+  UNION ALL SELECT simulation_id, ttot, object_id_2, kw_2, mass_2_msun FROM snapshot_binaries)
+WHERE kw = 14 AND m > 50""",
+)

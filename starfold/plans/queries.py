@@ -583,3 +583,38 @@ def compact_mergers(lake: Lake) -> DataFrame:
     return stats.compact_pairs(typed).select(
         "simulation_id", "seq", "primary_mass_msun", "mass_ratio", "stellar_type", "merger_type"
     )
+
+
+@query
+def stream_ingest(lake: Lake) -> DataFrame:
+    """Step metadata streamed file by file into a sink, then the winner of every snapshot."""
+    from starfold.session import work_path
+    from starfold.streaming import ingest
+
+    landing, sink = work_path(lake.spark, "landing"), work_path(lake.spark, "ingested")
+    steps = lake.steps.select(*_S, "mtime", "source_hdf5_path")
+    # one landing folder per source run, as restarted runs deliver them
+    steps.write.partitionBy("simulation_id").parquet(landing)
+    stream = ingest.snapshot_stream(lake.spark, landing, steps.schema, max_files=2)
+    running = ingest.ingest(stream, sink, f"{sink}-checkpoint")
+    running.awaitTermination()
+    return ingest.current_winners(lake.spark, sink, "mtime", "source_hdf5_path")
+
+
+@query
+def compact_object_store(lake: Lake) -> DataFrame:
+    """Feature store round trip: the compact-object table written per source and read back."""
+    from starfold.plans.store import FeatureStore, load_feature
+    from starfold.session import work_path
+
+    store = FeatureStore(lake.spark, work_path(lake.spark, "store"))
+    rows = compact.compact_object_history(lake.singles, lake.binaries, lake.scalars)
+    store.write_dataset("all", "compact_object_history", rows)
+    return load_feature(
+        store,
+        "all",
+        "compact_object_history",
+        columns=["simulation_id", "ttot", "object_id", "object_type", "mass_msun"],
+        where="object_type = ? AND mass_msun > ?",
+        params=["BH", 50.0],
+    )

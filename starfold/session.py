@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,10 +22,31 @@ RUNTIME_CONF = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for the Python functions in it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="starfold-code-"), "starfold_code.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    _ship_package(spark)
     return spark
 
 
