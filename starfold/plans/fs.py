@@ -39,7 +39,7 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def read_text(spark: SparkSession, path: str) -> str | None:
     if not exists(spark, path):
         return None
-    row = spark.read.option("wholetext", "true").text(path).first()
+    row = spark.read.text(path, wholetext=True).first()
     return None if row is None else row["value"]
 
 

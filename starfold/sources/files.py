@@ -65,9 +65,10 @@ def missing_times(selected: DataFrame, every: float, chunk_width: float = 4096.0
     step = F.col("filename_time") - F.col("before")
     wide = gaps.where(F.abs(step - every) > 0.1 * every)
     count = F.round(step / every).cast("int") - 1
-    return wide.where(count > 0).select(
-        (F.col("before") + F.explode(F.sequence(F.lit(1), count)) * every).alias("missing_time")
+    between = F.transform(
+        F.sequence(F.lit(1), count), lambda k: F.col("before") + k * F.lit(float(every))
     )
+    return wide.where(count > 0).select(F.explode(between).alias("missing_time"))
 
 
 def duplicate_times(catalog: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -323,7 +323,7 @@ def scale_factors(lines: DataFrame) -> dict[str, float]:
 def namelist_value(spark: SparkSession, path: str, key: str) -> str:
     """Value of the first `key = value` of a namelist file, in any case."""
     pattern = rf"(?i)\s*{re.escape(key)}\s*=\s*([^,\s\n]+)"
-    content = spark.read.option("wholetext", "true").text(path)
+    content = spark.read.text(path, wholetext=True)
     row = content.select(F.regexp_extract("value", pattern, 1).alias("v")).first()
     if row is None or not row["v"]:
         raise KeyError(f"key {key!r} not found in {path}")
