@@ -10,7 +10,7 @@ from starfold.functions.numeric import norm3
 from starfold import constants as K
 from starfold.operators.history import first_row
 from starfold.operators.snapshot import SNAPSHOT, with_radius
-from starfold.session import cut_lineage
+from starfold.session import materialize
 
 OBJECT = ["simulation_id", "object_name"]
 GENERATION_BLOCK = 200_000
@@ -218,8 +218,9 @@ def _numbered(mergers: DataFrame, block: int) -> tuple[DataFrame, int]:
         "_bin",
         F.floor(F.coalesce(before, F.lit(0)) / float(block)).cast("int").alias("block"),
     )
-    out = cut_lineage(
-        binned.join(numbered, ["simulation_id", "_bin"]).drop("_bin", "n", "lo", "hi")
+    out = materialize(
+        binned.join(numbered, ["simulation_id", "_bin"]).drop("_bin", "n", "lo", "hi"),
+        "numbered-mergers",
     )
     last = out.agg(F.max("block")).first()[0]
     return out, -1 if last is None else int(last)
@@ -257,7 +258,7 @@ def merger_generations(mergers: DataFrame, block: int = GENERATION_BLOCK) -> Dat
         if state is not None:
             kept = state.join(done, ["simulation_id", "product_name"], "left_anti")
             done = kept.unionByName(done)
-        state = done if number == last else cut_lineage(done)
+        state = done if number == last else materialize(done, "generations")
     return state
 
 
@@ -338,6 +339,21 @@ def imbh_objects(
     )
 
 
+def imbh_population(
+    singles: DataFrame, binaries: DataFrame, scalars: DataFrame, events: DataFrame
+) -> dict[str, DataFrame]:
+    """Sightings, mergers, generations and objects; each is written once and read by the next."""
+    sightings = materialize(imbh_sightings(singles, binaries, scalars), "imbh-sightings")
+    mergers = materialize(imbh_mergers(events, sightings), "imbh-mergers")
+    generations = merger_generations(mergers)
+    return {
+        "sightings": sightings,
+        "mergers": mergers,
+        "generations": generations,
+        "objects": imbh_objects(sightings, mergers, generations, scalars),
+    }
+
+
 def imbh_counts(objects: DataFrame) -> DataFrame:
     """Objects per formation channel and fate."""
     return objects.groupBy("simulation_id", "formation_channel", "fate_label").agg(

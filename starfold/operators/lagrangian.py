@@ -7,29 +7,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starfold import constants as K
 from starfold.operators.ordered import select_at_cumulative
 from starfold.operators.snapshot import SNAPSHOT, with_radius
+from starfold.session import materialize
 
 SUFFIXES = (*K.LAGR_FRACTIONS, K.LAGR_CORE)
 _MOMENTS = ("m", "n", "px", "py", "pz", "mv", "mr", "mt", "mv2", "mr2", "mrot")
 
 
-def _mass_targets(total: Column) -> Column:
+def _mass_targets(total: Column) -> list[tuple[Column, Column]]:
     """Cumulative-mass target of every fraction."""
-    return F.array(
-        *[
-            F.struct(F.lit(s).alias("tag"), (total * F.lit(float(s))).alias("target"))
-            for s in K.LAGR_FRACTIONS
-        ]
-    )
+    return [(F.lit(s), total * F.lit(float(s))) for s in K.LAGR_FRACTIONS]
 
 
 def shell_edges(stars: DataFrame, scalars: DataFrame) -> DataFrame:
     """The outermost star (r, id) inside every mass fraction and inside the core radius.
 
-    Bins are 6e-5 wide in relative radius, so even a snapshot holding a third of all rows leaves
+    Bins are 1.2e-4 wide in relative radius, so even a snapshot holding a third of all rows leaves
     only a small share of them in the bins where an edge falls.
     """
     found = select_at_cumulative(
-        stars, SNAPSHOT, "r_pc", "mass_msun", _mass_targets, tie="object_id", per_efold=16384
+        stars, SNAPSHOT, "r_pc", "mass_msun", _mass_targets, tie="object_id", per_efold=8192
     )
     edges = found.select(
         *SNAPSHOT,
@@ -62,7 +58,8 @@ def lagrangian_profile(singles: DataFrame, scalars: DataFrame) -> DataFrame:
     mean_v = stars.groupBy(*SNAPSHOT).agg(
         *[(F.sum(F.col("mass_msun") * F.col(f"v{a}_kms")) / mass).alias(f"_c{a}") for a in "xyz"]
     )
-    snaps = edges.join(mean_v, SNAPSHOT)
+    # one row per snapshot, used for cutting the stars and for the output slots
+    snaps = materialize(edges.join(mean_v, SNAPSHOT), "shell-edges")
 
     moved = (
         stars.join(snaps, SNAPSHOT)
@@ -96,7 +93,7 @@ def lagrangian_profile(singles: DataFrame, scalars: DataFrame) -> DataFrame:
         F.expr("sum(m*radial*radial) AS mr2"),
         F.expr("sum(m*rot) AS mrot"),
     )
-    slots = edges.select(*SNAPSHOT, F.posexplode("edges").alias("shell", "edge"))
+    slots = snaps.select(*SNAPSHOT, F.posexplode("edges").alias("shell", "edge"))
     over = "OVER (PARTITION BY simulation_id, ttot ORDER BY shell ROWS UNBOUNDED PRECEDING)"
     summed = slots.join(shells, [*SNAPSHOT, "shell"], "left").selectExpr(
         *SNAPSHOT,

@@ -8,35 +8,54 @@ go back only to the rows of the bins that matter.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from starfold.functions.numeric import order_bin
+from starfold.session import materialize
 
-Targets = Callable[[Column], Column] | DataFrame
+# Targets of a key as (tag, cumulative weight) expressions of the key's total weight.
+Targets = Callable[[Column], list[tuple[Column, Column]]]
 
 
-def _crossed(bins: DataFrame, part: Sequence[str], *order: str) -> DataFrame:
-    """Bins in which a target falls. Needs _w, _base and targets; adds _before.
-
-    A target belongs to the first bin whose running weight reaches it; a target missed by
-    rounding belongs to the last bin.
-    """
+def _running(bins: DataFrame, part: Sequence[str], *order: str) -> DataFrame:
+    """Running weight up to (_cum) and before (_before) every row, and whether it is the last."""
     spec = W.partitionBy(*part).orderBy(*order)
-    running = F.col("_base") + F.sum("_w").over(spec.rowsBetween(W.unboundedPreceding, 0))
-    out = bins.withColumn("_cum", running)
-    out = out.withColumns(
+    out = bins.withColumn(
+        "_cum", F.sum("_w").over(spec.rowsBetween(W.unboundedPreceding, 0))
+    )
+    return out.withColumns(
         {
-            "_before": F.coalesce(F.lag("_cum").over(spec), F.col("_base")),
+            "_before": F.coalesce(F.lag("_cum").over(spec), F.lit(0.0)),
             "_last": F.lead(F.lit(1)).over(spec).isNull(),
         }
     )
-    hit = F.filter(
-        "targets",
-        lambda t: (t["target"] > F.col("_before"))
-        & ((t["target"] <= F.col("_cum")) | F.col("_last")),
+
+
+def _reached(target: Column, before: Column, cum: Column) -> Column:
+    """Does the target fall on this row? One missed by rounding belongs to the last row."""
+    return (target > before) & ((target <= cum) | F.col("_last"))
+
+
+def _narrow(level: DataFrame, hit: DataFrame, part: list[str], *order: str) -> DataFrame:
+    """Rows of the hit bins, summed per `order`, with the targets that fall on each.
+
+    The running sums see slim rows only; targets are joined afterwards, one row each.
+    """
+    slim = (
+        level.join(hit.select(*part).distinct(), part, "left_semi")
+        .groupBy(*part, *order)
+        .agg(F.sum("_w").alias("_w"))
+    )
+    sums = _running(slim, part, *order)
+    targets = hit.select(*part, "_base", "tag", "target")
+    before, cum = F.col("_base") + F.col("_before"), F.col("_base") + F.col("_cum")
+    return (
+        sums.join(targets, part)
+        .where(_reached(F.col("target"), before, cum))
+        .withColumn("_base", before)
     )
-    return out.withColumn("targets", hit).where(F.size("targets") > 0)
 
 
 def select_at_cumulative(
@@ -52,61 +71,55 @@ def select_at_cumulative(
 ) -> DataFrame:
     """First `value` (ascending, per key) at which the running weight reaches each target.
 
-    `targets` gives an array<struct<tag, target: double>> per key: a function of the key's total
-    weight, or a frame with the keys and a `targets` column. Returns keys, tag, target, value and
-    `weight_before`, the weight strictly below that value; with `tie`, equal values are ordered by
-    that column and it is returned too. `refine` adds a second binning level; use it for doubles
-    that may crowd into a narrow range, single-precision values do not need it.
+    Returns keys, tag, target, value and `weight_before`, the weight ahead of that row; with `tie`,
+    equal values are ordered by that column and it is returned too. `per_efold` bins per factor e
+    bound what is looked at closely; `refine` adds a second binning level, for doubles that may
+    crowd into a narrow range.
     """
     keys = list(keys)
     order = ["_v", *([tie] if tie else [])]
     weight = F.col(weight) if isinstance(weight, str) else weight
-    level = (
-        rows.where(F.col(value).isNotNull())
-        .select(
-            *keys,
-            *([tie] if tie else []),
-            F.col(value).cast("double").alias("_v"),
-            weight.cast("double").alias("_w"),
-            order_bin(value, per_efold).alias("_b"),
-        )
+    level = rows.where(F.col(value).isNotNull()).select(
+        *keys,
+        *([tie] if tie else []),
+        F.col(value).cast("double").alias("_v"),
+        weight.cast("double").alias("_w"),
+        order_bin(value, per_efold).alias("_b"),
     )
     bins = level.groupBy(*keys, "_b").agg(
         F.sum("_w").alias("_w"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
-    if isinstance(targets, DataFrame):
-        bins = bins.join(targets.select(*keys, "targets"), keys)
-    else:
-        bins = bins.withColumn("targets", targets(F.sum("_w").over(W.partitionBy(*keys))))
-    bins = bins.withColumn("_base", F.lit(0.0))
+    bins = _running(bins, keys, "_b").withColumn(
+        "_total", F.sum("_w").over(W.partitionBy(*keys))
+    )
+    wanted = [
+        (F.struct(tag.alias("tag"), target.alias("target")),
+         _reached(target, F.col("_before"), F.col("_cum")))
+        for tag, target in targets(F.col("_total"))
+    ]
+    any_hit = reduce(lambda a, b: a | b, [test for _, test in wanted])
+    found = F.array_compact(F.array(*[F.when(test, entry) for entry, test in wanted]))
     part = [*keys, "_b"]
-    hit = _crossed(bins, keys, "_b").select(
-        *part, "_lo", "_hi", F.col("_before").alias("_base"), "targets"
+    hit = bins.where(any_hit).select(
+        *part, "_lo", "_hi", F.col("_before").alias("_base"), F.inline(found)
     )
+    # a few rows per key, needed by two branches of the next level
+    hit = materialize(hit, "hit-bins")
     if refine:
         span = F.col("_hi") - F.col("_lo")
         sub = F.when(span > 0, F.floor((F.col("_v") - F.col("_lo")) / span * 4096)).otherwise(0)
-        level = level.join(hit.select(*part, "_lo", "_hi"), part).withColumn(
-            "_s", sub.cast("bigint")
-        )
-        level = level.select(*part, "_s", *order, "_w")
-        subs = level.groupBy(*part, "_s").agg(F.sum("_w").alias("_w"))
-        subs = subs.join(hit.select(*part, "_base", "targets"), part)
-        hit = _crossed(subs, part, "_s").select(
-            *part, "_s", F.col("_before").alias("_base"), "targets"
+        edges = hit.groupBy(*part).agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+        level = level.join(edges, part).select(
+            *part, sub.cast("bigint").alias("_s"), *order, "_w"
         )
+        hit = materialize(_narrow(level, hit, part, "_s"), "hit-cells")
         part = [*part, "_s"]
-    values = (
-        level.join(hit.select(*part), part, "left_semi")
-        .groupBy(*part, *order)
-        .agg(F.sum("_w").alias("_w"))
-        .join(hit.select(*part, "_base", "targets"), part)
-    )
-    return _crossed(values, part, *order).select(
+    return _narrow(level, hit, part, *order).select(
         *keys,
-        F.inline("targets"),
+        "tag",
+        "target",
         F.col("_v").alias("value"),
-        F.col("_before").alias("weight_before"),
+        F.col("_base").alias("weight_before"),
         *([tie] if tie else []),
     )
 
@@ -116,7 +129,7 @@ def percentiles(
 ) -> DataFrame:
     """Exact linearly interpolated percentiles per key, one row per key and percent."""
 
-    def ranks(total: Column) -> Column:
+    def ranks(total: Column) -> list[tuple[Column, Column]]:
         """The two order statistics around each percentile position, and where it lies between."""
         out = []
         for p in percents:
@@ -127,10 +140,12 @@ def percentiles(
                     F.lit(side).alias("side"),
                     (pos - F.floor(pos)).alias("share"),
                 )
-                out.append(F.struct(tag.alias("tag"), (rank + 1.0).cast("double").alias("target")))
-        return F.array(*out)
+                out.append((tag, (rank + 1.0).cast("double")))
+        return out
 
-    picked = select_at_cumulative(rows, keys, value, F.lit(1.0), ranks, refine=True)
+    picked = select_at_cumulative(
+        rows, keys, value, F.lit(1.0), ranks, per_efold=64, refine=True
+    )
     sides = picked.groupBy(*keys, F.col("tag.pct").alias("pct")).agg(
         F.max(F.when(F.col("tag.side") == 0, F.col("value"))).alias("_a"),
         F.max(F.when(F.col("tag.side") == 1, F.col("value"))).alias("_b"),

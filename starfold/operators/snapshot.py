@@ -37,9 +37,8 @@ def object_rows(singles: DataFrame, binaries: DataFrame) -> DataFrame:
 def half_mass_radius(objects: DataFrame) -> DataFrame:
     """Radius at which the mass summed outwards reaches half of the snapshot's total."""
 
-    def half(total: Column) -> Column:
-        one = F.array(F.struct(F.lit(0).alias("tag"), (0.5 * total).alias("target")))
-        return F.when(total > 0, one)
+    def half(total: Column) -> list[tuple[Column, Column]]:
+        return [(F.lit(0), 0.5 * total)]
 
     crossing = select_at_cumulative(objects, SNAPSHOT, "r_pc", "mass_msun", half)
     return crossing.select(*SNAPSHOT, F.col("value").alias("half_mass_radius_pc"))

@@ -682,10 +682,7 @@ oracle(
     MERGERS,
     GENERATIONS,
 )
-oracle(
-    "imbh_objects",
-    "singles binaries scalars merger_events",
-    f"""
+_OBJECT_ROWS = f"""
 SELECT simulation_id, object_name, {r('t0')} AS first_ttot, {r('t1')} AS last_ttot,
   {r('m0')} AS first_time_myr, {r('m1')} AS last_time_myr, {r('heavy')} AS max_mass_msun,
   n AS n_snapshots, states AS states_seen,
@@ -703,7 +700,8 @@ FROM (SELECT o.*, b.s0, b.s1, coalesce(g.generation, 0) AS gen, f.product,
       FROM snapshot_scalars GROUP BY ALL) b USING (simulation_id)
     LEFT JOIN generations g ON g.simulation_id = o.simulation_id
       AND g.product_name = o.object_name
-    LEFT JOIN fates f ON f.simulation_id = o.simulation_id AND f.object_name = o.object_name)""",
+    LEFT JOIN fates f ON f.simulation_id = o.simulation_id AND f.object_name = o.object_name)"""
+_OBJECT_CTES = (
     STARS,
     PAIRS,
     SIGHTINGS,
@@ -719,6 +717,15 @@ FROM (SELECT o.*, b.s0, b.s1, coalesce(g.generation, 0) AS gen, f.product,
     "m.discarded_parent_name WHERE m.ttot >= o.t1 QUALIFY row_number() OVER (PARTITION BY "
     "m.simulation_id, o.object_name ORDER BY m.ttot, m.seq) = 1)",
 )
+oracle("imbh_objects", "singles binaries scalars merger_events", _OBJECT_ROWS, *_OBJECT_CTES)
+oracle(
+    "imbh_counts",
+    "singles binaries scalars merger_events",
+    "SELECT simulation_id, formation_channel, fate_label, count(*) AS n_objects FROM imbh_rows "
+    "GROUP BY ALL",
+    *_OBJECT_CTES,
+    f"imbh_rows AS ({_OBJECT_ROWS})",
+)
 _DIR = (
     "winners AS (SELECT simulation_id, ttot, max(mtime) AS mtime, "
     "count(DISTINCT source_hdf5_path) AS n_files, max(source_hdf5_path) FILTER (mtime = top) AS "

@@ -370,17 +370,23 @@ def imbh_mergers(lake: Lake) -> DataFrame:
     return imbh.imbh_mergers(lake.merger_events, sightings)
 
 
+def _population(lake: Lake) -> dict[str, DataFrame]:
+    return imbh.imbh_population(lake.singles, lake.binaries, lake.scalars, lake.merger_events)
+
+
 @query
 def merger_generations(lake: Lake) -> DataFrame:
-    sightings = imbh.imbh_sightings(lake.singles, lake.binaries, lake.scalars)
-    return imbh.merger_generations(imbh.imbh_mergers(lake.merger_events, sightings))
+    return _population(lake)["generations"]
 
 
 @query
 def imbh_objects(lake: Lake) -> DataFrame:
-    sightings = imbh.imbh_sightings(lake.singles, lake.binaries, lake.scalars)
-    mergers = imbh.imbh_mergers(lake.merger_events, sightings)
-    return imbh.imbh_objects(sightings, mergers, imbh.merger_generations(mergers), lake.scalars)
+    return _population(lake)["objects"]
+
+
+@query
+def imbh_counts(lake: Lake) -> DataFrame:
+    return imbh.imbh_counts(_population(lake)["objects"])
 
 
 @query

@@ -76,7 +76,13 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, so lost executors never replay the whole loop."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result below the shared folder and read it back.
+
+    For results that several branches of a plan need: Spark would recompute each branch from the
+    source scans. The written table cuts the lineage, survives lost executors and carries exact
+    sizes for the join choices that follow.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

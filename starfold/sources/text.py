@@ -117,17 +117,18 @@ def read_lines(spark: SparkSession, root: str, base: str) -> DataFrame:
     )
 
 
-def _tokens(value: str = "value") -> Column:
-    return F.regexp_extract_all(F.col(value), F.lit(r"(\S+)"))
-
-
 def _number(token: Column) -> Column:
     return token.try_cast("double")
 
 
 def _tokenised(lines: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Lines as token arrays `t`, next to their other columns.
+
+    The one-element explode keeps Spark from copying the split into every later expression.
+    """
     extra = [c for c in lines.columns if c != "value"]
-    return lines.select(*extra, _tokens().alias("t")), extra
+    tokens = F.split(F.btrim("value", F.lit(" \t\r\n")), r"\s+")
+    return lines.select(*extra, F.explode(F.array(tokens)).alias("t")), extra
 
 
 def _named(rows: DataFrame, extra: list[str], names: tuple[str, ...]) -> DataFrame:
@@ -163,7 +164,7 @@ def parse_coal_24(lines: DataFrame) -> DataFrame:
         kind = (lambda c: c) if name == "Coalescence_trigger" else _number
         a = kind(t[COAL_24.index(name)]) if name in COAL_24 else F.lit(None)
         b = kind(t[COAL_24_TAGGED.index(name)]) if name in COAL_24_TAGGED else F.lit(None)
-        return F.when(plain, a).when(tagged, b)
+        return F.when(F.size(t) == len(COAL_24), a).otherwise(b)
 
     return rows.where(plain | tagged).select(*extra, *[pick(n).alias(n) for n in names])
 

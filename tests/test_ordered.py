@@ -28,9 +28,7 @@ def test_selection_matches_a_full_sort(spark, refine, shape):
     shares = [0.1, 0.5, 0.99, 1.0]
 
     def targets(total):
-        return F.array(
-            *[F.struct(F.lit(s).alias("tag"), (total * s).alias("target")) for s in shares]
-        )
+        return [(F.lit(s), total * s) for s in shares]
 
     got = select_at_cumulative(df, ["k"], "v", "w", targets, tie="i", refine=refine).toPandas()
     assert len(got) == 3 * len(shares)
