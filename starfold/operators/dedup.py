@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from starfold.operators.history import first_row
 from starfold.operators.ordered import running_max
 from starfold.operators.snapshot import SNAPSHOT
+from starfold.session import materialize
 
 
 def step_winners(steps: DataFrame) -> DataFrame:
@@ -40,13 +41,13 @@ def drop_losers(rows: DataFrame, losers: DataFrame) -> DataFrame:
 def upsert(cached: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Cached rows whose key does not occur in `new`, plus all of `new`."""
     keys = keys or SNAPSHOT
-    replaced = new.select(*keys).distinct()
+    replaced = materialize(new.select(*keys).distinct(), "replaced-keys")
     return cached.join(replaced, keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 def replace_snapshots(cached: DataFrame, new: DataFrame, scanned: DataFrame) -> DataFrame:
     """Like upsert, but a scanned snapshot without new rows also loses its cached rows."""
-    gone = scanned.select(*SNAPSHOT).distinct()
+    gone = materialize(scanned.select(*SNAPSHOT).distinct(), "scanned-snapshots")
     return cached.join(gone, SNAPSHOT, "left_anti").unionByName(new, allowMissingColumns=True)
 
 

@@ -37,13 +37,18 @@ def member_rows(binaries: DataFrame) -> DataFrame:
 
 
 def particle_history(
-    singles: DataFrame, binaries: DataFrame, object_ids: DataFrame | None = None
+    singles: DataFrame,
+    binaries: DataFrame,
+    object_ids: DataFrame | None = None,
+    *,
+    raw_state: bool = False,
 ) -> DataFrame:
     """Full outer join of the single and binary sightings of every particle.
 
     Colliding columns of the pair get the suffix `_from_binary`. `state` is 'binary' where a pair
-    was found; `state_raw` is NULL for single rows of particles that are ever in a pair.
-    `object_ids` (simulation_id, object_id) restricts the particles.
+    was found. `object_ids` (simulation_id, object_id) restricts the particles. `raw_state` adds
+    the compatibility column `state_raw`, NULL for single rows of particles that are ever in a
+    pair; it costs one more shuffle.
     """
     members = member_rows(binaries)
     stars = singles
@@ -55,34 +60,38 @@ def particle_history(
     members = members.withColumnsRenamed({c: f"{c}_from_binary" for c in clash})
     joined = stars.join(members, KEY, "full_outer")
     paired = F.col("companion_id").isNotNull()
+    out = joined.withColumn("state", F.when(paired, "binary").otherwise("single"))
+    if not raw_state:
+        return out
     ever = F.max(paired).over(W.partitionBy(*OBJECT))
-    return joined.withColumns(
-        {
-            "state": F.when(paired, "binary").otherwise("single"),
-            "state_raw": F.when(paired, "binary").when(~ever, "single"),
-        }
-    )
+    return out.withColumn("state_raw", F.when(paired, "binary").when(~ever, "single"))
 
 
 def particle_summary(history: DataFrame) -> DataFrame:
-    """One row per particle: counts, time range, first and last mass, types in order seen."""
-    single = F.col("mass_msun").isNotNull()
-    seen = F.collect_set(F.when(F.col("kw").isNotNull(), F.struct("kw", "_first")))
-    # the first sighting of every type gives the order; at most 17 types per particle
-    typed = history.withColumn("_first", F.min("ttot").over(W.partitionBy(*OBJECT, "kw")))
-    ordered = F.transform(
-        F.array_sort(F.transform(seen, lambda s: F.struct(s["_first"], s["kw"]))),
-        lambda s: s["kw"],
+    """One row per particle: counts, time range, first and last mass, types in order seen.
+
+    Summed per stellar type first, with map-side combine; at most 17 types per particle remain.
+    """
+    at_mass = F.when(F.col("mass_msun").isNotNull(), F.struct("ttot", "mass_msun"))
+    by_type = history.groupBy(*OBJECT, "kw").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("ttot").alias("t0"),
+        F.max("ttot").alias("t1"),
+        F.count_if(F.col("state") == "single").alias("n_single"),
+        F.count_if(F.col("state") == "binary").alias("n_binary"),
+        F.min(at_mass).alias("m0"),
+        F.max(at_mass).alias("m1"),
     )
-    return typed.groupBy(*OBJECT).agg(
-        F.count(F.lit(1)).alias("total_snapshots"),
-        F.min("ttot").alias("first_ttot"),
-        F.max("ttot").alias("last_ttot"),
-        F.count_if(F.col("state") == "single").alias("single_count"),
-        F.count_if(F.col("state") == "binary").alias("binary_count"),
-        F.min_by("mass_msun", F.when(single, F.col("ttot"))).alias("initial_mass_msun"),
-        F.max_by("mass_msun", F.when(single, F.col("ttot"))).alias("final_mass_msun"),
-        ordered.alias("stellar_types"),
+    seen = F.collect_list(F.when(F.col("kw").isNotNull(), F.struct("t0", "kw")))
+    return by_type.groupBy(*OBJECT).agg(
+        F.sum("n").alias("total_snapshots"),
+        F.min("t0").alias("first_ttot"),
+        F.max("t1").alias("last_ttot"),
+        F.sum("n_single").alias("single_count"),
+        F.sum("n_binary").alias("binary_count"),
+        F.min("m0")["mass_msun"].alias("initial_mass_msun"),
+        F.max("m1")["mass_msun"].alias("final_mass_msun"),
+        F.transform(F.sort_array(seen), lambda s: s["kw"]).alias("stellar_types"),
     )
 
 

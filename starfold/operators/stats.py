@@ -10,6 +10,7 @@ from starfold import constants as K
 from starfold.functions import display
 from starfold.operators.ordered import percentiles
 from starfold.operators.snapshot import SNAPSHOT
+from starfold.session import materialize
 
 
 def _finite(name: str) -> Column:
@@ -54,6 +55,8 @@ def histogram(
     ranges = points.groupBy(*keys).agg(
         *[f(a).alias(f"{n}{a}") for a in axes for n, f in (("lo", F.min), ("hi", F.max))]
     )
+    # a written table has an exact size, so Spark can broadcast it instead of shuffling the points
+    ranges = materialize(ranges, "axis-ranges")
     binned = points.join(ranges, list(keys)).select(
         *keys,
         *[
@@ -113,6 +116,7 @@ def display_attributes(singles: DataFrame, keys: Sequence[str] = SNAPSHOT) -> Da
     ranges = singles.groupBy(*keys).agg(
         F.min("luminosity_lsun").alias("_lo"), F.max("luminosity_lsun").alias("_hi")
     )
+    ranges = materialize(ranges, "luminosity-ranges")
     return singles.join(ranges, list(keys)).select(
         *keys,
         "object_id",

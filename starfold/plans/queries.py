@@ -289,13 +289,15 @@ def lagrangian_long(lake: Lake) -> DataFrame:
 
 @query
 def initial_total_mass(lake: Lake) -> DataFrame:
-    profile = lagrangian.lagrangian_profile(lake.singles, lake.scalars)
+    # only time 0 counts: the predicate prunes the scan
+    at_zero = [t.where("ttot = 0") for t in (lake.singles, lake.scalars)]
+    profile = lagrangian.lagrangian_profile(*at_zero)
     return lagrangian.initial_total_mass(lagrangian.profile_long(profile), "ttot")
 
 
 @query
 def particle_history(lake: Lake) -> DataFrame:
-    return history.particle_history(lake.singles, lake.binaries).select(
+    return history.particle_history(lake.singles, lake.binaries, raw_state=True).select(
         "simulation_id",
         "object_id",
         "ttot",

@@ -256,12 +256,13 @@ def _history_inputs(frame):
 
 def test_history_full_outer(frame):
     singles, bins = _history_inputs(frame)
-    rows = history.particle_history(singles, bins).where("object_id = 1000").orderBy("ttot").collect()
+    rows = history.particle_history(singles, bins, raw_state=True)
+    rows = rows.where("object_id = 1000").orderBy("ttot").collect()
     assert [(r["ttot"], r["state"], r["companion_id"]) for r in rows] == [
         (0.0, "single", None), (1.0, "single", None), (2.0, "binary", 2000), (3.0, "binary", 1000),
     ]
     assert [r["state_raw"] for r in rows] == [None, None, "binary", "binary"]
-    alone = history.particle_history(singles, bins).where("object_id = 7").first()
+    alone = history.particle_history(singles, bins, raw_state=True).where("object_id = 7").first()
     assert alone["state_raw"] == "single"
     wanted = frame([("s", 7)], "simulation_id string, object_id long")
     assert history.particle_history(singles, bins, wanted).count() == 1
