@@ -13,14 +13,6 @@ SUFFIXES = (*K.LAGR_FRACTIONS, K.LAGR_CORE)
 _MOMENTS = ("m", "n", "px", "py", "pz", "mv", "mr", "mt", "mv2", "mr2", "mrot")
 
 
-# Number of edges a star lies beyond: one comparison per edge, compiled rather than a lambda.
-_EDGES_INSIDE = " + ".join(
-    f"CASE WHEN get(edges, {i}).edge_r < r_pc OR (get(edges, {i}).edge_r = r_pc AND "
-    f"get(edges, {i}).edge_id < object_id) THEN 1 ELSE 0 END"
-    for i in range(len(SUFFIXES))
-)
-
-
 def _mass_targets(total: Column) -> list[tuple[Column, Column]]:
     """Cumulative-mass target of every fraction."""
     return [(F.lit(s), total * F.lit(float(s))) for s in K.LAGR_FRACTIONS]
@@ -54,7 +46,8 @@ def lagrangian_profile(singles: DataFrame, scalars: DataFrame) -> DataFrame:
     """13 metrics inside each of 18 mass fractions and the core, per snapshot.
 
     Every star falls into the shell ended by the first edge at or beyond it. Moments are summed
-    per shell, with map-side combine, and accumulated over the 19 shells of a snapshot.
+    per shell, with map-side combine, and accumulated over the 19 shells of a snapshot. A star
+    beyond the last edge belongs to no shell and finds no output slot.
     """
     stars = with_radius(singles)
     edges = (
@@ -75,11 +68,11 @@ def lagrangian_profile(singles: DataFrame, scalars: DataFrame) -> DataFrame:
             *SNAPSHOT,
             "r_pc AS r",
             "cast(mass_msun AS double) AS m",
-            f"{_EDGES_INSIDE} AS shell",
+            "size(filter(edges, e -> e.edge_r < r_pc OR (e.edge_r = r_pc AND "
+            "e.edge_id < object_id))) AS shell",
             *[f"v{a}_kms - _c{a} AS u{a}" for a in "xyz"],
             *[f"{a}_pc AS p{a}" for a in "xyz"],
         )
-        .where(f"shell < {len(SUFFIXES)}")
         .selectExpr(
             "*",
             "ux*ux + uy*uy + uz*uz AS u2",

@@ -1024,3 +1024,46 @@ FROM (SELECT simulation_id, ttot, object_id, kw, mass_msun AS m FROM snapshot_si
   UNION ALL SELECT simulation_id, ttot, object_id_2, kw_2, mass_2_msun FROM snapshot_binaries)
 WHERE kw = 14 AND m > 50""",
 )
+oracle(
+    "density_uncentred",
+    "singles",
+    f"SELECT simulation_id, {r('ttot')} AS ttot, object_id, {r('x_pc')} AS x_pc, {r('y_pc')} AS "
+    f"y_pc, {r('z_pc')} AS z_pc FROM snapshot_singles",
+)
+oracle(
+    "backfill_accuracy",
+    "binaries",
+    f"SELECT count(*) AS n_known, {r('avg(cast(t = p AS int))')} AS accuracy FROM (SELECT "
+    f"bin_label AS t, {_DERIVED_LABEL} AS p FROM snapshot_binaries WHERE bin_label <> -9)",
+)
+oracle(
+    "nzero_consistent",
+    "binaries",
+    f"SELECT simulation_id, coalesce(min(cm_id) FILTER (bin_label = 1) > {_NZERO}, true) AS "
+    "nzero_consistent FROM snapshot_binaries GROUP BY simulation_id",
+)
+oracle(
+    "nzero_inferred",
+    "scalars",
+    "SELECT simulation_id, n AS nzero FROM snapshot_scalars WHERE ttot = 0",
+)
+oracle(
+    "shared_snapshots",
+    "steps",
+    f"SELECT DISTINCT a.run AS run_dir_a, b.run AS run_dir_b, {r('a.ttot')} AS ttot FROM runs a "
+    "JOIN runs b ON a.run < b.run AND a.ttot = b.ttot JOIN ranges x ON x.run = a.run "
+    "JOIN ranges y ON y.run = b.run WHERE x.lo <= y.hi AND y.lo <= x.hi",
+    "runs AS (SELECT simulation_id || '/' || run_dir AS run, ttot, filename_time "
+    "FROM snapshot_steps)",
+    "ranges AS (SELECT run, min(filename_time) AS lo, max(filename_time) AS hi FROM runs "
+    "GROUP BY run)",
+)
+oracle(
+    "duplicate_file_times",
+    "steps",
+    f"SELECT simulation_id, run_dir, {r('filename_time')} AS filename_time, source_hdf5_path, "
+    "n_dirs, n_files FROM (SELECT *, count(*) OVER w AS n_dirs, count(*) OVER w AS n_files FROM "
+    "(SELECT DISTINCT simulation_id, run_dir, filename_time, source_hdf5_path FROM steps) "
+    "WINDOW w AS (PARTITION BY simulation_id, filename_time)) WHERE n_dirs > 1",
+    STEPS,
+)

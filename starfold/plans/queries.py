@@ -61,8 +61,8 @@ def tidy(df: DataFrame, digits: dict[str, int]) -> DataFrame:
         kind = field.dataType.simpleString()
         c = F.col(f"`{field.name}`")
         if kind in ("double", "float"):
-            places = digits.get(field.name, digits.get("*", 6))
-            c = F.round(c.cast("double") * NUDGE, places) + F.lit(0.0)
+            unit = 10.0 ** digits.get(field.name, digits.get("*", 6))
+            c = F.rint(c.cast("double") * NUDGE * unit) / unit + F.lit(0.0)
         elif kind in ("int", "smallint", "tinyint"):
             c = c.cast("bigint")
         cols.append(c.alias(field.name))
@@ -78,8 +78,8 @@ DIGITS: dict[str, dict[str, int]] = {
         ("orbit_a", "orbit_e", "orbit_inclination", "orbit_node", "orbit_periapsis"), 4
     ),
 }
-# Relative nudge before rounding: exact decimal ties then round up in Spark and DuckDB alike,
-# whose rounding functions disagree on ties that a double cannot hold.
+# Relative nudge before rounding: exact decimal ties then round up in Spark and DuckDB alike.
+# rint() in doubles stays in compiled code, where round() would go through BigDecimal.
 NUDGE = 1.0000000000001
 
 
@@ -626,3 +626,58 @@ def compact_object_store(lake: Lake) -> DataFrame:
         where="object_type = ? AND mass_msun > ?",
         params=["BH", 50.0],
     )
+
+
+@query
+def density_uncentred(lake: Lake) -> DataFrame:
+    names = {"x_pc": "x_c_pc", "y_pc": "y_c_pc", "z_pc": "z_c_pc"}
+    moved = derived.centred(lake.singles, lake.scalars, names).drop(*names)
+    back = derived.uncentred(moved, lake.scalars, names)
+    return back.select(*_S, "object_id", *names)
+
+
+@query
+def backfill_accuracy(lake: Lake) -> DataFrame:
+    return backfill.accuracy(backfill.confusion(lake.binaries, NZERO))
+
+
+@query
+def nzero_consistent(lake: Lake) -> DataFrame:
+    return backfill.nzero_consistent(lake.binaries, NZERO)
+
+
+@query
+def nzero_inferred(lake: Lake) -> DataFrame:
+    return backfill.infer_nzero(lake.scalars)
+
+
+def _runs(lake: Lake) -> DataFrame:
+    run = F.concat_ws("/", "simulation_id", "run_dir")
+    return lake.steps.withColumn("run_dir", run)
+
+
+@query
+def shared_snapshots(lake: Lake) -> DataFrame:
+    from starfold.sources.files import directory_overlaps, shared_snapshots as shared
+
+    runs = _runs(lake)
+    return shared(directory_overlaps(runs.select("run_dir", "filename_time")), runs)
+
+
+@query
+def duplicate_file_times(lake: Lake) -> DataFrame:
+    from starfold.sources.files import duplicate_times
+
+    per_file = lake.steps.select(
+        "simulation_id", "run_dir", "filename_time", "source_hdf5_path"
+    ).distinct()
+    return duplicate_times(per_file, ["simulation_id"])
+
+
+@query
+def star_colours(lake: Lake) -> DataFrame:
+    """No SQL twin: the colour is an integral over the visible spectrum."""
+    from starfold.functions.display import teff_rgb
+
+    rgb = lake.singles.select(*_S, "object_id", "teff_k", teff_rgb("teff_k").alias("c"))
+    return rgb.select(*_S, "object_id", "teff_k", "c.r", "c.g", "c.b")
