@@ -71,9 +71,20 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or current
 
 
+def work_root(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables, below the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/starfold-{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder for one written intermediate table."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path for one written intermediate table."""
+    return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames built on them can no longer run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -65,3 +65,22 @@ def test_previous_value_over_chunks(spark):
     got = previous_value(spark.createDataFrame(pdf), ["k"], "t", chunk_width=10.0, out="p")
     rows = {r["t"]: r["p"] for r in got.collect()}
     assert rows == {0.0: None, 1.0: 0.0, 2.0: 1.0, 50.0: 2.0, 51.0: 50.0, 400.0: 51.0}
+
+
+def test_hot_key_reaches_the_final_window_only_in_part(spark, monkeypatch):
+    """One key with nearly all rows: only the rows of the bins that are hit are sorted exactly."""
+    from starfold.operators import ordered
+
+    seen = []
+    running = ordered._running
+    monkeypatch.setattr(ordered, "_running", lambda df, *a: seen.append(df) or running(df, *a))
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 100 == 0, 1).otherwise(0).alias("k"),
+        (F.rand(3) * 100).alias("v"),
+        F.lit(1.0).alias("w"),
+    )
+    picked = ordered.select_at_cumulative(
+        df, ["k"], "v", "w", lambda total: [(F.lit(0), total * 0.5)]
+    )
+    assert picked.count() == 2
+    assert seen[-1].count() < 2_000
