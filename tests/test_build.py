@@ -255,3 +255,26 @@ def test_streamed_upsert(spark, tmp_path):
     ingest.compact_batches(spark, sink, str(tmp_path / "clean"))
     assert spark.read.parquet(str(tmp_path / "clean")).count() == 4
     assert ingest.current_winners(spark, sink, "v").where("ttot = 1").first()["v"] == 3
+
+
+def test_command_line(spark, world, tmp_path, capfd):
+    import json
+
+    from starfold.cli import main
+
+    root, store, _ = world
+    path = tmp_path / "c.json"
+    path.write_text(json.dumps({"paths": {
+        "simulations": {"s": str(root)}, "analysis_cache_dir": store.cache_root, "lake_dir": store.lake_root,
+    }}))
+    config = ["--config", str(path)]
+    assert main([*config, "analyze", "--simu", "s", "--features", "lake,pilot", "--opener", OPENER]) == 0
+    assert store.read("s", "snapshot_singles").count() == 24
+    assert store.read("s", "snapshot_summary").count() == 4
+    assert main([*config, "backfill-bin-label", "--dry-run", "--nzero", "s=1000"]) == 0
+    assert main([*config, "backfill-bin-label", "--validate"]) == 0
+    assert main([*config, "preflight", "--opener", OPENER]) == 0
+    out = capfd.readouterr().out
+    assert "unknown_before" in out and "n_known" in out and "estimated_row_count" in out
+    with pytest.raises(SystemExit):
+        main([*config, "analyze", "--simu", "other"])
