@@ -199,7 +199,10 @@ def _numbered(mergers: DataFrame, block: int) -> tuple[DataFrame, int]:
         "simulation_id",
         "ttot",
         "seq",
-        *[F.col(c).cast("bigint").alias(c) for c in ("product_name", "parent_name_1", "parent_name_2")],
+        *[
+            F.col(c).cast("bigint").alias(c)
+            for c in ("product_name", "parent_name_1", "parent_name_2")
+        ],
     ).where(F.col("product_name").isNotNull() & F.col("ttot").isNotNull())
     size = events.groupBy("simulation_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("ttot").alias("lo"), F.max("ttot").alias("hi")

@@ -160,7 +160,7 @@ def profile_long(profile: DataFrame) -> DataFrame:
 
 
 def profile_wide(profile: DataFrame) -> DataFrame:
-    """One row per snapshot with a `<metric><suffix>` column for every pair, as lagr.7 names them."""
+    """One row per snapshot with a `<metric><suffix>` column for every pair, as in lagr.7."""
     aggs = [
         F.max(F.when(F.col("suffix") == s, F.col(metric))).alias(f"{metric}{s}")
         for metric in K.LAGR_METRICS

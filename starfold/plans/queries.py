@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starfold import constants as K
 from starfold.functions import tags
 from starfold.functions.numeric import on_grid
 from starfold.operators import (
@@ -47,9 +46,8 @@ class Lake:
     @property
     def steps(self) -> DataFrame:
         """Step metadata with the path each snapshot file would have."""
-        path = F.format_string(
-            "%s/%s/snap.40_%d.h5part", "simulation_id", "run_dir", F.col("filename_time").cast("int")
-        )
+        time = F.col("filename_time").cast("int")
+        path = F.format_string("%s/%s/snap.40_%d.h5part", "simulation_id", "run_dir", time)
         raw = lake_table(self.spark, self.sf_dir, "snapshot_steps")
         return raw.withColumn("source_hdf5_path", path)
 
@@ -535,9 +533,8 @@ def display_attributes(lake: Lake) -> DataFrame:
 
 @query
 def type_counts(lake: Lake) -> DataFrame:
-    typed = pairs.add_pair_columns(lake.binaries)
-    return stats.value_counts(typed.where(tags.is_compact("kw_1") | tags.is_compact("kw_2")),
-                              ["simulation_id", "stellar_type"])
+    typed = pairs.add_pair_columns(lake.binaries).where(tags.compact_mask(lake.binaries))
+    return stats.value_counts(typed, ["simulation_id", "stellar_type"])
 
 
 def _event_lines(lake: Lake) -> DataFrame:

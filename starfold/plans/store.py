@@ -21,8 +21,9 @@ _MANIFEST = "source_hdf5_path string, mtime double, ttot array<double>"
 
 def file_id(path: Column | str) -> Column:
     """Readable, collision-free partition value of a source file."""
+    path = F.col(path) if isinstance(path, str) else path
     stem = F.regexp_extract(path, r"([^/]*?)(\.h5part)?$", 1)
-    return F.concat_ws("-", stem, F.substring(F.sha1(F.col(path) if isinstance(path, str) else path), 1, 8))
+    return F.concat_ws("-", stem, F.substring(F.sha1(path), 1, 8))
 
 
 @dataclass

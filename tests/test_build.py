@@ -3,7 +3,6 @@ import sys
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 

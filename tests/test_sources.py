@@ -1,13 +1,11 @@
 import json
 import os
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from starfold import constants as K
 from starfold.config import load_config
-from starfold.schema.registry import TABLES, Column, SchemaError, TableSchema, table_schema
+from starfold.schema.registry import Column, SchemaError, TableSchema, table_schema
 from starfold.sources import files, text
 
 
@@ -73,7 +71,7 @@ def test_stdout_and_namelist(spark, tmp_path):
     with pytest.raises(ValueError):
         text.scale_factors(lines(spark, ["nothing"]))
     path = tmp_path / "run.inp"
-    path.write_text("&INNBODY6\nKSTART=1, TCOMP=5.0,\n n = 1000000, NFIX=1\n/")
+    path.write_text("&INPUT\nKSTART=1, TCOMP=5.0,\n n = 1000000, NFIX=1\n/")
     assert text.namelist_value(spark, str(path), "TCOMP") == "5.0"
     assert text.namelist_value(spark, str(path), "N") == "1000000"
     with pytest.raises(KeyError):
