@@ -149,7 +149,7 @@ oracle(
     "binaries scalars",
     f"""
 SELECT {_PAIR_ID}, {r('ebind_nb')} AS ebind_nb, {r('mean_core_distance_au', 3)} AS
-  mean_core_distance_au, {r('ebind_over_kt')} AS ebind_over_kt, binary_class,
+  mean_core_distance_au, {r('ebind_over_kt', 3)} AS ebind_over_kt, binary_class,
   {r('greatest(mass_1_msun, mass_2_msun)')} AS primary_mass_msun,
   {r('least(mass_1_msun, mass_2_msun)')} AS secondary_mass_msun,
   {r('mass_1_msun+mass_2_msun')} AS total_mass_msun,

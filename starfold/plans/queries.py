@@ -70,7 +70,7 @@ def tidy(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 # Decimal digits kept in the output where six are too many: lengths and energies near 1e7, angles
 # and elements of nearly degenerate orbits.
 DIGITS: dict[str, dict[str, int]] = {
-    "binary_energetics_class": {"mean_core_distance_au": 3},
+    "binary_energetics_class": {"mean_core_distance_au": 3, "ebind_over_kt": 3},
     "galactic_energy": {"*": 1, "mass_msun": 6},
     "cluster_energy": {"*": 1},
     "orbit_elements": dict.fromkeys(
