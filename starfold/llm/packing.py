@@ -15,6 +15,10 @@ is a histogram of at most `capacity` lengths, whatever the number of documents.
 4. Small pieces, and what is left of the large ones, go best-fit into the room that remains,
    longest first, whole runs of equal lengths at a time.
 
+Rounding up costs room that small pieces must fill, so the border between large and small decides
+how full the sequences get: the plan is made for each of `SMALL_SHARES` and the one with the
+fewest sequences is used.
+
 The plan is a table of runs (length, first number, last number, first sequence, offset). Its size
 depends on `capacity`, not on the data, so it is sent to the tasks, which look up every piece by
 its length and its number among the pieces of that length. Numbers are given inside the tasks
@@ -43,9 +47,9 @@ from starfold.session import materialize
 
 CAPACITY = 2048
 END_ID = 0
-GROUPS = 32
-# Lengths up to this share of a sequence count as small.
-SMALL_SHARE = 16
+GROUPS = 16
+# Lengths up to capacity / share count as small. All shares are planned; the shortest plan is used.
+SMALL_SHARES = (8, 4, 3, 2)
 # Chunks of text whose ids a task remembers.
 CACHE_CHUNKS = 400_000
 
@@ -225,11 +229,26 @@ def plan_sequences(
     histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS
 ) -> list[tuple[int, int, int, int, int]]:
     """Runs (length, first number, end number, first sequence, offset) that cover the histogram."""
+    plans = [_plan_with(histogram, capacity, groups, capacity // share) for share in SMALL_SHARES]
+    bins = min(plans, key=lambda b: sum(count for count, _ in b.groups()))
+    runs, number, sequence = [], defaultdict(int), 0
+    for count, items in bins.groups():
+        offset = 0
+        while items:
+            length, items = items
+            runs.append((length, number[length], number[length] + count, sequence, offset))
+            number[length] += count
+            offset += length
+        sequence += count
+    return runs
+
+
+def _plan_with(histogram: dict[int, int], capacity: int, groups: int, small: int) -> Bins:
     bins = Bins(capacity)
     left = {k: c for k, c in histogram.items() if c}
     if capacity in left:
         bins.put(0, left.pop(capacity), (capacity, ()))
-    large = sorted(((k, c) for k, c in left.items() if k > capacity // SMALL_SHARE), reverse=True)
+    large = sorted(((k, c) for k, c in left.items() if k > small), reverse=True)
     if large:
         cut = linear_groups(large, groups)
         # Groups of one rounded size are one size.
@@ -272,18 +291,9 @@ def plan_sequences(
                 rest[length] += count
         for length in sorted(rest, reverse=True):
             bins.best_fit(length, rest[length])
-    for length in sorted((k for k in left if k <= capacity // SMALL_SHARE), reverse=True):
+    for length in sorted((k for k in left if k <= small), reverse=True):
         bins.best_fit(length, left[length])
-    runs, number, sequence = [], defaultdict(int), 0
-    for count, items in bins.groups():
-        offset = 0
-        while items:
-            length, items = items
-            runs.append((length, number[length], number[length] + count, sequence, offset))
-            number[length] += count
-            offset += length
-        sequence += count
-    return runs
+    return bins
 
 
 # ---------------------------------------------------------------------------------- assignment
