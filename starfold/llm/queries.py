@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import language_id, licenses, line_dedup, packing, quality
+from starfold.llm import language_id, licenses, line_dedup, near_dup, packing, quality
 from starfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
+    "op6_near_dup": op6_near_dup,
     "op8_licenses": op8_licenses,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
