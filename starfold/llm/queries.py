@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import language_id, licenses, line_dedup, near_dup, packing, quality
+from starfold.llm import language_id, licenses, line_dedup, near_dup, packing, quality, suffix_dedup
 from starfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, ~language_id.held_out())
@@ -55,6 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
     "op6_near_dup": op6_near_dup,
