@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starfold.llm import language_id, licenses, line_dedup, near_dup, packing, quality, suffix_dedup
+from starfold.llm import (
+    chat_tools,
+    decontaminate,
+    language_id,
+    licenses,
+    line_dedup,
+    lm_score,
+    near_dup,
+    packing,
+    quality,
+    suffix_dedup,
+)
 from starfold.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +34,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs, ~language_id.held_out())
@@ -42,10 +57,19 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = chat_tools.plain_chats(table(spark, sf_dir, "conversations"))
+    return chat_tools.link_tools(messages, {"reply": chat_tools.REPLY_SCHEMA})
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -60,9 +84,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_lm_score": op2_lm_score,
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
+    "op5_chat_tools": op5_chat_tools,
     "op6_near_dup": op6_near_dup,
+    "op7_decontaminate": op7_decontaminate,
     "op8_licenses": op8_licenses,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
