@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starfold.llm.common import pa_schema
+from starfold.llm.common import fresh, pa_schema
 from starfold.llm.components import components
 from starfold.llm.shingles import MinHash, mix, shingle_hashes, shingle_set
 from starfold.session import materialize
@@ -54,7 +54,7 @@ PERCENT = 80
 MISS = 1e-7
 SKETCH_BITS = 512
 
-SETS = "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"
+SETS = "doc_id long, th long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"
 
 
 def band_shape(percent: int) -> tuple[int, int]:
@@ -82,7 +82,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int, percen
         samples = np.arange(rows * bands, dtype=np.uint64) << np.uint64(32)
         for batch in batches:
             out: list[list] = [[] for _ in target]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, th, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = shingle_hashes(text, size)
                 if len(hashes):
                     least = minhash(hashes).astype(np.uint64)
@@ -93,16 +93,16 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int, percen
                         (mix(samples | least) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS
                     )
                     sketch = np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
-                    row = (doc, len(hashes), hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), key.view(np.int64), sketch)
+                    row = (doc, th, len(hashes), hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), key.view(np.int64), sketch)
                 else:
-                    row = (doc, 0, None, None, None)
+                    row = (doc, th, 0, None, None, None)
                 for col, v in zip(out, row, strict=True):
                     col.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(out, target, strict=True)], schema=target
             )
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, SETS)
+    return docs.select(F.col(id_col).cast("long"), F.xxhash64(text_col), text_col).mapInArrow(run, SETS)
 
 
 def xor_bits(a: str, b: str) -> Column:
@@ -142,7 +142,8 @@ def near_duplicates(
     size: int = WORDS,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per document row."""
+    """(doc_id, n_shingles, component_id, kept, th), one row per document row; `th` is the hash of
+    the row's text."""
     rows, bands = band_shape(percent)
     limit = sketch_limit(percent, rows * bands)
     sets = materialize(document_sets(docs, id_col, text_col, size, percent), "near-sets")
@@ -195,5 +196,32 @@ def near_duplicates(
     out = sets.join(found, (F.col("set_key") == F.col("k")) & F.col("doc_id").isNotNull(), "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select(
-        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "th"
     )
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The documents, as they are, with one document of each component.
+
+    Rows without words or without an id stay. Of several rows of one id with words, one row of the
+    text with the smallest hash stays.
+    """
+    found = materialize(near_duplicates(docs, id_col, text_col, size, percent), "near-result")
+    d, t = fresh(docs, "sf_doc"), fresh(docs, "sf_text")
+    this = docs[id_col].cast("long")
+
+    def same(right: DataFrame) -> Column:
+        return (this == right[d]) & (F.xxhash64(docs[text_col]) == right[t])
+
+    gone = found.where("not kept").select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    out = docs.join(gone, same(gone), "left_anti")
+    words = found.where("kept and n_shingles > 0 and doc_id is not null")
+    many = words.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("th").alias(t)).where("n > 1")
+    many = materialize(many.select(F.col("doc_id").alias(d), t), "near-repeated")
+    if many.isEmpty():
+        return out
+    single = words.join(many, words["doc_id"] == many[d], "left_semi").select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    once = docs.join(many, same(many), "left_semi").dropDuplicates([id_col])
+    return out.join(single, same(single), "left_anti").unionByName(once)

@@ -63,7 +63,7 @@ def op5_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85).drop("th")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
