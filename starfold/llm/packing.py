@@ -30,10 +30,12 @@ like any other row. Empty tables give empty results.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -50,8 +52,16 @@ END_ID = 0
 GROUPS = 16
 # Lengths up to capacity / share count as small. All shares are planned; the shortest plan is used.
 SMALL_SHARES = (8, 4, 3, 2)
-# Chunks of text whose ids a task remembers.
-CACHE_CHUNKS = 400_000
+# Pre-tokens whose ids a task remembers.
+CACHE_WORDS = 400_000
+# The end of the Latin letters, and how special tokens begin.
+LATIN_END = "\u0250"
+SPECIAL = "<|"
+# The tokenizer's pre-token pattern, for lower-case texts below LATIN_END.
+LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f"
+DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+SPACES = " \t\n\x0b\x0c\r\x85\xa0"
+PRE_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{LETTERS}{DIGITS}{SPACES}]+")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -59,12 +69,21 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part
 # ---------------------------------------------------------------------------------- tokens
 
 
-class ChunkTokens(dict):
-    """Token ids of blank-separated chunks, as packed little-endian 32-bit numbers.
+def byte_letters() -> list[str]:
+    """The printable character that byte-level vocabularies use for each byte: printable Latin-1
+    bytes stand for themselves, the others follow from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b if b in plain else next(spare)) for b in range(256)]
 
-    The tokenizer's own split never crosses white space, so a text's ids are those of its
-    chunks in order. Only blanks and line feeds cut here; rarer white space is left to the
-    tokenizer.
+
+class WordTokens(dict):
+    """Token ids of the tokenizer's pre-tokens, as packed little-endian 32-bit numbers.
+
+    The tokenizer lower-cases, cuts a text into pre-tokens (letters, single digits, other signs)
+    and merges inside each, so a text's ids are those of its pre-tokens in order. Texts of Latin
+    characters are cut here by the same pattern, and the ids of a pre-token are remembered; all
+    other texts, and texts that name a special token, go through the tokenizer as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -72,20 +91,32 @@ class ChunkTokens(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.letters = dict(enumerate(byte_letters()))
+
+    def add(self, words: list[str]) -> None:
+        mapped = [w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.letters) for w in words]
+        found = self.merges.encode(mapped, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4").tobytes()
+        cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(words) + 1))).tolist()
+        self.update((w, ids[cuts[k] : cuts[k + 1]]) for k, w in enumerate(words))
 
-    def add(self, chunks: list[str]) -> None:
-        for chunk, enc in zip(chunks, self.tokenizer.encode_batch(chunks, add_special_tokens=False), strict=True):
-            self[chunk] = np.asarray(enc.ids, dtype="<u4").tobytes()
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self) > CACHE_CHUNKS:
+        split: list[list[str] | None] = []
+        for text in texts:
+            low = text.lower()
+            latin = text.isascii() or (max(low) < LATIN_END and is_normalized("NFC", text))
+            split.append(PRE_TOKEN.findall(low) if latin and SPECIAL not in text else None)
+        if len(self) > CACHE_WORDS:
             self.clear()
-        new = {c for chunks in split for c in chunks if c not in self}
+        new = set().union(*(w for w in split if w)).difference(self)
         if new:
             self.add(sorted(new))
-        for chunks in split:
-            yield b"".join(map(self.__getitem__, chunks))
+        for text, words in zip(texts, split, strict=True):
+            yield self.whole(text) if words is None else b"".join(map(self.__getitem__, words))
 
 
 def tokenised_pieces(
@@ -95,7 +126,7 @@ def tokenised_pieces(
     target = pa_schema(docs.sparkSession, PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = ChunkTokens(tokenizer_path)
+        tokens = WordTokens(tokenizer_path)
         part = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         end = np.uint32(END_ID).tobytes()
