@@ -44,13 +44,8 @@ def backfill_report(
     )
 
 
-def confusion(
-    binaries: DataFrame, nzero: int, sample_size: int | None = None, seed: int = 0
-) -> DataFrame:
-    """Counts of (true, predicted) label: known labels are hidden and reconstructed.
-
-    `sample_size` is the sampling option of the validation; the default uses every known row.
-    """
+def confusion(binaries: DataFrame, nzero: int) -> DataFrame:
+    """Counts of (true, predicted) label: all known labels are hidden and reconstructed."""
     known = binaries.where(F.col("bin_label") != K.BIN_LABEL_UNKNOWN).select(
         "cm_id",
         "object_id_1",
@@ -60,8 +55,6 @@ def confusion(
         F.col("bin_label").alias("true_label"),
         F.lit(K.BIN_LABEL_UNKNOWN).alias("bin_label"),
     )
-    if sample_size is not None:
-        known = known.orderBy(F.rand(seed)).limit(sample_size)
     return (
         known.select("true_label", reconstructed_bin_label(nzero).alias("predicted_label"))
         .groupBy("true_label", "predicted_label")

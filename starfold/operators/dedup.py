@@ -33,11 +33,6 @@ def step_losers(steps: DataFrame) -> DataFrame:
     return steps.select(*key).distinct().join(step_winners(steps).select(*key), key, "left_anti")
 
 
-def drop_losers(rows: DataFrame, losers: DataFrame) -> DataFrame:
-    """Rows of a lake table without the (file, ttot) pairs that lost."""
-    return rows.join(losers, ["simulation_id", "source_hdf5_path", "ttot"], "left_anti")
-
-
 def upsert(cached: DataFrame, new: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Cached rows whose key does not occur in `new`, plus all of `new`."""
     keys = keys or SNAPSHOT

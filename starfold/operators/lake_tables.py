@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold import constants as K
 from starfold.functions.numeric import norm3, round_id
-from starfold.operators.dedup import drop_losers, step_losers
+from starfold.operators.dedup import step_winners
 from starfold.schema.registry import SORT_KEYS, TABLES, TYPES, table_schema
 
+_FILE_STEP = ["simulation_id", "source_hdf5_path", "ttot"]
 _OFFSETS = [f"_rdens_{a}" for a in "xyz"]
 
 
@@ -84,25 +85,30 @@ def _objects(table: str, raw: DataFrame, context: DataFrame, simulation_id: str)
 
 
 def raw_steps(raw: DataFrame, simulation_id: str) -> DataFrame:
-    """(simulation, ttot, mtime, file) of every step of a raw scalars or steps frame."""
+    """(simulation, ttot, mtime, file) of every step of a raw scalars or steps frame; a steps
+    frame also says which files can't be read."""
+    more = ["problem"] if "problem" in raw.columns else []
     return raw.select(
         F.lit(simulation_id).alias("simulation_id"),
         F.col("TTOT").alias("ttot"),
         F.col("source_mtime").alias("mtime"),
         "source_hdf5_path",
+        *more,
     )
 
 
 def lake_tables(
-    raw: dict[str, DataFrame], simulation_id: str, losers: DataFrame | None = None
+    raw: dict[str, DataFrame], simulation_id: str, winners: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """The four lake tables of raw scalars / singles / binaries / mergers frames.
 
-    Snapshots written by several files are taken from the latest file in every table. `losers`
-    names the (file, ttot) pairs to drop when the frames hold only part of the files.
+    Snapshots written by several files are taken from the latest file in every table. `winners`
+    names the (simulation_id, source_hdf5_path, ttot) to keep when the frames hold only part of the
+    files.
     """
-    if losers is None:
-        losers = step_losers(raw_steps(raw["scalars"], simulation_id))
+    if winners is None:
+        winners = step_winners(raw_steps(raw["scalars"], simulation_id))
+    keep = winners.select(*_FILE_STEP)
     context = step_context(raw["scalars"])
     out = {"snapshot_scalars": _scalars(raw["scalars"], simulation_id)}
     for name in ("singles", "binaries", "mergers"):
@@ -110,7 +116,7 @@ def lake_tables(
             table = f"snapshot_{name}"
             out[table] = _objects(table, raw[name], context, simulation_id)
     return {
-        table: table_schema(table).conform(drop_losers(rows, losers))
+        table: table_schema(table).conform(rows.join(keep, _FILE_STEP, "left_semi"))
         for table, rows in out.items()
     }
 

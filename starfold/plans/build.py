@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import time
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Sequence
@@ -14,17 +13,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from starfold.functions.numeric import on_grid
 from starfold.operators import binaries as pairs
 from starfold.operators import compact, galactic, imbh, lagrangian, snapshot
-from starfold.operators.dedup import step_losers
+from starfold.operators.dedup import step_winners
 from starfold.operators.lake_tables import lake_tables, raw_steps
-from starfold.plans import fs
-from starfold.plans.store import FeatureStore
+from starfold.plans.store import COMPACT_AFTER, FeatureStore
 from starfold.schema.registry import LAKE_TABLES, TABLES, table_schema
-from starfold.session import work_path
+from starfold.session import drop_work, work_path
 from starfold.sources.files import describe_files, select_files
 from starfold.sources.h5part import H5PartDataSource
 
 Tables = dict[str, DataFrame]
 _KINDS = ("lake", "source")
+_STEPS = "snapshot_step_index"
 
 
 @dataclass(frozen=True)
@@ -49,8 +48,8 @@ class ScanOptions:
 class Feature:
     """A table computed from snapshots.
 
-    `build` maps the lake tables of a set of files to rows. A dataset is replaced per source file,
-    a table per snapshot. Kind 'source' features are the lake tables themselves.
+    `build` maps the lake tables of a set of files to rows. A dataset is replaced per source
+    file, a table per snapshot. Kind 'source' features are the lake tables themselves.
     """
 
     name: str
@@ -59,6 +58,12 @@ class Feature:
     kind: str = "lake"
     schema_version: int = 1
     tables: tuple[str, ...] = ("scalars", "singles", "binaries")
+    needs_primordial: bool = False
+
+    @property
+    def key(self) -> str:
+        """What a commit replaces: the rows of a source file or those of a snapshot."""
+        return "source_hdf5_path" if self.dataset else "ttot"
 
     def __post_init__(self) -> None:
         if self.kind not in _KINDS:
@@ -137,6 +142,7 @@ FEATURES: dict[str, Feature] = {
             "b_type_binary",
             lambda t: pairs.b_type_binaries(t["binaries"], t["primordial"]),
             tables=("scalars", "binaries"),
+            needs_primordial=True,
         ),
     )
 }
@@ -158,23 +164,37 @@ def expand_features(names: Iterable[str]) -> list[str]:
 
 
 def files_to_process(
-    catalog: DataFrame, manifest: DataFrame, *, tail_only: bool = True
+    catalog: DataFrame,
+    manifest: DataFrame,
+    *,
+    tail_only: bool = True,
+    winners: DataFrame | None = None,
 ) -> DataFrame:
     """Files a feature still has to read.
 
     A processed file with unchanged mtime is fresh. With `tail_only`, processed files before the
-    last processed one are not looked at again; never processed files always are.
+    last processed one are not looked at again; never processed files always are. `winners`
+    (source_hdf5_path, ttot) names the snapshots each file stands for now: processed files whose
+    stored snapshots differ, because another file has won or lost them since, are read again too.
     """
     done = manifest.select(
-        F.col("source_hdf5_path").alias("path"), F.col("mtime").alias("_seen")
+        F.col("source_hdf5_path").alias("path"), F.col("mtime").alias("_seen"), F.col("ttot").alias("_had")
     )
     marked = catalog.join(done, "path", "left")
     last = marked.where(F.col("_seen").isNotNull()).agg(F.max("filename_time")).first()[0]
     fresh = F.coalesce(F.abs(F.col("_seen") - F.col("mtime")) <= 1e-9, F.lit(False))
-    todo = marked.where(~fresh)
+    wanted = ~fresh
     if tail_only and last is not None:
-        todo = todo.where(F.col("_seen").isNull() | (F.col("filename_time") >= last))
-    return todo.drop("_seen")
+        wanted = wanted & (F.col("_seen").isNull() | (F.col("filename_time") >= last))
+    if winners is not None:
+        now = winners.groupBy(F.col("source_hdf5_path").alias("path")).agg(
+            F.sort_array(F.collect_set("ttot")).alias("_now")
+        )
+        marked = marked.join(now, "path", "left")
+        none = F.array().cast("array<double>")
+        same = F.sort_array(F.coalesce("_had", none)) == F.coalesce("_now", none)
+        wanted = wanted | (F.col("_seen").isNotNull() & fresh & ~same)
+    return marked.where(wanted).select(*catalog.columns)
 
 
 @dataclass
@@ -198,6 +218,7 @@ class Builder:
         self.spark: SparkSession = store.spark
         self.spark.dataSource.register(H5PartDataSource)
         self.jobs: list[Job] = []
+        self._made: list[str] = []
 
     def add(self, job: Job) -> Job:
         self.jobs.append(job)
@@ -208,11 +229,16 @@ class Builder:
         for job in self.jobs:
             groups[job.simulation_id, job.options].append(job)
         self.jobs = []
-        for (simulation_id, options), jobs in groups.items():
-            names = [j.feature.name for j in jobs]
-            if len(set(names)) != len(names):
-                raise ValueError(f"a feature is queued twice for {simulation_id}: {names}")
-            self._run_group(simulation_id, [j.feature for j in jobs], options)
+        try:
+            for (simulation_id, options), jobs in groups.items():
+                names = [j.feature.name for j in jobs]
+                if len(set(names)) != len(names):
+                    raise ValueError(f"a feature is queued twice for {simulation_id}: {names}")
+                self._run_group(simulation_id, [j.feature for j in jobs], options)
+        finally:
+            for path in self._made:
+                drop_work(self.spark, path)
+            self._made = []
 
     def raw(self, table: str, paths: Sequence[str], skip: bool = False) -> DataFrame:
         """Raw rows of one table of the given files."""
@@ -220,7 +246,7 @@ class Builder:
         if self.opener:
             reader = reader.option("opener", self.opener)
         return (
-            reader.option("skipUnreadable", str(skip).lower())
+            reader.option("validate", str(skip).lower())
             .option("paths", "\n".join(paths))
             .load()
         )
@@ -238,95 +264,168 @@ class Builder:
             exclude_bad=options.exclude_bad_dirname,
         )
 
-    def _losers(self, simulation_id: str, paths: list[str], skip: bool) -> DataFrame:
-        """(file, ttot) pairs that lose to a newer file, cached under the hash of the file list."""
-        key = hashlib.sha1("\n".join(sorted(paths)).encode()).hexdigest()
-        base = self.store.feature_dir(simulation_id, "snapshot_scalars")
-        path = f"{base}-dedup/{key}"
-        if not fs.exists(self.spark, f"{path}/_SUCCESS"):
-            steps = raw_steps(self.raw("steps", paths, skip), simulation_id)
-            step_losers(steps).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+    def _steps(self, simulation_id: str, catalog: DataFrame, skip: bool) -> DataFrame:
+        """Steps of the listed files, from the stored index; only new and changed files are opened.
+
+        A file that can't be read has one row with its `problem` and no steps.
+        """
+        listed = catalog.select(F.col("path").alias("source_hdf5_path"), "mtime")
+        known = self.store.manifest(simulation_id, _STEPS)
+        if skip is False:
+            known = known.where("problem is null")  # a strict run tries bad files again
+        new = listed.join(known.select("source_hdf5_path", "mtime"), ["source_hdf5_path", "mtime"], "left_anti")
+        paths = [r[0] for r in new.select("source_hdf5_path").collect()]
+        if paths:
+            raw = self.raw("steps", paths, skip)
+            rows = raw_steps(raw, simulation_id)
+            path = self._work("steps")
+            rows.write.parquet(path)
+            rows = self.spark.read.parquet(path)
+            entries = new.join(
+                rows.groupBy("source_hdf5_path").agg(F.max("problem").alias("problem")), "source_hdf5_path", "left"
+            )
+            self.store.commit(simulation_id, _STEPS, rows, entries)
+            self.store.compact(simulation_id, _STEPS)
+        return self.store.read(simulation_id, _STEPS).join(
+            listed.select("source_hdf5_path"), "source_hdf5_path", "left_semi"
+        )
 
-    def _rebuild(self, simulation_id: str, feature: Feature, options: ScanOptions) -> bool:
-        meta = self.store.meta(simulation_id, feature.name)
-        return options.force or (bool(meta) and meta != feature.meta(options))
+    def _work(self, label: str) -> str:
+        """Path of an intermediate table, deleted at the end of the run."""
+        self._made.append(work_path(self.spark, label))
+        return self._made[-1]
+
+    def _meta(self, simulation_id: str, feature: Feature, options: ScanOptions) -> dict[str, Any]:
+        """What a stored feature was made with; features that need the primordial pairs also
+        depend on their content."""
+        meta = feature.meta(options)
+        if feature.needs_primordial and self.store.has(simulation_id, "primordial_binary"):
+            pairs_now = self.store.read(simulation_id, "primordial_binary")
+            mark = pairs_now.agg(
+                F.count("*"), F.sum(F.xxhash64("primordial_pair_key").cast("decimal(38,0)"))
+            ).first()
+            meta["primordial"] = f"{mark[0]}:{mark[1]}"
+        return meta
 
     def _run_group(
         self, simulation_id: str, features: list[Feature], options: ScanOptions
     ) -> None:
         # the catalogue is one row per file; file names are what the driver schedules by
         catalog = self.catalog(simulation_id, options)
-        listed = [r["path"] for r in catalog.orderBy("filename_time").select("path").collect()]
+        path = self._work("catalog")
+        catalog.write.parquet(path)
+        catalog = self.spark.read.parquet(path)
+        if catalog.isEmpty():
+            return
+        steps = self._steps(simulation_id, catalog, options.skip_unreadable_files)
+        bad = steps.where("problem is not null").select("source_hdf5_path", "problem").distinct()
+        winners = step_winners(steps.where("problem is null")).where(
+            on_grid("ttot", options.sample_every_nb_time)
+        )
+        path = self._work("winners")
+        winners.write.parquet(path)
+        winners = self.spark.read.parquet(path)
+        names = [f.name for f in features]
+        first: list[Feature] = []
+        if any(f.needs_primordial for f in features):
+            first = [FEATURES["primordial_binary"]]
+        for part in (first, [f for f in features if f not in first]):
+            if part:
+                self._run_features(simulation_id, part, options, catalog, winners, bad)
+        if first and "primordial_binary" not in names:
+            self.store.compact(simulation_id, "primordial_binary")
+
+    def _run_features(
+        self,
+        simulation_id: str,
+        features: list[Feature],
+        options: ScanOptions,
+        catalog: DataFrame,
+        winners: DataFrame,
+        bad: DataFrame,
+    ) -> None:
+        order = [r["path"] for r in catalog.orderBy("filename_time", "path").select("path").collect()]
+        broken = {r["source_hdf5_path"] for r in bad.select("source_hdf5_path").collect()}
         todo: dict[str, set[str]] = {}
+        gone: dict[str, DataFrame] = {}
+        metas, staged = {}, {}
         for feature in features:
-            if self._rebuild(simulation_id, feature, options):
-                self.store.reset(simulation_id, feature.name)
+            metas[feature.name] = self._meta(simulation_id, feature, options)
+            stored = self.store.meta(simulation_id, feature.name)
+            again = options.force or (bool(stored) and stored != metas[feature.name])
             manifest = self.store.manifest(simulation_id, feature.name)
+            if again:
+                # the new versions are published together at the end; until then the old ones stand
+                staged[feature.name] = []
+                manifest = manifest.where("false")
             rows = files_to_process(
-                catalog, manifest, tail_only=options.incremental_from_cache_tail
+                catalog,
+                manifest,
+                tail_only=options.incremental_from_cache_tail,
+                winners=winners,
             )
             todo[feature.name] = {r["path"] for r in rows.select("path").collect()}
-        work = [p for p in listed if any(p in paths for paths in todo.values())]
-        if not work:
-            return
-        skip = options.skip_unreadable_files
-        losers = self._losers(simulation_id, listed, skip)
-        size = options.checkpoint_every_files or len(work)
+            listed = catalog.select(F.col("path").alias("source_hdf5_path"))
+            gone[feature.name] = manifest.where(F.size("ttot") > 0).join(listed, "source_hdf5_path", "left_anti")
+        work = [p for p in order if any(p in paths for paths in todo.values())]
+        size = options.checkpoint_every_files or max(1, len(work))
         for start in range(0, len(work), size):
             batch = work[start : start + size]
-            tables, found = self._tables(simulation_id, batch, features, losers, options)
-            files = self._file_entries(catalog, batch, found)
+            readable = [p for p in batch if p not in broken]
+            tables = self._tables(simulation_id, readable, features, winners)
+            files = self._file_entries(catalog, batch, tables, bad)
             for feature in features:
                 mine = [p for p in batch if p in todo[feature.name]]
                 if mine:
-                    self._build(simulation_id, feature, tables, files, mine, batch, options)
+                    self._build(
+                        simulation_id, feature, tables, files, mine, batch,
+                        metas[feature.name], staged.get(feature.name),
+                    )
+        for feature in features:
+            by = feature.key
+            if staged.get(feature.name):
+                self.store.publish(simulation_id, feature.name, staged[feature.name], metas[feature.name], by)
+            elif not gone[feature.name].isEmpty():
+                # files that are no longer part of the simulation lose their rows
+                empty = self.store.read(simulation_id, feature.name).where("false")
+                left = gone[feature.name].withColumn("ttot", F.array().cast("array<double>"))
+                self.store.commit(simulation_id, feature.name, empty, left, metas[feature.name], by)
+            if len(self.store.pointer(simulation_id, feature.name).get("versions", [])) > COMPACT_AFTER:
+                self.store.compact(simulation_id, feature.name)
 
     def _tables(
-        self,
-        simulation_id: str,
-        batch: list[str],
-        features: list[Feature],
-        losers: DataFrame,
-        options: ScanOptions,
-    ) -> tuple[Tables, DataFrame]:
+        self, simulation_id: str, paths: list[str], features: list[Feature], winners: DataFrame
+    ) -> Tables:
         """Lake tables of a batch of files, read once and written for all features of the group."""
         needed = {t for f in features for t in f.tables} | {"scalars"}
-        skip = options.skip_unreadable_files
-        raw = {n: self.raw(n, batch, skip) for n in needed}
+        raw = {n: self.raw(n, paths) for n in needed}
         # scalars feed every other table: keep the small table instead of reopening each file
-        path = work_path(self.spark, "raw-scalars")
+        path = self._work("raw-scalars")
         raw["scalars"].write.parquet(path)
         raw["scalars"] = self.spark.read.parquet(path)
+        keep = winners.select("simulation_id", "source_hdf5_path", "ttot")
         tables: Tables = {}
-        for name, rows in lake_tables(raw, simulation_id, losers).items():
-            target = work_path(self.spark, name)
-            rows.where(on_grid("ttot", options.sample_every_nb_time)).write.parquet(target)
+        for name, rows in lake_tables(raw, simulation_id, winners=keep).items():
+            target = self._work(name)
+            rows.write.parquet(target)
             tables[name.removeprefix("snapshot_")] = self.spark.read.parquet(target)
-        found = raw["scalars"].groupBy("source_hdf5_path").agg(
-            F.sort_array(F.collect_set("TTOT")).alias("ttot")
-        )
-        if "binaries" in tables:
-            tables["primordial"] = self._known_primordial(simulation_id, tables["binaries"])
-        return tables, found
+        if any(f.needs_primordial for f in features):
+            tables["primordial"] = self.store.read(simulation_id, "primordial_binary")
+        return tables
 
     def _paths(self, paths: list[str]) -> DataFrame:
         return self.spark.createDataFrame([(p,) for p in paths], "source_hdf5_path string")
 
-    def _file_entries(self, catalog: DataFrame, batch: list[str], found: DataFrame) -> DataFrame:
-        """Manifest entries of a batch; unreadable files count as processed, without snapshots."""
+    def _file_entries(
+        self, catalog: DataFrame, batch: list[str], tables: Tables, bad: DataFrame
+    ) -> DataFrame:
+        """Manifest entries of a batch: the snapshots each file stands for, or why it is unreadable."""
         known = catalog.select(F.col("path").alias("source_hdf5_path"), "mtime")
-        entries = self._paths(batch).join(known, "source_hdf5_path").join(
-            found, "source_hdf5_path", "left"
-        )
+        found = tables["scalars"].groupBy("source_hdf5_path").agg(F.sort_array(F.collect_set("ttot")).alias("ttot"))
+        entries = self._paths(batch).join(known, "source_hdf5_path").join(found, "source_hdf5_path", "left")
+        entries = entries.join(bad, "source_hdf5_path", "left")
         return entries.withColumn("ttot", F.coalesce("ttot", F.array().cast("array<double>")))
 
-    def _known_primordial(self, simulation_id: str, binaries: DataFrame) -> DataFrame:
-        """Primordial pairs of the stored feature, or of this batch when it is not built yet."""
-        if self.store.has(simulation_id, "primordial_binary"):
-            return self.store.read(simulation_id, "primordial_binary")
-        return pairs.primordial_binaries(binaries)
-
     def _build(
         self,
         simulation_id: str,
@@ -335,7 +434,8 @@ class Builder:
         files: DataFrame,
         mine: list[str],
         batch: list[str],
-        options: ScanOptions,
+        meta: dict[str, Any],
+        staged: list[int] | None,
     ) -> None:
         used, done = tables, files
         if len(mine) < len(batch):
@@ -348,14 +448,10 @@ class Builder:
             }
             done = files.join(only, "source_hdf5_path", "left_semi")
         rows = feature.build(used)
-        if feature.dataset:
-            self.store.write_dataset(simulation_id, feature.name, rows)
+        if staged is not None:
+            staged.append(self.store.stage(simulation_id, feature.name, rows, done))
         else:
-            scanned = done.select(
-                F.lit(simulation_id).alias("simulation_id"), F.explode("ttot").alias("ttot")
-            )
-            self.store.merge_table(simulation_id, feature.name, rows, scanned)
-        self.store.commit(simulation_id, feature.name, done, feature.meta(options))
+            self.store.commit(simulation_id, feature.name, rows, done, meta, feature.key)
 
 
 def raw_tables(

@@ -44,7 +44,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file under a temporary name and rename it into place."""
+    """Write a small file under a temporary name and rename it into place.
+
+    A reader sees no file or the whole file. An existing file is replaced, which takes a moment
+    without it; files that must never be missing get a new name for every version.
+    """
     fs, p = _at(spark, path)
     tmp = _at(spark, f"{path}.tmp")[1]
     fs.mkdirs(p.getParent())

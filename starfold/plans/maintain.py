@@ -13,7 +13,7 @@ from starfold.functions.stellar import reconstructed_bin_label
 from starfold.operators import backfill as bf, history
 from starfold.plans import fs
 from starfold.plans.store import FeatureStore
-from starfold.session import work_path
+from starfold.session import drop_work, work_path
 
 
 def backfill_store(
@@ -38,7 +38,11 @@ def backfill_store(
     fixed = rows.withColumn("bin_label", reconstructed_bin_label(nzero))
     staged = work_path(store.spark, "backfill")
     fixed.write.parquet(staged)
-    store.write_dataset(simulation_id, "snapshot_binaries", store.spark.read.parquet(staged))
+    entries = store.manifest(simulation_id, "snapshot_binaries").join(
+        changed, "source_hdf5_path", "left_semi"
+    )
+    store.commit(simulation_id, "snapshot_binaries", store.spark.read.parquet(staged), entries)
+    drop_work(store.spark, staged)
     note = {"algorithm_version": 1, "generated_at": time.time(), "nzero": nzero}
     base = store.feature_dir(simulation_id, "snapshot_binaries")
     fs.write_text(store.spark, f"{base}/backfill_bin_label.json", json.dumps(note))
@@ -46,11 +50,11 @@ def backfill_store(
 
 
 def validate_backfill(
-    store: FeatureStore, simulation_id: str, nzero: int, sample_size: int | None = None
+    store: FeatureStore, simulation_id: str, nzero: int
 ) -> dict[str, Any]:
     """Confusion counts, accuracy and NZERO consistency over the rows with real labels."""
     rows = store.read(simulation_id, "snapshot_binaries")
-    counts = bf.confusion(rows, nzero, sample_size)
+    counts = bf.confusion(rows, nzero)
     found = counts.collect()  # at most 4 x 4 rows
     n = sum(r["n"] for r in found)
     right = sum(r["n"] for r in found if r["true_label"] == r["predicted_label"])
@@ -60,7 +64,6 @@ def validate_backfill(
         "n_known": n,
         "accuracy": right / n if n else None,
         "nzero_consistent": lowest is None or lowest > nzero,
-        "sampled": sample_size is not None,
     }
 
 
@@ -104,7 +107,10 @@ def update_histories(
         new.write.parquet(staged)
         old = store.read(simulation_id, feature)
         new = history.merge_history(old, store.spark.read.parquet(staged))
-    store.write_table(simulation_id, feature, new)
+        store.write_table(simulation_id, feature, new)
+        drop_work(store.spark, staged)
+    else:
+        store.write_table(simulation_id, feature, new)
     return store.read(simulation_id, feature)
 
 

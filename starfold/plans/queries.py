@@ -615,7 +615,7 @@ def compact_object_store(lake: Lake) -> DataFrame:
 
     store = FeatureStore(lake.spark, work_path(lake.spark, "store"))
     rows = compact.compact_object_history(lake.singles, lake.binaries, lake.scalars)
-    store.write_dataset("all", "compact_object_history", rows)
+    store.write_table("all", "compact_object_history", rows)
     return load_feature(
         store,
         "all",

@@ -1,29 +1,36 @@
-"""Feature tables as Parquet: datasets replaced per source file, tables replaced per snapshot."""
+"""Feature tables as Parquet, in numbered versions that one pointer file makes visible.
+
+Layout of a feature below its folder:
+
+    data/version=<n>/       rows written by commit n
+    manifest/version=<n>/   source files that commit n has processed, with mtime and snapshots
+    commits/<n>.json        {"versions": [...], "meta": {...}}; the highest number counts
+
+A commit writes its data and its manifest entries first and its pointer last, under a number that
+no file has yet, so a stop at any moment leaves the previous state. Nothing is renamed over or
+deleted before the new pointer exists. Which rows are live follows from the latest manifest entry
+of every file: a dataset's rows count when the file's latest entry has their version, a table's rows
+when their version is the newest whose latest entries list the snapshot. A file that was processed without
+rows therefore loses its old rows, and a changed file replaces them.
+"""
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from starfold.operators.dedup import replace_snapshots
 from starfold.plans import fs
 from starfold.schema.registry import LAKE_TABLES, SORT_KEYS, TABLES, table_schema
 
-_FILE_ID = "source_file_id"
+_VERSION = "version"
 _WRITE = {"compression": "zstd", "parquet.block.size": str(256 * 1024 * 1024)}
-_MANIFEST = "source_hdf5_path string, mtime double, ttot array<double>"
-
-
-def file_id(path: Column | str) -> Column:
-    """Readable, collision-free partition value of a source file."""
-    path = F.col(path) if isinstance(path, str) else path
-    stem = F.regexp_extract(path, r"([^/]*?)(\.h5part)?$", 1)
-    return F.concat_ws("-", stem, F.substring(F.sha1(path), 1, 8))
+_ENTRY = "source_hdf5_path string, mtime double, ttot array<double>, problem string"
+# Versions of one feature before they are rewritten as one.
+COMPACT_AFTER = 32
 
 
 @dataclass
@@ -39,137 +46,162 @@ class FeatureStore:
         root = self.lake_root if self.lake_root and feature in LAKE_TABLES else self.cache_root
         return f"{root.rstrip('/')}/{simulation_id}/{feature}"
 
-    def data_path(self, simulation_id: str, feature: str) -> str:
-        """Where a feature's rows are: a dataset directory or a single table."""
+    # -- pointer -----------------------------------------------------------------------------
+
+    def pointer(self, simulation_id: str, feature: str) -> dict[str, Any]:
+        """The state in force: number, versions, meta, by. Empty when nothing is stored."""
+        base = f"{self.feature_dir(simulation_id, feature)}/commits"
+        numbers = [int(n[:-5]) for n in fs.children(self.spark, base) if n.endswith(".json") and n[:-5].isdigit()]
+        if not numbers:
+            return {}
+        text = fs.read_text(self.spark, f"{base}/{max(numbers):08d}.json")
+        return {"number": max(numbers), **json.loads(text or "{}")}
+
+    def publish(
+        self,
+        simulation_id: str,
+        feature: str,
+        versions: Sequence[int],
+        meta: dict[str, Any],
+        by: str | None = None,
+    ) -> None:
+        """Make these versions the visible ones; `by` is the column that liveness follows."""
+        now = self.pointer(simulation_id, feature)
         base = self.feature_dir(simulation_id, feature)
-        for path in (f"{base}/data", f"{base}/{feature}.parquet"):
-            if fs.exists(self.spark, path):
-                return path
-        raise FileNotFoundError(
-            f"no data for feature {feature!r} of simulation {simulation_id!r} below {base}; "
-            f"build it with: python -m starfold analyze --simu {simulation_id}"
-        )
+        number = now.get("number", 0) + 1
+        state = {"versions": list(versions), "meta": meta, "by": by}
+        text = json.dumps(state, indent=2, sort_keys=True)
+        fs.write_text(self.spark, f"{base}/commits/{number:08d}.json", text)
+        used = {*versions, *now.get("versions", [])}  # running readers may still use the old ones
+        for kind in ("data", "manifest"):
+            for name in fs.children(self.spark, f"{base}/{kind}"):
+                if name.startswith(f"{_VERSION}=") and int(name.split("=")[1]) not in used:
+                    fs.delete(self.spark, f"{base}/{kind}/{name}")
+
+    def _free_number(self, simulation_id: str, feature: str) -> int:
+        """A version number that no commit and no left-over of a stopped run uses."""
+        base = self.feature_dir(simulation_id, feature)
+        names = [n for k in ("data", "manifest") for n in fs.children(self.spark, f"{base}/{k}")]
+        numbers = [int(n.split("=")[1]) for n in names if n.startswith(f"{_VERSION}=")]
+        return max([0, *numbers, *self.pointer(simulation_id, feature).get("versions", [])]) + 1
 
     def has(self, simulation_id: str, feature: str) -> bool:
-        try:
-            self.data_path(simulation_id, feature)
-        except FileNotFoundError:
-            return False
-        return True
+        return bool(self.pointer(simulation_id, feature))
+
+    def meta(self, simulation_id: str, feature: str) -> dict[str, Any]:
+        return self.pointer(simulation_id, feature).get("meta", {})
+
+    # -- rows --------------------------------------------------------------------------------
 
     def read(self, simulation_id: str, feature: str) -> DataFrame:
-        return self.read_many([simulation_id], feature)
+        """Live rows of one feature."""
+        state = self.pointer(simulation_id, feature)
+        if not state:
+            raise FileNotFoundError(
+                f"{simulation_id!r} has no stored {feature!r}; run the analyze command for it first"
+            )
+        base = f"{self.feature_dir(simulation_id, feature)}/data"
+        paths = [f"{base}/{_VERSION}={v}" for v in state["versions"]]
+        rows = self.spark.read.option("basePath", base).parquet(*paths)
+        if state["by"] and len(paths) > 1:
+            entries = self._latest(simulation_id, feature, state)
+            if state["by"] == "ttot":
+                live = entries.select(F.explode("ttot").alias("ttot"), _VERSION)
+                live = live.groupBy("ttot").agg(F.max(_VERSION).alias(_VERSION))
+            else:
+                live = entries.select("source_hdf5_path", _VERSION)
+            order = rows.columns
+            rows = rows.join(live, [state["by"], _VERSION], "left_semi").select(*order)
+        return rows.drop(_VERSION)
 
     def read_many(self, simulation_ids: Iterable[str], feature: str) -> DataFrame:
-        """One scan over the feature's files of several simulations."""
-        frames = [
-            self.spark.read.parquet(self.data_path(s, feature)).drop(_FILE_ID)
-            for s in simulation_ids
-        ]
+        """The feature's rows of several simulations."""
+        frames = [self.read(s, feature) for s in simulation_ids]
         out = frames[0]
         for frame in frames[1:]:
             out = out.unionByName(frame, allowMissingColumns=True)
         return out
 
-    def write_dataset(self, simulation_id: str, feature: str, rows: DataFrame) -> None:
-        """Replace the partitions of the source files that occur in `rows`.
+    def _write_rows(self, simulation_id: str, feature: str, rows: DataFrame, version: int) -> None:
+        """REBALANCE lets AQE cut the output by size, so one huge file is written by many tasks."""
+        checked = rows
+        if feature in TABLES:
+            schema = table_schema(feature)
+            checked = schema.guarded(schema.conform(rows))
+        checked = checked.hint("rebalance")
+        order = [c for c in SORT_KEYS.get(feature, ["ttot"]) if c in rows.columns]
+        if order:
+            checked = checked.sortWithinPartitions(*order)
+        path = f"{self.feature_dir(simulation_id, feature)}/data/{_VERSION}={version}"
+        checked.write.options(**_WRITE).parquet(path)
 
-        REBALANCE lets AQE cut the output by size, so one huge source file is written by many
-        tasks. Repeating the write replaces the same partitions.
-        """
-        rows = self._checked(feature, rows)
-        clustered = rows.withColumn(_FILE_ID, file_id("source_hdf5_path")).hint(
-            "rebalance", _FILE_ID
-        )
-        order = [_FILE_ID, *SORT_KEYS.get(feature, ["ttot"])]
-        (
-            clustered.sortWithinPartitions(*order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .options(**_WRITE)
-            .partitionBy(_FILE_ID)
-            .parquet(f"{self.feature_dir(simulation_id, feature)}/data")
-        )
+    def write_table(
+        self, simulation_id: str, feature: str, rows: DataFrame, meta: dict[str, Any] | None = None
+    ) -> None:
+        """Replace a feature as a whole."""
+        version = self._free_number(simulation_id, feature)
+        self._write_rows(simulation_id, feature, rows, version)
+        self.publish(simulation_id, feature, [version], meta or self.meta(simulation_id, feature))
+
+    def stage(self, simulation_id: str, feature: str, rows: DataFrame, files: DataFrame) -> int:
+        """Write rows and manifest entries of processed files as a version nobody sees yet."""
+        version = self._free_number(simulation_id, feature)
+        self._write_rows(simulation_id, feature, rows, version)
+        entries = files
+        for name, kind in (("mtime", "double"), ("ttot", "array<double>"), ("problem", "string")):
+            if name not in entries.columns:
+                entries = entries.withColumn(name, F.lit(None).cast(kind))
+        path = f"{self.feature_dir(simulation_id, feature)}/manifest/{_VERSION}={version}"
+        entries.select("source_hdf5_path", "mtime", "ttot", "problem").write.parquet(path)
+        return version
 
-    def drop_files(self, simulation_id: str, feature: str, paths: DataFrame) -> int:
-        """Remove dataset partitions of files that no longer belong to the feature."""
-        base = f"{self.feature_dir(simulation_id, feature)}/data"
-        keep = {
-            f"{_FILE_ID}={r[0]}"
-            for r in paths.select(file_id("source_hdf5_path")).distinct().toLocalIterator()
-        }
-        stale = [
-            n for n in fs.children(self.spark, base) if n.startswith(_FILE_ID) and n not in keep
-        ]
-        for name in stale:
-            fs.delete(self.spark, f"{base}/{name}")
-        return len(stale)
-
-    def merge_table(
-        self, simulation_id: str, feature: str, rows: DataFrame, scanned: DataFrame
+    def commit(
+        self,
+        simulation_id: str,
+        feature: str,
+        rows: DataFrame,
+        files: DataFrame,
+        meta: dict[str, Any] | None = None,
+        by: str = "source_hdf5_path",
     ) -> None:
-        """Replace the scanned snapshots of a table by `rows`.
+        """Add the rows of processed files (source_hdf5_path, mtime, ttot) in one step.
 
-        The new version is written next to the old one and swapped in by renames.
+        `files` names every processed file, also those without rows. With by='ttot' the feature is
+        a table that is replaced per snapshot.
         """
-        path = f"{self.feature_dir(simulation_id, feature)}/{feature}.parquet"
-        new = rows
-        if fs.exists(self.spark, path):
-            new = replace_snapshots(self.spark.read.parquet(path), rows, scanned)
-        self.write_table(simulation_id, feature, new)
+        state = self.pointer(simulation_id, feature)
+        version = self.stage(simulation_id, feature, rows, files)
+        self.publish(
+            simulation_id, feature, [*state.get("versions", []), version], meta or state.get("meta", {}), by
+        )
 
-    def write_table(self, simulation_id: str, feature: str, rows: DataFrame) -> None:
-        base = self.feature_dir(simulation_id, feature)
-        path, tag = f"{base}/{feature}.parquet", uuid.uuid4().hex[:8]
-        staged, old = f"{base}/_staged-{tag}", f"{base}/_old-{tag}"
-        checked = self._checked(feature, rows).hint("rebalance")
-        order = [c for c in SORT_KEYS.get(feature, ["ttot"]) if c in rows.columns]
-        if order:
-            checked = checked.sortWithinPartitions(*order)
-        checked.write.options(**_WRITE).parquet(staged)
-        if fs.exists(self.spark, path):
-            fs.rename(self.spark, path, old)
-        fs.rename(self.spark, staged, path)
-        fs.delete(self.spark, old)
-
-    def _checked(self, feature: str, rows: DataFrame) -> DataFrame:
-        if feature not in TABLES:
-            return rows
-        schema = table_schema(feature)
-        return schema.guarded(schema.conform(rows))
+    def compact(self, simulation_id: str, feature: str) -> None:
+        """Rewrite the live rows as one version."""
+        state = self.pointer(simulation_id, feature)
+        if state.get("by") and len(state["versions"]) > 1:
+            entries = self._latest(simulation_id, feature, state)
+            version = self.stage(simulation_id, feature, self.read(simulation_id, feature), entries)
+            self.publish(simulation_id, feature, [version], state["meta"], state["by"])
 
     # -- manifest: which source files a feature has processed -----------------------------------
 
-    def meta(self, simulation_id: str, feature: str) -> dict[str, Any]:
-        text = fs.read_text(self.spark, f"{self.feature_dir(simulation_id, feature)}/meta.json")
-        return json.loads(text) if text else {}
+    def _latest(self, simulation_id: str, feature: str, state: dict[str, Any]) -> DataFrame:
+        base = f"{self.feature_dir(simulation_id, feature)}/manifest"
+        paths = [f"{base}/{_VERSION}={v}" for v in state["versions"]]
+        entries = self.spark.read.schema(f"{_ENTRY}, {_VERSION} int").option("basePath", base).parquet(*paths)
+        newest = F.max_by(F.struct("mtime", "ttot", "problem", _VERSION), _VERSION).alias("e")
+        return entries.groupBy("source_hdf5_path").agg(newest).select("source_hdf5_path", "e.*")
 
     def manifest(self, simulation_id: str, feature: str) -> DataFrame:
-        """Processed files with mtime and snapshots; a later entry of a file replaces an earlier."""
-        path = f"{self.feature_dir(simulation_id, feature)}/manifest"
-        if not fs.exists(self.spark, path):
-            return self.spark.createDataFrame([], _MANIFEST)
-        entries = self.spark.read.parquet(path)
-        return (
-            entries.groupBy("source_hdf5_path")
-            .agg(F.max_by(F.struct("mtime", "ttot"), "committed").alias("e"))
-            .select("source_hdf5_path", "e.mtime", "e.ttot")
-        )
-
-    def commit(
-        self, simulation_id: str, feature: str, files: DataFrame, meta: dict[str, Any]
-    ) -> None:
-        """Append processed files, then write the meta file."""
-        base = self.feature_dir(simulation_id, feature)
-        stamped = files.select("source_hdf5_path", "mtime", "ttot").withColumn(
-            "committed", F.unix_micros(F.current_timestamp())
-        )
-        stamped.write.mode("append").parquet(f"{base}/manifest")
-        fs.write_text(self.spark, f"{base}/meta.json", json.dumps(meta, indent=2, sort_keys=True))
+        """Latest entry of every processed file: mtime, snapshots taken, and why it was skipped."""
+        state = self.pointer(simulation_id, feature)
+        if not state.get("by"):
+            return self.spark.createDataFrame([], _ENTRY)
+        return self._latest(simulation_id, feature, state).drop(_VERSION)
 
-    def reset(self, simulation_id: str, feature: str) -> None:
-        """Forget a feature before a full rebuild."""
-        fs.delete(self.spark, self.feature_dir(simulation_id, feature))
+    def bad_files(self, simulation_id: str, feature: str) -> DataFrame:
+        """Files that could not be read, with the reason."""
+        return self.manifest(simulation_id, feature).where("problem is not null").select("source_hdf5_path", "problem")
 
 
 def load_feature(
@@ -189,7 +221,7 @@ def load_feature(
         valid = table_schema(feature).names
         unknown = [c for c in columns if c not in valid]
         if unknown:
-            raise ValueError(f"unknown columns {unknown} of {feature!r}; valid: {valid}")
+            raise ValueError(f"{feature!r} has no columns {unknown}; it has {valid}")
     rows = store.read(simulation_id, feature)
     if where:
         rows = store.spark.sql(

@@ -61,11 +61,16 @@ def get_spark(master: str | None = None, app: str = "starfold", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only if unset."""
+    """The cluster's shared folder, from spark.checkpoint.dir.
+
+    Only where the executors run on this machine a temporary folder takes its place if unset.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current is None:
+        if not configured and sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set; it must name a folder all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="starfold-"))
         current = sc.getCheckpointDir()
     return configured or current
@@ -83,8 +88,13 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 def clear_work(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; frames built on them can no longer run."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_work(spark, work_root(spark))
+
+
+def drop_work(spark: SparkSession, path: str) -> None:
+    """Delete one intermediate table."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

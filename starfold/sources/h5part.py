@@ -64,6 +64,26 @@ def datasets_of(group: Any, table: str) -> dict[str, str]:
     return found
 
 
+def _problem(opener: Any, path: str) -> str | None:
+    """Why a file can't be read as a whole, or None. Every step and dataset is read once.
+
+    A file counts as a whole: one bad step makes all of it unreadable, so that no table takes
+    part of a file whose rest another table misses.
+    """
+    try:
+        with opener(path) as handle:
+            for key in sorted(k for k in handle.keys() if k.startswith("Step#")):
+                group = handle[key]
+                float(np.asarray(group["000 Scalars"])[0])
+                for table in NUMBER_RANGES:
+                    lengths = {len(np.asarray(group[name])) for name in datasets_of(group, table).values()}
+                    if len(lengths) > 1:
+                        raise ValueError(f"columns of {table} in {key} differ in length")
+    except Exception as error:  # containers raise what they like on broken files
+        return f"{type(error).__name__}: {error}"
+    return None
+
+
 class FilePartition(InputPartition):
     def __init__(self, path: str) -> None:
         super().__init__(path)
@@ -76,13 +96,14 @@ class H5PartReader(DataSourceReader):
         self.table = options.get("table", "singles")
 
     def partitions(self) -> list[FilePartition]:
-        where = self.options.get("path") or self.options["paths"]
-        paths: list[str] = []
-        for pattern in where.split("\n"):
+        """One per file. `paths` are taken as they are; only `path` may be a folder or a pattern."""
+        found = set((self.options.get("paths") or "").split("\n")) - {""}
+        pattern = self.options.get("path")
+        if pattern:
             if os.path.isdir(pattern):
-                pattern = os.path.join(pattern, "**", "*.h5part")
-            paths += glob.glob(pattern, recursive=True)
-        return [FilePartition(p) for p in sorted(set(paths))]
+                pattern = os.path.join(glob.escape(pattern), "**", "*.h5part")
+            found |= {pattern} if os.path.exists(pattern) else set(glob.glob(pattern, recursive=True))
+        return [FilePartition(p) for p in sorted(found)]
 
     def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -96,48 +117,42 @@ class H5PartReader(DataSourceReader):
             "source_size": os.path.getsize(path),
             "source_file_time": float(hit.group(1)) if hit else None,
         }
-        skip = self.options.get("skipunreadable", "false").lower() == "true"
-        try:
-            handle = _opener(self.options.get("opener"))(path)
-        except Exception:
-            if skip:
+        opener = _opener(self.options.get("opener"))
+        if self.options.get("validate", "false").lower() == "true":
+            problem = _problem(opener, path)
+            if problem:
+                if self.table == "steps":
+                    yield from self._batches(schema, 1, {}, {**constants, "problem": problem})
                 return
-            raise
-        with handle:
-            yield from self._steps(handle, schema, constants, skip)
+        with opener(path) as handle:
+            yield from self._steps(handle, schema, constants)
 
-    def _steps(self, handle: Any, schema: pa.Schema, constants: dict, skip: bool) -> Iterator:
+    def _steps(self, handle: Any, schema: pa.Schema, constants: dict) -> Iterator:
         seen: set[float] = set()
         # string order of the step keys decides which of two equal times is kept
         for index, key in enumerate(sorted(k for k in handle.keys() if k.startswith("Step#"))):
             group = handle[key]
             if self.table == "steps":
-                if "Time" in group.attrs:
+                if "000 Scalars" in group.keys() or "Time" in group.attrs:
+                    inside = "000 Scalars" in group.keys()
                     row = {
-                        "TTOT": float(group.attrs["Time"]),
+                        "TTOT": float(np.asarray(group["000 Scalars"])[0] if inside else group.attrs["Time"]),
                         "N_STAR": int(group.attrs.get("N_STAR", 0)),
                     }
                     yield from self._batches(schema, 1, row, {**constants, "step_key": key})
                 continue
-            try:
-                slots = np.asarray(group["000 Scalars"])
-                ttot = float(slots[0])
-                if ttot in seen:
-                    continue
-                seen.add(ttot)
-                extra = {**constants, "step_key": key, "source_row_index": index, "TTOT": ttot}
-                if self.table == "scalars":
-                    values = dict(zip(SCALAR_NAMES, (float(v) for v in slots)))
-                    yield from self._batches(schema, 1, values, extra)
-                    continue
-                names = datasets_of(group, self.table)
-                data = {
-                    f.name: np.asarray(group[names[f.name]]) for f in schema if f.name in names
-                }
-            except (OSError, KeyError):
-                if skip:
-                    continue
-                raise
+            slots = np.asarray(group["000 Scalars"])
+            ttot = float(slots[0])
+            if ttot in seen:
+                continue
+            seen.add(ttot)
+            extra = {**constants, "step_key": key, "source_row_index": index, "TTOT": ttot}
+            if self.table == "scalars":
+                values = dict(zip(SCALAR_NAMES, (float(v) for v in slots)))
+                yield from self._batches(schema, 1, values, extra)
+                continue
+            names = datasets_of(group, self.table)
+            data = {f.name: np.asarray(group[names[f.name]]) for f in schema if f.name in names}
             if data:
                 rows = len(next(iter(data.values())))
                 yield from self._batches(schema, rows, data, extra)
@@ -160,7 +175,8 @@ class H5PartReader(DataSourceReader):
 
 class H5PartDataSource(DataSource):
     """Options: table (scalars, singles, binaries, mergers, steps), columns (newline-separated raw
-    names; default: those of the lake table), skipUnreadable, opener."""
+    names; default: those of the lake table), validate (leave out files that can't be read as a whole;
+    the steps table has a row with the `problem` instead), opener."""
 
     @classmethod
     def name(cls) -> str:
@@ -170,7 +186,7 @@ class H5PartDataSource(DataSource):
         table = self.options.get("table", "singles")
         fields: list[str] = []
         if table == "steps":
-            fields.append("`N_STAR` bigint")
+            fields += ["`N_STAR` bigint", "`problem` string"]
         elif table == "scalars":
             fields += [f"`{n}` double" for n in SCALAR_NAMES[1:]]
         else:

@@ -277,3 +277,187 @@ def test_command_line(spark, world, tmp_path, capfd):
     assert "unknown_before" in out and "n_known" in out and "estimated_row_count" in out
     with pytest.raises(SystemExit):
         main([*config, "analyze", "--simu", "other"])
+
+
+# ---------------------------------------------------------------------- stored tables over time
+
+
+def touch(path, when):
+    os.utime(path, (when, when))
+
+
+def snapshots(store, feature):
+    return {r["ttot"]: r["count"] for r in store.read("s", feature).groupBy("ttot").count().collect()}
+
+
+LAKE_AND_SUMMARY = [*expand_features(["lake"]), "snapshot_summary", "compact_object_history"]
+
+
+def test_late_overlap_replaces_the_stored_loser(spark, world):
+    root, store, builder = world
+    build(builder, LAKE_AND_SUMMARY)
+    late = root / "r2" / "snap.40_5.h5part"
+    fake_h5.write_file(late, {"Step#0": step(1.0, mass=4.0), "Step#1": step(5.0)})
+    touch(late, 1010.0)
+    build(builder, LAKE_AND_SUMMARY)
+    assert snapshots(store, "snapshot_singles") == {0.0: 6, 1.0: 6, 2.0: 6, 3.0: 6, 5.0: 6}
+    assert snapshots(store, "snapshot_scalars") == {t: 1 for t in (0.0, 1.0, 2.0, 3.0, 5.0)} == snapshots(store, "snapshot_summary")
+    assert {r["mass_msun"] for r in store.read("s", "snapshot_singles").where("ttot = 1").collect()} == {600.0}
+    os.remove(late)  # the former winner comes back when the file goes
+    build(builder, LAKE_AND_SUMMARY)
+    assert snapshots(store, "snapshot_singles") == {0.0: 6, 1.0: 6, 2.0: 6, 3.0: 6}
+    assert {r["mass_msun"] for r in store.read("s", "snapshot_singles").where("ttot = 1").collect()} == {150.0}
+    assert snapshots(store, "snapshot_summary") == {t: 1 for t in (0.0, 1.0, 2.0, 3.0)}
+
+
+def test_changed_file_without_rows_loses_its_old_rows(spark, world):
+    root, store, builder = world
+    build(builder, LAKE_AND_SUMMARY)
+    last = root / "r2" / "snap.40_3.h5part"
+    fake_h5.write_file(last, {})
+    touch(last, 1020.0)
+    build(builder, LAKE_AND_SUMMARY)
+    assert snapshots(store, "snapshot_singles") == {0.0: 6, 1.0: 6, 2.0: 6}
+    assert {r["mass_msun"] for r in store.read("s", "snapshot_singles").where("ttot = 2").collect()} == {150.0}
+    assert set(snapshots(store, "compact_object_history")) == set(snapshots(store, "snapshot_summary")) == {0.0, 1.0, 2.0}
+
+
+@pytest.mark.parametrize("feature", ["snapshot_summary", "snapshot_singles"])
+def test_stop_before_the_pointer_leaves_the_old_state(spark, world, monkeypatch, feature):
+    root, store, builder = world
+    build(builder, [feature])
+    before = snapshots(store, feature)
+    new = root / "r2" / "snap.40_4.h5part"
+    fake_h5.write_file(new, {"Step#0": step(4.0)})
+    touch(new, 1010.0)
+    publish, stopped = FeatureStore.publish, []
+
+    def stop(self, simulation_id, name, *args, **kwargs):
+        if name == feature and not stopped:
+            stopped.append(name)
+            raise KeyboardInterrupt
+        return publish(self, simulation_id, name, *args, **kwargs)
+
+    monkeypatch.setattr(FeatureStore, "publish", stop)
+    with pytest.raises(KeyboardInterrupt):
+        build(builder, [feature])
+    assert snapshots(store, feature) == before
+    build(builder, [feature])
+    assert snapshots(store, feature) == {**before, 4.0: before[0.0]}
+
+
+def test_rebuild_keeps_the_old_rows_until_it_is_done(spark, world, monkeypatch):
+    _, store, builder = world
+    build(builder, ["snapshot_summary"])
+    calls = []
+    stage = FeatureStore.stage
+
+    def second_fails(self, simulation_id, name, *args):
+        calls.append(name)
+        if calls.count("snapshot_summary") == 2:
+            raise RuntimeError("stopped")
+        return stage(self, simulation_id, name, *args)
+
+    monkeypatch.setattr(FeatureStore, "stage", second_fails)
+    with pytest.raises(RuntimeError, match="stopped"):
+        build(builder, ["snapshot_summary"], force=True, checkpoint_every_files=1)
+    assert set(snapshots(store, "snapshot_summary")) == {0.0, 1.0, 2.0, 3.0}
+    monkeypatch.setattr(FeatureStore, "stage", stage)
+    build(builder, ["snapshot_summary"], force=True, checkpoint_every_files=1)
+    assert snapshots(store, "snapshot_summary") == {0.0: 1, 1.0: 1, 2.0: 1, 3.0: 1}
+
+
+def test_many_versions_are_compacted(spark, world, monkeypatch):
+    import starfold.plans.build as plans_build
+
+    _, store, builder = world
+    monkeypatch.setattr(plans_build, "COMPACT_AFTER", 1)
+    build(builder, ["snapshot_summary", "snapshot_singles"], checkpoint_every_files=1)
+    for feature, rows in (("snapshot_summary", 1), ("snapshot_singles", 6)):
+        assert len(store.pointer("s", feature)["versions"]) == 1
+        assert snapshots(store, feature) == {t: rows for t in (0.0, 1.0, 2.0, 3.0)}
+    build(builder, ["snapshot_summary"])
+    assert store.manifest("s", "snapshot_summary").count() == 3
+
+
+def test_primordial_pairs_are_known_in_every_batch(spark, world):
+    root, store, builder = world
+    for t in (6.0, 7.0):
+        path = root / "r2" / f"snap.40_{t:.0f}.h5part"
+        made = step(t)
+        for key in made[1]:
+            if key.endswith(("Bin KW1", "Bin KW2")):
+                made[1][key] = np.full(3, 1, dtype="int32")
+            if key.endswith(("Bin M1*", "Bin M2*")):
+                made[1][key] = np.full(3, 4.0, dtype="float32")
+            if "Teff" in key or "TE" in key:
+                made[1][key] = np.full(3, 15_000.0, dtype="float32")
+        fake_h5.write_file(path, {"Step#0": made})
+        touch(path, 1000.0 + t)
+    build(builder, ["b_type_binary"], checkpoint_every_files=1)
+    rows = store.read("s", "b_type_binary")
+    assert rows.count() > 0 and store.has("s", "primordial_binary")
+    flags = {(r["object_id_1"], r["is_primordial_binary"]) for r in rows.collect()}
+    assert flags == {(i, i in (11, 31)) for i in {x for x, _ in flags}}
+    assert "primordial" in store.meta("s", "b_type_binary")
+
+
+def test_unreadable_step_leaves_the_whole_file_out(spark, world):
+    root, store, builder = world
+    bad = root / "r2" / "snap.40_8.h5part"
+    broken = step(8.0)
+    del broken[1]["000 Scalars"]
+    fake_h5.write_file(bad, {"Step#0": step(2.0, mass=7.0), "Step#1": broken})
+    touch(bad, 1030.0)
+    build(builder, expand_features(["lake"]), skip_unreadable_files=True)
+    # the readable file keeps ttot 2, although the broken one is newer
+    assert snapshots(store, "snapshot_singles") == {0.0: 6, 1.0: 6, 2.0: 6, 3.0: 6}
+    assert {r["mass_msun"] for r in store.read("s", "snapshot_singles").where("ttot = 2").collect()} == {300.0}
+    found = store.bad_files("s", "snapshot_singles").collect()
+    assert [r["source_hdf5_path"] for r in found] == [str(bad)] and "000 Scalars" in found[0]["problem"]
+
+
+def test_paths_are_literal(spark, world):
+    root, _, builder = world
+    odd = root / "r1" / "snap[1]*?.h5part"
+    fake_h5.write_file(odd, {"Step#0": step(9.0)})
+    good = str(root / "r1" / "snap.40_2.h5part")
+    assert builder.raw("singles", [good, str(odd)]).count() == 12
+    os.remove(odd)
+    with pytest.raises(Exception, match="No such file"):
+        builder.raw("singles", [good, str(odd)]).count()
+
+
+def test_build_leaves_no_intermediate_tables(spark, world):
+    from starfold.plans import fs
+    from starfold.session import work_root
+
+    _, _, builder = world
+    before = set(fs.children(spark, work_root(spark)))
+    build(builder, ["snapshot_scalars", "compact_binary_count"])
+    made = set(fs.children(spark, work_root(spark))) - before
+    assert not {n for n in made if n.startswith(("raw-", "snapshot_", "catalog", "winners", "steps"))}
+
+
+def test_new_file_opens_only_itself(spark, world, monkeypatch):
+    root, store, builder = world
+    build(builder, ["snapshot_summary"])
+    new = root / "r2" / "snap.40_4.h5part"
+    fake_h5.write_file(new, {"Step#0": step(4.0)})
+    touch(new, 1010.0)
+    asked = []
+    raw = Builder.raw
+    monkeypatch.setattr(Builder, "raw", lambda self, table, paths, skip=False: asked.append((table, tuple(paths))) or raw(self, table, paths, skip))
+    build(builder, ["snapshot_summary"])
+    assert {p for _, paths in asked for p in paths} == {str(new)}
+
+
+def test_no_shared_folder_is_an_error_off_local_mode():
+    from types import SimpleNamespace
+
+    from starfold.session import shared_dir
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
