@@ -8,6 +8,7 @@ tables are written by the `lake_build` step, which is timed as its own entry.
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -55,6 +56,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-shared-"),
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )

@@ -1,4 +1,4 @@
-"""Settings: defaults, user overrides, removed keys and storage roots."""
+"""Settings: defaults, user overrides and storage roots."""
 
 from __future__ import annotations
 
@@ -53,22 +53,6 @@ MERGED = (
     "galactic_energy_angular_momentum",
     "binary_stellar_type_extraction",
 )
-_SELECTION = "hdf5.file_selection."
-# Keys that moved: every per-feature sampling and age setting is now the shared one.
-REMOVED = {
-    "processing.plot_only_int_nbody_time": _SELECTION + "sample_every_nb_time",
-    **{
-        f"{section}.{old}": new
-        for section in ("current_lagrangian", "galactic_orbit", "binary_stellar_type_extraction")
-        for old, new in (
-            ("sample_every_nb_time", _SELECTION + "sample_every_nb_time"),
-            ("wait_age_hour", _SELECTION + "wait_age_hour"),
-            ("parallel", "the Spark master"),
-            ("processes", "the Spark master"),
-        )
-    },
-}
-
 
 def _merge(base: dict, extra: dict) -> dict:
     for key, value in extra.items():
@@ -143,10 +127,6 @@ def load_config(path: str | None = None) -> Config:
     if path is None:
         return config
     user = _parse(path)
-    for dotted, new in REMOVED.items():
-        section, key = dotted.split(".")
-        if isinstance(user.get(section), dict) and key in user[section]:
-            raise ValueError(f"setting {dotted} was removed; use {new}")
     for section in MERGED:
         if isinstance(user.get(section), dict):
             _merge(config.values[section], user[section])

@@ -784,9 +784,10 @@ oracle(
 oracle(
     "gap_detect",
     "scalars",
-    f"SELECT simulation_id, {r('ttot')} AS ttot, {r('p')} AS previous_ttot, {r('ttot-p')} AS gap "
+    f"SELECT simulation_id, {r('ttot')} AS ttot, {r('p')} AS previous_ttot, {r('ttot-p')} AS gap, "
+    "coalesce(abs(ttot - p - 1.0) > 0.1, false) AS is_gap "
     "FROM (SELECT simulation_id, ttot, lag(ttot) OVER (PARTITION BY simulation_id ORDER BY ttot) "
-    "AS p FROM snapshot_scalars WHERE abs(ttot/3 - round_even(ttot/3, 0)) <= 1e-9)",
+    "AS p FROM snapshot_scalars)",
 )
 oracle(
     "range_overlap",
@@ -1067,3 +1068,22 @@ oracle(
     "WINDOW w AS (PARTITION BY simulation_id, filename_time)) WHERE n_dirs > 1",
     STEPS,
 )
+_TOTALS = f"count(*) AS n, {r('sum(mass_msun)')} AS mass_msun"
+for _name in ("stream_singles", "lake_after_crash"):
+    oracle(
+        _name,
+        "singles",
+        f"SELECT simulation_id, {r('ttot')} AS ttot, {_TOTALS} FROM snapshot_singles "
+        "GROUP BY simulation_id, ttot",
+    )
+oracle(
+    "lake_incremental",
+    "singles steps",
+    f"SELECT s.simulation_id, {r('s.ttot')} AS ttot, w.source_hdf5_path, {_TOTALS} "
+    "FROM snapshot_singles s JOIN (SELECT simulation_id, ttot, "
+    "max_by(source_hdf5_path, (mtime, source_hdf5_path)) AS source_hdf5_path FROM steps "
+    "WHERE filename_time <> 0 GROUP BY simulation_id, ttot) w "
+    "ON s.simulation_id = w.simulation_id AND s.ttot = w.ttot "
+    "GROUP BY s.simulation_id, s.ttot, w.source_hdf5_path",
+    STEPS,
+)

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starfold.functions import tags
-from starfold.functions.numeric import on_grid
 from starfold.operators import (
     backfill,
     binaries as pairs,
@@ -438,11 +437,12 @@ def lagr_keep_last(lake: Lake) -> DataFrame:
 
 @query
 def gap_detect(lake: Lake) -> DataFrame:
-    sampled = lake.scalars.where(on_grid("ttot", 3.0)).select(*_S)
+    """Every snapshot with its predecessor; a gap is a spacing off the unit grid by over 10 %."""
     rows = ordered.previous_value(
-        sampled, ["simulation_id"], "ttot", chunk_width=4096.0, out="previous_ttot"
+        lake.scalars.select(*_S), ["simulation_id"], "ttot", chunk_width=4096.0, out="previous_ttot"
     )
-    return rows.withColumn("gap", F.col("ttot") - F.col("previous_ttot"))
+    spacing = F.col("ttot") - F.col("previous_ttot")
+    return rows.withColumns({"gap": spacing, "is_gap": F.coalesce(F.abs(spacing - 1.0) > 0.1, F.lit(False))})
 
 
 @query
@@ -607,6 +607,90 @@ def stream_ingest(lake: Lake) -> DataFrame:
     return ingest.current_winners(lake.spark, sink, "mtime", "source_hdf5_path")
 
 
+@query
+def stream_singles(lake: Lake) -> DataFrame:
+    """Single stars streamed file by file, the batches resolved to one clean table."""
+    from starfold.session import work_path
+    from starfold.streaming import ingest
+
+    landing, sink, clean = (work_path(lake.spark, n) for n in ("landing", "ingested", "clean"))
+    rows = lake.singles.select(*_S, "object_id", "mass_msun")
+    # snapshots arrive in time order, one folder each
+    rows.withColumn("part", F.floor(F.col("ttot") / 12)).write.partitionBy("part").parquet(landing)
+    stream = ingest.snapshot_stream(lake.spark, f"{landing}/*", rows.schema, max_files=8)
+    ingest.ingest(stream, sink, f"{sink}-checkpoint").awaitTermination()
+    ingest.compact_batches(lake.spark, sink, clean)
+    return lake.spark.read.parquet(clean).groupBy(*_S).agg(
+        F.count("*").alias("n"), F.sum("mass_msun").alias("mass_msun")
+    )
+
+
+def _files_of(lake: Lake, winners: DataFrame) -> DataFrame:
+    """Single stars with the file that stands for their snapshot."""
+    keep = winners.select(*_S, "source_hdf5_path")
+    return lake.singles.select(*_S, "object_id", "mass_msun").join(keep, _S)
+
+
+@query
+def lake_incremental(lake: Lake) -> DataFrame:
+    """A stored dataset after three builds: one run's files, then all (late overlaps win and lose
+    snapshots), then a changed set of files that has lost all its rows."""
+    from starfold.plans.build import files_to_process
+    from starfold.plans.store import FeatureStore
+    from starfold.session import work_path
+
+    store = FeatureStore(lake.spark, work_path(lake.spark, "store"))
+    steps = lake.steps
+    empty = F.col("filename_time") == 0
+    catalog = steps.groupBy(F.col("source_hdf5_path").alias("path")).agg(
+        F.max("mtime").alias("mtime"), F.max("filename_time").alias("filename_time")
+    )
+    rounds = (
+        (steps.where("run_dir = 'run_F'"), catalog.where("path like '%/run_F/%'")),
+        (steps, catalog),
+        (steps.where(~empty), catalog.withColumn("mtime", F.col("mtime") + F.when(empty, 1.0).otherwise(0.0))),
+    )
+    for known, files in rounds:
+        winners = dedup.step_winners(known)
+        todo = files_to_process(
+            files, store.manifest("all", "stars"), tail_only=False, winners=winners
+        ).select(F.col("path").alias("source_hdf5_path"), "mtime")
+        rows = _files_of(lake, winners).join(todo, "source_hdf5_path", "left_semi")
+        times = winners.groupBy("source_hdf5_path").agg(F.sort_array(F.collect_set("ttot")).alias("ttot"))
+        entries = todo.join(times, "source_hdf5_path", "left").withColumn(
+            "ttot", F.coalesce("ttot", F.array().cast("array<double>"))
+        )
+        store.commit("all", "stars", rows, entries)
+    return store.read("all", "stars").groupBy(*_S, "source_hdf5_path").agg(
+        F.count("*").alias("n"), F.sum("mass_msun").alias("mass_msun")
+    )
+
+
+@query
+def lake_after_crash(lake: Lake) -> DataFrame:
+    """Snapshot tables after a build that stopped before its commit and was run again."""
+    from starfold.plans.store import FeatureStore
+    from starfold.session import work_path
+
+    store = FeatureStore(lake.spark, work_path(lake.spark, "store"))
+    totals = lake.singles.groupBy(*_S).agg(F.count("*").alias("n"), F.sum("mass_msun").alias("mass_msun"))
+    found = [r[0] for r in totals.select("simulation_id").distinct().collect()]  # one per simulation
+    for simulation_id in found:
+        rows = totals.where(F.col("simulation_id") == simulation_id)
+
+        def part(where: str, rows: DataFrame = rows) -> tuple[DataFrame, DataFrame]:
+            some = rows.where(where)
+            file = F.concat(F.lit("file-"), F.floor(F.col("ttot") / 8).cast("string")).alias("source_hdf5_path")
+            return some, some.groupBy(file).agg(
+                F.lit(0.0).alias("mtime"), F.sort_array(F.collect_set("ttot")).alias("ttot")
+            )
+
+        store.commit(simulation_id, "totals", *part("ttot < 40"), by="ttot")
+        store.stage(simulation_id, "totals", *part("ttot >= 40"))  # stopped here
+        store.commit(simulation_id, "totals", *part("ttot >= 32"), by="ttot")
+    return store.read_many(found, "totals")
+
+
 @query
 def compact_object_store(lake: Lake) -> DataFrame:
     """Feature store round trip: the compact-object table written per source and read back."""

@@ -99,10 +99,10 @@ ADAPTERS: dict[str, tuple[str, int, list[tuple[str, str]]]] = {
         [
             ("simulation_id", _SIM_LINEITEM),
             ("ttot", _TTOT_LINEITEM),
-            ("rbar_pc", "cast(2.0 as double)"),
-            ("zmbar_msun", "cast(4096.0 as double)"),
-            ("tscale_myr", "cast(0.25 as double)"),
-            ("vstar_kms", "cast(4.0 as double)"),
+            ("rbar_pc", "cast(count(*)%2 as double)*2+2"),
+            ("zmbar_msun", "cast(count(*)%2 as double)*4096+4096"),
+            ("tscale_myr", "cast((count(*)+1)%2 as double)*0.25+0.25"),
+            ("vstar_kms", "cast(count(*)%2 as double)*2+2"),
             ("ttot_over_tcr0", "cast(count(*)%16 as double)*0.5"),
             ("rdens_x_nb", "cast(count(*)%4 as double)*0.125"),
             ("rdens_y_nb", "cast(count(*)%3 as double)*0.125"),
@@ -110,7 +110,7 @@ ADAPTERS: dict[str, tuple[str, int, list[tuple[str, str]]]] = {
             ("rc_nb", "cast(count(*)%8 as double)*0.0625"),
             ("nc", "count(*)%50"),
             ("eclose_nb", "cast(count(*)%5 as double)*0.25"),
-            ("tidal_1", "cast(0.5 as double)"),
+            ("tidal_1", "cast(count(*)%2 as double)*0.25+0.25"),
             ("rg_x_pc", "cast(count(*)%100 as double)+4000"),
             ("rg_y_pc", "cast(count(*)%7 as double)*10"),
             ("rg_z_pc", "cast(count(*)%5 as double)-2"),

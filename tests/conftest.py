@@ -9,7 +9,7 @@ from starfold.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_spark(
         "local[4]",
         **{
@@ -17,6 +17,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
