@@ -191,9 +191,9 @@ def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _numbered(mergers: DataFrame, block: int) -> tuple[DataFrame, int]:
-    """Events with a block number: time-ordered runs of at most about `block` rows.
+    """Events with a block number: runs of at most `block` rows in the order of (ttot, seq).
 
-    Time is cut into fine bins whose counts are accumulated; a window never sees single events.
+    Rows are numbered, so any number of events at one time is cut like any other.
     """
     events = mergers.select(
         "simulation_id",
@@ -204,25 +204,27 @@ def _numbered(mergers: DataFrame, block: int) -> tuple[DataFrame, int]:
             for c in ("product_name", "parent_name_1", "parent_name_2")
         ],
     ).where(F.col("product_name").isNotNull() & F.col("ttot").isNotNull())
-    size = events.groupBy("simulation_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ttot").alias("lo"), F.max("ttot").alias("hi")
+    # The written order fixes a number for every event; windows see one row per task.
+    placed = materialize(
+        events.repartitionByRange("simulation_id", "ttot", "seq")
+        .sortWithinPartitions("simulation_id", "ttot", "seq")
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "ordered-mergers",
+    ).withColumn("_task", F.shiftright("_at", 33))
+    runs = placed.groupBy("simulation_id", "_task").agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_at").alias("_first")
     )
-    # 16 bins per expected block keep every block close to the wanted size
-    bins = F.greatest(F.lit(1.0), F.ceil(F.col("n") * 16.0 / block))
-    span = F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-12))
-    bin_of = F.floor((F.col("ttot") - F.col("lo")) / span * (bins - 1))
-    binned = events.join(size, "simulation_id").withColumn("_bin", bin_of)
-    counts = binned.groupBy("simulation_id", "_bin").agg(F.count(F.lit(1)).alias("_c"))
     before = F.sum("_c").over(
-        W.partitionBy("simulation_id").orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy("simulation_id").orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
     )
-    numbered = counts.select(
-        "simulation_id",
-        "_bin",
-        F.floor(F.coalesce(before, F.lit(0)) / float(block)).cast("int").alias("block"),
+    runs = runs.select(
+        "simulation_id", "_task", "_first", F.coalesce(before, F.lit(0)).alias("_before")
     )
+    rank = F.col("_before") + F.col("_at") - F.col("_first")
     out = materialize(
-        binned.join(numbered, ["simulation_id", "_bin"]).drop("_bin", "n", "lo", "hi"),
+        placed.join(runs, ["simulation_id", "_task"])
+        .withColumn("block", F.floor(rank / block).cast("int"))
+        .drop("_task", "_at", "_first", "_before"),
         "numbered-mergers",
     )
     last = out.agg(F.max("block")).first()[0]

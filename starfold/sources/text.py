@@ -12,6 +12,7 @@ from starfold.functions import stellar
 from starfold.functions.numeric import div
 from starfold.operators.dedup import forward_only, keep_all_but_last, keep_last
 from starfold.operators.lagrangian import append_sigma, percent_column
+from starfold.session import materialize
 
 # Columns of coll.13.
 COLL_13 = (
@@ -219,11 +220,14 @@ def read_events(
         parts.append(rows.withColumn("simulation_id", F.col("_sim")))
     keys = ["simulation_id", *_SOURCE_ORDER]
     both = merge_events(parts[0], parts[1], keys)
-    return (
-        both.withColumn("time_myr", F.col("ttot") * F.lit(float(tscale_myr)))
-        .withColumn("seq", F.xxhash64(*_SOURCE_ORDER))
-        .drop(*_SOURCE_ORDER)
+    # Numbers that rise in source order; written, so that every reader sees the same ones.
+    placed = both.withColumn("time_myr", F.col("ttot") * F.lit(float(tscale_myr))).repartitionByRange(
+        *_SOURCE_ORDER
     )
+    numbered = placed.sortWithinPartitions(*_SOURCE_ORDER).withColumn(
+        "seq", F.monotonically_increasing_id()
+    )
+    return materialize(numbered.drop(*_SOURCE_ORDER), "ordered-events")
 
 
 def lagr7_header() -> list[tuple[str, str]]:
@@ -312,8 +316,10 @@ def lagr_7_wide(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def scale_factors(lines: DataFrame) -> dict[str, float]:
-    """Unit factors r, v, m, t of the first 'PHYSICAL SCALING' line of a stdout file."""
-    hit = lines.where(F.col("value").contains("PHYSICAL SCALING")).select("value").first()
+    """Unit factors r, v, m, t of the first 'PHYSICAL SCALING' line, of the first file in order."""
+    order = [c for c in _SOURCE_ORDER if c in lines.columns]
+    found = lines.where(F.col("value").contains("PHYSICAL SCALING"))
+    hit = (found.orderBy(*order) if order else found).select("value").first()
     if hit is None:
         raise ValueError("no PHYSICAL SCALING line found")
     found = re.findall(r"(\S+)\s*=\s*(\S+)", hit["value"].rsplit(":", 1)[-1])
