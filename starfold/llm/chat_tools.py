@@ -8,8 +8,9 @@ Method.
 1. Calls and results are hash-joined by (conversation, identifier). The first result of a call (by
    turn) is its result; later ones and results without a call are marked as orphans.
 2. A call depends on the calls whose identifiers its arguments name as {"$ref": id}. Calls are
-   ordered topologically, in rounds for all conversations at once: the calls whose references are
-   all placed get the next level. Calls on a cycle, and references to unknown calls, are marked.
+   ordered topologically: calls whose references are all placed get the next level. Conversations
+   of up to `TASK_EDGES` references are ordered inside tasks, longer ones in rounds of joins
+   over all of them at once. Calls on a cycle, and references to unknown calls, are marked.
 3. Arguments are validated against the JSON schema of the tool.
 4. Every message, call and result is serialised as canonical JSON: keys sorted, no white space,
    UTF-8, floats in shortest form.
@@ -36,6 +37,9 @@ from pyspark.sql.window import Window
 from starfold.llm.common import map_rows
 from starfold.session import materialize
 
+# References of a conversation that are ordered inside one task.
+TASK_EDGES = 10_000
+
 MESSAGE = "conv_id long, turn long, role string, content string, calls array<struct<id:string,name:string,arguments:string>>, result_of string"
 CHECKED = "conv_id long, turn long, id string, name string, arguments string, canonical string, problem string, refs array<string>"
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
@@ -119,37 +123,59 @@ def checked_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return map_rows(messages.select("conv_id", "turn", F.explode("calls").alias("c")).select("conv_id", "turn", "c.*"), make, CHECKED)
 
 
-def _placed(calls: DataFrame) -> DataFrame:
-    """(conv_id, id, level) of the calls that can be ordered. `calls` has one row per identifier."""
-    edges = materialize(
-        calls.select("conv_id", "id", F.explode("refs").alias("ref")).join(
-            calls.select(F.col("conv_id").alias("c2"), F.col("id").alias("r2")),
-            F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("ref") == F.col("r2")),
-        ).select("conv_id", "id", "ref"),
-        "tool-edges",
-    )
-    waiting = edges.select(F.col("conv_id").alias("c2"), F.col("id").alias("i2")).distinct()
-    levels = calls.select("conv_id", "id").join(
-        waiting, F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("id") == F.col("i2")), "left_anti"
-    ).withColumn("level", F.lit(0))
-    parts, level = [materialize(levels, "tool-level")], 0
-    while True:
+def call_levels(edges: list[tuple[str, str]]) -> dict[str, int]:
+    """Level of every call on an edge (id, ref) that can be ordered: 0 without references."""
+    waiting: dict[str, int] = {}
+    users: dict[str, list[str]] = {}
+    for call, ref in edges:
+        waiting[call] = waiting.get(call, 0) + 1
+        waiting.setdefault(ref, 0)
+        users.setdefault(ref, []).append(call)
+    levels, ready, level = {}, [c for c, n in waiting.items() if not n], 0
+    while ready:
+        following = []
+        for call in ready:
+            levels[call] = level
+            for user in users.get(call, ()):
+                waiting[user] -= 1
+                if not waiting[user]:
+                    following.append(user)
+        ready, level = following, level + 1
+    return levels
+
+
+def _levels_in_tasks(edges: DataFrame) -> DataFrame:
+    """(conv_id, id, level) of conversations with few references, one row of edges each."""
+
+    def make():
+        def batch(cols: dict) -> dict:
+            done = [call_levels([(e["id"], e["ref"]) for e in edges]) for edges in cols["edges"]]
+            return {
+                "conv_id": cols["conv_id"],
+                "levels": [[{"id": k, "level": v} for k, v in d.items()] for d in done],
+            }
+
+        return batch
+
+    rows = edges.groupBy("conv_id").agg(F.collect_list(F.struct("id", "ref")).alias("edges"))
+    out = map_rows(rows, make, "conv_id long, levels array<struct<id:string,level:int>>")
+    return out.select("conv_id", F.inline("levels"))
+
+
+def _levels_in_rounds(edges: DataFrame) -> DataFrame:
+    """The same for any number of references: one round of joins for every level."""
+    nodes = edges.select("conv_id", "id").unionByName(edges.select("conv_id", F.col("ref").alias("id"))).distinct()
+    users = edges.select(F.col("conv_id").alias("c2"), F.col("id").alias("i2")).distinct()
+    same = F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("id") == F.col("i2"))
+    parts = [materialize(nodes.join(users, same, "left_anti").withColumn("level", F.lit(0)), "tool-level")]
+    while not parts[-1].isEmpty():
         done = parts[-1].select(F.col("conv_id").alias("c2"), F.col("id").alias("r2"))
         left = materialize(
             edges.join(done, F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("ref") == F.col("r2")), "left_anti"), "tool-edges"
         )
-        level += 1
-        before = edges.select("conv_id", "id").distinct()
         still = left.select(F.col("conv_id").alias("c2"), F.col("id").alias("i2")).distinct()
-        ready = materialize(
-            before.join(still, F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("id") == F.col("i2")), "left_anti").withColumn(
-                "level", F.lit(level)
-            ),
-            "tool-level",
-        )
-        if ready.isEmpty():
-            break
-        parts.append(ready)
+        ready = edges.select("conv_id", "id").distinct().join(still, same, "left_anti")
+        parts.append(materialize(ready.withColumn("level", F.lit(len(parts))), "tool-level"))
         edges = left
     out = parts[0]
     for p in parts[1:]:
@@ -157,6 +183,29 @@ def _placed(calls: DataFrame) -> DataFrame:
     return out
 
 
+def _placed(calls: DataFrame) -> DataFrame:
+    """(conv_id, id, level) of the calls that can be ordered. `calls` has one row per identifier."""
+    known = calls.select(F.col("conv_id").alias("c2"), F.col("id").alias("r2"))
+    edges = materialize(
+        calls.select("conv_id", "id", F.explode("refs").alias("ref"))
+        .join(known, F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("ref") == F.col("r2")))
+        .select("conv_id", "id", "ref"),
+        "tool-edges",
+    )
+    large = edges.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > TASK_EDGES)
+    large = materialize(large.select(F.col("conv_id").alias("c3")), "tool-large")
+    here = F.col("conv_id").eqNullSafe(F.col("c3"))
+    levels = _levels_in_tasks(edges.join(large, here, "left_anti")).unionByName(
+        _levels_in_rounds(edges.join(large, here, "left_semi"))
+    )
+    levels = materialize(levels, "tool-levels")
+    linked = edges.select("conv_id", "id").unionByName(edges.select("conv_id", F.col("ref").alias("id"))).distinct()
+    linked = linked.select(F.col("conv_id").alias("c2"), F.col("id").alias("i2"))
+    same = F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("id") == F.col("i2"))
+    free = calls.select("conv_id", "id").join(linked, same, "left_anti").withColumn("level", F.lit(0))
+    return free.unionByName(levels)
+
+
 def link_tools(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """(conv_id, turn, level, kind, call_id, status, json), one row per message, call and result.
 

@@ -352,7 +352,10 @@ def test_lm_probabilities_are_normalised():
 LOOKUP = {"type": "object", "required": ["q"], "properties": {"q": {"type": "string"}, "n": {"type": "integer", "maximum": 9}, "after": {}}, "additionalProperties": False}
 
 
-def test_tool_calls(spark):
+@pytest.mark.parametrize("edges", [10_000, 0])
+def test_tool_calls(spark, monkeypatch, edges):
+    monkeypatch.setattr(chat_tools, "TASK_EDGES", edges)
+
     def call(i, args, name="lookup"):
         return (i, name, args if isinstance(args, str) or args is None else json.dumps(args))
 
