@@ -15,8 +15,8 @@ language the entropies give a rejection limit: mean plus `REJECT_SIGMA` standard
 document entropies. `accepted` is false for texts without letters and for texts whose entropy is above the
 limit of the language that won; the limit is wider for short texts, whose entropies spread more.
 
-Bounds. The classifier is fitted on at most `TRAIN_DOCS` documents of a language, those with the
-smallest hash of their id; the model is then bounded by their distinct 4-grams and is sent to all tasks.
+Bounds. The classifier is fitted on at most `TRAIN_DOCS` documents of a language, chosen
+by a hash of their id; the model is then bounded by their distinct 4-grams and is sent to all tasks.
 The number of languages is taken to be small (one group of training texts and one column each).
 Prediction covers whole texts of all documents.
 
@@ -205,12 +205,16 @@ def _train_group(pdf: pd.DataFrame) -> pd.DataFrame:
 def training_rows(
     docs: DataFrame, usable: Column, id_col: str, text_col: str, lang_col: str, per_lang: int
 ) -> DataFrame:
-    """At most `per_lang` labelled documents a language: those with the smallest id hash."""
+    """At most `per_lang` labelled documents a language, chosen by hashes of their ids."""
     labelled = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"), F.xxhash64(text_col).alias("th")
     )
-    order = Window.partitionBy("lang").orderBy("h", "th")
-    ranked = labelled.select("lang", "h", "th").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_lang)
+    # Only hashes that can be among the smallest travel: three times as many as wanted are expected.
+    sizes = materialize(labelled.groupBy("lang").agg(F.count("*").alias("n")), "language-sizes")
+    share = F.pmod(F.xxhash64(F.lit("share"), "h"), F.lit(1 << 30)) / float(1 << 30)
+    low = labelled.select("lang", "h", "th").join(sizes, "lang").where(share * F.col("n") <= 3 * per_lang)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h", "th")
+    ranked = low.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_lang)
     chosen = materialize(ranked.select("lang", "h", "th").distinct(), "language-training")
     return labelled.join(chosen, ["lang", "h", "th"], "left_semi").select("lang", "text")
 
