@@ -257,14 +257,15 @@ def repeated_spans(
     """(doc, th, a, b, later): windows that start at a..b are repeated; `later`: an earlier copy
     exists. The spans of a document may overlap."""
     runs = materialize(anchors(docs, id_col, text_col, length, core), "suffix-runs")
-    twice = runs.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    # Written, so that the joins below have two plain shuffles, which Spark can split at hot cores.
+    twice = materialize(runs.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h"), "suffix-twice")
     runs = materialize(runs.join(twice, "h", "left_semi"), "suffix-candidates")
     position = F.struct("doc", "lo", "th", "p", "hi")
     classes = materialize(runs.groupBy("h", "s").agg(F.count("*").alias("n"), F.min(position).alias("head")), "suffix-classes")
     whole = runs.join(classes.where("n > 1"), ["h", "s"]).select(
         "doc", "th", F.col("lo").alias("a"), F.col("hi").alias("b"), (F.col("head") != position).alias("later")
     )
-    several = classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    several = materialize(classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "suffix-several")
     edges = materialize(
         _edge_bytes(
             classes.join(several.select("h"), "h", "left_semi").select("h", "n", "head.*"), docs, id_col, text_col, length
