@@ -5,23 +5,23 @@ shingles; the result is the connected component of every document.
 
 Method.
 1. One pass over the texts gives each document its shingle set, as a key (hash of the whole set),
-   MinHash bands, and an odd sketch: every MinHash sample flips one bit of a 512-bit map, so
-   that the XOR of two maps has few bits for similar sets. Its population count estimates high
-   similarities closely. Texts are not kept.
+   MinHash bands, and an odd sketch: every value of the bottom-`SAMPLES` MinHash sample flips one bit
+   of a parity map. Texts are not kept.
 2. Documents with the same set are one class from here on, represented by the smallest id.
-3. Classes that share a band are candidates. In each band bucket the smallest member is the hub;
-   first only (hub, member) pairs are looked at, so a bucket of n classes gives n - 1 pairs.
-   Pairs whose sketches are too far apart go; the rest is confirmed on the full shingle sets of
-   both texts.
-4. Confirmed links are joined to components. Buckets that still hold several components are
-   looked at again: pairs of members of different components that the first round has not seen,
-   again filtered by sketch inside the join and confirmed on the full sets. After this every
-   candidate pair has been tested or lies within one component, so no candidate is left out.
-5. Components of all confirmed links are the result.
+3. Classes that share a band are candidates. The XOR of two sketches never has more bits than the
+   samples differ in, so a pair with more bits than the threshold allows is no link. Of sets of
+   up to `SAMPLES` shingles the sample is the whole set: for them nothing is lost; for larger sets
+   the limit leaves six standard deviations of the sample.
+4. In `ROUNDS` rounds one member of each band bucket is its hub and the other members are paired
+   with it, so a bucket of n classes gives n - 1 pairs; each member keeps its closest hub. These
+   pairs are confirmed on the full shingle sets of both texts, and joined to components.
+5. Buckets that then still hold several components are looked at whole: all pairs of members of
+   different components within the sketch limit, each pair in the first band it shares, are
+   confirmed on the full sets. So every candidate pair is tested or lies within one component.
+   Components of all confirmed links are the result.
 
 Chances. The number of bands is set so that a pair at the threshold shares none with a chance of at
-most 1e-7; the sketch limit lies six standard deviations below the threshold (1e-9). More similar pairs
-have smaller chances. Nothing is capped.
+most 1e-7. More similar pairs have smaller chances. Nothing is capped.
 
 Scale. Buckets are counted by partial aggregates; the hub comes back by an equi-join that Spark
 may split, so a bucket with a third of all classes is dealt to many tasks. Texts travel only for
@@ -37,7 +37,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
-from math import ceil, exp, log, sqrt
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +52,9 @@ from starfold.session import materialize
 WORDS = 5
 PERCENT = 80
 MISS = 1e-7
-SKETCH_BITS = 512
+SKETCH_BITS = 2048
+SAMPLES = 4096
+ROUNDS = 3
 
 SETS = "doc_id long, th long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"
 
@@ -64,14 +66,6 @@ def band_shape(percent: int) -> tuple[int, int]:
     return rows, ceil(log(MISS) / log(1 - t**rows))
 
 
-def sketch_limit(percent: int, samples: int) -> int:
-    """Most XOR bits of a pair that may reach the threshold."""
-    t = percent / 100
-    low = t - 6 * sqrt(t * (1 - t) / samples)
-    expected = SKETCH_BITS / 2 * (1 - exp(-4 * samples * (1 - max(low, 0.0)) / SKETCH_BITS))
-    return ceil(expected + 6 * sqrt(SKETCH_BITS) / 4)
-
-
 def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     target = pa_schema(docs.sparkSession, SETS)
     rows, bands = band_shape(percent)
@@ -79,7 +73,6 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int, percen
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash = MinHash(rows * bands)
         salts = np.arange(1, bands + 1, dtype=np.uint64)
-        samples = np.arange(rows * bands, dtype=np.uint64) << np.uint64(32)
         for batch in batches:
             out: list[list] = [[] for _ in target]
             for doc, th, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -89,9 +82,9 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int, percen
                     key = salts
                     for r in range(rows):
                         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least[r::rows])
-                    bits = np.bincount(
-                        (mix(samples | least) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS
-                    )
+                    # The hashes are sorted: the first ones are the bottom sample.
+                    flips = (hashes[:SAMPLES] % np.uint64(SKETCH_BITS)).astype(np.int64)
+                    bits = np.bincount(flips, minlength=SKETCH_BITS)
                     sketch = np.packbits((bits & 1).astype(np.uint8)).view(np.int64)
                     row = (doc, th, len(hashes), hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), key.view(np.int64), sketch)
                 else:
@@ -113,6 +106,15 @@ def xor_bits(a: str, b: str) -> Column:
     return total
 
 
+def bit_limit(na: str, nb: str, percent: int) -> Column:
+    """Most XOR bits of two sets of na and nb shingles that may reach the threshold."""
+    least = (F.col(na) + F.col(nb)) * (percent / (100 + percent))  # shingles in common
+    large = F.greatest(na, nb)
+    sampled = SAMPLES * least / large - 6 * SAMPLES**0.5 / 2
+    common = F.when(large > SAMPLES, sampled).otherwise(least)
+    return F.least(F.col(na), F.lit(SAMPLES)) + F.least(F.col(nb), F.lit(SAMPLES)) - 2 * common
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the threshold; rows of one id are one document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +137,61 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size:
     return with_a.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def _side(classes: DataFrame, name: str, *more: str) -> DataFrame:
+    """The class columns of one end of a pair, named after it."""
+    cols = {"id": name, "n": f"n{name}", "sketch": f"s{name}", "bands": f"bands_{name}"}
+    return classes.select(*[F.col(c).alias(cols[c]) for c in ("id", "n", "sketch", *more)])
+
+
+def _closest_hubs(mixed: DataFrame, classes: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): for every member its closest hub of another component, within the sketch limit."""
+    rank = F.struct(F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), "id"), F.col("id").alias("a"), F.col("component").alias("ca"))
+    hubs = mixed.groupBy("band", "h").agg(F.min(rank).alias("hub")).select("band", "h", "hub.a", "hub.ca")
+    stars = mixed.join(materialize(hubs, "near-bucket-hubs"), ["band", "h"])
+    stars = stars.where("component != ca").select("a", F.col("id").alias("b")).distinct()
+    pairs = stars.join(_side(classes, "b"), "b").join(_side(classes, "a"), "a")
+    pairs = pairs.withColumn("bits", xor_bits("sa", "sb")).where(F.col("bits") <= bit_limit("na", "nb", percent))
+    return pairs.groupBy("b").agg(F.min(F.struct("bits", "a")).alias("best")).select("best.a", "b")
+
+
+def _grown(nodes: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after more links."""
+    if nodes is not None:
+        stars = nodes.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        links = links.unionByName(stars)
+    return materialize(components(links), "near-labels")
+
+
+def _mixed(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with their component."""
+    label = nodes.select(F.col("node").alias("id"), "component")
+    labelled = materialize(
+        buckets.join(label, "id", "left").withColumn("component", F.coalesce("component", "id")), "near-labelled"
+    )
+    several = labelled.groupBy("band", "h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    several = materialize(several.where("lo < hi").select("band", "h"), "near-several")
+    return labelled.join(several, ["band", "h"], "left_semi")
+
+
+def _cross_pairs(mixed: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of bucket members of different components within the sketch limit."""
+    one = mixed.select("band", "h", F.col("id").alias("a"), F.col("component").alias("ca")).join(_side(classes, "a", "bands"), "a")
+    two = mixed.select("band", "h", F.col("id").alias("b"), F.col("component").alias("cb")).join(_side(classes, "b", "bands"), "b")
+    first = ~F.when(F.col("band") == 0, F.lit(False)).otherwise(
+        F.exists(
+            F.zip_with(F.slice("bands_a", F.lit(1), F.col("band")), F.slice("bands_b", F.lit(1), F.col("band")), lambda x, y: x == y),
+            lambda same: same,
+        )
+    )
+    return (
+        one.join(two, ["band", "h"])
+        .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
+        .where(xor_bits("sa", "sb") <= bit_limit("na", "nb", percent))
+        .where(first)
+        .select("a", "b")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -144,51 +201,35 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, th), one row per document row; `th` is the hash of
     the row's text."""
-    rows, bands = band_shape(percent)
-    limit = sketch_limit(percent, rows * bands)
     sets = materialize(document_sets(docs, id_col, text_col, size, percent), "near-sets")
     known = sets.where("doc_id is not null and n_shingles > 0")
     classes = materialize(
         known.groupBy("set_key").agg(
-            F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("id"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch"),
         ),
         "near-classes",
     )
-    sketches = classes.select("id", "sketch")
     members = classes.select("id", F.posexplode("bands").alias("band", "h"))
-    hubs = members.groupBy("band", "h").agg(F.min("id").alias("hub"), F.max("id").alias("last"))
-    buckets = materialize(
-        members.join(hubs.where("hub < last").select("band", "h", "hub"), ["band", "h"]), "near-buckets"
-    )
-
-    def side(name: str, sketch: str) -> DataFrame:
-        return sketches.select(F.col("id").alias(name), F.col("sketch").alias(sketch))
-
-    stars = buckets.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    close = (
-        stars.join(side("b", "sb"), "b").join(side("a", "sa"), "a").where(xor_bits("sa", "sb") <= limit).select("a", "b").distinct()
-    )
-    # Documents are needed by class only: one row per class id.
+    shared = members.groupBy("band", "h").agg(F.count("*").alias("k")).where("k > 1").select("band", "h")
+    buckets = materialize(members.join(materialize(shared, "near-shared"), ["band", "h"]), "near-buckets")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).where("id is not null")
-    links = materialize(confirm(materialize(close, "near-stars"), texts, "id", "t", size, percent), "near-links")
-    first = materialize(components(links), "near-first")
-
-    # Buckets with several components: pairs between components that were not looked at.
-    label = first.select(F.col("node").alias("id"), "component")
-    labelled = buckets.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("band", "h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = labelled.join(mixed.select("band", "h"), ["band", "h"], "left_semi")
-    rest = materialize(rest.join(sketches, "id"), "near-mixed")
-    one = rest.where("id != hub").select("band", "h", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("sketch").alias("sa"))
-    two = rest.where("id != hub").select("band", "h", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("sketch").alias("sb"))
-    more = (
-        one.join(two, ["band", "h"])
-        .where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (xor_bits("sa", "sb") <= limit))
-        .select("a", "b")
-        .distinct()
-    )
-    late = confirm(materialize(more, "near-late"), texts, "id", "t", size, percent)
-    nodes = components(links.unionByName(late))
+
+    # The components found so far stand for their links as stars (node, component).
+    mixed, nodes = buckets.withColumn("component", F.col("id")), None
+    for turn in range(ROUNDS):
+        close = materialize(_closest_hubs(mixed, classes, percent, turn), "near-hubs")
+        new = materialize(confirm(close, texts, "id", "t", size, percent), "near-links")
+        if nodes is not None and new.isEmpty():
+            break  # what other hubs could find is left to the last step
+        nodes = _grown(nodes, new)
+        mixed = materialize(_mixed(buckets, nodes), "near-mixed")
+    rest = materialize(_cross_pairs(mixed, classes, percent), "near-cross")
+    late = materialize(confirm(rest, texts, "id", "t", size, percent), "near-late")
+    if not late.isEmpty():
+        nodes = _grown(nodes, late)
 
     found = classes.join(nodes, classes["id"] == nodes["node"], "left").select(
         F.col("set_key").alias("k"), F.coalesce("component", "id").alias("component_id")
