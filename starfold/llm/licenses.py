@@ -1,8 +1,10 @@
 """Licence scan: an exact set-similarity join of text blocks with licence templates.
 
 A template matches a block when at least `CONTAINMENT` of the template's distinct words are in the
-block. Blocks are lines; a line of more than `BLOCK_WORDS` words is cut into blocks of that many
-words that overlap by half, so a template of up to half a block lies whole in one of them.
+block. Blocks are windows of `BLOCK_WORDS` words over the words of the whole text, across line ends,
+that overlap by half, so a template of up to half a block lies whole in one of them however it is
+wrapped; comment marks are no words. Lines longer than half a block are blocks besides, cut alike
+where they are longer than a block; shorter lines lie whole in a window.
 
 Method. Words of the templates are ordered by their global frequency, counted over all documents,
 rarest first. With o words needed, a matching block holds one of the first n - o + 1 words of the
@@ -106,6 +108,13 @@ def template_frequencies(docs: DataFrame, text_col: str, templates: tuple) -> di
     return {bytes(r["word"]): r["n"] for r in counts.collect()}  # at most the words of the templates
 
 
+def windows(words: list[bytes]) -> Iterator[list[bytes]]:
+    """Blocks of `BLOCK_WORDS` words, each starting half a block after the one before."""
+    half = BLOCK_WORDS // 2
+    for at in range(0, max(1, len(words) - half), half):
+        yield words[at : at + BLOCK_WORDS]
+
+
 class TemplateIndex:
     """Frequency-ordered templates and the index of their prefixes."""
 
@@ -135,13 +144,11 @@ class TemplateIndex:
                     yield label, shared / len(template)
 
     def blocks(self, text: bytes) -> Iterator[list[bytes]]:
+        yield from windows(words_of(text))
         for line in text.split(b"\n"):
             words = words_of(line)
-            if len(words) <= BLOCK_WORDS:
-                yield words
-            else:
-                for at in range(0, len(words) - BLOCK_WORDS // 2, BLOCK_WORDS // 2):
-                    yield words[at : at + BLOCK_WORDS]
+            if len(words) > BLOCK_WORDS // 2:
+                yield from windows(words)
 
     def matches(self, text: bytes) -> dict[str, float]:
         out: dict[str, float] = {}

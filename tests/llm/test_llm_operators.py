@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+import textwrap
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -430,6 +431,20 @@ def test_license_join_is_exact():
         assert found == brute
 
 
+def test_wrapped_licenses(spark):
+    """Templates wrapped at 70 to 80 characters, with and without comment marks, get their labels."""
+    rng = random.Random(12)
+    want, rows = {}, []
+    for mark in ("", "# ", " * ", "// "):
+        for width in (20, 35, 70, 80):
+            for label, template in licenses.TEMPLATES:
+                body = textwrap.fill(f"Copyright holder. {template}", width, break_on_hyphens=False).split("\n")
+                want[len(rows)] = label
+                rows.append((len(rows), "\n".join([prose(rng, 45), *(mark + line for line in body), prose(rng, 60)])))
+    got = by_id(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(want[k] in got[k].labels.split(",") and got[k].score >= 0.8 for k in want)
+
+
 # ------------------------------------------------------------------------------ packing
 
 
