@@ -3,9 +3,9 @@
 Method. Lines are normalised (ASCII white space at both ends removed, A-Z lower-cased) and hashed.
 For every host the number of distinct documents that hold a line is counted; equal texts are one
 document, so that plain copies don't make their own lines frequent. A line is over the limit when
-it is in more than `LINE_DOCS` documents of the host and in more than `LINE_SHARE` of them. Lines
-over the limit are removed; a document of which less than `KEEP_SHARE` of its words remain is
-rejected as depleted.
+it is in more than `LINE_DOCS` documents of the host, however many documents the host has: the same
+lines go in a small host and in one that holds a third of all rows. Lines over the limit are removed;
+a document of which less than `KEEP_SHARE` of its words remain is rejected as depleted.
 
 Every document becomes one row of counts and a list of its distinct lines (hash, words), written
 once below the shared folder. Counting is a map-side combined aggregate by (host, line); the
@@ -29,7 +29,6 @@ from starfold.session import materialize
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 LINE_DOCS = 20
-LINE_SHARE = 0.01
 KEEP_SHARE = 0.3
 
 STATS = (
@@ -99,24 +98,15 @@ def document_stats(docs: DataFrame, id_col: str, text_col: str, host_col: str) -
     return map_rows(rows, make, STATS).withColumn("lines", hashed)
 
 
-def frequent_lines(
-    stats: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE
-) -> DataFrame:
+def frequent_lines(stats: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
     """(host, h1, h2, n_docs) of the lines over the limit of their host."""
     texts = stats.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
-    host_docs = stats.groupBy("host", "text_key").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("host_docs"))
-    counted = (
+    return (
         texts.select("host", F.explode("lines").alias("x"))
-        .groupBy("host", "x.h1", "x.h2")
+        .groupBy("host", F.col("x.h1").alias("h1"), F.col("x.h2").alias("h2"))
         .agg(F.count("*").alias("n_docs"))
         .where(F.col("n_docs") > line_docs)
     )
-    hosts = host_docs.select(F.col("host").alias("host2"), "host_docs")
-    return (
-        counted.join(hosts, F.col("host").eqNullSafe(F.col("host2")))
-        .where(F.col("n_docs") > line_share * F.col("host_docs"))
-        .select("host", "h1", "h2", "n_docs")
-    )
 
 
 def quality_rules(
@@ -125,13 +115,12 @@ def quality_rules(
     text_col: str = "text",
     host_col: str = "source",
     line_docs: int = LINE_DOCS,
-    line_share: float = LINE_SHARE,
     keep_share: float = KEEP_SHARE,
 ) -> DataFrame:
     """One row per document: the counts, base_failed, frequent_words (words of removed lines),
     depleted and kept."""
     stats = materialize(document_stats(docs, id_col, text_col, host_col), "quality-stats")
-    frequent = frequent_lines(stats, line_docs, line_share).select(
+    frequent = frequent_lines(stats, line_docs).select(
         F.col("host").alias("host2"), F.col("h1").alias("k1"), F.col("h2").alias("k2")
     )
     removed = (

@@ -537,6 +537,18 @@ def test_frequent_lines(spark):
     assert got[90].frequent_words == 60 and not got[91].kept
 
 
+def test_line_limit_is_the_same_in_small_and_hot_hosts(spark):
+    prepare(spark)
+    rng = random.Random(10)
+    menu, rare = prose(rng, 60), prose(rng, 60)
+    rows = [(k, f"{menu}\n{prose(rng, 10)} {k}", "small" if k < 30 else "hot") for k in range(60)]
+    rows += [(k, f"{rare}\n{prose(rng, 10)} {k}", "small" if k < 80 else "hot") for k in range(60, 100)]
+    rows += [(k, f"{prose(rng, 60)} {k}", "hot") for k in range(1000, 5000)]
+    got = by_id(quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert all(got[k].depleted and got[k].frequent_words == 60 for k in range(60))
+    assert all(got[k].kept and got[k].frequent_words == 0 for k in [*range(60, 100), *range(1000, 5000)])
+
+
 def test_quality_odd_rows(odd):
     assert quality.quality_rules(odd).count() == 7
 
