@@ -2,16 +2,25 @@
 
 Method. The network predicts a word from the `REACH` words on either side: embeddings are
 concatenated, one tanh layer follows, and the output is factored into the class of a word and its
-place in the class, so probabilities are normalised over the whole vocabulary at the cost of two
-small softmaxes. A document's score is the sum of the log-probabilities of all its words, each given
-both sides; the mean per word makes documents comparable.
-
-Vocabulary. Word counts cover all documents; the most frequent `WORDS` words have ids of their own, all
-others share `BUCKETS` hash buckets. Training covers all documents: in every round each shard of
-`SHARD` documents starts from the current weights and learns to predict its masked words (every
-`MASK`-th, shifted per round); the weights of the shards are averaged by words learnt, in an
-aggregate with one row per weight. The number of shards grows with the corpus; no text and no
-per-document value goes to the driver, only the vocabulary and the weights, both of fixed size.
+place in the class, so probabilities are normalised at the cost of two small softmaxes. The most
+frequent `WORDS` words are places of their own, the others share `BUCKETS` hash buckets; inside its
+bucket a word has its share of the bucket's count in the corpus, so every word of the corpus has its
+own probability and all of them add up to 1. A document's score is the sum of the log-probabilities
+of all its words, each given both sides; the mean per word makes documents comparable.
+
+What grows with the corpus. Documents are encoded once into shards: a list of the shard's words and
+the place of every token in it. Counts of all words, and an embedding row for each word outside the
+`WORDS` that is seen `SEEN` times or more, added to the embedding of its bucket, are Spark tables; the
+rows a shard needs are joined to it, learnt there and averaged by an aggregate, so no task and not the
+driver holds a vocabulary. The driver sees the frequent words, the bucket totals and the
+network's weights, all of fixed size.
+
+Training covers all documents: in every round each shard starts from the current weights and rows and
+learns to predict every `MASK`-th word, shifted per round; the weights are averaged by words learnt,
+the rows by their use.
+
+What does not grow: the layer sizes and the output classes, so inside a bucket the context does not
+tell words apart.
 
 Defined cases. Null, empty or blank texts have no words: log_prob 0, mean null. Repeated rows and
 ids are scored row by row. On an empty table the result is empty.
@@ -20,7 +29,6 @@ ids are scored row by row. On an empty table the result is empty.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm.common import pa_schema
+from starfold.session import materialize
 
 CLASSES = 32
 SIZE = CLASSES * CLASSES
@@ -39,11 +48,13 @@ WIDTH = 16
 HIDDEN = 32
 ROUNDS = 2
 MASK = 16
+# A shard ends at so many documents or words.
 SHARD = 1000
+SHARD_WORDS = 250_000
+# Words seen so often have an embedding row of their own.
+SEEN = 5
 BATCH = 256
 RATE = 0.1
-# Words counted by a task before its counts are passed on.
-COUNTED = 200_000
 # Words that go through the network at once.
 BLOCK = 8192
 
@@ -56,6 +67,9 @@ SHAPES = {
     "low": (HIDDEN, CLASSES),
     "low_b": (CLASSES, CLASSES),
 }
+VECTOR = [f"v{k}" for k in range(WIDTH)]
+SHARDS = "doc_ids array<long>, lengths array<long>, tokens binary, words array<string>, counts array<long>"
+LEARNT = "core array<float>, learnt double, word string, n long, used double, " + ", ".join(f"{v} float" for v in VECTOR)
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 
 
@@ -75,35 +89,126 @@ class Vocabulary:
         return out
 
 
-def count_words(docs: DataFrame, text_col: str) -> DataFrame:
-    """(word, n) over all documents."""
-    schema = "word string, n long"
-    target = pa_schema(docs.sparkSession, schema)
+def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per shard: its documents' ids and lengths, its words and their counts, and the place of
+    every token in these words."""
+    target = pa_schema(docs.sparkSession, SHARDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
+        ids: list[int | None] = []
+        parts: list[np.ndarray] = []
+        place: dict[str, int] = {}
+        held = 0
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), type=pa.string()), pa.array(list(seen.values()), type=pa.int64())], schema=target
-            )
+        def row() -> pa.RecordBatch:
+            tokens = np.concatenate(parts)
+            counts = np.bincount(tokens, minlength=len(place))
+            cells = (ids, [len(p) for p in parts], tokens.tobytes(), list(place), counts.tolist())
+            return pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(cells, target, strict=True)], schema=target)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(words_of(text))
-            if len(seen) > COUNTED:
-                yield rows()
-                seen.clear()
-        yield rows()
-
-    return docs.select(text_col).mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"))
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = words_of(text)
+                if ids and (len(ids) >= SHARD or held + len(words) > SHARD_WORDS):
+                    yield row()
+                    ids, parts, place, held = [], [], {}, 0
+                ids.append(doc_id)
+                parts.append(np.fromiter((place.setdefault(w, len(place)) for w in words), dtype=np.int32, count=len(words)))
+                held += len(words)
+        if ids:
+            yield row()
+
+    rows = docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, SHARDS)
+    return materialize(rows.withColumn("shard", F.monotonically_increasing_id()), "lm-shards")
+
+
+def count_words(shards: DataFrame) -> DataFrame:
+    """(word, n) over all documents."""
+    each = shards.select(F.explode(F.arrays_zip("words", "counts")).alias("x"))
+    return materialize(each.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("n")), "lm-words")
 
 
-def vocabulary(docs: DataFrame, text_col: str, size: int = WORDS) -> Vocabulary:
-    top = count_words(docs, text_col).orderBy(F.desc("n"), "word").limit(size).collect()
+def vocabulary(counts: DataFrame, size: int = WORDS) -> Vocabulary:
+    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
     return Vocabulary([r["word"] for r in top])
 
 
+def rare_words(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(word, n) of the words that share a bucket."""
+    top = counts.sparkSession.createDataFrame([(w,) for w in vocab.ids], "word string")
+    return counts.join(top, "word", "left_anti")
+
+
+def bucket_totals(rare: DataFrame) -> np.ndarray:
+    """Tokens of every bucket."""
+    out = np.zeros(BUCKETS)
+    bucket = (F.crc32(F.col("word").cast("binary")) % BUCKETS).alias("bucket")
+    for r in rare.groupBy(bucket).agg(F.sum("n").alias("n")).collect():  # one row per bucket
+        out[r["bucket"]] = r["n"]
+    return out
+
+
+def by_shard(shards: DataFrame, rows: DataFrame):
+    """Shards next to the rows of their words."""
+    places = shards.select("shard", F.posexplode("words").alias("pos", "word"))
+    near = places.join(rows, "word").select(F.col("shard").alias("part"), "pos", "word", "n", *VECTOR)
+    return shards.select("shard", "doc_ids", "lengths", "tokens", "words").groupBy("shard").cogroup(near.groupBy("part"))
+
+
+class Shard:
+    """A shard with its rows: `core` has the network's id of every word, `own` its row of `rows`,
+    whose last row is zero and stands for words without one."""
+
+    def __init__(self, shard: pa.Table, near: pa.Table, vocab: Vocabulary) -> None:
+        self.doc_ids = shard.column("doc_ids")[0].values
+        self.lengths = np.array(shard.column("lengths")[0].as_py(), dtype=np.int64)
+        self.tokens = np.frombuffer(shard.column("tokens")[0].as_py(), dtype=np.int32).astype(np.int64)
+        words = shard.column("words")[0].as_py()
+        size = len(words)
+        self.core = np.append(vocab.encode(words), SIZE)  # the last word stands outside the text
+        self.pos = near.column("pos").to_numpy().astype(np.int64)
+        self.n = near.column("n").to_numpy().astype(np.int64)
+        self.rows = np.zeros((len(self.pos) + 1, WIDTH), dtype=np.float32)
+        for k, v in enumerate(VECTOR):
+            self.rows[:-1, k] = near.column(v).to_numpy()
+        self.own = np.full(size + 1, len(self.pos), dtype=np.int64)
+        self.own[self.pos] = np.arange(len(self.pos))
+        docs = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        padded = np.full(len(self.tokens) + 2 * REACH * len(self.lengths), size, dtype=np.int64)
+        self.at = np.arange(len(self.tokens)) + REACH * (2 * docs + 1)
+        padded[self.at] = self.tokens
+        self.padded, self.turn = padded, docs + np.arange(len(self.tokens)) - (np.cumsum(self.lengths) - self.lengths)[docs]
+
+    def context(self, places: np.ndarray) -> np.ndarray:
+        """Words around the tokens at these places."""
+        offsets = np.array([k for k in range(-REACH, REACH + 1) if k])
+        return self.padded[self.at[places][:, None] + offsets]
+
+    def targets(self, turn: int, rounds: int) -> np.ndarray:
+        """Places learnt in a round."""
+        return np.flatnonzero((self.turn + turn * MASK // 2) % MASK == 0)
+
+    def log_probs(self, net: Network, totals: np.ndarray) -> np.ndarray:
+        share = np.zeros(len(self.core))
+        share[self.pos] = np.log(self.n) - np.log(totals[self.core[self.pos] - WORDS])
+        out = np.empty(len(self.tokens))
+        for at in range(0, len(out), BLOCK):
+            places = np.arange(at, min(at + BLOCK, len(out)))
+            near, ids = self.context(places), self.core[self.tokens[places]]
+            _, _, pu, pl, upper, lower = net.forward(self.core[near], ids, self.rows[self.own[near]])
+            row = np.arange(len(ids))
+            out[places] = np.log(pu[row, upper]) + np.log(pl[row, lower])
+        return out + share[self.tokens]
+
+
+def _sum_rows(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct indices and the sums of their rows."""
+    order = np.argsort(index, kind="stable")
+    ordered = index[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    return ordered[first], np.add.reduceat(values[order], first, axis=0)
+
+
 class Network:
     """The weights, as one flat vector, with views by name."""
 
@@ -127,9 +232,11 @@ class Network:
         offsets = [k for k in range(2 * REACH + 1) if k != REACH]
         return np.stack([padded[k : k + len(ids)] for k in offsets], axis=1)
 
-    def forward(self, context: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+    def forward(self, context: np.ndarray, ids: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """`own`: rows that are added to the embeddings of the context."""
         v = self.views
-        x = v["embed"][context].reshape(len(context), -1)
+        x = v["embed"][context]
+        x = (x if own is None else x + own).reshape(len(context), -1)
         h = np.tanh(x @ v["w"] + v["b"])
         upper, lower = ids // CLASSES, ids % CLASSES
         pu = _softmax(h @ v["up"] + v["up_b"])
@@ -146,10 +253,14 @@ class Network:
             out[part] = np.log(pu[row, upper]) + np.log(pl[row, lower])
         return out
 
-    def learn(self, context: np.ndarray, ids: np.ndarray, seen: Network) -> None:
-        """One adaptive gradient step; `seen` sums squared gradients."""
+    def learn(
+        self, context: np.ndarray, ids: np.ndarray, seen: Network, rows: np.ndarray | None = None,
+        own: np.ndarray | None = None, rows_seen: np.ndarray | None = None,
+    ) -> None:
+        """One adaptive gradient step; `seen` sums squared gradients. `rows[own]` is added to the embeddings
+        of the context and learns too, but for its last row."""
         v = self.views
-        x, h, pu, pl, upper, lower = self.forward(context, ids)
+        x, h, pu, pl, upper, lower = self.forward(context, ids, None if rows is None else rows[own])
         n, row = len(ids), np.arange(len(ids))
         pu[row, upper] -= 1
         pl[row, lower] -= 1
@@ -164,7 +275,14 @@ class Network:
         np.add.at(g["low_b"], upper, pl)
         g["w"][:] = x.T @ back
         g["b"][:] = back.sum(axis=0)
-        np.add.at(g["embed"], context.ravel(), (back @ v["w"].T).reshape(-1, WIDTH))
+        into = (back @ v["w"].T).reshape(-1, WIDTH)
+        at, total = _sum_rows(context.ravel(), into)
+        g["embed"][at] = total
+        if rows is not None:
+            at, total = _sum_rows(own.ravel(), into)
+            at, total = at[at < len(rows) - 1], total[at < len(rows) - 1]
+            rows_seen[at] += total * total
+            rows[at] -= RATE * total / (np.sqrt(rows_seen[at]) + 1e-6)
         seen.flat += grad.flat * grad.flat
         self.flat -= RATE * grad.flat / (np.sqrt(seen.flat) + 1e-6)
 
@@ -176,62 +294,39 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
-def train(docs: DataFrame, vocab: Vocabulary, text_col: str, rounds: int = ROUNDS) -> Network:
-    """Average of the shards' weights, round after round."""
-    spark = docs.sparkSession
-    schema = "at int, total double, words double"
-    target = pa_schema(spark, schema)
+def train(shards: DataFrame, vocab: Vocabulary, rare: DataFrame, rounds: int = ROUNDS) -> tuple[Network, DataFrame]:
+    """Average of the shards' weights and of the words' rows, round after round."""
+    spark = shards.sparkSession
+    target = pa_schema(spark, LEARNT)
     net = Network()
+    rows = rare.where(F.col("n") >= SEEN).select("word", "n", *(F.lit(0.0).cast("float").alias(v) for v in VECTOR))
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((vocab, net.flat, turn))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            vocab, flat, turn = shared.value
-            index = np.arange(len(flat), dtype=np.int32)
-
-            def shard() -> tuple[Network, Network]:
-                return Network(flat.copy()), Network(np.full_like(flat, 1e-4))
-
-            def rows(net: Network, learnt: int) -> pa.RecordBatch:
-                total = net.flat.astype(np.float64) * learnt
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(index), pa.array(total), pa.array(np.full(len(flat), float(learnt)))], schema=target
-                )
-
-            (net, seen), docs, learnt = shard(), 0, 0
-            contexts: list[np.ndarray] = []
-            words: list[np.ndarray] = []
-            waiting = 0
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    ids = vocab.encode(words_of(text))
-                    docs += 1
-                    if len(ids):
-                        at = np.arange((turn * MASK // 2 + docs) % MASK, len(ids), MASK)
-                        contexts.append(Network.context(ids)[at])
-                        words.append(ids[at])
-                        waiting += len(at)
-                    if waiting >= BATCH or (docs >= SHARD and waiting):
-                        context, target_ids = np.concatenate(contexts), np.concatenate(words)
-                        for k in range(0, len(target_ids), BATCH):
-                            net.learn(context[k : k + BATCH], target_ids[k : k + BATCH], seen)
-                        learnt += waiting
-                        contexts, words, waiting = [], [], 0
-                    if docs >= SHARD:
-                        if learnt:
-                            yield rows(net, learnt)
-                        (net, seen), docs, learnt = shard(), 0, 0
-            if waiting:
-                net.learn(np.concatenate(contexts), np.concatenate(words), seen)
-                learnt += waiting
-            if learnt:
-                yield rows(net, learnt)
-
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            vocab, flat, turn = shared.value  # noqa: B023
+            part = Shard(left, right, vocab)
+            net, seen = Network(flat.copy()), Network(np.full_like(flat, 1e-4))
+            rows_seen = np.full_like(part.rows, 1e-4)
+            places = part.targets(turn, rounds)
+            used = np.zeros(len(part.rows))
+            for k in range(0, len(places), BATCH):
+                at = places[k : k + BATCH]
+                near = part.context(at)
+                own = part.own[near]
+                net.learn(part.core[near], part.core[part.tokens[at]], seen, part.rows, own, rows_seen)
+                used += np.bincount(own.ravel(), minlength=len(used))
+            m = len(part.pos)
+            cells = [[net.flat.tolist()] + [None] * m, [float(len(places))] + [None] * m, [None, *right.column("word").to_pylist()],
+                     [None, *part.n.tolist()], [None, *used[:-1].tolist()], *([None, *part.rows[:-1, k].tolist()] for k in range(WIDTH))]
+            return pa.table([pa.array(c, type=f.type) for c, f in zip(cells, target, strict=True)], schema=target)
+
+        learnt = materialize(by_shard(shards, rows).applyInArrow(run, LEARNT), "lm-learnt")
         mean = (
-            docs.select(text_col)
-            .mapInArrow(run, schema)
+            learnt.where("learnt > 0")
+            .select("learnt", F.posexplode("core").alias("at", "value"))
             .groupBy("at")
-            .agg((F.sum("total") / F.sum("words")).alias("v"))
+            .agg((F.sum(F.col("value") * F.col("learnt")) / F.sum("learnt")).alias("v"))
             .collect()  # one row per weight
         )
         if mean:
@@ -239,34 +334,41 @@ def train(docs: DataFrame, vocab: Vocabulary, text_col: str, rounds: int = ROUND
             for r in mean:
                 flat[r["at"]] = r["v"]
             net = Network(flat)
-    return net
+        weight = F.sum("used")
+        rows = materialize(
+            learnt.where("word is not null").groupBy("word").agg(
+                F.max("n").alias("n"),
+                *(F.when(weight > 0, F.sum(F.col("used") * F.col(v)) / weight).otherwise(F.first(v)).cast("float").alias(v) for v in VECTOR),
+            ),
+            "lm-rows",
+        )
+    return net, rows
 
 
-def score(docs: DataFrame, vocab: Vocabulary, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(shards: DataFrame, vocab: Vocabulary, net: Network, rows: DataFrame, rare: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_prob, mean_log_prob) of every document."""
-    spark: SparkSession = docs.sparkSession
-    shared = spark.sparkContext.broadcast((vocab, net.flat))
+    spark: SparkSession = shards.sparkSession
+    shared = spark.sparkContext.broadcast((vocab, net.flat, bucket_totals(rare)))
     target = pa_schema(spark, SCORES)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, flat = shared.value
-        net = Network(flat)
-        for batch in batches:
-            sums, counts = [], []
-            for text in batch.column(1).to_pylist():
-                ids = vocab.encode(words_of(text))
-                counts.append(len(ids))
-                sums.append(float(net.log_probs(ids).sum()) if len(ids) else 0.0)
-            means = [s / n if n else None for s, n in zip(sums, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, type=pa.int64()), pa.array(sums), pa.array(means, type=pa.float64())],
-                schema=target,
-            )
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        vocab, flat, totals = shared.value
+        part = Shard(left, right, vocab)
+        upto = np.append(0.0, np.cumsum(part.log_probs(Network(flat), totals)))
+        ends = np.cumsum(part.lengths)
+        sums = upto[ends] - upto[ends - part.lengths]
+        means = [s / n if n else None for s, n in zip(sums.tolist(), part.lengths.tolist(), strict=True)]
+        cells = [part.doc_ids.to_pylist(), part.lengths.tolist(), sums.tolist(), means]
+        return pa.table([pa.array(c, type=f.type) for c, f in zip(cells, target, strict=True)], schema=target)
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, SCORES)
+    known = rare.join(rows.drop("n"), "word", "left").fillna(0.0, VECTOR)
+    return by_shard(shards, known).applyInArrow(run, SCORES)
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the documents and score them."""
-    vocab = vocabulary(docs, text_col)
-    return score(docs, vocab, train(docs, vocab, text_col), id_col, text_col)
+    shards = encode_shards(docs, id_col, text_col)
+    counts = count_words(shards)
+    vocab = vocabulary(counts)
+    rare = materialize(rare_words(counts, vocab), "lm-rare")
+    return score(shards, vocab, *train(shards, vocab, rare), rare)

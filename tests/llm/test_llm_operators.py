@@ -9,6 +9,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -348,6 +349,36 @@ def test_lm_probabilities_are_normalised():
     assert (pu[row, upper] * pl[row, lower]).sum() == pytest.approx(1.0, abs=1e-4)
 
 
+def test_lm_model_grows_with_the_corpus(spark):
+    """Every rare word has its own share of its bucket, and seen words have their own embedding row."""
+    prepare(spark)
+    sizes = []
+    for n in (2000, 4000):
+        rows = [(k, " ".join(f"w{(k * 20 + j) % n}" for j in range(20))) for k in range(n // 2)]
+        shards = lm_score.encode_shards(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+        counts = lm_score.count_words(shards)
+        vocab = lm_score.vocabulary(counts)
+        rare = lm_score.rare_words(counts, vocab)
+        totals = lm_score.bucket_totals(rare)
+        share = [r.n / totals[zlib.crc32(r.word.encode()) % lm_score.BUCKETS] for r in rare.collect()]
+        assert sum(share) == pytest.approx(np.count_nonzero(totals))
+        _, own = lm_score.train(shards, vocab, rare)
+        own = own.collect()
+        assert sum(any(r[v] for v in lm_score.VECTOR) for r in own) == n - lm_score.WORDS
+        sizes.append(len(own))
+    assert sizes == [2000 - lm_score.WORDS, 4000 - lm_score.WORDS]
+
+
+def test_lm_tells_words_of_a_bucket_apart(spark):
+    prepare(spark)
+    words = [f"x{k}" for k in range(4000)]
+    twins = [w for w in words if zlib.crc32(w.encode()) % lm_score.BUCKETS == 7][:2]
+    common = [" ".join(f"c{k}" for k in range(lm_score.WORDS))] * 30
+    rows = [(k, t) for k, t in enumerate([*common, *[f"c0 {twins[0]} c1"] * (lm_score.SEEN - 1), f"c0 {twins[1]} c1"])]
+    got = by_id(lm_score.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got[30].log_prob - got[30 + lm_score.SEEN - 1].log_prob == pytest.approx(np.log(lm_score.SEEN - 1), abs=1e-3)
+
+
 # ------------------------------------------------------------------------------ chats
 
 LOOKUP = {"type": "object", "required": ["q"], "properties": {"q": {"type": "string"}, "n": {"type": "integer", "maximum": 9}, "after": {}}, "additionalProperties": False}
