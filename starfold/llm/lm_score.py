@@ -15,9 +15,9 @@ rows a shard needs are joined to it, learnt there and averaged by an aggregate,
 driver holds a vocabulary. The driver sees the frequent words, the bucket totals and the
 network's weights, all of fixed size.
 
-Training covers all documents: in every round each shard starts from the current weights and rows and
-learns to predict every `MASK`-th word, shifted per round; the weights are averaged by words learnt,
-the rows by their use.
+Training covers every token: over the `ROUNDS` rounds each place of each document is a target exactly
+once. In a round each shard starts from the current weights and rows; the weights are
+averaged by words learnt, the rows by their use.
 
 What does not grow: the layer sizes and the output classes, so inside a bucket the context does not
 tell words apart.
@@ -47,7 +47,6 @@ REACH = 2
 WIDTH = 16
 HIDDEN = 32
 ROUNDS = 2
-MASK = 16
 # A shard ends at so many documents or words.
 SHARD = 1000
 SHARD_WORDS = 250_000
@@ -185,8 +184,8 @@ class Shard:
         return self.padded[self.at[places][:, None] + offsets]
 
     def targets(self, turn: int, rounds: int) -> np.ndarray:
-        """Places learnt in a round."""
-        return np.flatnonzero((self.turn + turn * MASK // 2) % MASK == 0)
+        """Places learnt in a round; over all rounds every place once."""
+        return np.flatnonzero((self.turn + turn) % rounds == 0)
 
     def log_probs(self, net: Network, totals: np.ndarray) -> np.ndarray:
         share = np.zeros(len(self.core))

@@ -349,6 +349,18 @@ def test_lm_probabilities_are_normalised():
     assert (pu[row, upper] * pl[row, lower]).sum() == pytest.approx(1.0, abs=1e-4)
 
 
+def test_lm_learns_every_token_once(spark):
+    prepare(spark)
+    rng = random.Random(6)
+    rows = [(k, prose(rng, rng.randint(0, 9))) for k in range(50)]
+    shards = lm_score.encode_shards(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text").toArrow()
+    assert shards.num_rows == 1
+    none = pa.table({"pos": pa.array([], pa.int32()), "n": pa.array([], pa.int64())} | {v: pa.array([], pa.float32()) for v in lm_score.VECTOR})
+    part = lm_score.Shard(shards, none, lm_score.Vocabulary([]))
+    learnt = np.concatenate([part.targets(turn, lm_score.ROUNDS) for turn in range(lm_score.ROUNDS)])
+    assert sorted(learnt) == list(range(sum(len(t.split()) for _, t in rows)))
+
+
 def test_lm_model_grows_with_the_corpus(spark):
     """Every rare word has its own share of its bucket, and seen words have their own embedding row."""
     prepare(spark)
