@@ -49,7 +49,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def off_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that don't overlap with the benchmark."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), short=True)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

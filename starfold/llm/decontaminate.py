@@ -20,8 +20,11 @@ Chance of a miss. An unchanged window holds every seed. With a fifth of the word
 a window of 13 words has no seed of the four masks in a few per cent of cases; longer overlaps have
 far more seeds.
 
-Defined cases. Null or empty texts match nothing. Items of fewer than `MIN_WORDS` words are too short
-to tell a leak from common wording and match nothing. Repeated rows and ids, also null ids, are each reported
+Short items. Items of fewer than `MIN_WORDS` words are too short for seeds. With `short` they match where
+all their words stand in the document in a row, unchanged: runs of each length that items have are
+hashed and joined like seeds. Without it they match nothing.
+
+Defined cases. Null or empty texts match nothing, and items without words neither. Repeated rows and ids, also null ids, are each reported
 under their id; equal rows give one row. Empty tables give empty results.
 """
 
@@ -77,15 +80,17 @@ def overlaps(
     item_text_col: str = "text",
     window: int = WINDOW,
     percent: int = PERCENT,
+    short: bool = False,
 ) -> DataFrame:
     """(doc_id, th, item_id, n_window, n_equal, first_word): the contaminated documents and the
     best window with each item; `th` is the hash of the document's text."""
-    items = materialize(
+    every = materialize(
         benchmark.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("hashes")).where(
-            F.size("hashes") >= MIN_WORDS
+            F.size("hashes") > 0
         ),
         "benchmark-items",
     )
+    items = every.where(F.size("hashes") >= MIN_WORDS)
     seeds = materialize(
         seed_places(items).select("seed", "item_id", F.col("pos").alias("item_pos"), F.size("hashes").alias("n")),
         "benchmark-seeds",
@@ -125,11 +130,39 @@ def overlaps(
             )
         ).alias("n_equal"),
     )
-    return (
+    found = (
         scored.where(100 * F.col("n_equal") >= percent * F.col("n_window"))
         .groupBy("doc_id", "th", "item_id")
         .agg(F.first("n_window").alias("n_window"), F.max("n_equal").alias("n_equal"), F.min("low").alias("first_word"))
     )
+    few = every.where(F.size("hashes") < MIN_WORDS)
+    lengths = sorted(r[0] for r in few.select(F.size("hashes")).distinct().collect()) if short else []  # under MIN_WORDS
+    return found.unionByName(short_matches(rows, few, lengths)) if lengths else found
+
+
+def short_matches(rows: DataFrame, few: DataFrame, lengths: list[int]) -> DataFrame:
+    """The columns of `overlaps` for items whose words all stand in a row in a document."""
+
+    def run(hashes: str, pos: Column, n: int) -> Column:
+        parts = [F.get(F.col(hashes), pos + k) for k in range(n)]
+        return F.when(parts[-1].isNotNull(), F.xxhash64(F.lit(n), *parts))
+
+    size = F.size("hashes")
+    item = few.select(
+        "item_id", F.col("hashes").alias("item"), F.coalesce(*(F.when(size == n, run("hashes", F.lit(0), n)) for n in lengths)).alias("run")
+    )
+    runs = rows.select("*", F.posexplode("hashes").alias("pos", "word")).select(
+        "*", F.explode(F.array(*(run("hashes", F.col("pos"), n) for n in lengths))).alias("run")
+    )
+    n_words = F.size("item").alias("n_words")
+    return (
+        runs.where("run is not null")
+        .join(item, "run")
+        .where(F.slice("hashes", F.col("pos") + 1, F.size("item")) == F.col("item"))
+        .select("doc_id", "th", "item_id", "pos", n_words)
+        .groupBy("doc_id", "th", "item_id")
+        .agg(F.first("n_words").alias("n_window"), F.first("n_words").alias("n_equal"), F.min("pos").alias("first_word"))
+    )
 
 
 def least_equal(window: int = WINDOW, percent: int = PERCENT) -> int:
@@ -137,11 +170,11 @@ def least_equal(window: int = WINDOW, percent: int = PERCENT) -> int:
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", short: bool = False
 ) -> DataFrame:
     """The documents, as they are, without those that overlap with a benchmark item."""
     d, t = fresh(docs, "sf_doc"), fresh(docs, "sf_text")
-    bad = overlaps(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    bad = overlaps(docs, benchmark, id_col, text_col, short=short).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
     return docs.join(
         bad,
         docs[id_col].eqNullSafe(bad[d]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == bad[t]),

@@ -67,7 +67,7 @@ def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short=True).drop("th")
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starfold.llm import (
     chat_tools,
     decontaminate,
@@ -27,7 +28,7 @@ from starfold.llm import (
 )
 from starfold.llm.common import prepare
 from starfold.llm.components import components
-from starfold.llm.queries import tokenizer_path
+from starfold.llm.queries import QUERIES, tokenizer_path
 from starfold.llm.shingles import shingle_hashes, shingle_set
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, sf_doc string, H string"
@@ -274,6 +275,19 @@ def test_decontamination_by_shuffle(spark, monkeypatch):
     assert [r.doc_id for r in decontaminate.overlaps(frame, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()] == [1]
 
 
+def test_short_benchmark_items(spark, tmp_path):
+    items = {1: "What is pi?", 2: "seven words make up this short item", 3: "", 4: "pi", 5: None}
+    texts = {1: "so: WHAT is, pi! and what is pi", 2: "what is pie", 3: "x seven words make up this short item y",
+             4: "seven words make up that short item", 5: None, 6: "what is"}
+    path = str(tmp_path / "data")
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(list(items.items()), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id): (r.n_window, r.n_equal, r.first_word) for r in QUERIES["op7_decontaminate"](spark, path).collect()}
+    assert got == {(1, 1): (3, 3, 1), (1, 4): (1, 1, 3), (3, 2): (7, 7, 1)}
+    left = corpus_pipeline.off_benchmark(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    assert {r.doc_id for r in left.collect()} == {2, 4, 5, 6}
+
+
 # ------------------------------------------------------------------------------ language ID
 
 
