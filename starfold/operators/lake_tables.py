@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold import constants as K
@@ -58,9 +60,33 @@ def _scalars(raw: DataFrame, simulation_id: str) -> DataFrame:
     )
 
 
-def _objects(table: str, raw: DataFrame, context: DataFrame, simulation_id: str) -> DataFrame:
+# Columns that every lake table carries, whichever others are asked for.
+_FIXED = ("simulation_id", "ttot", "time_myr", "source_hdf5_path")
+
+
+def kept_columns(table: str, only: Collection[str] | None) -> list[str] | None:
+    """The lake columns to make for `only` (None: all): those, the fixed ones and what they are made of."""
+    if only is None:
+        return None
+    names = table_schema(table).names
+    unknown = [n for n in only if n not in names]
+    if unknown:
+        raise ValueError(f"{table} has no columns {unknown}")
+    axes = [c.name for c in TABLES[table][1] if c.centred] if "r_pc" in only else []
+    return [n for n in names if n in only or n in _FIXED or n in axes]
+
+
+def raw_names(table: str, only: Collection[str] | None) -> list[str] | None:
+    """The raw columns that those lake columns are read from."""
+    kept = kept_columns(table, only)
+    return None if kept is None else [c.raw for c in TABLES[table][1] if c.raw and c.name in kept]
+
+
+def _objects(
+    table: str, raw: DataFrame, context: DataFrame, simulation_id: str, only: Collection[str] | None = None
+) -> DataFrame:
     """Typed columns; positions are centred in double precision and stored in single."""
-    spec = TABLES[table][1]
+    spec = [c for c in TABLES[table][1] if only is None or c.name in only]
     joined = raw.join(context, ["source_hdf5_path", "TTOT"])
 
     def column(c) -> Column:
@@ -98,25 +124,31 @@ def raw_steps(raw: DataFrame, simulation_id: str) -> DataFrame:
 
 
 def lake_tables(
-    raw: dict[str, DataFrame], simulation_id: str, winners: DataFrame | None = None
+    raw: dict[str, DataFrame],
+    simulation_id: str,
+    winners: DataFrame | None = None,
+    columns: dict[str, Collection[str] | None] | None = None,
 ) -> dict[str, DataFrame]:
     """The four lake tables of raw scalars / singles / binaries / mergers frames.
 
     Snapshots written by several files are taken from the latest file in every table. `winners`
     names the (simulation_id, source_hdf5_path, ttot) to keep when the frames hold only part of the
-    files.
+    files. `columns` names the lake columns to make of a table (singles, binaries, mergers), all where it
+    has no entry.
     """
     if winners is None:
         winners = step_winners(raw_steps(raw["scalars"], simulation_id))
     keep = winners.select(*_FILE_STEP)
     context = step_context(raw["scalars"])
     out = {"snapshot_scalars": _scalars(raw["scalars"], simulation_id)}
+    made: dict[str, list[str] | None] = {}
     for name in ("singles", "binaries", "mergers"):
         if name in raw:
             table = f"snapshot_{name}"
-            out[table] = _objects(table, raw[name], context, simulation_id)
+            made[table] = kept_columns(table, (columns or {}).get(name))
+            out[table] = _objects(table, raw[name], context, simulation_id, made[table])
     return {
-        table: table_schema(table).conform(rows.join(keep, _FILE_STEP, "left_semi"))
+        table: table_schema(table).conform(rows.join(keep, _FILE_STEP, "left_semi"), made.get(table))
         for table, rows in out.items()
     }
 

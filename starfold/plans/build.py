@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
@@ -14,16 +14,18 @@ from starfold.functions.numeric import on_grid
 from starfold.operators import binaries as pairs
 from starfold.operators import compact, galactic, imbh, lagrangian, snapshot
 from starfold.operators.dedup import step_winners
-from starfold.operators.lake_tables import lake_tables, raw_steps
+from starfold.operators.lake_tables import lake_tables, raw_names, raw_steps
 from starfold.plans.store import COMPACT_AFTER, FeatureStore
 from starfold.schema.registry import LAKE_TABLES, TABLES, table_schema
 from starfold.session import drop_work, work_path
-from starfold.sources.files import describe_files, select_files
-from starfold.sources.h5part import H5PartDataSource
+from starfold.sources.files import describe_files, judged_files
+from starfold.sources.h5part import H5PartDataSource, raw_columns
 
 Tables = dict[str, DataFrame]
 _KINDS = ("lake", "source")
 _STEPS = "snapshot_step_index"
+# Stored with every build: files that were not read, and why.
+LEFT_OUT = "files_left_out"
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,8 @@ class Feature:
     schema_version: int = 1
     tables: tuple[str, ...] = ("scalars", "singles", "binaries")
     needs_primordial: bool = False
+    # lake columns that `build` reads of a table; all of a table without an entry
+    columns: Mapping[str, tuple[str, ...]] = field(default_factory=dict, hash=False)
 
     @property
     def key(self) -> str:
@@ -104,6 +108,8 @@ def _primordial(t: Tables) -> DataFrame:
     return pairs.primordial_binaries(t["binaries"])
 
 
+_VELOCITY = ("vx_kms", "vy_kms", "vz_kms")
+
 FEATURES: dict[str, Feature] = {
     f.name: f
     for f in (
@@ -116,6 +122,13 @@ FEATURES: dict[str, Feature] = {
             "compact_object_history",
             lambda t: compact.compact_object_history(t["singles"], t["binaries"], t["scalars"]),
             dataset=True,
+            columns={
+                "singles": ("object_id", "kw", "mass_msun", "r_pc", *_VELOCITY),
+                "binaries": (
+                    *(f"{c}_{i}" for c in ("object_id", "kw") for i in (1, 2)), "mass_1_msun", "mass_2_msun", "cm_id", "r_pc",
+                    "semi_major_axis_au", "eccentricity", *(f"cm_{a}_pc" for a in "xyz"), *(f"cm_{v}" for v in _VELOCITY),
+                ),
+            },
         ),
         Feature(
             "snapshot_summary",
@@ -125,11 +138,13 @@ FEATURES: dict[str, Feature] = {
             "current_lagrangian",
             lambda t: lagrangian.lagrangian_profile(t["singles"], t["scalars"]),
             tables=("scalars", "singles"),
+            columns={"singles": ("object_id", "mass_msun", "r_pc", *_VELOCITY)},
         ),
         Feature(
             "compact_binary_count",
             lambda t: compact.compact_binary_hits(t["binaries"], t["scalars"]),
             tables=("scalars", "binaries"),
+            columns={"binaries": ("object_id_1", "object_id_2", "kw_1", "kw_2")},
         ),
         Feature("primordial_binary", _primordial, tables=("scalars", "binaries")),
         Feature("galactic_orbit", _orbit, tables=("scalars",)),
@@ -213,8 +228,10 @@ class Builder:
         roots: dict[str, str],
         opener: str | None = None,
         now: Callable[[], float] = time.time,
+        slice_bytes: int | None = None,
     ) -> None:
         self.store, self.roots, self.opener, self.now = store, roots, opener, now
+        self.slice_bytes = slice_bytes
         self.spark: SparkSession = store.spark
         self.spark.dataSource.register(H5PartDataSource)
         self.jobs: list[Job] = []
@@ -240,9 +257,23 @@ class Builder:
                 drop_work(self.spark, path)
             self._made = []
 
-    def raw(self, table: str, paths: Sequence[str], skip: bool = False) -> DataFrame:
-        """Raw rows of one table of the given files."""
+    def raw(
+        self,
+        table: str,
+        paths: Sequence[str],
+        skip: bool = False,
+        columns: Sequence[str] | None = None,
+        steps: Mapping[str, Collection[float]] | None = None,
+    ) -> DataFrame:
+        """Raw rows of one table of the given files; of `columns` only, and of `steps` (times by path)."""
         reader = self.spark.read.format("h5part").option("table", table)
+        if columns is not None:
+            reader = reader.option("columns", "\n".join(columns))
+        if steps is not None:
+            lines = (f"{p}\t{','.join(map(repr, sorted(steps.get(p, ()))))}" for p in paths)
+            reader = reader.option("steps", "\n".join(lines))
+        if self.slice_bytes:
+            reader = reader.option("slice_bytes", str(self.slice_bytes))
         if self.opener:
             reader = reader.option("opener", self.opener)
         return (
@@ -251,12 +282,13 @@ class Builder:
             .load()
         )
 
-    def catalog(self, simulation_id: str, options: ScanOptions) -> DataFrame:
+    def judged(self, simulation_id: str, options: ScanOptions) -> DataFrame:
+        """All files of a simulation, with the reason where one is left out."""
         from starfold.sources.files import file_catalog
 
         files = file_catalog(self.spark, self.roots[simulation_id])
         local = files.withColumn("path", F.regexp_replace("path", r"^file:(//)?", ""))
-        return select_files(
+        return judged_files(
             describe_files(local),
             now=self.now(),
             wait_age_hour=options.wait_age_hour,
@@ -264,6 +296,10 @@ class Builder:
             exclude_bad=options.exclude_bad_dirname,
         )
 
+    def catalog(self, simulation_id: str, options: ScanOptions) -> DataFrame:
+        """The files to read."""
+        return self.judged(simulation_id, options).where("left_out is null").drop("left_out")
+
     def _steps(self, simulation_id: str, catalog: DataFrame, skip: bool) -> DataFrame:
         """Steps of the listed files, from the stored index; only new and changed files are opened.
 
@@ -281,9 +317,11 @@ class Builder:
             path = self._work("steps")
             rows.write.parquet(path)
             rows = self.spark.read.parquet(path)
-            entries = new.join(
-                rows.groupBy("source_hdf5_path").agg(F.max("problem").alias("problem")), "source_hdf5_path", "left"
-            )
+            # slices are checked one by one; a problem in one of them stands for the whole file
+            problems = rows.groupBy("source_hdf5_path").agg(F.max("problem").alias("_problem"))
+            whole = F.col("_problem").isNull() | F.col("problem").eqNullSafe(F.col("_problem"))
+            rows = rows.join(problems, "source_hdf5_path").where(whole).select(*rows.columns).distinct()
+            entries = new.join(problems.withColumnRenamed("_problem", "problem"), "source_hdf5_path", "left")
             self.store.commit(simulation_id, _STEPS, rows, entries)
             self.store.compact(simulation_id, _STEPS)
         return self.store.read(simulation_id, _STEPS).join(
@@ -311,10 +349,14 @@ class Builder:
         self, simulation_id: str, features: list[Feature], options: ScanOptions
     ) -> None:
         # the catalogue is one row per file; file names are what the driver schedules by
-        catalog = self.catalog(simulation_id, options)
+        judged = self.judged(simulation_id, options)
         path = self._work("catalog")
-        catalog.write.parquet(path)
-        catalog = self.spark.read.parquet(path)
+        judged.write.parquet(path)
+        judged = self.spark.read.parquet(path)
+        catalog = judged.where("left_out is null").drop("left_out")
+        left = judged.where("left_out is not null").drop("run_dir")
+        if self.store.has(simulation_id, LEFT_OUT) or not left.isEmpty():
+            self.store.write_table(simulation_id, LEFT_OUT, left)
         if catalog.isEmpty():
             return
         steps = self._steps(simulation_id, catalog, options.skip_unreadable_files)
@@ -396,16 +438,29 @@ class Builder:
     def _tables(
         self, simulation_id: str, paths: list[str], features: list[Feature], winners: DataFrame
     ) -> Tables:
-        """Lake tables of a batch of files, read once and written for all features of the group."""
+        """Lake tables of a batch of files, read once and written for all features of the group.
+
+        Of each table only the columns that some feature reads leave the files, and only the steps that the
+        files stand for; the scalars are read whole, as their first step has the file's factors.
+        """
         needed = {t for f in features for t in f.tables} | {"scalars"}
-        raw = {n: self.raw(n, paths) for n in needed}
+        columns: dict[str, set[str] | None] = {}
+        for name in needed - {"scalars"}:
+            asked = [f.columns.get(name) for f in features if name in f.tables]
+            columns[name] = None if None in asked else {c for part in asked for c in part or ()}
+        held = winners.join(self._paths(paths), "source_hdf5_path", "left_semi")
+        times: dict[str, set[float]] = {p: set() for p in paths}
+        for r in held.select("source_hdf5_path", "ttot").collect():
+            times[r["source_hdf5_path"]].add(r["ttot"])
+        raw = {n: self.raw(n, paths, columns=raw_names(f"snapshot_{n}", columns[n]), steps=times) for n in columns}
+        raw["scalars"] = self.raw("scalars", paths)
         # scalars feed every other table: keep the small table instead of reopening each file
         path = self._work("raw-scalars")
         raw["scalars"].write.parquet(path)
         raw["scalars"] = self.spark.read.parquet(path)
         keep = winners.select("simulation_id", "source_hdf5_path", "ttot")
         tables: Tables = {}
-        for name, rows in lake_tables(raw, simulation_id, winners=keep).items():
+        for name, rows in lake_tables(raw, simulation_id, keep, columns).items():
             target = self._work(name)
             rows.write.parquet(target)
             tables[name.removeprefix("snapshot_")] = self.spark.read.parquet(target)
@@ -483,7 +538,9 @@ def raw_tables(
             }
     out = {}
     for table, wanted in columns.items():
-        rows = builder.raw(table, [path])
+        known = [] if table == "scalars" else raw_columns(table)
+        names = None if wanted is None or not known else [n for n in dict.fromkeys(wanted) if n in known]
+        rows = builder.raw(table, [path], columns=names)
         if wanted is not None:
             names = [n for n in dict.fromkeys(wanted) if n != "TTOT" and n in rows.columns]
             rows = rows.select(*[F.col(f"`{n}`") for n in names], "TTOT")

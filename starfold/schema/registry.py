@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -90,14 +91,13 @@ class TableSchema:
         pairs = json.dumps([[c.name, c.dtype] for c in self.columns])
         return hashlib.sha1(pairs.encode()).hexdigest()
 
-    def conform(self, df: DataFrame) -> DataFrame:
-        """Registered columns in registered order and type."""
-        missing = [n for n in self.names if n not in df.columns]
+    def conform(self, df: DataFrame, only: Collection[str] | None = None) -> DataFrame:
+        """Registered columns (or those of `only`) in registered order and type."""
+        kept = [c for c in self.columns if only is None or c.name in only]
+        missing = [c.name for c in kept if c.name not in df.columns]
         if missing:
             raise SchemaError(f"{self.table}: missing columns {missing}")
-        return df.select(
-            *[F.col(c.name).cast(TYPES[c.dtype]).alias(c.name) for c in self.columns]
-        )
+        return df.select(*[F.col(c.name).cast(TYPES[c.dtype]).alias(c.name) for c in kept])
 
     def check_columns(self, df: DataFrame) -> None:
         """Names, order and type families; needs no job."""

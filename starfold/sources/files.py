@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -39,7 +40,7 @@ def describe_files(files: DataFrame) -> DataFrame:
     )
 
 
-def select_files(
+def judged_files(
     catalog: DataFrame,
     *,
     now: float,
@@ -47,13 +48,34 @@ def select_files(
     every: float | None = 1.0,
     exclude_bad: bool = True,
 ) -> DataFrame:
-    """Old enough files outside 'bad' directories, the larger one per time, on the time grid."""
-    keep = catalog.where(F.col("mtime") <= F.lit(float(now) - 3600.0 * wait_age_hour))
-    if exclude_bad:
-        parent = F.lower(F.regexp_extract("run_dir", r"([^/]*)$", 1))
-        keep = keep.where(~parent.contains("bad"))
-    one = first_row(keep, ["filename_time"], F.desc("size_bytes"), "path")
-    return one.where(on_grid("filename_time", every))
+    """The catalogue with `left_out`: why a file is not read, NULL for those that are.
+
+    Reasons in this order: too new, in a folder called bad, no time in the name, smaller than another file of
+    the same time (equal sizes: the first path stays), not on the time grid.
+    """
+    parent = F.lower(F.regexp_extract("run_dir", r"([^/]*)$", 1))
+    plain = (
+        F.when(F.col("mtime") > F.lit(float(now) - 3600.0 * wait_age_hour), "too new")
+        .when(F.lit(exclude_bad) & parent.contains("bad"), "bad folder")
+        .when(F.col("filename_time").isNull(), "no time in the name")
+    )
+    marked = catalog.withColumn("left_out", plain)
+    able = marked.where(F.col("left_out").isNull()).select("path", "filename_time", "size_bytes")
+    one = first_row(able, ["filename_time"], F.desc("size_bytes"), "path")
+    one = one.select("path", on_grid("filename_time", every).alias("_on_grid"))
+    late = F.when(F.col("_on_grid").isNull(), "another file of this time is larger").when(
+        ~F.col("_on_grid"), "off the time grid"
+    )
+    return (
+        marked.join(one, "path", "left")
+        .withColumn("left_out", F.coalesce("left_out", late))
+        .select(*catalog.columns, "left_out")
+    )
+
+
+def select_files(catalog: DataFrame, **rules: Any) -> DataFrame:
+    """The files that `judged_files` leaves none out of."""
+    return judged_files(catalog, **rules).where(F.col("left_out").isNull()).drop("left_out")
 
 
 def missing_times(selected: DataFrame, every: float, chunk_width: float = 4096.0) -> DataFrame:

@@ -39,3 +39,22 @@ def open_file(path):
 def write_file(path, steps):
     with open(path, "wb") as handle:
         pickle.dump(steps, handle)
+
+
+class LoggedGroup(Group):
+    """Notes every dataset that is taken from it in <file>.log."""
+
+    def __init__(self, group, log, key):
+        super().__init__(group.attrs, group._data)
+        self._log, self._key = log, key
+
+    def __getitem__(self, key):
+        with open(self._log, "a") as log:
+            print(self._key, key, sep="\t", file=log)
+        return super().__getitem__(key)
+
+
+def open_logged(path):
+    file = open_file(path)
+    file._steps = {k: LoggedGroup(g, path + ".log", k) for k, g in file._steps.items()}
+    return file

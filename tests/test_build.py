@@ -447,7 +447,7 @@ def test_new_file_opens_only_itself(spark, world, monkeypatch):
     touch(new, 1010.0)
     asked = []
     raw = Builder.raw
-    monkeypatch.setattr(Builder, "raw", lambda self, table, paths, skip=False: asked.append((table, tuple(paths))) or raw(self, table, paths, skip))
+    monkeypatch.setattr(Builder, "raw", lambda self, table, paths, *a, **b: asked.append((table, tuple(paths))) or raw(self, table, paths, *a, **b))
     build(builder, ["snapshot_summary"])
     assert {p for _, paths in asked for p in paths} == {str(new)}
 
