@@ -6,10 +6,10 @@ Method.
    equal chunks wherever they stand. A map-side combined sum makes the dictionary: distinct chunks and how often each was parsed.
 2. n-grams are counted inside distinct chunks, weighted by the chunk's frequency. An n-gram belongs to the
    chunk that owns its first word, so the overlaps are counted once and no n-gram is cut.
-3. Lengths are counted one after the other. A phrase can only reach `min_count` if both its parts that
-   are one word shorter do, so after each length the frequent phrases are hashed into a bitmap of fixed size
-   (`FILTER_BITS`), which the tasks of later lengths use to leave out phrases early. The bitmap only
-   saves work: hash collisions let too much through, never too little, and the exact sum decides.
+3. Single words are counted first, then pairs, then all longer phrases. A phrase can only reach `min_count` if
+   all its words and pairs do, so the frequent words and the frequent pairs are hashed into a bitmap of fixed size
+   each (`FILTER_BITS`), which the tasks of later passes use to leave out phrases early. The bitmaps only
+   save work: hash collisions let too much through, never too little, and the exact sum decides.
 4. Candidates (2 to `n_max` words) are joined with the counts of the parts of every cut; the score
    is floor(1000 * a * n / (l * r)) in decimals of 38 digits. A candidate goes if a longer one that contains it is as
    frequent. Such a longer one has only phrases between the two in it that are as frequent as well, so looking at
@@ -27,7 +27,6 @@ table, or one without frequent phrases, gives no rows. Extra columns are not rea
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +44,7 @@ MAX_OWN = 256
 # Bits of the bitmap of frequent phrases, 8 MB at most for each length.
 FILTER_BITS = 1 << 26
 BLOCK_BITS = 32768
-# Chunks and n-grams that a task sums up before it hands them on.
+# Chunks that a task sums up before it hands the n-grams on.
 HELD = 1_000_000
 
 TABLE = bytes.maketrans(
@@ -76,55 +75,45 @@ def cut_piece(words: list[bytes], overlap: int, hashes: Hashes) -> list[tuple[by
     return out
 
 
-def dictionary(docs: DataFrame, n_max: int, held_rows: int = HELD) -> DataFrame:
+def dictionary(docs: DataFrame, n_max: int) -> DataFrame:
     """(lang, chunk, open, weight): distinct chunks; the last `n_max` - 1 words of open ones belong to the next chunk."""
-    target = pa.schema(
-        [("lang", pa.string()), ("chunk", pa.string()), ("open", pa.bool_()), ("weight", pa.int64())]
-    )
-
-    def give(held: Counter) -> pa.RecordBatch:
-        keys = list(held)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.binary()).cast(pa.string()),
-                pa.array([k[2] for k in keys], pa.bool_()),
-                pa.array(list(held.values()), pa.int64()),
-            ],
-            schema=target,
-        )
+    target = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("open", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
         hashes = Hashes()
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            chunks: list[bytes] = []
+            opens: list[bool] = []
+            ends: list[int] = []
+            for text in batch.column(1).to_pylist():
                 for piece in text.translate(TABLE).split(b"\n"):
-                    if words := piece.split():
+                    words = piece.split()
+                    if len(words) > n_max:
                         for chunk, more in cut_piece(words, n_max - 1, hashes):
-                            held[lang, chunk, more] += 1
-                if len(held) > held_rows:
-                    yield give(held)
-                    held.clear()
-                if len(hashes) > held_rows:
-                    hashes.clear()
-        if held:
-            yield give(held)
+                            chunks.append(chunk)
+                            opens.append(more)
+                    elif words:
+                        chunks.append(b" ".join(words))
+                        opens.append(False)
+                ends.append(len(chunks))
+            if len(hashes) > HELD:
+                hashes.clear()
+            owner = np.repeat(np.arange(len(ends)), np.diff([0, *ends]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner)), pa.array(chunks, pa.binary()).cast(pa.string()), pa.array(opens, pa.bool_())],
+                schema=target,
+            )
 
     plain = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     )
-    chunks = plain.mapInArrow(run, "lang string, chunk string, open boolean, weight long")
-    return chunks.groupBy("lang", "chunk", "open").agg(F.sum("weight").alias("weight"))
-
-
-def phrase_hash(lang: str, phrase: bytes) -> int:
-    return zlib.crc32(lang.encode() + b"\t" + phrase) % FILTER_BITS
+    chunks = plain.mapInArrow(run, "lang string, chunk string, open boolean")
+    return chunks.groupBy("lang", "chunk", "open").agg(F.count(F.lit(1)).alias("weight"))
 
 
 def hash_column() -> Column:
-    """The same hash of the columns lang and phrase."""
+    """Place of a phrase in the bitmap, from the columns lang and phrase."""
     return F.crc32(F.concat(F.col("lang"), F.lit("\t"), F.col("phrase")).cast("binary")) % F.lit(FILTER_BITS)
 
 
@@ -144,102 +133,101 @@ def bitmap(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-class Grams:
-    """n-grams of the chunks of one language, as arrays."""
-
-    def __init__(self, lang: str, n_max: int) -> None:
-        self.lang, self.n_max = lang, n_max
-        self.ids: dict[bytes, int] = {}
-        self.words: list[bytes] = []
-        self.flat: list[int] = []
-        self.sizes: list[int] = []
-        self.own: list[int] = []
-        self.weights: list[int] = []
-
-    def add(self, chunk: bytes, more: bool, weight: int) -> None:
-        ids = self.ids
-        words = chunk.split(b" ")
-        for w in words:
-            if w not in ids:
-                ids[w] = len(self.words)
-                self.words.append(w)
-        self.flat.extend([ids[w] for w in words])
-        self.sizes.append(len(words))
-        self.own.append(len(words) - (self.n_max - 1) * more)
-        self.weights.append(weight)
-
-    def count(self, n: int, filters: list[np.ndarray]) -> tuple[list[bytes], np.ndarray]:
-        """Phrases of n words that the filters of shorter ones let pass, and their weights."""
-        gram = np.array(self.flat, np.int64)
-        sizes, own = np.array(self.sizes, np.int64), np.array(self.own, np.int64)
-        ends = np.cumsum(sizes)
-        left = np.repeat(ends, sizes) - np.arange(len(gram))
-        owned = np.arange(len(gram)) - np.repeat(ends - sizes, sizes) < np.repeat(own, sizes)
-        texts = self.words
-        alive = np.ones(len(gram), bool)
-        for k in range(1, n):
-            # gram holds local numbers of k-word phrases, and texts their words.
-            passed = self.passes(texts, filters[k - 1])
-            alive &= passed[gram]
-            alive[:-1] &= passed[gram[1:]]
-            alive[-1:] = False
-            alive &= left > k
-            at = np.flatnonzero(alive)
+class Ids(dict):
+    """Local numbers of words, in the order of their first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def passes(lang: str, texts: list[bytes], bits: np.ndarray) -> np.ndarray:
+    """Whether each phrase may be frequent; one more entry for places without a phrase."""
+    head = zlib.crc32(lang.encode() + b"\t")
+    h = np.array([zlib.crc32(t, head) for t in texts], np.int64) % FILTER_BITS
+    return np.append((bits[h >> 3] >> (h & 7)) & 1 == 1, False)
+
+
+def count_grams(
+    lang: str, chunks: list[bytes], opens: np.ndarray, weights: np.ndarray, n_max: int, lengths: range, filters: list[np.ndarray]
+) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Phrases of each of `lengths` in chunks of one language, where the filters of shorter ones let them pass, and
+    their weights. All arrays have one entry per word; gram holds local numbers of the phrases that start there."""
+    ids = Ids()
+    gram = np.fromiter(map(ids.__getitem__, b" ".join(chunks).split(b" ")), np.int64)
+    sizes = np.fromiter((c.count(b" ") for c in chunks), np.int64, len(chunks)) + 1
+    texts = list(ids)
+    ends = np.cumsum(sizes)
+    place = np.arange(len(gram))
+    left = np.repeat(ends, sizes) - place
+    own = sizes - (n_max - 1) * opens
+    owned = place < np.repeat(ends - sizes + own, sizes)
+    weight = np.repeat(weights, sizes)
+    at = place
+    for k in range(1, lengths[-1] + 1):
+        if k > 1:
+            # two phrases of k - 1 words at neighbouring places make one of k words
+            at = at[(left[at] >= k)]
+            if k - 2 < len(filters):
+                passed = passes(lang, texts, filters[k - 2])
+                at = at[passed[gram[at]] & passed[gram[at + 1]]]
+            else:
+                at = at[gram[at + 1] < len(texts)]
             codes, inverse = np.unique((gram[at] << 32) | gram[at + 1], return_inverse=True)
             heads, tails = (codes >> 32).tolist(), (codes & 0xFFFFFFFF).tolist()
-            texts = [texts[a] + b" " + texts[b].rsplit(b" ", 1)[-1] for a, b in zip(heads, tails)]
-            # Places without a phrase point at the last number, which is no phrase.
-            gram = np.full(len(gram), len(texts), np.int64)
+            last = [t[t.rfind(b" ") :] if k > 2 else b" " + t for t in map(texts.__getitem__, tails)]
+            texts = [texts[a] + b for a, b in zip(heads, last, strict=True)]
+            gram = np.full(len(gram), len(texts), np.int64)  # no phrase
             gram[at] = inverse
-        counted = alive & owned
-        weights = np.repeat(np.array(self.weights, np.int64), sizes)[counted]
-        total = np.zeros(len(texts), np.int64)
-        np.add.at(total, gram[counted], weights)
-        return texts, total
+        if k in lengths:
+            counted = at[owned[at]]
+            total = np.zeros(len(texts), np.int64)
+            np.add.at(total, gram[counted], weight[counted])
+            yield texts, total
 
-    def passes(self, texts: list[bytes], bits: np.ndarray) -> np.ndarray:
-        """Whether each phrase may be frequent; one more entry for places without a phrase."""
-        h = np.array([phrase_hash(self.lang, t) for t in texts], np.int64)
-        return np.append((bits[h >> 3] >> (h & 7)) & 1 == 1, False)
 
-
-def gram_counts(chunks: DataFrame, n: int, n_max: int, filters, held_rows: int = HELD) -> DataFrame:
-    """(lang, phrase, f) for phrases of n words; for n = 1 the phrase '' has the number of all words."""
+def gram_counts(chunks: DataFrame, lengths: range, n_max: int, filters, held_rows: int = HELD) -> DataFrame:
+    """(lang, phrase, f) for phrases of the given lengths; with length 1 the phrase '' has the number of all words."""
     target = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
-    def give(held: dict[str, Grams]) -> Iterator[pa.RecordBatch]:
-        for lang, grams in held.items():
-            texts, total = grams.count(n, filters.value if filters else [])
-            if n == 1:
-                texts, total = [*texts, b""], np.append(total, total.sum())
-            hit = np.flatnonzero(total).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(hit), pa.string()),
-                    pa.array([texts[i] for i in hit], pa.binary()).cast(pa.string()),
-                    pa.array(total[hit], pa.int64()),
-                ],
-                schema=target,
-            )
+    def give(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        langs = table.column("lang").combine_chunks().dictionary_encode()
+        numbers = langs.indices.to_numpy()
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            mine = table if len(langs.dictionary) == 1 else table.take(pa.array(np.flatnonzero(numbers == i)))
+            opens, weights = (mine.column(c).to_numpy().astype(np.int64) for c in ("open", "weight"))
+            parts = count_grams(lang, mine.column("chunk").to_pylist(), opens, weights, n_max, lengths, filters.value if filters else [])
+            for n, (texts, total) in zip(lengths, parts, strict=True):
+                if n == 1:
+                    texts, total = [*texts, b""], np.append(total, total.sum())
+                hit = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(hit), pa.string()),
+                        pa.array([texts[i] for i in hit.tolist()], pa.binary()).cast(pa.string()),
+                        pa.array(total[hit], pa.int64()),
+                    ],
+                    schema=target,
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Grams] = {}
+        held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for lang, chunk, more, weight in zip(*columns, strict=True):
-                if lang not in held:
-                    held[lang] = Grams(lang, n_max)
-                held[lang].add(chunk, more, weight)
-                size += held[lang].sizes[-1]
-            if size > 4 * held_rows:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size > held_rows:
                 yield from give(held)
-                held, size = {}, 0
-        yield from give(held)
+                held, size = [], 0
+        if held:
+            yield from give(held)
 
     rows = chunks.select("lang", F.col("chunk").cast("binary").alias("chunk"), "open", "weight")
     counted = rows.mapInArrow(run, "lang string, phrase string, f long")
-    return counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    # a task's phrases are distinct already, so they are summed once, after the shuffle
+    return counted.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(
@@ -248,17 +236,19 @@ def frequent_phrases(
     """(lang, phrase, n_words, f): all phrases of up to n_max words found min_count times or more in a
     language, as a written table. n_words = 0 holds each language's number of words."""
     sc = docs.sparkSession.sparkContext
-    chunks = materialize(dictionary(docs, n_max, held_rows), "phrases-chunks")
+    chunks = materialize(dictionary(docs, n_max), "phrases-chunks")
     tables: list[DataFrame] = []
     bits: list[np.ndarray] = []
     shared = None
-    for n in range(1, n_max + 1):
-        found = gram_counts(chunks, n, n_max, shared, held_rows)
+    for lengths in (range(1, 2), range(2, 3), range(3, n_max + 1)):
+        if not len(lengths) or lengths[0] > n_max:
+            continue
+        found = gram_counts(chunks, lengths, n_max, shared, held_rows)
         kept = found.where((F.col("f") >= min_count) | (F.col("phrase") == ""))
-        size = F.when(F.col("phrase") == "", 0).otherwise(n)
-        table = materialize(kept.withColumn("n_words", size), f"phrases-{n}")
+        size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+        table = materialize(kept.withColumn("n_words", size), f"phrases-{lengths[0]}")
         tables.append(table)
-        if n < n_max:
+        if lengths[-1] < n_max:
             bits.append(bitmap(table.where("n_words > 0")))
             if shared:
                 shared.unpersist()
