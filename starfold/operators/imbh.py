@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold.functions import energetics as en, tags
 from starfold.functions.numeric import norm3
 from starfold import constants as K
+from starfold.operators.asof import asof_join
 from starfold.operators.history import first_row
 from starfold.operators.snapshot import SNAPSHOT, with_radius
 from starfold.session import materialize
@@ -168,19 +169,13 @@ def imbh_mergers(events: DataFrame, sightings: DataFrame) -> DataFrame:
 
 
 def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Ordered fold of one bounded block: gen(product) = 1 + max(gen of the parents)."""
-    pdf = pdf.sort_values(["is_state", "ttot", "seq"], ascending=[False, True, True])
+    """Ordered fold of one simulation of few events: gen(product) = 1 + max(gen of the parents)."""
+    pdf = pdf.sort_values(["ttot", "seq"])
     gen: dict[int, int] = {}
-    touched: set[int] = set()
-    columns = ("is_state", "product_name", "parent_name_1", "parent_name_2", "generation")
-    for state, product, p1, p2, known in zip(*(pdf[c].to_numpy() for c in columns)):
-        if state:
-            gen[product] = int(known)
-            continue
+    for product, p1, p2 in zip(*(pdf[c].to_numpy() for c in ("product_name", "parent_name_1", "parent_name_2"))):
         grown = 1 + max(gen.get(p1, 0), gen.get(p2, 0))
         gen[product] = max(gen.get(product, 0), grown)
-        touched.add(product)
-    names = sorted(touched)
+    names = sorted(gen)
     return pd.DataFrame(
         {
             "simulation_id": [pdf["simulation_id"].iloc[0]] * len(names),
@@ -190,81 +185,108 @@ def _fold(pdf: pd.DataFrame) -> pd.DataFrame:
     ).astype({"product_name": "int64", "generation": "int64"})
 
 
-def _numbered(mergers: DataFrame, block: int) -> tuple[DataFrame, int]:
-    """Events with a block number: runs of at most `block` rows in the order of (ttot, seq).
+def merger_generations(mergers: DataFrame, block: int = GENERATION_BLOCK) -> DataFrame:
+    """Hierarchical generation of every merger product.
 
-    Rows are numbered, so any number of events at one time is cut like any other.
+    A simulation of at most `block` events is folded in one task of bounded size. Longer ones are settled over
+    the graph of events by `event_generations`; both give the same numbers.
     """
+    names = ("product_name", "parent_name_1", "parent_name_2")
     events = mergers.select(
-        "simulation_id",
-        "ttot",
-        "seq",
-        *[
-            F.col(c).cast("bigint").alias(c)
-            for c in ("product_name", "parent_name_1", "parent_name_2")
-        ],
+        "simulation_id", "ttot", "seq", *[F.col(c).cast("bigint").alias(c) for c in names]
     ).where(F.col("product_name").isNotNull() & F.col("ttot").isNotNull())
-    # The written order fixes a number for every event; windows see one row per task.
-    placed = materialize(
-        events.repartitionByRange("simulation_id", "ttot", "seq")
-        .sortWithinPartitions("simulation_id", "ttot", "seq")
-        .withColumn("_at", F.monotonically_increasing_id()),
-        "ordered-mergers",
-    ).withColumn("_task", F.shiftright("_at", 33))
-    runs = placed.groupBy("simulation_id", "_task").agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_at").alias("_first")
-    )
-    before = F.sum("_c").over(
-        W.partitionBy("simulation_id").orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
-    )
-    runs = runs.select(
-        "simulation_id", "_task", "_first", F.coalesce(before, F.lit(0)).alias("_before")
-    )
-    rank = F.col("_before") + F.col("_at") - F.col("_first")
-    out = materialize(
-        placed.join(runs, ["simulation_id", "_task"])
-        .withColumn("block", F.floor(rank / block).cast("int"))
-        .drop("_task", "_at", "_first", "_before"),
-        "numbered-mergers",
-    )
-    last = out.agg(F.max("block")).first()[0]
-    return out, -1 if last is None else int(last)
+    kind = "simulation_id string, product_name bigint, generation bigint"
+    sizes = materialize(events.groupBy("simulation_id").agg(F.count(F.lit(1)).alias("_n")), "merger-counts")
+    few = events.join(sizes.where(F.col("_n") <= block), "simulation_id", "left_semi")
+    folded = few.groupBy("simulation_id").applyInPandas(_fold, kind)
+    many = sizes.where(F.col("_n") > block)
+    if many.isEmpty():
+        return folded
+    return folded.unionByName(event_generations(events.join(many, "simulation_id", "left_semi")))
 
 
-def merger_generations(mergers: DataFrame, block: int = GENERATION_BLOCK) -> DataFrame:
-    """Hierarchical generation of every merger product.
+def _links(events: DataFrame) -> DataFrame:
+    """(id, pred, w): each event with the last earlier events that made its product (w = 0) and its parents (w = 1).
 
-    The fold is ordered in time, so it runs block after block: each block of a simulation is one
-    bounded pandas group that also receives the generations reached so far by the names in it.
-    The state between blocks is a table in the shared folder.
+    The product's own line has w = 1 where the product is one of the parents.
     """
-    events, last = _numbered(mergers, block)
-    kind = "simulation_id string, product_name bigint, generation bigint"
-    if last < 0:
-        return events.sparkSession.createDataFrame([], kind)
-    state: DataFrame | None = None
-    plain = events.withColumns(
-        {"is_state": F.lit(0), "generation": F.lit(0).cast("bigint")}
+    asked = events.select(
+        "simulation_id", "at", "id",
+        F.inline(F.array(*[
+            F.struct(F.col(c).alias("name"), F.lit(w).alias("w"))
+            for c, w in (("product_name", 0), ("parent_name_1", 1), ("parent_name_2", 1))
+        ])),
+    )
+    asked = asked.where(F.col("name").isNotNull()).groupBy("simulation_id", "at", "id", "name").agg(F.max("w").alias("w"))
+    made = events.select("simulation_id", "at", F.col("product_name").alias("name"), F.col("id").alias("pred"))
+    joined = asof_join(asked, made, ["simulation_id", "name"], "at", allow_equal=False)
+    return joined.where(F.col("found").isNotNull()).select("id", F.col("found.pred").alias("pred"), "w")
+
+
+def event_generations(events: DataFrame) -> DataFrame:
+    """Generations of simulations with very many events, by contracting the graph of events.
+
+    The value of an event is the largest of its base and of w + value over its links. In every round an event takes
+    over the values of links that are settled, and passes through events that depend on one other event only: their
+    link becomes its own, as in pointer doubling. So a chain of n events is settled in log2(n) rounds, a binary tree
+    in as many as it has levels at most; events without links are settled. Each round is a join of two
+    tables, written to the shared folder.
+    """
+    order = ["ttot", "seq", "product_name", "parent_name_1", "parent_name_2"]
+    placed = materialize(
+        events.repartitionByRange("simulation_id", *order)
+        .sortWithinPartitions("simulation_id", *order)
+        .withColumn("id", F.monotonically_increasing_id()),
+        "ordered-mergers",
+    )
+    # ids follow the order, so they serve as the time of the as-of join
+    placed = placed.withColumn("at", F.col("id"))
+    links = materialize(_links(placed), "merger-links")
+    state = materialize(
+        placed.select("id", F.lit(1).cast("bigint").alias("base")).join(
+            links.groupBy("id").agg(
+                F.count(F.lit(1)).alias("n"), F.max(F.struct("pred", "w")).alias("one")
+            ),
+            "id",
+            "left",
+        ).select("id", "base", F.coalesce("n", F.lit(0)).alias("n"), "one"),
+        "merger-state",
+    )
+    while not links.isEmpty():
+        told = state.select(
+            F.col("id").alias("pred"), F.col("base").alias("_base"), F.col("n").alias("_n"), F.col("one").alias("_one")
+        )
+        seen = links.join(told, "pred")
+        # a settled link only raises the base, one to an event with a single link is replaced by that one
+        through = F.col("_n") == 1
+        moved = materialize(
+            seen.select(
+                "id",
+                F.when(F.col("_n") == 0, None).when(through, F.col("_one")["pred"]).otherwise(F.col("pred")).alias("pred"),
+                (F.col("w") + F.when(through, F.col("_one")["w"]).otherwise(0)).alias("w"),
+                F.when(F.col("_n") <= 1, F.col("w") + F.col("_base")).alias("gain"),
+            ),
+            "merger-round",
+        )
+        links = materialize(
+            moved.where(F.col("pred").isNotNull()).groupBy("id", "pred").agg(F.max("w").alias("w")), "merger-links"
+        )
+        raised = moved.groupBy("id").agg(F.max("gain").alias("gain"))
+        left = links.groupBy("id").agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("pred", "w")).alias("_o"))
+        state = materialize(
+            state.join(raised, "id", "left").join(left, "id", "left").select(
+                "id",
+                F.greatest("base", "gain").alias("base"),
+                F.coalesce("_m", F.lit(0)).alias("n"),
+                F.col("_o").alias("one"),
+            ),
+            "merger-state",
+        )
+    return (
+        placed.join(state, "id")
+        .groupBy("simulation_id", "product_name")
+        .agg(F.max("base").alias("generation"))
     )
-    for number in range(last + 1):
-        rows = plain.where(F.col("block") == number).drop("block")
-        if state is not None:
-            names = rows.select(
-                "simulation_id",
-                F.explode(F.array("product_name", "parent_name_1", "parent_name_2")).alias(
-                    "product_name"
-                ),
-            ).distinct()
-            carried = state.join(names, ["simulation_id", "product_name"], "left_semi")
-            rows = rows.unionByName(
-                carried.withColumn("is_state", F.lit(1)), allowMissingColumns=True
-            )
-        done = rows.groupBy("simulation_id").applyInPandas(_fold, kind)
-        if state is not None:
-            kept = state.join(done, ["simulation_id", "product_name"], "left_anti")
-            done = kept.unionByName(done)
-        state = done if number == last else materialize(done, "generations")
-    return state
 
 
 def imbh_objects(

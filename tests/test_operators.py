@@ -375,12 +375,10 @@ def test_generations_do_not_depend_on_block_size(frame, block):
     assert got == _fold(rows)
 
 
-def test_many_events_at_one_time_are_cut_into_blocks(spark):
+def test_many_events_at_one_time_settle(spark):
     events = spark.range(20_000).selectExpr(
         "'s' AS simulation_id", "1.0D AS ttot", "id AS seq", "id DIV 2 AS product_name",
         "id DIV 2 AS parent_name_1", "id + 1000000 AS parent_name_2")
-    numbered, last = imbh._numbered(events, 1000)
-    assert last == 19 and numbered.groupBy("block").count().agg({"count": "max"}).first()[0] == 1000
     got = imbh.merger_generations(events, 5000)
     assert got.groupBy("generation").count().collect() == [(2, 10_000)]
 
