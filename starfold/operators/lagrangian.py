@@ -19,27 +19,38 @@ def _mass_targets(total: Column) -> list[tuple[Column, Column]]:
 
 
 def shell_edges(stars: DataFrame, scalars: DataFrame) -> DataFrame:
-    """The outermost star (r, id) inside every mass fraction and inside the core radius.
+    """One row per snapshot with stars: `edges`, the outermost star (r, id) inside every mass fraction and inside
+    the core radius in ascending order, and the mean velocity `_cx`, `_cy`, `_cz`, from the same pass.
 
     Bins are 1.2e-4 wide in relative radius, so even a snapshot holding a third of all rows leaves
-    only a small share of them in the bins where an edge falls.
+    only a small share of them in the bins where an edge falls; fuller ones are cut further.
     """
+    mass = F.col("mass_msun")
+    moments = {"_m": mass, **{f"_c{a}": mass * F.col(f"v{a}_kms") for a in "xyz"}}
     found = select_at_cumulative(
-        stars, SNAPSHOT, "r_pc", "mass_msun", _mass_targets, tie="object_id", per_efold=8192
+        stars, SNAPSHOT, "r_pc", "mass_msun", _mass_targets, tie="object_id", per_efold=8192, sums=moments
     )
     edges = found.select(
         *SNAPSHOT,
-        F.col("tag").alias("suffix"),
-        F.col("value").alias("edge_r"),
-        F.col("object_id").cast("double").alias("edge_id"),
+        F.struct(
+            F.col("value").alias("edge_r"),
+            F.col("object_id").cast("double").alias("edge_id"),
+            F.col("tag").alias("suffix"),
+        ).alias("edge"),
+        F.struct(*[F.try_divide(F.col(f"_c{a}"), F.col("_m")).alias(f"_c{a}") for a in "xyz"]).alias("mean"),
     )
     core = scalars.select(
         *SNAPSHOT,
-        F.lit(K.LAGR_CORE).alias("suffix"),
-        (F.col("rc_nb") * F.col("rbar_pc")).alias("edge_r"),
-        F.lit(float("inf")).alias("edge_id"),
+        F.struct(
+            (F.col("rc_nb") * F.col("rbar_pc")).alias("edge_r"),
+            F.lit(float("inf")).alias("edge_id"),
+            F.lit(K.LAGR_CORE).alias("suffix"),
+        ).alias("edge"),
+        F.lit(None).cast(edges.schema["mean"].dataType).alias("mean"),
     )
-    return edges.unionByName(core.where(F.col("edge_r").isNotNull()))
+    both = edges.unionByName(core.where(F.col("edge.edge_r").isNotNull()))
+    grouped = both.groupBy(*SNAPSHOT).agg(F.sort_array(F.collect_list("edge")).alias("edges"), F.max("mean").alias("mean"))
+    return grouped.where(F.col("mean").isNotNull()).select(*SNAPSHOT, "edges", "mean.*")
 
 
 def lagrangian_profile(singles: DataFrame, scalars: DataFrame) -> DataFrame:
@@ -50,17 +61,8 @@ def lagrangian_profile(singles: DataFrame, scalars: DataFrame) -> DataFrame:
     beyond the last edge belongs to no shell and finds no output slot.
     """
     stars = with_radius(singles)
-    edges = (
-        shell_edges(stars, scalars)
-        .groupBy(*SNAPSHOT)
-        .agg(F.sort_array(F.collect_list(F.struct("edge_r", "edge_id", "suffix"))).alias("edges"))
-    )
-    mass = F.sum("mass_msun")
-    mean_v = stars.groupBy(*SNAPSHOT).agg(
-        *[(F.sum(F.col("mass_msun") * F.col(f"v{a}_kms")) / mass).alias(f"_c{a}") for a in "xyz"]
-    )
     # one row per snapshot, used for cutting the stars and for the output slots
-    snaps = materialize(edges.join(mean_v, SNAPSHOT), "shell-edges")
+    snaps = materialize(shell_edges(stars, scalars), "shell-edges")
 
     moved = (
         stars.join(snaps, SNAPSHOT)

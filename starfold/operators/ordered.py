@@ -7,7 +7,7 @@ go back only to the rows of the bins that matter.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -15,6 +15,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from starfold.functions.numeric import order_bin
 from starfold.session import materialize
 
+# Rows of one bucket that are sorted exactly, and slices that a fuller one is cut into.
+BUCKET_ROWS = 100_000
+SLICES = 4096
+# Bin of rows without a value, before all others.
+NO_VALUE = -(1 << 62)
+
 # Targets of a key as (tag, cumulative weight) expressions of the key's total weight.
 Targets = Callable[[Column], list[tuple[Column, Column]]]
 
@@ -38,18 +44,18 @@ def _reached(target: Column, before: Column, cum: Column) -> Column:
     return (target > before) & ((target <= cum) | F.col("_last"))
 
 
-def _narrow(level: DataFrame, hit: DataFrame, part: list[str], *order: str) -> DataFrame:
-    """Rows of the hit bins, summed per `order`, with the targets that fall on each.
+def _summed(level: DataFrame, part: list[str], tie: str | None, sums: Sequence[str] = ()) -> DataFrame:
+    """Weight, rows and the ranges of value and tie of every bucket."""
+    ids = [F.min(tie).alias("_tlo"), F.max(tie).alias("_thi")] if tie else []
+    return level.groupBy(*part).agg(
+        F.sum("_w").alias("_w"), F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        *ids, *[F.sum(c).alias(c) for c in sums],
+    )
 
-    The running sums see slim rows only; targets are joined afterwards, one row each.
-    """
-    slim = (
-        level.join(hit.select(*part).distinct(), part, "left_semi")
-        .groupBy(*part, *order)
-        .agg(F.sum("_w").alias("_w"))
-    )
-    sums = _running(slim, part, *order)
-    targets = hit.select(*part, "_base", "tag", "target")
+
+def _hit(sums: DataFrame, hit: DataFrame, part: list[str], kept: Sequence[str]) -> DataFrame:
+    """Targets of `hit` on the rows of `sums` (running weights inside `part`) that they fall on."""
+    targets = hit.select(*part, "_base", "tag", "target", *kept)
     before, cum = F.col("_base") + F.col("_before"), F.col("_base") + F.col("_cum")
     return (
         sums.join(targets, part)
@@ -58,6 +64,21 @@ def _narrow(level: DataFrame, hit: DataFrame, part: list[str], *order: str) -> D
     )
 
 
+def _splittable(tie: str | None) -> Column:
+    wide = F.col("_hi") > F.col("_lo")
+    return wide | (F.col("_thi") > F.col("_tlo")) if tie else wide
+
+
+def _slice(tie: str | None) -> Column:
+    """One of 4096 slices of a bucket: of its values, or of its ties where all values are equal."""
+    span = F.col("_hi") - F.col("_lo")
+    out = F.when(span > 0, F.floor((F.col("_v") - F.col("_lo")) / span * SLICES))
+    if tie:
+        ids = F.col("_thi") - F.col("_tlo")
+        out = out.when(ids > 0, F.floor((F.col(tie) - F.col("_tlo")) / ids * SLICES))
+    return F.coalesce(out, F.lit(0)).cast("bigint")
+
+
 def select_at_cumulative(
     rows: DataFrame,
     keys: Sequence[str],
@@ -68,29 +89,40 @@ def select_at_cumulative(
     tie: str | None = None,
     per_efold: int = 1024,
     refine: bool = False,
+    bound: int = BUCKET_ROWS,
+    sums: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """First `value` (ascending, per key) at which the running weight reaches each target.
 
-    Returns keys, tag, target, value and `weight_before`, the weight ahead of that row; with `tie`,
-    equal values are ordered by that column and it is returned too. `per_efold` bins per factor e
-    bound what is looked at closely; `refine` adds a second binning level, for doubles that may
-    crowd into a narrow range.
+    Returns keys, tag, target, value and `weight_before`, the weight ahead of that row; with `tie` (a number),
+    equal values are ordered by that column and it is returned too. `sums` are further expressions whose totals
+    per key are returned with every row; they come from the first pass over the rows.
+
+    The first histogram has `per_efold` bins per factor e. A bucket that a target falls on and that has more than
+    `bound` rows is cut into slices of its range of values, or of ties where all values are equal, until none has
+    more, or its rows are equal in both. So the exact step sorts at most `bound` rows of a bucket, whatever their
+    values. `refine` cuts once in any case.
     """
     keys = list(keys)
+    extra = dict(sums or {})
     order = ["_v", *([tie] if tie else [])]
     weight = F.col(weight) if isinstance(weight, str) else weight
-    level = rows.where(F.col(value).isNotNull()).select(
+    level = rows if extra else rows.where(F.col(value).isNotNull())
+    # rows without a value count in the sums only: their bin comes first and has no weight
+    level = level.select(
         *keys,
         *([tie] if tie else []),
         F.col(value).cast("double").alias("_v"),
-        weight.cast("double").alias("_w"),
+        F.when(F.col(value).isNotNull(), weight.cast("double")).otherwise(0.0).alias("_w"),
         order_bin(value, per_efold).alias("_b"),
+        *[c.alias(name) for name, c in extra.items()],
     )
-    bins = level.groupBy(*keys, "_b").agg(
-        F.sum("_w").alias("_w"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    bins = _running(bins, keys, "_b").withColumn(
-        "_total", F.sum("_w").over(W.partitionBy(*keys))
+    if extra:
+        level = level.withColumn("_b", F.when(F.col("_v").isNull(), NO_VALUE).otherwise(F.col("_b")))
+    part = [*keys, "_b"]
+    every = W.partitionBy(*keys)
+    bins = _running(_summed(level, part, tie, list(extra)), keys, "_b").withColumns(
+        {"_total": F.sum("_w").over(every), **{c: F.sum(c).over(every) for c in extra}}
     )
     wanted = [
         (F.struct(tag.alias("tag"), target.alias("target")),
@@ -99,28 +131,37 @@ def select_at_cumulative(
     ]
     any_hit = reduce(lambda a, b: a | b, [test for _, test in wanted])
     found = F.array_compact(F.array(*[F.when(test, entry) for entry, test in wanted]))
-    part = [*keys, "_b"]
-    hit = bins.where(any_hit).select(
-        *part, "_lo", "_hi", F.col("_before").alias("_base"), F.inline(found)
+    ranges = ["_n", "_lo", "_hi", *(["_tlo", "_thi"] if tie else [])]
+    hit = bins.where(any_hit & F.col("_lo").isNotNull()).select(
+        *part, *ranges, F.col("_before").alias("_base"), *extra, F.inline(found)
     )
+    level = level.drop(*extra)
     # a few rows per key, needed by two branches of the next level
     hit = materialize(hit, "hit-bins")
-    if refine:
-        span = F.col("_hi") - F.col("_lo")
-        sub = F.when(span > 0, F.floor((F.col("_v") - F.col("_lo")) / span * 4096)).otherwise(0)
-        edges = hit.groupBy(*part).agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-        level = level.join(edges, part).select(
-            *part, sub.cast("bigint").alias("_s"), *order, "_w"
-        )
-        hit = materialize(_narrow(level, hit, part, "_s"), "hit-cells")
-        part = [*part, "_s"]
-    return _narrow(level, hit, part, *order).select(
+    limit = 0 if refine else bound
+    while not hit.where((F.col("_n") > limit) & _splittable(tie)).isEmpty():
+        edges = hit.select(*part, *ranges).distinct()
+        cut = F.when(F.col("_n") > limit, _slice(tie)).otherwise(F.lit(0).cast("bigint"))
+        name = f"_s{len(part) - len(keys)}"
+        level = level.join(edges, part).select(*part, cut.alias(name), *order, "_w")
+        level = materialize(level, "hit-rows")
+        counted = _running(_summed(level, [*part, name], tie), part, name)
+        fell = _hit(counted, hit.select(*part, "_base", "tag", "target", *extra), part, list(extra))
+        part = [*part, name]
+        hit = materialize(fell.select(*part, *ranges, "_base", "tag", "target", *extra), "hit-cells")
+        limit = bound
+    slim = (
+        level.join(hit.select(*part).distinct(), part, "left_semi").groupBy(*part, *order).agg(F.sum("_w").alias("_w"))
+    )
+    exact = _hit(_running(slim, part, *order), hit, part, list(extra))
+    return exact.select(
         *keys,
         "tag",
         "target",
         F.col("_v").alias("value"),
         F.col("_base").alias("weight_before"),
         *([tie] if tie else []),
+        *extra,
     )
 
 
@@ -144,7 +185,7 @@ def percentiles(
         return out
 
     picked = select_at_cumulative(
-        rows, keys, value, F.lit(1.0), ranks, per_efold=64, refine=True
+        rows, keys, value, F.lit(1.0), ranks, per_efold=256
     )
     sides = picked.groupBy(*keys, F.col("tag.pct").alias("pct")).agg(
         F.max(F.when(F.col("tag.side") == 0, F.col("value"))).alias("_a"),

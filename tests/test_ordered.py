@@ -84,3 +84,54 @@ def test_hot_key_reaches_the_final_window_only_in_part(spark, monkeypatch):
     )
     assert picked.count() == 2
     assert seen[-1].count() < 2_000
+
+
+@pytest.mark.parametrize("shape", ["equal", "close", "mixed"])
+def test_crowded_buckets_are_cut_below_the_bound(spark, monkeypatch, shape):
+    """All values equal, or within one bin: no exact sort sees more than `bound` rows of a bucket."""
+    from starfold.operators import ordered
+
+    seen = []
+    running = ordered._running
+    monkeypatch.setattr(ordered, "_running", lambda df, part, *order: seen.append((df, part, order)) or running(df, part, *order))
+    rng = np.random.default_rng(11)
+    n = 4000
+    value = {"equal": np.full(n, 3.5), "close": 8000.0 + rng.random(n) * 1e-9,
+             "mixed": np.where(rng.random(n) < 0.7, 2.0, rng.random(n) * 9)}[shape]
+    pdf = pd.DataFrame({"k": rng.integers(0, 2, n), "v": value, "w": rng.integers(1, 9, n).astype(float), "i": rng.permutation(n)})
+    shares = [0.001, 0.3, 0.5, 1.0]
+    got = select_at_cumulative(
+        spark.createDataFrame(pdf), ["k"], "v", "w", lambda total: [(F.lit(s), total * s) for s in shares], tie="i", bound=50,
+        sums={"_rows": F.lit(1.0), "_vw": F.col("v") * F.col("w")},
+    ).toPandas()
+    for k, part in pdf.groupby("k"):
+        part = part.sort_values(["v", "i"])
+        cum = part["w"].cumsum().to_numpy()
+        for s in shares:
+            at = min(int(np.searchsorted(cum, s * cum[-1])), len(part) - 1)
+            row = got[(got.k == k) & (got.tag == s)].iloc[0]
+            assert (row["value"], row["i"]) == (part["v"].iloc[at], part["i"].iloc[at])
+            assert row["_rows"] == len(part) and row["_vw"] == pytest.approx((part["v"] * part["w"]).sum())
+    exact, part, order = seen[-1]
+    assert order == ("_v", "i")
+    assert exact.groupBy(*part).count().agg({"count": "max"}).first()[0] <= 50
+    if shape == "equal":
+        assert exact.count() <= 50 * 2 * len(shares)
+
+
+def test_equal_rows_end_the_cutting(spark):
+    df = spark.range(500).select(F.lit(1).alias("k"), F.lit(2.0).alias("v"), F.lit(1.0).alias("w"), F.lit(7).alias("i"))
+    got = select_at_cumulative(df, ["k"], "v", "w", lambda t: [(F.lit(0), t * 0.5)], tie="i", bound=10)
+    assert [(r["value"], r["i"]) for r in got.collect()] == [(2.0, 7)]
+
+
+def test_stars_at_one_radius(spark):
+    """A profile whose stars all stand at one radius still cuts them by id."""
+    from starfold.operators.lagrangian import lagrangian_profile
+
+    rows = [("s", 1.0, i, 1.0, 3.0, 0.0, 0.0, float(i % 3), 0.0, 0.0) for i in range(1000)]
+    names = "simulation_id string, ttot double, object_id long, mass_msun double, x_pc double, y_pc double, z_pc double, vx_kms double, vy_kms double, vz_kms double"
+    scalars = spark.createDataFrame([("s", 1.0, 2.0, 2.0)], "simulation_id string, ttot double, rc_nb double, rbar_pc double")
+    got = {r["suffix"]: r for r in lagrangian_profile(spark.createDataFrame(rows, names), scalars).collect()}
+    assert all(got[s]["nshell"] == round(1000 * float(s)) for s in ("0.1", "0.3", "0.5", "0.9") if s in got)
+    assert all(r["rlagr"] == 3.0 for r in got.values() if r["nshell"])
