@@ -30,6 +30,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,7 +174,7 @@ def count_grams(
                 at = at[passed[gram[at]] & passed[gram[at + 1]]]
             else:
                 at = at[gram[at + 1] < len(texts)]
-            codes, inverse = np.unique((gram[at] << 32) | gram[at + 1], return_inverse=True)
+            inverse, codes = pd.factorize((gram[at] << 32) | gram[at + 1])
             heads, tails = (codes >> 32).tolist(), (codes & 0xFFFFFFFF).tolist()
             last = [t[t.rfind(b" ") :] if k > 2 else b" " + t for t in map(texts.__getitem__, tails)]
             texts = [texts[a] + b for a, b in zip(heads, last, strict=True)]
@@ -181,8 +182,8 @@ def count_grams(
             gram[at] = inverse
         if k in lengths:
             counted = at[owned[at]]
-            total = np.zeros(len(texts), np.int64)
-            np.add.at(total, gram[counted], weight[counted])
+            # sums of a task's whole numbers stay far below 2**53, where doubles are exact
+            total = np.bincount(gram[counted], weight[counted], len(texts)).astype(np.int64)
             yield texts, total
 
 
