@@ -4,24 +4,31 @@ Layout of a feature below its folder:
 
     data/version=<n>/       rows written by commit n
     manifest/version=<n>/   source files that commit n has processed, with mtime and snapshots
+    ranges/version=<n>/     first and last ttot and id of every data file
+    claims/<n>              version numbers that a writer has taken
     commits/<n>.json        {"versions": [...], "meta": {...}}; the highest number counts
 
 A commit writes its data and its manifest entries first and its pointer last, under a number that
-no file has yet, so a stop at any moment leaves the previous state. Nothing is renamed over or
-deleted before the new pointer exists. Which rows are live follows from the latest manifest entry
-of every file: a dataset's rows count when the file's latest entry has their version, a table's rows
-when their version is the newest whose latest entries list the snapshot. A file that was processed without
+no file has yet, so a stop at any moment leaves the previous state. Which rows are live
+follows from the latest manifest entry of every file: a dataset's rows count when the file's latest entry has their version, a table's
+rows when their version is the newest whose latest entries list the snapshot. A file that was processed without
 rows therefore loses its old rows, and a changed file replaces them.
+
+Several writers may work on one feature. Version numbers are claimed by creating a file, and a pointer is only ever created, never replaced:
+who finds its number taken reads the new state and adds its versions to that one. Newer means later in the
+pointer's list, so the order of commits counts, not that of the numbers. A version is deleted when the pointer
+before last named it and the last two do not, so running readers keep theirs; versions that no pointer has ever named
+belong to running or stopped writers and are deleted by `vacuum` only after a lease.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starfold.plans import fs
 from starfold.schema.registry import LAKE_TABLES, SORT_KEYS, TABLES, table_schema
@@ -29,6 +36,11 @@ from starfold.schema.registry import LAKE_TABLES, SORT_KEYS, TABLES, table_schem
 _VERSION = "version"
 _WRITE = {"compression": "zstd", "parquet.block.size": str(256 * 1024 * 1024)}
 _ENTRY = "source_hdf5_path string, mtime double, ttot array<double>, problem string"
+_KINDS = ("data", "manifest", "ranges")
+# Columns whose ranges are kept for every data file, where a feature has them.
+_RANGED = ("ttot", "object_id", "object_id_1")
+# How long a version without a pointer is left to its writer.
+LEASE_SECONDS = 7 * 86400.0
 # Versions of one feature before they are rewritten as one.
 COMPACT_AFTER = 32
 
@@ -48,42 +60,79 @@ class FeatureStore:
 
     # -- pointer -----------------------------------------------------------------------------
 
-    def pointer(self, simulation_id: str, feature: str) -> dict[str, Any]:
-        """The state in force: number, versions, meta, by. Empty when nothing is stored."""
+    def _numbers(self, simulation_id: str, feature: str) -> list[int]:
         base = f"{self.feature_dir(simulation_id, feature)}/commits"
-        numbers = [int(n[:-5]) for n in fs.children(self.spark, base) if n.endswith(".json") and n[:-5].isdigit()]
-        if not numbers:
+        names = fs.children(self.spark, base)
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def pointer(self, simulation_id: str, feature: str, number: int | None = None) -> dict[str, Any]:
+        """The state in force (or that of a commit): number, versions, meta, by. Empty when nothing is stored."""
+        numbers = self._numbers(simulation_id, feature)
+        if number is None:
+            number = numbers[-1] if numbers else 0
+        if number not in numbers:
             return {}
-        text = fs.read_text(self.spark, f"{base}/{max(numbers):08d}.json")
-        return {"number": max(numbers), **json.loads(text or "{}")}
+        base = f"{self.feature_dir(simulation_id, feature)}/commits"
+        text = fs.read_text(self.spark, f"{base}/{number:08d}.json")
+        return {"number": number, **json.loads(text or "{}")}
 
     def publish(
         self,
         simulation_id: str,
         feature: str,
         versions: Sequence[int],
-        meta: dict[str, Any],
+        meta: dict[str, Any] | None,
         by: str | None = None,
+        replaces: Collection[int] | None = None,
     ) -> None:
-        """Make these versions the visible ones; `by` is the column that liveness follows."""
-        now = self.pointer(simulation_id, feature)
+        """Make these versions visible in place of those of `replaces`, by default of all; `by` is the column that
+        liveness follows.
+
+        They take the place of the first replaced version, or the end. If another writer publishes at the
+        same time, this is done again on its state.
+        """
         base = self.feature_dir(simulation_id, feature)
-        number = now.get("number", 0) + 1
-        state = {"versions": list(versions), "meta": meta, "by": by}
-        text = json.dumps(state, indent=2, sort_keys=True)
-        fs.write_text(self.spark, f"{base}/commits/{number:08d}.json", text)
-        used = {*versions, *now.get("versions", [])}  # running readers may still use the old ones
-        for kind in ("data", "manifest"):
-            for name in fs.children(self.spark, f"{base}/{kind}"):
-                if name.startswith(f"{_VERSION}=") and int(name.split("=")[1]) not in used:
-                    fs.delete(self.spark, f"{base}/{kind}/{name}")
+        while True:
+            now = self.pointer(simulation_id, feature)
+            had = list(now.get("versions", []))
+            gone = set(had if replaces is None else replaces)
+            at = next((i for i, v in enumerate(had) if v in gone), len(had))
+            merged = [v for v in had[:at] if v not in gone] + list(versions) + [v for v in had[at:] if v not in gone]
+            state = {"versions": merged, "meta": now.get("meta", {}) if meta is None else meta, "by": by}
+            number = now.get("number", 0) + 1
+            text = json.dumps(state, indent=2, sort_keys=True)
+            if fs.write_new(self.spark, f"{base}/commits/{number:08d}.json", text):
+                break
+        before = self.pointer(simulation_id, feature, number - 2)
+        for version in set(before.get("versions", [])) - {*had, *merged}:
+            self._drop(simulation_id, feature, version)
+
+    def _drop(self, simulation_id: str, feature: str, version: int) -> None:
+        for kind in _KINDS:
+            fs.delete(self.spark, f"{self.feature_dir(simulation_id, feature)}/{kind}/{_VERSION}={version}")
+
+    def vacuum(self, simulation_id: str, feature: str, lease: float = LEASE_SECONDS) -> list[int]:
+        """Delete versions that the last two pointers don't name and that are older than the lease."""
+        base = self.feature_dir(simulation_id, feature)
+        kept = {
+            v
+            for number in self._numbers(simulation_id, feature)[-2:]
+            for v in self.pointer(simulation_id, feature, number).get("versions", [])
+        }
+        left = []
+        for name in fs.children(self.spark, f"{base}/claims"):
+            if name.isdigit() and int(name) not in kept and fs.age_seconds(self.spark, f"{base}/claims/{name}") > lease:
+                self._drop(simulation_id, feature, int(name))
+                left.append(int(name))
+        return sorted(left)
 
     def _free_number(self, simulation_id: str, feature: str) -> int:
-        """A version number that no commit and no left-over of a stopped run uses."""
-        base = self.feature_dir(simulation_id, feature)
-        names = [n for k in ("data", "manifest") for n in fs.children(self.spark, f"{base}/{k}")]
-        numbers = [int(n.split("=")[1]) for n in names if n.startswith(f"{_VERSION}=")]
-        return max([0, *numbers, *self.pointer(simulation_id, feature).get("versions", [])]) + 1
+        """A version number that no other writer has or gets."""
+        base = f"{self.feature_dir(simulation_id, feature)}/claims"
+        number = max([0, *(int(n) for n in fs.children(self.spark, base) if n.isdigit())]) + 1
+        while not fs.claim(self.spark, f"{base}/{number}"):
+            number += 1
+        return number
 
     def has(self, simulation_id: str, feature: str) -> bool:
         return bool(self.pointer(simulation_id, feature))
@@ -93,8 +142,16 @@ class FeatureStore:
 
     # -- rows --------------------------------------------------------------------------------
 
-    def read(self, simulation_id: str, feature: str) -> DataFrame:
-        """Live rows of one feature."""
+    @staticmethod
+    def _place(state: dict[str, Any]) -> Column:
+        """How new a version is: its place in the pointer's list."""
+        return F.array_position(F.array(*[F.lit(v) for v in state["versions"]]), F.col(_VERSION))
+
+    def read(self, simulation_id: str, feature: str, ranges: Mapping[str, tuple[Any, Any]] | None = None) -> DataFrame:
+        """Live rows of one feature; with `ranges` (column: first and last value) those inside of all ranges.
+
+        Data files whose stored ranges lie outside are left out before Spark plans the scan.
+        """
         state = self.pointer(simulation_id, feature)
         if not state:
             raise FileNotFoundError(
@@ -102,12 +159,21 @@ class FeatureStore:
             )
         base = f"{self.feature_dir(simulation_id, feature)}/data"
         paths = [f"{base}/{_VERSION}={v}" for v in state["versions"]]
-        rows = self.spark.read.option("basePath", base).parquet(*paths)
-        if state["by"] and len(paths) > 1:
+        schema = self.spark.read.option("basePath", base).parquet(*paths).schema
+        if ranges:
+            paths = self.files_in(simulation_id, feature, ranges)
+        if paths:
+            rows = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        else:
+            rows = self.spark.createDataFrame([], schema)
+        for name, (low, high) in (ranges or {}).items():
+            rows = rows.where(F.col(name).between(low, high))
+        if state["by"] and len(state["versions"]) > 1:
             entries = self._latest(simulation_id, feature, state)
             if state["by"] == "ttot":
                 live = entries.select(F.explode("ttot").alias("ttot"), _VERSION)
-                live = live.groupBy("ttot").agg(F.max(_VERSION).alias(_VERSION))
+                place = self._place(state)
+                live = live.groupBy("ttot").agg(F.max_by(_VERSION, place).alias(_VERSION))
             else:
                 live = entries.select("source_hdf5_path", _VERSION)
             order = rows.columns
@@ -123,17 +189,40 @@ class FeatureStore:
         return out
 
     def _write_rows(self, simulation_id: str, feature: str, rows: DataFrame, version: int) -> None:
-        """REBALANCE lets AQE cut the output by size, so one huge file is written by many tasks."""
+        """Rows as files of even size, however they came: ranges of the sort keys or, by REBALANCE, cuts by size."""
         checked = rows
         if feature in TABLES:
             schema = table_schema(feature)
             checked = schema.guarded(schema.conform(rows))
-        checked = checked.hint("rebalance")
         order = [c for c in SORT_KEYS.get(feature, ["ttot"]) if c in rows.columns]
+        if feature in LAKE_TABLES:
+            # particle tables come from written ones, so ranges are cheap to sample; each file then holds one
+            checked = checked.repartitionByRange(*order)
+        else:
+            checked = checked.hint("rebalance")
         if order:
             checked = checked.sortWithinPartitions(*order)
-        path = f"{self.feature_dir(simulation_id, feature)}/data/{_VERSION}={version}"
+        base = self.feature_dir(simulation_id, feature)
+        path = f"{base}/data/{_VERSION}={version}"
         checked.write.options(**_WRITE).parquet(path)
+        # read from the written files: two narrow columns, one row a file
+        ranged = [c for c in _RANGED if c in rows.columns]
+        ends = [f(c).alias(f"{c}_{n}") for c in ranged for f, n in ((F.min, "lo"), (F.max, "hi"))]
+        written = self.spark.read.parquet(path)
+        stats = written.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"), *ends)
+        stats.coalesce(1).write.parquet(f"{base}/ranges/{_VERSION}={version}")
+
+    def files_in(self, simulation_id: str, feature: str, ranges: Mapping[str, tuple[Any, Any]]) -> list[str]:
+        """Data files of the visible versions that may hold rows inside all ranges, chosen by a Spark job over
+        the stored ranges; only the names of those files come to the driver, as the list that a scan is made of."""
+        state = self.pointer(simulation_id, feature)
+        base = f"{self.feature_dir(simulation_id, feature)}/ranges"
+        paths = [f"{base}/{_VERSION}={v}" for v in state["versions"]]
+        stats = self.spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths)
+        for name, (low, high) in ranges.items():
+            if f"{name}_lo" in stats.columns:
+                stats = stats.where((F.col(f"{name}_lo") <= F.lit(high)) & (F.col(f"{name}_hi") >= F.lit(low)))
+        return sorted(r["file"] for r in stats.select("file").collect())
 
     def write_table(
         self, simulation_id: str, feature: str, rows: DataFrame, meta: dict[str, Any] | None = None
@@ -169,11 +258,8 @@ class FeatureStore:
         `files` names every processed file, also those without rows. With by='ttot' the feature is
         a table that is replaced per snapshot.
         """
-        state = self.pointer(simulation_id, feature)
         version = self.stage(simulation_id, feature, rows, files)
-        self.publish(
-            simulation_id, feature, [*state.get("versions", []), version], meta or state.get("meta", {}), by
-        )
+        self.publish(simulation_id, feature, [version], meta, by, replaces=())
 
     def compact(self, simulation_id: str, feature: str) -> None:
         """Rewrite the live rows as one version."""
@@ -181,7 +267,7 @@ class FeatureStore:
         if state.get("by") and len(state["versions"]) > 1:
             entries = self._latest(simulation_id, feature, state)
             version = self.stage(simulation_id, feature, self.read(simulation_id, feature), entries)
-            self.publish(simulation_id, feature, [version], state["meta"], state["by"])
+            self.publish(simulation_id, feature, [version], None, state["by"], replaces=state["versions"])
 
     # -- manifest: which source files a feature has processed -----------------------------------
 
@@ -189,7 +275,7 @@ class FeatureStore:
         base = f"{self.feature_dir(simulation_id, feature)}/manifest"
         paths = [f"{base}/{_VERSION}={v}" for v in state["versions"]]
         entries = self.spark.read.schema(f"{_ENTRY}, {_VERSION} int").option("basePath", base).parquet(*paths)
-        newest = F.max_by(F.struct("mtime", "ttot", "problem", _VERSION), _VERSION).alias("e")
+        newest = F.max_by(F.struct("mtime", "ttot", "problem", _VERSION), self._place(state)).alias("e")
         return entries.groupBy("source_hdf5_path").agg(newest).select("source_hdf5_path", "e.*")
 
     def manifest(self, simulation_id: str, feature: str) -> DataFrame:
@@ -212,17 +298,18 @@ def load_feature(
     columns: Sequence[str] | None = None,
     where: str | None = None,
     params: Sequence[Any] | None = None,
+    ranges: Mapping[str, tuple[Any, Any]] | None = None,
 ) -> DataFrame:
     """Rows of one feature; `where` is an SQL predicate with `?` placeholders bound from params.
 
-    Column list and predicate reach the Parquet scan.
+    Column list and predicate reach the Parquet scan; `ranges` (column: first and last value) also chooses its files.
     """
     if columns is not None and feature in TABLES:
         valid = table_schema(feature).names
         unknown = [c for c in columns if c not in valid]
         if unknown:
             raise ValueError(f"{feature!r} has no columns {unknown}; it has {valid}")
-    rows = store.read(simulation_id, feature)
+    rows = store.read(simulation_id, feature, ranges)
     if where:
         rows = store.spark.sql(
             f"SELECT * FROM {{rows}} WHERE {where}", args=list(params or []), rows=rows
