@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from starfold import constants as K
+from starfold.operators.asof import asof_join
 from starfold.operators.snapshot import SNAPSHOT
 
 OBJECT = ["simulation_id", "object_id"]
@@ -194,3 +195,50 @@ def evolution_path(history: DataFrame) -> DataFrame:
         F.col("state").alias("event_label"),
     )
     return epochs.groupBy(*OBJECT).agg(F.array_sort(F.collect_list(epoch)).alias("epochs"))
+
+
+def history_asked(history: DataFrame, asked: DataFrame, direction: str = "backward") -> DataFrame:
+    """For every asked (particle, ttot) the state of the particle then: the last, next or nearest row of its history.
+
+    `asked` may have further columns, which are kept. Adds found_ttot, found_kw, found_mass_msun, found_state and
+    found_companion_id, NULL where the history has no such row.
+    """
+    taken = ["ttot", "kw", "mass_msun", "state", "companion_id"]
+    rows = history.select(*OBJECT, *taken)
+    out = asof_join(asked, rows, OBJECT, "ttot", direction=direction, out="_found")
+    return out.select(*asked.columns, *[F.col("_found")[c].alias(f"found_{c}") for c in taken])
+
+
+def companion_lanes(history: DataFrame) -> DataFrame:
+    """(particle, companion_id, lane, first_ttot, last_ttot): stable lanes beside the particle's own lane 0.
+
+    Companions come in the order of their first sighting; each takes the lowest lane that is free and keeps it until
+    its last sighting. A lane is free again after the snapshot in which its holder was last seen. One array
+    of intervals per particle, as long as it had companions, folded by column expressions.
+    """
+    seen = history.where(F.col("companion_id").isNotNull()).groupBy(*OBJECT, "companion_id")
+    spans = seen.agg(F.min("ttot").alias("first_ttot"), F.max("ttot").alias("last_ttot"))
+    span = F.struct("first_ttot", "last_ttot", "companion_id")
+    lives = spans.groupBy(*OBJECT).agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    kind = lives.schema["spans"].dataType.elementType["companion_id"].dataType.simpleString()
+    start = F.expr(f"named_struct('ends', cast(array() as array<double>), 'lanes', cast(array() as array<struct<id:{kind},lane:int>>))")
+
+    def take(state: Column, s: Column) -> Column:
+        ends = state["ends"]
+        open_lanes = F.filter(F.transform(ends, lambda e, i: F.when(e < s["first_ttot"], i + 1)), lambda i: i.isNotNull())
+        lane = F.coalesce(F.get(open_lanes, F.lit(0)), F.size(ends) + 1)
+        kept = F.transform(ends, lambda e, i: F.when(i + 1 == lane, s["last_ttot"]).otherwise(e))
+        more = F.when(lane > F.size(ends), F.array(s["last_ttot"])).otherwise(F.expr("cast(array() as array<double>)"))
+        entry = F.struct(s["companion_id"].alias("id"), lane.alias("lane"))
+        return F.struct(F.concat(kept, more).alias("ends"), F.concat(state["lanes"], F.array(entry)).alias("lanes"))
+
+    folded = lives.withColumn("_lanes", F.aggregate("spans", start, take)["lanes"])
+    both = F.arrays_zip(F.col("spans"), F.col("_lanes"))
+    out = folded.select(*OBJECT, F.explode(both).alias("b"))
+    return out.select(
+        *OBJECT,
+        F.col("b.spans.companion_id").alias("companion_id"),
+        F.col("b._lanes.lane").alias("lane"),
+        F.col("b.spans.first_ttot").alias("first_ttot"),
+        F.col("b.spans.last_ttot").alias("last_ttot"),
+    )

@@ -244,3 +244,29 @@ def previous_value(
         .withColumn(out, F.coalesce(lag, F.col("_earlier")))
         .drop("_chunk", "_earlier")
     )
+
+
+def running_sums(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column]
+) -> DataFrame:
+    """The rows with the running sum of each of `sums` per key, up to and with each row, in the order of `order`.
+
+    A prefix scan: rows are range-partitioned by key and order, summed per range, and every range starts from the sum
+    of the key's earlier ranges. Windows see the rows of one range, or one row per range, never a whole key.
+    Rows must be distinct on (keys, order); with F.lit(1) the sum is the row's number.
+    """
+    keys = list(keys)
+    placed = materialize(
+        rows.withColumns({f"_add_{n}": c for n, c in sums.items()})
+        .repartitionByRange(*keys, *order)
+        .withColumn("_range", F.spark_partition_id()),
+        "scan-ranges",
+    )
+    part = [*keys, "_range"]
+    totals = placed.groupBy(*part).agg(*[F.sum(f"_add_{n}").alias(f"_sum_{n}") for n in sums])
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = totals.select(*part, *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_from_{n}") for n in sums])
+    inside = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    out = placed.join(materialize(starts, "scan-starts"), part)
+    found = {n: F.sum(f"_add_{n}").over(inside) + F.col(f"_from_{n}") for n in sums}
+    return out.select(*rows.columns, *[c.alias(n) for n, c in found.items()])

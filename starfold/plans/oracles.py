@@ -1087,3 +1087,85 @@ oracle(
     "GROUP BY s.simulation_id, s.ttot, w.source_hdf5_path",
     STEPS,
 )
+
+_ASKED = "asked AS (SELECT simulation_id, parent_name_1 AS object_id, ttot, seq FROM merger_events)"
+_FOUND = ("ttot", "kw", "mass_msun", "state", "companion_id")
+
+
+def _asof(name: str, compare: str) -> str:
+    return (
+        f"{name} AS (SELECT a.*, h.ttot AS h_ttot, h.kw AS h_kw, h.mass_msun AS h_mass_msun, h.state AS h_state, "
+        f"h.companion_id AS h_companion_id FROM asked a ASOF LEFT JOIN history h ON a.simulation_id = h.simulation_id "
+        f"AND a.object_id = h.object_id AND a.ttot {compare} h.ttot)"
+    )
+
+
+_ASKED_COLUMNS = (
+    f"simulation_id, object_id, {r('ttot')} AS ttot, seq, {r('h_ttot')} AS found_ttot, {big('h_kw')} AS found_kw, "
+    f"{r('h_mass_msun')} AS found_mass_msun, h_state AS found_state, h_companion_id AS found_companion_id"
+)
+for _name, _compare in (("history_before_merger", ">="), ("history_after_merger", "<=")):
+    oracle(_name, "singles binaries merger_events", f"SELECT {_ASKED_COLUMNS} FROM found", HISTORY, _ASKED, _asof("found", _compare))
+_nearer = "p.h_ttot IS NULL OR n.h_ttot - n.ttot < p.ttot - p.h_ttot"
+oracle(
+    "history_near_merger",
+    "singles binaries merger_events",
+    f"SELECT {_ASKED_COLUMNS} FROM found",
+    HISTORY,
+    _ASKED,
+    _asof("p", ">="),
+    _asof("n", "<="),
+    "found AS (SELECT p.simulation_id, p.object_id, p.ttot, p.seq, "
+    + ", ".join(f"CASE WHEN {_nearer} THEN n.h_{c} ELSE p.h_{c} END AS h_{c}" for c in _FOUND)
+    + " FROM p JOIN n USING (simulation_id, object_id, ttot, seq))",
+)
+oracle(
+    "companion_lanes",
+    "singles binaries",
+    f"""
+SELECT simulation_id, object_id, companion_id, {big('lane')} AS lane, {r('lo')} AS first_ttot, {r('hi')} AS last_ttot FROM (
+  WITH RECURSIVE spans AS (
+    SELECT *, row_number() OVER (PARTITION BY simulation_id, object_id ORDER BY lo, hi, companion_id) AS k FROM (
+      SELECT simulation_id, object_id, companion_id, min(ttot) AS lo, max(ttot) AS hi FROM history
+      WHERE companion_id IS NOT NULL GROUP BY ALL)),
+  walk AS (
+    SELECT simulation_id, object_id, companion_id, lo, hi, k, 1 AS lane, [hi] AS ends FROM spans WHERE k = 1
+    UNION ALL
+    SELECT simulation_id, object_id, companion_id, lo, hi, k, lane,
+      list_concat(list_concat(ends[1:lane-1], [hi]), ends[lane+1:]) FROM (
+        SELECT s.*, w.ends, coalesce(list_filter(range(1, len(w.ends) + 1), lambda i: w.ends[i] < s.lo)[1], len(w.ends) + 1) AS lane
+        FROM walk w JOIN spans s ON s.simulation_id = w.simulation_id AND s.object_id = w.object_id AND s.k = w.k + 1))
+  SELECT * FROM walk)""",
+    HISTORY,
+)
+oracle(
+    "mass_profile",
+    "singles",
+    f"SELECT simulation_id, {r('ttot')} AS ttot, object_id, {r('r_pc')} AS r_pc, count(*) OVER w AS n_inside, "
+    f"{r('sum(mass_msun) OVER w')} AS mass_inside_msun FROM stars "
+    "WINDOW w AS (PARTITION BY simulation_id, ttot ORDER BY r_pc, object_id ROWS UNBOUNDED PRECEDING)",
+    STARS,
+)
+oracle(
+    "stream_snapshots",
+    "singles binaries scalars steps",
+    " UNION ALL ".join(
+        f"SELECT simulation_id, {r('ttot')} AS ttot, source_hdf5_path, '{_t}' AS part, count(*) AS n, {r(f'sum({_m})')} AS mass_msun "
+        f"FROM snapshot_{_t} JOIN won USING (simulation_id, ttot) GROUP BY ALL"
+        for _t, _m in (("singles", "mass_msun"), ("binaries", "mass_1_msun"), ("scalars", "zmbar_msun"))
+    ),
+    STEPS,
+    "won AS (SELECT simulation_id, ttot, max_by(source_hdf5_path, (mtime, source_hdf5_path)) AS source_hdf5_path "
+    "FROM steps GROUP BY simulation_id, ttot)",
+)
+oracle(
+    "feature_range",
+    "singles binaries",
+    f"""
+SELECT simulation_id, {r('ttot')} AS ttot, CASE kw WHEN 14 THEN 'BH' WHEN 13 THEN 'NS' ELSE 'WD' END AS object_type,
+  count(*) AS n, {r('sum(m)')} AS mass_msun
+FROM (SELECT simulation_id, ttot, kw, mass_msun AS m FROM snapshot_singles
+  UNION ALL SELECT simulation_id, ttot, kw_1, mass_1_msun FROM snapshot_binaries
+  UNION ALL SELECT simulation_id, ttot, kw_2, mass_2_msun FROM snapshot_binaries)
+WHERE kw BETWEEN 10 AND 14 AND ttot BETWEEN 20 AND 30 GROUP BY ALL""",
+)

@@ -328,6 +328,46 @@ def history_nearest(lake: Lake) -> DataFrame:
     return history.history_at(rows, 40.5).select("simulation_id", "object_id", "ttot", "state")
 
 
+def _asked(lake: Lake) -> DataFrame:
+    """Every merger's first parent, asked for at the time of the merger."""
+    events = lake.merger_events
+    return events.select("simulation_id", F.col("parent_name_1").alias("object_id"), "ttot", "seq")
+
+
+def _history_asked(lake: Lake, direction: str) -> DataFrame:
+    rows = history.particle_history(lake.singles, lake.binaries)
+    return history.history_asked(rows, _asked(lake), direction)
+
+
+@query
+def history_before_merger(lake: Lake) -> DataFrame:
+    return _history_asked(lake, "backward")
+
+
+@query
+def history_after_merger(lake: Lake) -> DataFrame:
+    return _history_asked(lake, "forward")
+
+
+@query
+def history_near_merger(lake: Lake) -> DataFrame:
+    return _history_asked(lake, "nearest")
+
+
+@query
+def companion_lanes(lake: Lake) -> DataFrame:
+    return history.companion_lanes(history.particle_history(lake.singles, lake.binaries))
+
+
+@query
+def mass_profile(lake: Lake) -> DataFrame:
+    """Every star with its rank and the mass inside its radius."""
+    stars = snapshot.with_radius(lake.singles).select(*_S, "object_id", "r_pc", "mass_msun")
+    sums = {"n_inside": F.lit(1), "mass_inside_msun": F.col("mass_msun")}
+    out = ordered.running_sums(stars, _S, ["r_pc", "object_id"], sums)
+    return out.drop("mass_msun")
+
+
 @query
 def history_early_stop(lake: Lake) -> DataFrame:
     rows = history.particle_history(lake.singles, lake.binaries)
@@ -484,6 +524,19 @@ def feature_query(lake: Lake) -> DataFrame:
     return rows.select(*_S, "object_id", "mass_msun")
 
 
+@query
+def feature_range(lake: Lake) -> DataFrame:
+    """A range of times of a stored particle table: only files whose stored ranges meet it are read."""
+    from starfold.plans.store import FeatureStore, load_feature
+    from starfold.session import work_path
+
+    store = FeatureStore(lake.spark, work_path(lake.spark, "store"))
+    rows = compact.compact_object_history(lake.singles, lake.binaries, lake.scalars)
+    store.write_table("all", "compact_object_history", rows)
+    found = load_feature(store, "all", "compact_object_history", ranges={"ttot": (20.0, 30.0)})
+    return found.groupBy(*_S, "object_type").agg(F.count("*").alias("n"), F.sum("mass_msun").alias("mass_msun"))
+
+
 @query
 def orbital_frame(lake: Lake) -> DataFrame:
     return galactic.orbital_frame_positions(lake.singles, lake.scalars)
@@ -625,6 +678,38 @@ def stream_singles(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def stream_snapshots(lake: Lake) -> DataFrame:
+    """Whole rows of three tables streamed from overlapping runs, each run in batches of its own, and resolved.
+
+    Every run delivers all the snapshots of its files. The files that lose a snapshot bring it with twice the mass, and the
+    run that wins most is delivered first, so a later batch must not simply replace an earlier one.
+    """
+    from starfold.session import materialize, work_path
+    from starfold.streaming import ingest
+
+    steps = materialize(lake.steps.select(*_S, "run_dir", F.col("mtime").alias("source_mtime"), "source_hdf5_path"), "steps")
+    won = dedup.step_winners(steps.withColumnRenamed("source_mtime", "mtime")).select(*_S, "source_hdf5_path")
+    files = steps.join(won.withColumn("_won", F.lit(True)), [*_S, "source_hdf5_path"], "left")
+    factor = F.when(F.col("_won"), 1.0).otherwise(2.0)
+    tables = {"singles": "mass_msun", "binaries": "mass_1_msun", "scalars": "zmbar_msun"}
+    streams, target = {}, work_path(lake.spark, "delivered")
+    for name, mass in tables.items():
+        landing = work_path(lake.spark, f"landing-{name}")
+        rows = getattr(lake, name).join(files, _S).withColumn(mass, F.col(mass) * factor).drop("_won")
+        rows.repartition("run_dir").write.partitionBy("run_dir").parquet(landing)
+        plain = rows.drop("run_dir")
+        streams[name] = ingest.snapshot_stream(lake.spark, f"{landing}/*", plain.schema, max_files=1)
+    for running in ingest.ingest_tables(streams, target, f"{target}-checkpoint"):
+        running.awaitTermination()
+    out = None
+    for name, rows in ingest.resolved_tables(lake.spark, target, list(tables)).items():
+        part = rows.groupBy(*_S, "source_hdf5_path").agg(F.count("*").alias("n"), F.sum(tables[name]).alias("mass_msun"))
+        part = part.withColumn("part", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _files_of(lake: Lake, winners: DataFrame) -> DataFrame:
     """Single stars with the file that stands for their snapshot."""
     keep = winners.select(*_S, "source_hdf5_path")

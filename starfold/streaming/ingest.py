@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,3 +69,45 @@ def compact_batches(spark: SparkSession, target: str, output: str) -> None:
     """Write the resolved snapshots as one clean table."""
     resolved = current_snapshots(spark, target).hint("rebalance", *SNAPSHOT)
     resolved.sortWithinPartitions(*SNAPSHOT).write.mode("overwrite").parquet(output)
+
+
+def ingest_tables(
+    streams: dict[str, DataFrame], target: str, checkpoint: str, *, available_now: bool = True
+) -> list[StreamingQuery]:
+    """One stream for each table of a delivery of snapshot files, with whole rows; each has its own sink and offsets.
+
+    Rows need simulation_id, ttot, source_hdf5_path and source_mtime. Deliveries may overlap: which file
+    stands for a snapshot is decided by `resolved_tables`.
+    """
+    return [
+        ingest(rows, f"{target.rstrip('/')}/{name}", f"{checkpoint.rstrip('/')}/{name}", available_now=available_now)
+        for name, rows in streams.items()
+    ]
+
+
+def winning_files(spark: SparkSession, target: str, table: str = "scalars") -> DataFrame:
+    """The file that stands for each snapshot among all deliveries so far: latest mtime, then greatest path.
+
+    The state of a snapshot is one maximum, so a replayed or late batch never changes it back.
+    """
+    rows = _all_batches(spark, f"{target.rstrip('/')}/{table}")
+    best = rows.groupBy(*SNAPSHOT).agg(F.max(F.struct("source_mtime", "source_hdf5_path")).alias("w"))
+    return best.select(*SNAPSHOT, F.col("w.source_hdf5_path").alias("source_hdf5_path"))
+
+
+def resolved_tables(spark: SparkSession, target: str, tables: Sequence[str], by: str = "scalars") -> dict[str, DataFrame]:
+    """The rows of every table that come from the winning file of their snapshot, in whatever batch they came.
+
+    A file that is delivered again after a change replaces itself: of one file's rows those of its latest mtime
+    count, and of those the ones of the last batch that brought them.
+    """
+    winners = winning_files(spark, target, by)
+    out = {}
+    file = ["simulation_id", "source_hdf5_path"]
+    for name in tables:
+        rows = _all_batches(spark, f"{target.rstrip('/')}/{name}")
+        latest = rows.groupBy(*file, "ttot").agg(F.max(F.struct("source_mtime", _BATCH)).alias("_last"))
+        latest = latest.select(*file, "ttot", "_last.source_mtime", F.col(f"_last.{_BATCH}").alias(_BATCH))
+        kept = rows.join(winners, [*SNAPSHOT, "source_hdf5_path"], "left_semi")
+        out[name] = kept.join(latest, [*file, "ttot", "source_mtime", _BATCH], "left_semi").drop(_BATCH)
+    return out
