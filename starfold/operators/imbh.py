@@ -10,6 +10,7 @@ from starfold.functions.numeric import norm3
 from starfold import constants as K
 from starfold.operators.asof import asof_join
 from starfold.operators.history import first_row
+from starfold.operators.paths import longest_paths
 from starfold.operators.snapshot import SNAPSHOT, with_radius
 from starfold.session import materialize
 
@@ -224,13 +225,9 @@ def _links(events: DataFrame) -> DataFrame:
 
 
 def event_generations(events: DataFrame) -> DataFrame:
-    """Generations of simulations with very many events, by contracting the graph of events.
+    """Generations of simulations with very many events, as longest paths in the graph of events.
 
-    The value of an event is the largest of its base and of w + value over its links. In every round an event takes
-    over the values of links that are settled, and passes through events that depend on one other event only: their
-    link becomes its own, as in pointer doubling. So a chain of n events is settled in log2(n) rounds, a binary tree
-    in as many as it has levels at most; events without links are settled. Each round is a join of two
-    tables, written to the shared folder.
+    Every event is linked with the last earlier events that made its product and its parents, found by an as-of join.
     """
     order = ["ttot", "seq", "product_name", "parent_name_1", "parent_name_2"]
     placed = materialize(
@@ -240,52 +237,12 @@ def event_generations(events: DataFrame) -> DataFrame:
         "ordered-mergers",
     )
     # ids follow the order, so they serve as the time of the as-of join
-    placed = placed.withColumn("at", F.col("id"))
-    links = materialize(_links(placed), "merger-links")
-    state = materialize(
-        placed.select("id", F.lit(1).cast("bigint").alias("base")).join(
-            links.groupBy("id").agg(
-                F.count(F.lit(1)).alias("n"), F.max(F.struct("pred", "w")).alias("one")
-            ),
-            "id",
-            "left",
-        ).select("id", "base", F.coalesce("n", F.lit(0)).alias("n"), "one"),
-        "merger-state",
-    )
-    while not links.isEmpty():
-        told = state.select(
-            F.col("id").alias("pred"), F.col("base").alias("_base"), F.col("n").alias("_n"), F.col("one").alias("_one")
-        )
-        seen = links.join(told, "pred")
-        # a settled link only raises the base, one to an event with a single link is replaced by that one
-        through = F.col("_n") == 1
-        moved = materialize(
-            seen.select(
-                "id",
-                F.when(F.col("_n") == 0, None).when(through, F.col("_one")["pred"]).otherwise(F.col("pred")).alias("pred"),
-                (F.col("w") + F.when(through, F.col("_one")["w"]).otherwise(0)).alias("w"),
-                F.when(F.col("_n") <= 1, F.col("w") + F.col("_base")).alias("gain"),
-            ),
-            "merger-round",
-        )
-        links = materialize(
-            moved.where(F.col("pred").isNotNull()).groupBy("id", "pred").agg(F.max("w").alias("w")), "merger-links"
-        )
-        raised = moved.groupBy("id").agg(F.max("gain").alias("gain"))
-        left = links.groupBy("id").agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("pred", "w")).alias("_o"))
-        state = materialize(
-            state.join(raised, "id", "left").join(left, "id", "left").select(
-                "id",
-                F.greatest("base", "gain").alias("base"),
-                F.coalesce("_m", F.lit(0)).alias("n"),
-                F.col("_o").alias("one"),
-            ),
-            "merger-state",
-        )
+    links = _links(placed.withColumn("at", F.col("id")))
+    found = longest_paths(placed.select("id", F.lit(1).alias("base")), links)
     return (
-        placed.join(state, "id")
+        placed.join(found, "id")
         .groupBy("simulation_id", "product_name")
-        .agg(F.max("base").alias("generation"))
+        .agg(F.max("value").alias("generation"))
     )
 
 

@@ -87,3 +87,25 @@ def test_generations_of_long_chains(spark):
     """One name in every event, and a chain of new names, settle in few rounds."""
     rows = [(i, 1, 1, 1000 + i) for i in range(3000)] + [(5000 + i, 10_001 + i, 10_000 + i, 7) for i in range(3000)]
     assert generations(spark, rows) == folded(rows)
+
+
+def test_longest_paths_with_cycles(spark):
+    """Nodes on cycles of any kind, and those that depend on them, have no value."""
+    from starfold.operators.paths import longest_paths
+
+    rng = random.Random(6)
+    links = [(i, j, 1) for i in range(1, 60) for j in rng.sample(range(i), min(i, rng.randint(0, 2)))]
+    links += [(100, 101, 1), (101, 102, 1), (102, 100, 1), (103, 102, 1), (104, 103, 1), (104, 5, 1)]
+    links += [(a, b, 1) for a in (110, 111, 112) for b in (110, 111, 112) if a != b] + [(120, 120, 1), (121, 7, 1)]
+    ids = sorted({i for a, b, _ in links for i in (a, b)})
+    value = {}
+    while True:
+        ready = [i for i in ids if i not in value and all(b in value for a, b, _ in links if a == i)]
+        if not ready:
+            break
+        for i in ready:
+            value[i] = max([0, *(w + value[b] for a, b, w in links if a == i)])
+    nodes = spark.createDataFrame([(i, 0) for i in ids], "id long, base long")
+    got = longest_paths(nodes, spark.createDataFrame(links, "id long, pred long, w long"), limit=len(ids))
+    assert {r["id"]: r["value"] for r in got.collect()} == value
+    assert 121 in value and 104 not in value
