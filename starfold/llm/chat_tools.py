@@ -9,8 +9,8 @@ Method.
    turn) is its result; later ones and results without a call are marked as orphans.
 2. A call depends on the calls whose identifiers its arguments name as {"$ref": id}. Calls are
    ordered topologically: calls whose references are all placed get the next level. Conversations
-   of up to `TASK_EDGES` references are ordered inside tasks, longer ones in rounds of joins
-   over all of them at once. Calls on a cycle, and references to unknown calls, are marked.
+   of up to `TASK_EDGES` references are ordered inside tasks, longer ones by longest paths that double in
+   rounds of joins over all of them at once. Calls on a cycle, and references to unknown calls, are marked.
 3. Arguments are validated against the JSON schema of the tool.
 4. Every message, call and result is serialised as canonical JSON: keys sorted, no white space,
    UTF-8, floats in shortest form.
@@ -22,7 +22,8 @@ joins are on (conversation, identifier) and may be split by Spark.
 Defined cases. Null content is JSON null. Null call ids and null `result_of` link with nothing. Null
 conversation ids are one conversation. Of repeated calls with one identifier the first (by turn, then
 name and arguments) counts, the others are marked `duplicate`. Arguments that are no JSON object are
-invalid. Tools without a schema are invalid. Empty tables give empty results.
+invalid, as are ones with half a surrogate pair, which no UTF-8 text can hold, and ones nested deeper than Python's
+parser goes. Tools without a schema are invalid. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starfold.llm.common import map_rows
+from starfold.operators.paths import longest_paths
 from starfold.session import materialize
 
 # References of a conversation that are ordered inside one task.
@@ -101,12 +103,17 @@ def check_call(name: str | None, arguments: str | None, schemas: dict[str, dict]
     try:
         value = json.loads(arguments) if arguments is not None else None
         text = canonical(value)
+        text.encode()
+        if not isinstance(value, dict):
+            return text, "arguments are no object", []
+        problem = schema_problem(value, schemas[name]) if name in schemas else "unknown tool"
+        return text, problem, sorted(references(value))
+    except UnicodeEncodeError:
+        return None, "arguments hold half a surrogate pair", []
     except ValueError:
         return None, "arguments are no JSON", []
-    if not isinstance(value, dict):
-        return text, "arguments are no object", []
-    problem = schema_problem(value, schemas[name]) if name in schemas else "unknown tool"
-    return text, problem, sorted(references(value))
+    except RecursionError:
+        return None, "arguments are nested too deeply", []
 
 
 def checked_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -163,24 +170,16 @@ def _levels_in_tasks(edges: DataFrame) -> DataFrame:
 
 
 def _levels_in_rounds(edges: DataFrame) -> DataFrame:
-    """The same for any number of references: one round of joins for every level."""
-    nodes = edges.select("conv_id", "id").unionByName(edges.select("conv_id", F.col("ref").alias("id"))).distinct()
-    users = edges.select(F.col("conv_id").alias("c2"), F.col("id").alias("i2")).distinct()
-    same = F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("id") == F.col("i2"))
-    parts = [materialize(nodes.join(users, same, "left_anti").withColumn("level", F.lit(0)), "tool-level")]
-    while not parts[-1].isEmpty():
-        done = parts[-1].select(F.col("conv_id").alias("c2"), F.col("id").alias("r2"))
-        left = materialize(
-            edges.join(done, F.col("conv_id").eqNullSafe(F.col("c2")) & (F.col("ref") == F.col("r2")), "left_anti"), "tool-edges"
-        )
-        still = left.select(F.col("conv_id").alias("c2"), F.col("id").alias("i2")).distinct()
-        ready = edges.select("conv_id", "id").distinct().join(still, same, "left_anti")
-        parts.append(materialize(ready.withColumn("level", F.lit(len(parts))), "tool-level"))
-        edges = left
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """The same for any number of references, as longest paths that double in rounds of joins."""
+    def name(call: str) -> Column:
+        return F.to_json(F.struct("conv_id", F.col(call).alias("id")))
+
+    ends = edges.select("conv_id", "id").unionByName(edges.select("conv_id", F.col("ref").alias("id"))).distinct()
+    nodes = materialize(ends.withColumn("node", name("id")), "tool-nodes")
+    links = edges.select(name("id").alias("id"), name("ref").alias("pred"), F.lit(1).alias("w"))
+    found = longest_paths(nodes.select(F.col("node").alias("id"), F.lit(0).alias("base")), links, limit=nodes.count())
+    found = found.select(F.col("id").alias("node"), F.col("value").cast("int").alias("level"))
+    return nodes.join(found, "node").select("conv_id", "id", "level")
 
 
 def _placed(calls: DataFrame) -> DataFrame:

@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
-INVERSE = pow(BASE, -1, 1 << 64)
-
+# Distinct words whose hashes a process keeps.
+KEPT_WORDS = 500_000
 
-class Powers:
-    """Powers of BASE and of its inverse modulo 2^64, as far as needed."""
 
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, dtype=np.uint64)
+class WordHashes(dict):
+    """Keyed 64-bit hash of each word's bytes, computed once: no known family of words collides."""
 
-    def upto(self, n: int) -> None:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            self.up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, BASE, dtype=np.uint64)])
-            self.down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, INVERSE, dtype=np.uint64)])
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=b"shingles").digest(), "little")
+        return value
 
 
-POWERS = Powers()
+WORD_HASHES = WordHashes()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -38,16 +38,7 @@ def words_of(text: str) -> list[bytes]:
 
 def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash of every word, in order."""
-    raw = np.frombuffer(text.encode().lower(), dtype=np.uint8)
-    if not len(raw):
-        return np.zeros(0, dtype=np.uint64)
-    blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
-    edges = np.flatnonzero(np.diff(np.r_[True, blank, True].astype(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    POWERS.upto(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * POWERS.up[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * POWERS.down[starts] + (ends - starts).astype(np.uint64))
+    return np.array([WORD_HASHES[w] for w in words_of(text)], dtype=np.uint64)
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
