@@ -1,8 +1,8 @@
 """Quality rules: per-document repetition rules and cross-document line frequency.
 
 Method. Lines are normalised (ASCII white space at both ends removed, A-Z lower-cased) and hashed.
-For every host the number of distinct documents that hold a line is counted; equal texts are one
-document, so that plain copies don't make their own lines frequent. A line is over the limit when
+For every host the number of distinct documents (ids) that hold a line is counted, copies of a text included;
+taking them out before is the work of a near-duplicate operator. A line is over the limit when
 it is in more than `LINE_DOCS` documents of the host, however many documents the host has: the same
 lines go in a small host and in one that holds a third of all rows. Lines over the limit are removed;
 a document of which less than `KEEP_SHARE` of its words remain is rejected as depleted.
@@ -13,7 +13,8 @@ frequent lines come back to the line rows by an equi-join that Spark may split.
 shuffled.
 
 Defined cases. Null text has no words and fails the base rules. Null hosts are one host. Rows with a
-null or repeated id are judged row by row. Empty tables give empty results.
+null or repeated id are judged row by row; rows of one id count as one document for a line, each row without an id
+as one of its own. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ LINE_DOCS = 20
 KEEP_SHARE = 0.3
 
 STATS = (
-    "doc_id long, host string, rid long, text_key long, n_words long, word_chars long, n_symbols long, "
+    "doc_id long, host string, rid long, n_words long, word_chars long, n_symbols long, "
     "n_dup_lines long, n_repeat_words long, lines array<struct<line:string,words:long>>"
 )
 
@@ -74,7 +75,7 @@ def document_stats(docs: DataFrame, id_col: str, text_col: str, host_col: str) -
     def make():
         def batch(cols: dict) -> dict:
             stats = [text_stats(t) for t in cols["text"]]
-            out = {k: cols[k] for k in ("doc_id", "host", "rid", "text_key")}
+            out = {k: cols[k] for k in ("doc_id", "host", "rid")}
             for k, name in enumerate(("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")):
                 out[name] = [s[k] for s in stats]
             out["lines"] = [[{"line": k.decode(), "words": n} for k, n in s[5]] for s in stats]
@@ -86,7 +87,6 @@ def document_stats(docs: DataFrame, id_col: str, text_col: str, host_col: str) -
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(host_col).cast("string").alias("host"),
         F.monotonically_increasing_id().alias("rid"),
-        F.xxhash64(text_col).alias("text_key"),
         F.col(text_col).alias("text"),
     )
     hashed = F.transform(
@@ -100,10 +100,16 @@ def document_stats(docs: DataFrame, id_col: str, text_col: str, host_col: str) -
 
 def frequent_lines(stats: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
     """(host, h1, h2, n_docs) of the lines over the limit of their host."""
-    texts = stats.groupBy("host", "text_key").agg(F.first("lines").alias("lines"))
+    known = stats.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    again = known.where("n > 1").select("doc_id")
+    # the rows of a repeated id share its lines; all others have each line once already
+    line = [F.col("x.h1").alias("h1"), F.col("x.h2").alias("h2")]
+    single = stats.join(again, "doc_id", "left_anti").select("host", F.explode("lines").alias("x")).select("host", *line)
+    shared = stats.join(again, "doc_id", "left_semi").select("host", "doc_id", F.explode("lines").alias("x"))
+    once = shared.select("host", "doc_id", *line).distinct().select("host", "h1", "h2")
     return (
-        texts.select("host", F.explode("lines").alias("x"))
-        .groupBy("host", F.col("x.h1").alias("h1"), F.col("x.h2").alias("h2"))
+        single.unionByName(once)
+        .groupBy("host", "h1", "h2")
         .agg(F.count("*").alias("n_docs"))
         .where(F.col("n_docs") > line_docs)
     )
@@ -133,7 +139,7 @@ def quality_rules(
         .agg(F.sum("x.words").alias("frequent_words"))
         .withColumnRenamed("rid", "rid2")
     )
-    out = stats.drop("lines", "host", "text_key").join(removed, F.col("rid") == F.col("rid2"), "left")
+    out = stats.drop("lines", "host").join(removed, F.col("rid") == F.col("rid2"), "left")
     out = out.withColumn("frequent_words", F.coalesce("frequent_words", F.lit(0).cast("long")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     depleted = (F.col("n_words") - F.col("frequent_words")) < keep_share * F.col("n_words")

@@ -40,7 +40,8 @@ def piece_model_path() -> str:
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep_first=False)
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
