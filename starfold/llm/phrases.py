@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,21 +58,24 @@ class Hashes(dict):
     """Hash of each word, computed once."""
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = zlib.crc32(word)
+        value = self[word] = zlib.crc32(word) >> 8
         return value
 
 
 def cut_piece(words: list[bytes], overlap: int, hashes: Hashes) -> list[tuple[bytes, bool]]:
     """Chunks of a piece, and whether words after the chunk's own ones follow in it."""
-    if len(words) <= overlap + 1:
-        return [(b" ".join(words), False)]
-    marks = [hashes[w] for w in words]
+    marks = list(map(hashes.__getitem__, words[: len(words) - overlap]))
     out = []
     start = 0
-    for i in range(1, len(words) - overlap):
-        if (marks[i - 1] * 31 + marks[i]) % TRIGGER == 0 or i - start == MAX_OWN:
-            out.append((b" ".join(words[start : i + overlap]), True))
-            start = i
+    for i in [i for i, (a, b) in enumerate(zip(marks, marks[1:]), 1) if not (5 * a + b) % TRIGGER]:
+        while i - start > MAX_OWN:
+            out.append((b" ".join(words[start : start + MAX_OWN + overlap]), True))
+            start += MAX_OWN
+        out.append((b" ".join(words[start : i + overlap]), True))
+        start = i
+    while len(words) - overlap - start > MAX_OWN:
+        out.append((b" ".join(words[start : start + MAX_OWN + overlap]), True))
+        start += MAX_OWN
     out.append((b" ".join(words[start:]), False))
     return out
 
@@ -134,30 +138,24 @@ def bitmap(frequent: DataFrame) -> np.ndarray:
     return out
 
 
-class Ids(dict):
-    """Local numbers of words, in the order of their first sight."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-
-def passes(lang: str, texts: list[bytes], bits: np.ndarray) -> np.ndarray:
+def passes(lang: str, texts: pa.Array, bits: np.ndarray) -> np.ndarray:
     """Whether each phrase may be frequent; one more entry for places without a phrase."""
     head = zlib.crc32(lang.encode() + b"\t")
-    h = np.array([zlib.crc32(t, head) for t in texts], np.int64) % FILTER_BITS
+    h = np.array([zlib.crc32(t, head) for t in texts.cast(pa.binary()).to_pylist()], np.int64) % FILTER_BITS
     return np.append((bits[h >> 3] >> (h & 7)) & 1 == 1, False)
 
 
 def count_grams(
-    lang: str, chunks: list[bytes], opens: np.ndarray, weights: np.ndarray, n_max: int, lengths: range, filters: list[np.ndarray]
-) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    lang: str, chunks: pa.Array, opens: np.ndarray, weights: np.ndarray, n_max: int, lengths: range, filters: list[np.ndarray]
+) -> Iterator[tuple[pa.Array, np.ndarray]]:
     """Phrases of each of `lengths` in chunks of one language, where the filters of shorter ones let them pass, and
     their weights. All arrays have one entry per word; gram holds local numbers of the phrases that start there."""
-    ids = Ids()
-    gram = np.fromiter(map(ids.__getitem__, b" ".join(chunks).split(b" ")), np.int64)
-    sizes = np.fromiter((c.count(b" ") for c in chunks), np.int64, len(chunks)) + 1
-    texts = list(ids)
+    split = pc.split_pattern(chunks, " ")
+    coded = split.flatten().dictionary_encode()
+    words = texts = coded.dictionary
+    gram = coded.indices.to_numpy().astype(np.int64)
+    last = np.arange(len(words))  # number of the last word of each phrase
+    sizes = pc.list_value_length(split).to_numpy().astype(np.int64)
     ends = np.cumsum(sizes)
     place = np.arange(len(gram))
     left = np.repeat(ends, sizes) - place
@@ -175,9 +173,9 @@ def count_grams(
             else:
                 at = at[gram[at + 1] < len(texts)]
             inverse, codes = pd.factorize((gram[at] << 32) | gram[at + 1])
-            heads, tails = (codes >> 32).tolist(), (codes & 0xFFFFFFFF).tolist()
-            last = [t[t.rfind(b" ") :] if k > 2 else b" " + t for t in map(texts.__getitem__, tails)]
-            texts = [texts[a] + b for a, b in zip(heads, last, strict=True)]
+            heads, tails = codes >> 32, codes & 0xFFFFFFFF
+            last = last[tails]
+            texts = pc.binary_join_element_wise(texts.take(pa.array(heads)), words.take(pa.array(last)), " ")
             gram = np.full(len(gram), len(texts), np.int64)  # no phrase
             gram[at] = inverse
         if k in lengths:
@@ -198,17 +196,15 @@ def gram_counts(chunks: DataFrame, lengths: range, n_max: int, filters, held_row
         for i, lang in enumerate(langs.dictionary.to_pylist()):
             mine = table if len(langs.dictionary) == 1 else table.take(pa.array(np.flatnonzero(numbers == i)))
             opens, weights = (mine.column(c).to_numpy().astype(np.int64) for c in ("open", "weight"))
-            parts = count_grams(lang, mine.column("chunk").to_pylist(), opens, weights, n_max, lengths, filters.value if filters else [])
+            parts = count_grams(
+                lang, mine.column("chunk").combine_chunks(), opens, weights, n_max, lengths, filters.value if filters else []
+            )
             for n, (texts, total) in zip(lengths, parts, strict=True):
                 if n == 1:
-                    texts, total = [*texts, b""], np.append(total, total.sum())
+                    texts, total = pa.concat_arrays([texts, pa.array([""], texts.type)]), np.append(total, total.sum())
                 hit = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(hit), pa.string()),
-                        pa.array([texts[i] for i in hit.tolist()], pa.binary()).cast(pa.string()),
-                        pa.array(total[hit], pa.int64()),
-                    ],
+                    [pa.repeat(lang, len(hit)), texts.take(pa.array(hit)).cast(pa.string()), pa.array(total[hit], pa.int64())],
                     schema=target,
                 )
 
@@ -225,8 +221,7 @@ def gram_counts(chunks: DataFrame, lengths: range, n_max: int, filters, held_row
         if held:
             yield from give(held)
 
-    rows = chunks.select("lang", F.col("chunk").cast("binary").alias("chunk"), "open", "weight")
-    counted = rows.mapInArrow(run, "lang string, phrase string, f long")
+    counted = chunks.select("lang", "chunk", "open", "weight").mapInArrow(run, "lang string, phrase string, f long")
     # a task's phrases are distinct already, so they are summed once, after the shuffle
     return counted.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
