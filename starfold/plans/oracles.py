@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 
 from starfold import constants as K
+from starfold.functions.display import C2_NM_K, WAVELENGTHS_NM, XYZ_TO_RGB, matching_curves
 from starfold.sources.adapters import ADAPTERS, adapter_sql
 
 ORACLES: dict[str, str] = {}
@@ -1169,3 +1170,23 @@ FROM (SELECT simulation_id, ttot, kw, mass_msun AS m FROM snapshot_singles
   UNION ALL SELECT simulation_id, ttot, kw_2, mass_2_msun FROM snapshot_binaries)
 WHERE kw BETWEEN 10 AND 14 AND ttot BETWEEN 20 AND 30 GROUP BY ALL""",
 )
+
+_CURVES = ", ".join(
+    f"({w!r}, {a!r}, {b!r}, {c!r})" for w, (a, b, c) in zip(WAVELENGTHS_NM.tolist(), matching_curves().T.tolist())
+)
+_ROWS = dict(zip("rgb", XYZ_TO_RGB.tolist()))
+oracle(
+    "star_colours",
+    "singles",
+    f"SELECT simulation_id, {r('ttot')} AS ttot, object_id, {r('teff_k')} AS teff_k, "
+    + ", ".join(f"{r(f'CASE WHEN {c} / top <= 0.0031308 THEN 12.92 * {c} / top ELSE 1.055 * pow({c} / top, 1 / 2.4) - 0.055 END')} AS {c}" for c in "rgb")
+    + " FROM snapshot_singles JOIN colours USING (teff_k)",
+    f"curves AS (SELECT * FROM (VALUES {_CURVES}) v(w, cx, cy, cz))",
+    f"light AS (SELECT teff_k, pow(w, -5) / (exp({C2_NM_K!r} / (w * teff_k)) - 1) AS e, cx, cy, cz "
+    "FROM (SELECT DISTINCT teff_k FROM snapshot_singles), curves)",
+    "xyz AS (SELECT teff_k, sum(e * cx) AS x, sum(e * cy) AS y, sum(e * cz) AS z FROM light GROUP BY teff_k)",
+    "linear AS (SELECT teff_k, "
+    + ", ".join(f"greatest(({p!r} * x + {q!r} * y + {s!r} * z) / (x + y + z), 0) AS {c}" for c, (p, q, s) in _ROWS.items())
+    + " FROM xyz)",
+    "colours AS (SELECT *, greatest(r, g, b) AS top FROM linear)",
+)

@@ -843,7 +843,7 @@ def duplicate_file_times(lake: Lake) -> DataFrame:
 
 @query
 def star_colours(lake: Lake) -> DataFrame:
-    """No SQL twin: the colour is an integral over the visible spectrum."""
+    """Colours from the interpolation table; the SQL twin integrates the spectrum."""
     from starfold.functions.display import teff_rgb
 
     rgb = lake.singles.select(*_S, "object_id", "teff_k", teff_rgb("teff_k").alias("c"))

@@ -213,6 +213,21 @@ def test_display_mappings(spark):
     assert blue["b"] == pytest.approx(1.0) and blue["r"] < 0.8
 
 
+def test_colours_are_those_of_the_spectrum(spark):
+    """The interpolation table against the integral, between its knots, at its ends and beyond."""
+    kelvin = np.exp(np.linspace(np.log(600.0), np.log(9e5), 4001))
+    x, y = display.blackbody_chromaticity(kelvin)
+    linear = np.clip(np.array([x, y, 1 - x - y]).T @ display.XYZ_TO_RGB.T, 0.0, None)
+    linear /= linear.max(axis=1, keepdims=True)
+    want = np.where(linear <= 0.0031308, 12.92 * linear, 1.055 * linear ** (1 / 2.4) - 0.055)
+    df = spark.createDataFrame([(float(t),) for t in kelvin], "t double")
+    got = np.array([tuple(r[0]) for r in values(df, display.teff_rgb("t"))])
+    assert np.abs(got - want).max() < 1e-7
+    ends = spark.createDataFrame([(1.0,), (500.0,), (1e7,), (1e6,), (None,)], "t double")
+    low, at_low, high, at_high, none = [r[0] for r in values(ends, display.teff_rgb("t"))]
+    assert low == at_low and high == at_high and none is None
+
+
 def test_numeric_helpers(spark):
     df = spark.createDataFrame([(2.5,), (3.5,), (-2.5,)], "x double")
     assert [r[0] for r in values(df, round_id("x"))] == [2, 4, -2]
