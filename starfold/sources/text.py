@@ -67,12 +67,22 @@ COAL_24_TAGGED = (
     "K*(I1)",
     "K*(I2)",
     "K*(INEW)",
-    *[f"COAL24_FIELD_{i:02d}" for i in range(8, 16)],
+    "COAL24_FIELD_08",
+    "COAL24_FIELD_09",
+    "COAL24_FIELD_10",
+    "COAL24_FIELD_11",
+    "COAL24_FIELD_12",
+    "COAL24_FIELD_13",
+    "COAL24_FIELD_14",
+    "COAL24_FIELD_15",
     "M(I1)[M*]",
     "M(I2)[M*]",
     "M(INEW)[M*]",
     "DM[M*]",
-    *[f"COAL24_FIELD_{i}" for i in range(20, 24)],
+    "COAL24_FIELD_20",
+    "COAL24_FIELD_21",
+    "COAL24_FIELD_22",
+    "COAL24_FIELD_23",
     "ECC",
     "P[days]",
 )
