@@ -9,11 +9,12 @@ own probability and all of them add up to 1. A document's score is the sum of th
 of all its words, each given both sides; the mean per word makes documents comparable.
 
 What grows with the corpus. Documents are encoded once into shards: a list of the shard's words and
-the place of every token in it. Counts of all words, and an embedding row for each word outside the
-`WORDS` that is seen `SEEN` times or more, added to the embedding of its bucket, are Spark tables; the
-rows a shard needs are joined to it, learnt there and averaged by an aggregate, so no task and not the
-driver holds a vocabulary. The driver sees the frequent words, the bucket totals and the
-network's weights, all of fixed size.
+the compressed place of every token in it. All words with their numbers and counts, and an embedding
+row for each word outside the `WORDS` that is seen `SEEN` times or more, used in place of the
+embedding of its bucket, are Spark tables. Words meet their numbers once; later passes join rows to shards by number,
+learn them there and average them by an aggregate, so no task and not the driver holds a vocabulary.
+The driver sees the frequent words, the bucket totals and the network's weights, all of fixed size.
+Shards are large (`SHARD_WORDS`), because a word's row is sent once per shard that has the word.
 
 Training covers every token: over the `ROUNDS` rounds each place of each document is a target exactly
 once. In a round each shard starts from the current weights and rows; the weights are
@@ -23,17 +24,17 @@ What does not grow: the layer sizes and the output classes, so inside a bucket t
 tell words apart.
 
 Defined cases. Null, empty or blank texts have no words: log_prob 0, mean null. Repeated rows and
-ids are scored row by row. On an empty table the result is empty.
+ids are scored row by row. A document is never cut: one longer than a shard is a shard by itself, some
+30 bytes a word in its task. On an empty table the result is empty.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm.common import pa_schema
@@ -48,14 +49,16 @@ WIDTH = 16
 HIDDEN = 32
 ROUNDS = 2
 # A shard ends at so many documents or words.
-SHARD = 1000
-SHARD_WORDS = 250_000
+SHARD = 25_000
+SHARD_WORDS = 2_000_000
 # Words seen so often have an embedding row of their own.
 SEEN = 5
-BATCH = 256
+BATCH = 1024
 RATE = 0.1
 # Words that go through the network at once.
-BLOCK = 8192
+BLOCK = 2048
+# Exponents of this size neither overflow nor vanish in single precision.
+SAFE = 80.0
 
 SHAPES = {
     "embed": (SIZE + 1, WIDTH),
@@ -68,7 +71,7 @@ SHAPES = {
 }
 VECTOR = [f"v{k}" for k in range(WIDTH)]
 SHARDS = "doc_ids array<long>, lengths array<long>, tokens binary, words array<string>, counts array<long>"
-LEARNT = "core array<float>, learnt double, word string, n long, used double, " + ", ".join(f"{v} float" for v in VECTOR)
+LEARNT = "core array<float>, learnt double, id long, used double, " + ", ".join(f"{v} float" for v in VECTOR)
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 
 
@@ -80,12 +83,16 @@ class Vocabulary:
     def __init__(self, words: list[str]) -> None:
         self.ids = {w: k for k, w in enumerate(words)}
 
-    def encode(self, words: list[str]) -> np.ndarray:
-        get = self.ids.get
-        out = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
-        for k in np.flatnonzero(out < 0).tolist():
-            out[k] = WORDS + zlib.crc32(words[k].encode()) % BUCKETS
-        return out
+
+def pack(tokens: np.ndarray) -> bytes:
+    """Places as compressed byte planes: the upper ones are nearly constant."""
+    planes = np.ascontiguousarray(tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * size, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -102,7 +109,7 @@ def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def row() -> pa.RecordBatch:
             tokens = np.concatenate(parts)
             counts = np.bincount(tokens, minlength=len(place))
-            cells = (ids, [len(p) for p in parts], tokens.tobytes(), list(place), counts.tolist())
+            cells = (ids, [len(p) for p in parts], pack(tokens), list(place), counts.tolist())
             return pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(cells, target, strict=True)], schema=target)
 
         for batch in batches:
@@ -132,51 +139,69 @@ def vocabulary(counts: DataFrame, size: int = WORDS) -> Vocabulary:
     return Vocabulary([r["word"] for r in top])
 
 
-def rare_words(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """(word, n) of the words that share a bucket."""
-    top = counts.sparkSession.createDataFrame([(w,) for w in vocab.ids], "word string")
-    return counts.join(top, "word", "left_anti")
+def number_words(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
+    """(word, id, n, core): every word's number, corpus count and output place."""
+    top = counts.sparkSession.createDataFrame(list(vocab.ids.items()), "word string, rank int")
+    bucket = F.lit(WORDS) + F.crc32(F.col("word").cast("binary")) % BUCKETS
+    rows = counts.join(top, "word", "left").select("word", "n", F.coalesce("rank", bucket).cast("int").alias("core"))
+    return materialize(rows.withColumn("id", F.monotonically_increasing_id()), "lm-numbers")
 
 
-def bucket_totals(rare: DataFrame) -> np.ndarray:
+def bucket_totals(numbers: DataFrame) -> np.ndarray:
     """Tokens of every bucket."""
     out = np.zeros(BUCKETS)
-    bucket = (F.crc32(F.col("word").cast("binary")) % BUCKETS).alias("bucket")
-    for r in rare.groupBy(bucket).agg(F.sum("n").alias("n")).collect():  # one row per bucket
-        out[r["bucket"]] = r["n"]
+    for r in numbers.where(F.col("core") >= WORDS).groupBy("core").agg(F.sum("n").alias("n")).collect():  # one row per bucket
+        out[r["core"] - WORDS] = r["n"]
     return out
 
 
-def by_shard(shards: DataFrame, rows: DataFrame):
-    """Shards next to the rows of their words."""
-    places = shards.select("shard", F.posexplode("words").alias("pos", "word"))
-    near = places.join(rows, "word").select(F.col("shard").alias("part"), "pos", "word", "n", *VECTOR)
-    return shards.select("shard", "doc_ids", "lengths", "tokens", "words").groupBy("shard").cogroup(near.groupBy("part"))
+def place_words(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(part, pos, id, n, core): the words of every shard by number."""
+    places = shards.select(F.col("shard").alias("part"), F.posexplode("words").alias("pos", "word"))
+    return materialize(places.join(numbers, "word").drop("word"), "lm-places")
+
+
+def with_row() -> Column:
+    return (F.col("core") >= WORDS) & (F.col("n") >= SEEN)
+
+
+def by_shard(shards: DataFrame, places: DataFrame, rows: DataFrame | None):
+    """Shards next to their words and the words' rows; without `rows` all rows are zero."""
+    if rows is None:
+        near = places.select("*", *(F.lit(0.0).cast("float").alias(v) for v in VECTOR))
+    else:
+        near = places.where(with_row()).join(rows, "id", "left").fillna(0.0, VECTOR).unionByName(
+            places.where(~with_row()).select("*", *(F.lit(0.0).cast("float").alias(v) for v in VECTOR))
+        )
+    return shards.select("shard", "doc_ids", "lengths", "tokens").groupBy("shard").cogroup(near.groupBy("part"))
 
 
 class Shard:
-    """A shard with its rows: `core` has the network's id of every word, `own` its row of `rows`,
-    whose last row is zero and stands for words without one."""
+    """A shard with its rows: `core` has the output place of every word, `own` its row in the embeddings of
+    the network followed by `rows`."""
 
-    def __init__(self, shard: pa.Table, near: pa.Table, vocab: Vocabulary) -> None:
+    def __init__(self, shard: pa.Table, near: pa.Table) -> None:
         self.doc_ids = shard.column("doc_ids")[0].values
-        self.lengths = np.array(shard.column("lengths")[0].as_py(), dtype=np.int64)
-        self.tokens = np.frombuffer(shard.column("tokens")[0].as_py(), dtype=np.int32).astype(np.int64)
-        words = shard.column("words")[0].as_py()
-        size = len(words)
-        self.core = np.append(vocab.encode(words), SIZE)  # the last word stands outside the text
-        self.pos = near.column("pos").to_numpy().astype(np.int64)
-        self.n = near.column("n").to_numpy().astype(np.int64)
-        self.rows = np.zeros((len(self.pos) + 1, WIDTH), dtype=np.float32)
+        self.lengths = np.array(shard.column("lengths")[0].values.to_numpy(zero_copy_only=False), dtype=np.int64)
+        self.tokens = unpack(shard.column("tokens")[0].as_py(), int(self.lengths.sum()))
+        size = near.num_rows
+        pos = near.column("pos").to_numpy()
+        self.core = np.full(size + 1, SIZE, dtype=np.uint16)  # the last word stands outside the text
+        self.core[pos] = near.column("core").to_numpy()
+        self.n = np.ones(size, dtype=np.int64)
+        self.n[pos] = near.column("n").to_numpy()
+        known = np.flatnonzero((near.column("core").to_numpy() >= WORDS) & (near.column("n").to_numpy() >= SEEN))
+        self.ids = near.column("id").to_numpy()[known]
+        self.rows = np.empty((len(known), WIDTH), dtype=np.float32)
         for k, v in enumerate(VECTOR):
-            self.rows[:-1, k] = near.column(v).to_numpy()
-        self.own = np.full(size + 1, len(self.pos), dtype=np.int64)
-        self.own[self.pos] = np.arange(len(self.pos))
-        docs = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        padded = np.full(len(self.tokens) + 2 * REACH * len(self.lengths), size, dtype=np.int64)
-        self.at = np.arange(len(self.tokens)) + REACH * (2 * docs + 1)
-        padded[self.at] = self.tokens
-        self.padded, self.turn = padded, docs + np.arange(len(self.tokens)) - (np.cumsum(self.lengths) - self.lengths)[docs]
+            self.rows[:, k] = near.column(v).to_numpy()[known]
+        self.own = self.core.astype(np.int32)
+        self.own[pos[known]] = SIZE + 1 + np.arange(len(known))
+        docs = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
+        self.padded = np.full(len(self.tokens) + 2 * REACH * len(self.lengths), size, dtype=np.int32)
+        self.at = np.arange(len(self.tokens)) + REACH * (2 * docs.astype(np.int64) + 1)
+        self.padded[self.at] = self.tokens
+        self.turn = docs + np.arange(len(self.tokens)) - (np.cumsum(self.lengths) - self.lengths)[docs]
 
     def context(self, places: np.ndarray) -> np.ndarray:
         """Words around the tokens at these places."""
@@ -188,21 +213,22 @@ class Shard:
         return np.flatnonzero((self.turn + turn) % rounds == 0)
 
     def log_probs(self, net: Network, totals: np.ndarray) -> np.ndarray:
-        share = np.zeros(len(self.core))
-        share[self.pos] = np.log(self.n) - np.log(totals[self.core[self.pos] - WORDS])
+        core = self.core[:-1].astype(np.int64)
+        rare = core >= WORDS
+        share = np.zeros(len(core))
+        share[rare] = np.log(self.n[rare]) - np.log(totals[core[rare] - WORDS])
+        embed = np.concatenate([net.views["embed"], self.rows])[self.own]
         out = np.empty(len(self.tokens))
         for at in range(0, len(out), BLOCK):
             places = np.arange(at, min(at + BLOCK, len(out)))
-            near, ids = self.context(places), self.core[self.tokens[places]]
-            _, _, pu, pl, upper, lower = net.forward(self.core[near], ids, self.rows[self.own[near]])
-            row = np.arange(len(ids))
-            out[places] = np.log(pu[row, upper]) + np.log(pl[row, lower])
+            x = embed[self.context(places)].reshape(len(places), -1)
+            out[places] = net.target_log_probs(x, core[self.tokens[places]])
         return out + share[self.tokens]
 
 
 def _sum_rows(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct indices and the sums of their rows."""
-    order = np.argsort(index, kind="stable")
+    order = np.argsort(index)
     ordered = index[order]
     first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     return ordered[first], np.add.reduceat(values[order], first, axis=0)
@@ -231,96 +257,121 @@ class Network:
         offsets = [k for k in range(2 * REACH + 1) if k != REACH]
         return np.stack([padded[k : k + len(ids)] for k in offsets], axis=1)
 
-    def forward(self, context: np.ndarray, ids: np.ndarray, own: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-        """`own`: rows that are added to the embeddings of the context."""
+    def forward(self, context: np.ndarray, ids: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """`table`: the embeddings and more rows below them."""
+        x = (self.views["embed"] if table is None else table)[context].reshape(len(context), -1)
+        h, zu, zl, upper, lower = self.logits(x, ids)
+        up, low = self.bounds()
+        return x, h, _softmax(zu, up), _softmax(zl, low), upper, lower
+
+    def logits(self, x: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
         v = self.views
-        x = v["embed"][context]
-        x = (x if own is None else x + own).reshape(len(context), -1)
-        h = np.tanh(x @ v["w"] + v["b"])
+        h = x @ v["w"]
+        h += v["b"]
+        np.tanh(h, out=h)
         upper, lower = ids // CLASSES, ids % CLASSES
-        pu = _softmax(h @ v["up"] + v["up_b"])
-        pl = _softmax(h @ v["low"] + v["low_b"][upper])
-        return x, h, pu, pl, upper, lower
+        zu = h @ v["up"]
+        zu += v["up_b"]
+        zl = h @ v["low"]
+        zl += v["low_b"][upper]
+        return h, zu, zl, upper, lower
+
+    def bounds(self) -> tuple[float, float]:
+        """Sizes that no logit of the two layers can exceed, as hidden values lie in -1 to 1."""
+        v = self.views
+        up = (np.abs(v["up"]).sum(axis=0) + np.abs(v["up_b"])).max()
+        return float(up), float(np.abs(v["low"]).sum(axis=0).max() + np.abs(v["low_b"]).max())
+
+    def target_log_probs(self, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        _, zu, zl, upper, lower = self.logits(x, ids)
+        up, low = self.bounds()
+        return _log_softmax_at(zu, upper, up) + _log_softmax_at(zl, lower, low)
 
     def log_probs(self, ids: np.ndarray) -> np.ndarray:
-        context = self.context(ids)
-        out = np.empty(len(ids))
-        for at in range(0, len(ids), BLOCK):
-            part = slice(at, at + BLOCK)
-            _, _, pu, pl, upper, lower = self.forward(context[part], ids[part])
-            row = np.arange(len(upper))
-            out[part] = np.log(pu[row, upper]) + np.log(pl[row, lower])
-        return out
+        x = self.views["embed"][self.context(ids)].reshape(len(ids), -1)
+        return self.target_log_probs(x, ids)
 
     def learn(
-        self, context: np.ndarray, ids: np.ndarray, seen: Network, rows: np.ndarray | None = None,
-        own: np.ndarray | None = None, rows_seen: np.ndarray | None = None,
+        self, context: np.ndarray, ids: np.ndarray, seen: Network, table: np.ndarray | None = None, table_seen: np.ndarray | None = None
     ) -> None:
-        """One adaptive gradient step; `seen` sums squared gradients. `rows[own]` is added to the embeddings
-        of the context and learns too, but for its last row."""
+        """One adaptive gradient step; `seen` sums squared gradients. `table` learns in place of the embeddings."""
         v = self.views
-        x, h, pu, pl, upper, lower = self.forward(context, ids, None if rows is None else rows[own])
+        x, h, pu, pl, upper, lower = self.forward(context, ids, table)
         n, row = len(ids), np.arange(len(ids))
         pu[row, upper] -= 1
         pl[row, lower] -= 1
         pu /= n
         pl /= n
-        back = (pu @ v["up"].T + pl @ v["low"].T) * (1 - h * h)
-        grad = Network(np.zeros_like(self.flat))
-        g = grad.views
-        g["up"][:] = h.T @ pu
-        g["up_b"][:] = pu.sum(axis=0)
-        g["low"][:] = h.T @ pl
-        np.add.at(g["low_b"], upper, pl)
-        g["w"][:] = x.T @ back
-        g["b"][:] = back.sum(axis=0)
+        back = pu @ v["up"].T
+        back += pl @ v["low"].T
+        back *= 1 - h * h
         into = (back @ v["w"].T).reshape(-1, WIDTH)
+        one_hot = np.zeros((n, CLASSES), dtype=pu.dtype)
+        one_hot[row, upper] = 1
+        grads = {"up": h.T @ pu, "up_b": pu.sum(axis=0), "low": h.T @ pl, "low_b": one_hot.T @ pl, "w": x.T @ back, "b": back.sum(axis=0)}
+        for name, g in grads.items():
+            _step(v[name], seen.views[name], slice(None), g)
         at, total = _sum_rows(context.ravel(), into)
-        g["embed"][at] = total
-        if rows is not None:
-            at, total = _sum_rows(own.ravel(), into)
-            at, total = at[at < len(rows) - 1], total[at < len(rows) - 1]
-            rows_seen[at] += total * total
-            rows[at] -= RATE * total / (np.sqrt(rows_seen[at]) + 1e-6)
-        seen.flat += grad.flat * grad.flat
-        self.flat -= RATE * grad.flat / (np.sqrt(seen.flat) + 1e-6)
-
-
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
+        if table is None:
+            table, table_seen = v["embed"], seen.views["embed"]
+        _step(table, table_seen, at, total)
+
+
+def _step(values: np.ndarray, seen: np.ndarray, at: np.ndarray | slice, grad: np.ndarray) -> None:
+    squares = seen[at] + grad * grad
+    seen[at] = squares
+    values[at] -= RATE * grad / (np.sqrt(squares) + 1e-6)
+
+
+def _softmax(z: np.ndarray, bound: float) -> np.ndarray:
+    """In place; `bound` limits the size of every entry."""
+    if not bound < SAFE:
+        z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    z *= (1 / (z @ np.ones(z.shape[1], dtype=z.dtype)))[:, None]
     return z
 
 
-def train(shards: DataFrame, vocab: Vocabulary, rare: DataFrame, rounds: int = ROUNDS) -> tuple[Network, DataFrame]:
+def _log_softmax_at(z: np.ndarray, at: np.ndarray, bound: float) -> np.ndarray:
+    """Logarithm of the softmax of every row at one place of it; uses up `z`."""
+    if not bound < SAFE:
+        z -= z.max(axis=1, keepdims=True)
+    picked = z[np.arange(len(z)), at]
+    np.exp(z, out=z)
+    return picked - np.log(z @ np.ones(z.shape[1], dtype=z.dtype))
+
+
+def train(shards: DataFrame, places: DataFrame, rounds: int = ROUNDS) -> tuple[Network, DataFrame]:
     """Average of the shards' weights and of the words' rows, round after round."""
     spark = shards.sparkSession
     target = pa_schema(spark, LEARNT)
-    net = Network()
-    rows = rare.where(F.col("n") >= SEEN).select("word", "n", *(F.lit(0.0).cast("float").alias(v) for v in VECTOR))
+    net, rows = Network(), None
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((vocab, net.flat, turn))
+        shared = spark.sparkContext.broadcast((net.flat, turn))
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            vocab, flat, turn = shared.value  # noqa: B023
-            part = Shard(left, right, vocab)
+            flat, turn = shared.value  # noqa: B023
+            part = Shard(left, right)
             net, seen = Network(flat.copy()), Network(np.full_like(flat, 1e-4))
-            rows_seen = np.full_like(part.rows, 1e-4)
-            places = part.targets(turn, rounds)
-            used = np.zeros(len(part.rows))
-            for k in range(0, len(places), BATCH):
-                at = places[k : k + BATCH]
-                near = part.context(at)
-                own = part.own[near]
-                net.learn(part.core[near], part.core[part.tokens[at]], seen, part.rows, own, rows_seen)
-                used += np.bincount(own.ravel(), minlength=len(used))
-            m = len(part.pos)
-            cells = [[net.flat.tolist()] + [None] * m, [float(len(places))] + [None] * m, [None, *right.column("word").to_pylist()],
-                     [None, *part.n.tolist()], [None, *used[:-1].tolist()], *([None, *part.rows[:-1, k].tolist()] for k in range(WIDTH))]
-            return pa.table([pa.array(c, type=f.type) for c, f in zip(cells, target, strict=True)], schema=target)
-
-        learnt = materialize(by_shard(shards, rows).applyInArrow(run, LEARNT), "lm-learnt")
+            table = np.concatenate([net.views["embed"], part.rows])
+            table_seen = np.full_like(table, 1e-4)
+            targets = part.targets(turn, rounds)
+            used = np.zeros(len(table), dtype=np.int64)
+            core = part.core.astype(np.int64)
+            for k in range(0, len(targets), BATCH):
+                at = targets[k : k + BATCH]
+                net.learn(part.own[part.context(at)], core[part.tokens[at]], seen, table, table_seen)
+            for k in range(0, len(targets), 16 * BLOCK):
+                used += np.bincount(part.own[part.context(targets[k : k + 16 * BLOCK])].ravel(), minlength=len(used))
+            net.views["embed"][:] = table[: SIZE + 1]
+            m = len(part.ids)
+            head = pa.array([net.flat.tolist()] + [None] * m, type=target.field("core").type)
+            first = [head, pa.array([float(len(targets))] + [None] * m, pa.float64())]
+            rest = [part.ids, used[SIZE + 1 :].astype(np.float64), *table[SIZE + 1 :].T]
+            cells = [pa.chunked_array([pa.nulls(1, f.type), pa.array(c, type=f.type)]) for c, f in zip(rest, list(target)[2:], strict=True)]
+            return pa.table(first + cells, schema=target)
+
+        learnt = materialize(by_shard(shards, places, rows).applyInArrow(run, LEARNT), "lm-learnt")
         mean = (
             learnt.where("learnt > 0")
             .select("learnt", F.posexplode("core").alias("at", "value"))
@@ -335,8 +386,7 @@ def train(shards: DataFrame, vocab: Vocabulary, rare: DataFrame, rounds: int = R
             net = Network(flat)
         weight = F.sum("used")
         rows = materialize(
-            learnt.where("word is not null").groupBy("word").agg(
-                F.max("n").alias("n"),
+            learnt.where("id is not null").groupBy("id").agg(
                 *(F.when(weight > 0, F.sum(F.col("used") * F.col(v)) / weight).otherwise(F.first(v)).cast("float").alias(v) for v in VECTOR),
             ),
             "lm-rows",
@@ -344,15 +394,15 @@ def train(shards: DataFrame, vocab: Vocabulary, rare: DataFrame, rounds: int = R
     return net, rows
 
 
-def score(shards: DataFrame, vocab: Vocabulary, net: Network, rows: DataFrame, rare: DataFrame) -> DataFrame:
+def score(shards: DataFrame, places: DataFrame, totals: np.ndarray, net: Network, rows: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_prob, mean_log_prob) of every document."""
     spark: SparkSession = shards.sparkSession
-    shared = spark.sparkContext.broadcast((vocab, net.flat, bucket_totals(rare)))
+    shared = spark.sparkContext.broadcast((net.flat, totals))
     target = pa_schema(spark, SCORES)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        vocab, flat, totals = shared.value
-        part = Shard(left, right, vocab)
+        flat, totals = shared.value
+        part = Shard(left, right)
         upto = np.append(0.0, np.cumsum(part.log_probs(Network(flat), totals)))
         ends = np.cumsum(part.lengths)
         sums = upto[ends] - upto[ends - part.lengths]
@@ -360,14 +410,13 @@ def score(shards: DataFrame, vocab: Vocabulary, net: Network, rows: DataFrame, r
         cells = [part.doc_ids.to_pylist(), part.lengths.tolist(), sums.tolist(), means]
         return pa.table([pa.array(c, type=f.type) for c, f in zip(cells, target, strict=True)], schema=target)
 
-    known = rare.join(rows.drop("n"), "word", "left").fillna(0.0, VECTOR)
-    return by_shard(shards, known).applyInArrow(run, SCORES)
+    return by_shard(shards, places, rows).applyInArrow(run, SCORES)
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on the documents and score them."""
     shards = encode_shards(docs, id_col, text_col)
     counts = count_words(shards)
-    vocab = vocabulary(counts)
-    rare = materialize(rare_words(counts, vocab), "lm-rare")
-    return score(shards, vocab, *train(shards, vocab, rare), rare)
+    numbers = number_words(counts, vocabulary(counts))
+    places = place_words(shards, numbers)
+    return score(shards, places, bucket_totals(numbers), *train(shards, places))

@@ -369,8 +369,11 @@ def test_lm_learns_every_token_once(spark):
     rows = [(k, prose(rng, rng.randint(0, 9))) for k in range(50)]
     shards = lm_score.encode_shards(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text").toArrow()
     assert shards.num_rows == 1
-    none = pa.table({"pos": pa.array([], pa.int32()), "n": pa.array([], pa.int64())} | {v: pa.array([], pa.float32()) for v in lm_score.VECTOR})
-    part = lm_score.Shard(shards, none, lm_score.Vocabulary([]))
+    words = shards.column("words")[0].as_py()
+    near = {"pos": pa.array(range(len(words)), pa.int32()), "id": pa.array(range(len(words)), pa.int64()), "n": pa.array([1] * len(words), pa.int64())}
+    near |= {"core": pa.array([lm_score.WORDS] * len(words), pa.int32())} | {v: pa.array([0.0] * len(words), pa.float32()) for v in lm_score.VECTOR}
+    part = lm_score.Shard(shards, pa.table(near))
+    assert [words[t] for t in part.tokens] == [w for _, t in rows for w in t.lower().split()]
     learnt = np.concatenate([part.targets(turn, lm_score.ROUNDS) for turn in range(lm_score.ROUNDS)])
     assert sorted(learnt) == list(range(sum(len(t.split()) for _, t in rows)))
 
@@ -383,18 +386,78 @@ def test_lm_model_grows_with_the_corpus(spark):
         rows = [(k, " ".join(f"w{(k * 20 + j) % n}" for j in range(20))) for k in range(n // 2)]
         shards = lm_score.encode_shards(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
         counts = lm_score.count_words(shards)
-        vocab = lm_score.vocabulary(counts)
-        rare = lm_score.rare_words(counts, vocab)
-        totals = lm_score.bucket_totals(rare)
+        numbers = lm_score.number_words(counts, lm_score.vocabulary(counts))
+        rare = numbers.where(f"core >= {lm_score.WORDS}")
+        totals = lm_score.bucket_totals(numbers)
         share = [r.n / totals[zlib.crc32(r.word.encode()) % lm_score.BUCKETS] for r in rare.collect()]
         assert sum(share) == pytest.approx(np.count_nonzero(totals))
-        _, own = lm_score.train(shards, vocab, rare)
+        _, own = lm_score.train(shards, lm_score.place_words(shards, numbers))
         own = own.collect()
         assert sum(any(r[v] for v in lm_score.VECTOR) for r in own) == n - lm_score.WORDS
         sizes.append(len(own))
     assert sizes == [2000 - lm_score.WORDS, 4000 - lm_score.WORDS]
 
 
+def test_lm_packed_places():
+    for tokens in ([], [0], [0, 1, 255, 256, 70_000, 3_999_999]):
+        got = lm_score.unpack(lm_score.pack(np.array(tokens, dtype=np.int32)), len(tokens))
+        assert got.tolist() == tokens
+
+
+def test_lm_softmax_of_large_logits():
+    z = np.array([[1000.0, 999.0, -1000.0], [0.5, 0.25, 0.125]])
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    expect = e / e.sum(axis=1, keepdims=True)
+    assert np.allclose(lm_score._softmax(z.copy(), 1000.0), expect)
+    assert np.allclose(lm_score._log_softmax_at(z.copy(), np.array([1, 2]), 1000.0), np.log(expect[[0, 1], [1, 2]]))
+    assert np.allclose(lm_score._softmax(z[1:].copy(), 0.5), expect[1:])
+
+
+def test_lm_log_probs_against_plain_python(spark):
+    """Every document's sum again, word by word, from the weights, rows, counts and texts alone."""
+    prepare(spark)
+    rng = random.Random(8)
+    rows = [(k, " ".join(f"w{rng.randrange(1000)}" for _ in range(rng.randint(0, 120)))) for k in range(200)]
+    shards = lm_score.encode_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    counts = lm_score.count_words(shards)
+    vocab = lm_score.vocabulary(counts)
+    numbers = lm_score.number_words(counts, vocab)
+    places, totals = lm_score.place_words(shards, numbers), lm_score.bucket_totals(numbers)
+    net, own = lm_score.train(shards, places)
+    got = {r.doc_id: r.log_prob for r in lm_score.score(shards, places, totals, net, own).collect()}
+    v, width = {k: x.astype(float) for k, x in net.views.items()}, lm_score.WIDTH
+    vectors = {r.id: [r[c] for c in lm_score.VECTOR] for r in own.collect()}
+    ids = {r.word: r.id for r in numbers.collect()}
+    n = {}
+    for _, text in rows:
+        for w in text.split():
+            n[w] = n.get(w, 0) + 1
+    core = {w: vocab.ids.get(w, lm_score.WORDS + zlib.crc32(w.encode()) % lm_score.BUCKETS) for w in n}
+    in_bucket = {}
+    for w, c in core.items():
+        in_bucket[c] = in_bucket.get(c, 0) + n[w]
+    assert len(vocab.ids) == lm_score.WORDS and vectors
+
+    def embedding(words, at):
+        if not 0 <= at < len(words):
+            return v["embed"][lm_score.SIZE]
+        return vectors.get(ids[words[at]], v["embed"][core[words[at]]])
+
+    def log_softmax(z, at):
+        return z[at] - np.log(sum(np.exp(x) for x in z))
+
+    for doc_id, text in rows:
+        words, total = text.split(), 0.0
+        for i, w in enumerate(words):
+            x = np.concatenate([embedding(words, i + d) for d in (-2, -1, 1, 2)])
+            assert len(x) == 4 * width
+            h = np.tanh(x @ v["w"] + v["b"])
+            upper, lower = divmod(core[w], lm_score.CLASSES)
+            total += log_softmax(h @ v["up"] + v["up_b"], upper) + log_softmax(h @ v["low"] + v["low_b"][upper], lower)
+            total += np.log(n[w] / in_bucket[core[w]]) if core[w] >= lm_score.WORDS else 0.0
+        assert got[doc_id] == pytest.approx(total, abs=1e-3)
+
+
 def test_lm_tells_words_of_a_bucket_apart(spark):
     prepare(spark)
     words = [f"x{k}" for k in range(4000)]
