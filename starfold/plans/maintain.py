@@ -1,4 +1,4 @@
-"""Maintenance of stored features: label backfill, once-only results, particle histories."""
+"""Maintenance of stored features: label backfill, once-only results."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 
 from starfold.functions.stellar import reconstructed_bin_label
-from starfold.operators import backfill as bf, history
+from starfold.operators import backfill as bf
 from starfold.plans import fs
 from starfold.plans.store import FeatureStore
 from starfold.session import drop_work, work_path
@@ -90,33 +90,3 @@ def once(
             raise FileNotFoundError(f"{feature!r} of {simulation_id!r} is not stored")
         store.write_table(simulation_id, feature, compute())
     return store.read(simulation_id, feature)
-
-
-def update_histories(
-    store: FeatureStore,
-    simulation_id: str,
-    singles: DataFrame,
-    binaries: DataFrame,
-    object_ids: DataFrame | None = None,
-) -> DataFrame:
-    """Extend the stored particle histories by new snapshots; new rows replace old ones."""
-    feature = "particle_history"
-    new = history.particle_history(singles, binaries, object_ids)
-    if store.has(simulation_id, feature):
-        staged = work_path(store.spark, feature)
-        new.write.parquet(staged)
-        old = store.read(simulation_id, feature)
-        new = history.merge_history(old, store.spark.read.parquet(staged))
-        store.write_table(simulation_id, feature, new)
-        drop_work(store.spark, staged)
-    else:
-        store.write_table(simulation_id, feature, new)
-    return store.read(simulation_id, feature)
-
-
-def read_history(store: FeatureStore, simulation_id: str, object_id: int) -> DataFrame | None:
-    """Stored history of one particle, None when there is no history table."""
-    if not store.has(simulation_id, "particle_history"):
-        return None
-    rows = store.read(simulation_id, "particle_history")
-    return rows.where(F.col("object_id") == object_id)

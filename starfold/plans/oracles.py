@@ -477,6 +477,15 @@ SELECT simulation_id, object_id, {r('ttot')} AS ttot, {big('kw')} AS kw, {r('mas
 FROM history""",
     HISTORY,
 )
+oracle(
+    "stored_histories",
+    "singles binaries",
+    f"""
+SELECT simulation_id, object_id, count(*) AS n, count(*) FILTER (state = 'binary') AS n_binary,
+  {r('min(ttot)')} AS first_ttot, {r('max(ttot)')} AS last_ttot, {r('sum(mass_msun)')} AS mass_msun
+FROM history GROUP BY simulation_id, object_id""",
+    HISTORY,
+)
 oracle(
     "particle_summary",
     "singles binaries",

@@ -751,6 +751,28 @@ def lake_incremental(lake: Lake) -> DataFrame:
     )
 
 
+@query
+def stored_histories(lake: Lake) -> DataFrame:
+    """Stored particle histories after three updates, of which the first has outdated masses up to time 48 and the second and
+    third replace and extend it, and after their merge in every bucket."""
+    from starfold.plans import histories
+    from starfold.plans.store import FeatureStore
+    from starfold.session import work_path
+
+    store = FeatureStore(lake.spark, work_path(lake.spark, "store"))
+    outdated = lake.singles.withColumn("mass_msun", F.lit(-1.0))
+    for singles, where in ((outdated, "ttot < 48"), (lake.singles, "ttot < 32"), (lake.singles, "ttot >= 24")):
+        histories.update_histories(store, "all", singles.where(where), lake.binaries.where(where), buckets=16)
+    histories.compact_histories(store, "all", deltas=1)
+    return histories.read_histories(store, "all").groupBy("simulation_id", "object_id").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("state") == "binary").alias("n_binary"),
+        F.min("ttot").alias("first_ttot"),
+        F.max("ttot").alias("last_ttot"),
+        F.sum("mass_msun").alias("mass_msun"),
+    )
+
+
 @query
 def lake_after_crash(lake: Lake) -> DataFrame:
     """Snapshot tables after a build that stopped before its commit and was run again."""

@@ -38,7 +38,11 @@ _WRITE = {"compression": "zstd", "parquet.block.size": str(256 * 1024 * 1024)}
 _ENTRY = "source_hdf5_path string, mtime double, ttot array<double>, problem string"
 _KINDS = ("data", "manifest", "ranges")
 # Columns whose ranges are kept for every data file, where a feature has them.
-_RANGED = ("ttot", "object_id", "object_id_1")
+_RANGED = ("ttot", "object_id", "object_id_1", "history_bucket")
+# Features whose files each hold a range of the sort keys; their rows come from written tables, so ranges are cheap to sample.
+_BY_RANGE = (*LAKE_TABLES, "particle_history")
+# Features that are looked up by one column, which gets bloom filters.
+_LOOKED_UP = {"particle_history": "object_id"}
 # How long a version without a pointer is left to its writer.
 LEASE_SECONDS = 7 * 86400.0
 # Versions of one feature before they are rewritten as one.
@@ -195,8 +199,7 @@ class FeatureStore:
             schema = table_schema(feature)
             checked = schema.guarded(schema.conform(rows))
         order = [c for c in SORT_KEYS.get(feature, ["ttot"]) if c in rows.columns]
-        if feature in LAKE_TABLES:
-            # particle tables come from written ones, so ranges are cheap to sample; each file then holds one
+        if feature in _BY_RANGE:
             checked = checked.repartitionByRange(*order)
         else:
             checked = checked.hint("rebalance")
@@ -204,7 +207,8 @@ class FeatureStore:
             checked = checked.sortWithinPartitions(*order)
         base = self.feature_dir(simulation_id, feature)
         path = f"{base}/data/{_VERSION}={version}"
-        checked.write.options(**_WRITE).parquet(path)
+        blooms = {f"parquet.bloom.filter.enabled#{_LOOKED_UP[feature]}": "true"} if feature in _LOOKED_UP else {}
+        checked.write.options(**_WRITE, **blooms).parquet(path)
         # read from the written files: two narrow columns, one row a file
         ranged = [c for c in _RANGED if c in rows.columns]
         ends = [f(c).alias(f"{c}_{n}") for c in ranged for f, n in ((F.min, "lo"), (F.max, "hi"))]

@@ -342,6 +342,7 @@ SORT_KEYS = {
     "snapshot_scalars": ["ttot"],
     "compact_object_history": ["ttot", "object_id"],
     "snapshot_summary": ["ttot"],
+    "particle_history": ["history_bucket", "object_id", "ttot"],
 }
 
 

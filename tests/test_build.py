@@ -13,8 +13,9 @@ from starfold.plans.build import (  # noqa: E402
     FEATURES, Builder, Feature, Job, ScanOptions, expand_features, files_to_process, raw_tables,
     stellar_type_feature,
 )
+from starfold.plans.histories import read_history, update_histories  # noqa: E402
 from starfold.plans.maintain import (  # noqa: E402
-    backfill_store, nzero_of, once, read_history, update_histories, validate_backfill,
+    backfill_store, nzero_of, once, validate_backfill,
 )
 from starfold.plans.store import FeatureStore, connect, load_feature  # noqa: E402
 from starfold.schema.registry import SCALAR_NAMES, TABLES  # noqa: E402
