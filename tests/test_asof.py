@@ -109,3 +109,22 @@ def test_longest_paths_with_cycles(spark):
     got = longest_paths(nodes, spark.createDataFrame(links, "id long, pred long, w long"), limit=len(ids))
     assert {r["id"]: r["value"] for r in got.collect()} == value
     assert 121 in value and 104 not in value
+
+
+def test_settled_nodes_leave_the_state(spark, monkeypatch):
+    """Beside a ladder that takes many rounds, nodes that are settled at once are written in the first state only."""
+    import starfold.operators.paths as paths
+
+    n, k = 12, 500
+    ladder = [(i, i - d, 1) for i in range(n) for d in (1, 2) if i >= d]
+    sizes, state = [], paths._state
+
+    def counted(nodes, links, *rest):
+        sizes.append(nodes.count())
+        return state(nodes, links, *rest)
+
+    monkeypatch.setattr(paths, "_state", counted)
+    nodes = spark.range(n + k).selectExpr("id", "1 base")
+    got = {r["id"]: r["value"] for r in paths.longest_paths(nodes, spark.createDataFrame(ladder, "id long, pred long, w long")).collect()}
+    assert got == {i: i + 1 if i < n else 1 for i in range(n + k)}
+    assert len(sizes) > 2 and max(sizes[1:]) <= n
