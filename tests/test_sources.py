@@ -183,3 +183,18 @@ def test_config(tmp_path):
         config.input_file("a")
     with pytest.raises(ValueError):
         load_config().cache_root
+
+
+def test_lake_views_of_single_rows_shuffle_before_they_sum(spark, tmp_path):
+    """Singles cross the shuffle as raw rows, so no map task holds a hash table of nearly all of its rows."""
+    from starfold.sources.adapters import adapter_view
+
+    rows = [(k // 3, k % 5, k % 2, k % 7, float(k % 50), 10.0 * k, "ANR"[k % 3]) for k in range(60)]
+    names = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string"
+    lines = spark.createDataFrame(rows, names).selectExpr("*", "date'1995-02-03' + cast(l_orderkey as int) * 20 l_shipdate")
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    view = adapter_view(spark, str(tmp_path), "snapshot_singles")
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange") :]
+    whole = view.selectExpr("count(*) n", "sum(mass_msun) m").first()
+    assert whole["n"] == view.select("simulation_id", "ttot", "object_id").distinct().count()
