@@ -54,14 +54,14 @@ GROUPS = 16
 SMALL_SHARES = (8, 4, 3, 2)
 # Pre-tokens whose ids a task remembers.
 CACHE_WORDS = 400_000
-# The end of the Latin letters, and how special tokens begin.
-LATIN_END = "\u0250"
+# What lies behind the Latin letters, and how special tokens begin.
+BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 SPECIAL = "<|"
-# The tokenizer's pre-token pattern, for lower-case texts below LATIN_END.
+# The tokenizer's pre-token pattern, for lower-case texts of Latin characters; the first character decides between its cases.
 LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f"
 DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 SPACES = " \t\n\x0b\x0c\r\x85\xa0"
-PRE_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{LETTERS}{DIGITS}{SPACES}]+")
+PRE_TOKEN = re.compile(f"[{LETTERS}]+|[{DIGITS}]|'s|'t|'re|'ve|'m|'ll|'d|[^{LETTERS}{DIGITS}{SPACES}]+")
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
 
@@ -108,13 +108,13 @@ class WordTokens(dict):
         split: list[list[str] | None] = []
         for text in texts:
             low = text.lower()
-            latin = text.isascii() or (max(low) < LATIN_END and is_normalized("NFC", text))
+            latin = text.isascii() or (not BEYOND_LATIN.search(low) and is_normalized("NFC", text))
             split.append(PRE_TOKEN.findall(low) if latin and SPECIAL not in text else None)
         if len(self) > CACHE_WORDS:
             self.clear()
         new = set().union(*(w for w in split if w)).difference(self)
         if new:
-            self.add(sorted(new))
+            self.add(list(new))
         for text, words in zip(texts, split, strict=True):
             yield self.whole(text) if words is None else b"".join(map(self.__getitem__, words))
 
