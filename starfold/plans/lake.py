@@ -10,6 +10,14 @@ from starfold.sources.adapters import ADAPTERS, adapter_view
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
+def lake_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One lake table of a data folder, read in place and not written.
+
+    For queries that scan a table once: only the columns that they use are read, shuffled and summed.
+    """
+    return adapter_view(configure(spark), sf_dir, name)
+
+
 def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One lake table of a data folder.
 
