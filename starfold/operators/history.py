@@ -71,10 +71,12 @@ def particle_history(
 def particle_summary(history: DataFrame) -> DataFrame:
     """One row per particle: counts, time range, first and last mass, types in order seen.
 
-    Summed per stellar type first, with map-side combine; at most 17 types per particle remain.
+    Summed per stellar type first; at most 17 types per particle remain. Rows cross one shuffle, by particle and with
+    the columns that count: a particle has one row per snapshot, so sums made before it would be wider and hardly fewer.
     """
     at_mass = F.when(F.col("mass_msun").isNotNull(), F.struct("ttot", "mass_msun"))
-    by_type = history.groupBy(*OBJECT, "kw").agg(
+    rows = history.select(*OBJECT, "ttot", "kw", "mass_msun", "state").repartition(*OBJECT)
+    by_type = rows.groupBy(*OBJECT, "kw").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ttot").alias("t0"),
         F.max("ttot").alias("t1"),
