@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starfold.operators import history
 from starfold.plans.store import COMPACT_AFTER, FeatureStore
-from starfold.session import drop_work, materialize, work_path
+from starfold.session import materialize
 
 FEATURE = "particle_history"
 BUCKETS = 256
@@ -37,16 +37,10 @@ def _name(bucket: Column, delta: Column) -> Column:
     return F.concat_ws("/", F.lpad(bucket.cast("string"), 8, "0"), delta)
 
 
-def _parts(rows: DataFrame) -> DataFrame:
-    """Manifest entries of the updates that rows belong to."""
-    return rows.select(_PART).distinct().withColumn("mtime", F.lit(0.0))
-
-
 def _add(store: FeatureStore, simulation_id: str, rows: DataFrame, buckets: int, delta: str, replaces: tuple | None) -> None:
     bucket = F.coalesce(F.pmod("object_id", F.lit(buckets)), F.lit(0)).cast("int")
     named = rows.withColumnRenamed(_PART, _SOURCE).withColumns({_BUCKET: bucket, _DELTA: F.lit(delta)})
-    staged = materialize(named.withColumn(_PART, _name(F.col(_BUCKET), F.col(_DELTA))), FEATURE)
-    version = store.stage(simulation_id, FEATURE, staged, _parts(staged))
+    version = store.stage(simulation_id, FEATURE, named.withColumn(_PART, _name(F.col(_BUCKET), F.col(_DELTA))), None)
     store.publish(simulation_id, FEATURE, [version], {"buckets": buckets}, _PART, replaces=replaces)
 
 
@@ -102,6 +96,7 @@ def compact_histories(store: FeatureStore, simulation_id: str, deltas: int = DEL
     """Merge the updates of every bucket that has more than `deltas` of them; returns those buckets.
 
     The entries of merged updates point to the version that has no rows of them, so their rows are dead at once.
+    Rows cross one shuffle, into the ranges of (bucket, object_id) that become files; updates meet inside of a range.
     """
     parts = F.split(_PART, "/")
     live = store.manifest(simulation_id, FEATURE).where("problem is null").select(
@@ -112,15 +107,14 @@ def compact_histories(store: FeatureStore, simulation_id: str, deltas: int = DEL
     )
     if crowded.isEmpty():
         return crowded.drop("_last")
-    path = work_path(store.spark, FEATURE)
-    merged = history.first_row(
-        store.read(simulation_id, FEATURE).join(crowded.drop("n"), _BUCKET), history.KEY, F.desc(_DELTA)
-    )
+    rows = store.read(simulation_id, FEATURE).join(crowded.drop("n"), _BUCKET)
+    placed = rows.repartitionByRange(_BUCKET, "object_id", "simulation_id")
+    merged = history.first_row(placed, [_BUCKET, *history.KEY], F.desc(_DELTA))
     merged = merged.withColumn(_DELTA, F.concat("_last", F.lit("+"))).drop("_last")
-    merged.withColumn(_PART, _name(F.col(_BUCKET), F.col(_DELTA))).write.parquet(path)
-    rows = store.spark.read.parquet(path)
+    merged = merged.withColumn(_PART, _name(F.col(_BUCKET), F.col(_DELTA)))
     gone = live.join(crowded, _BUCKET, "left_semi").select(_PART, F.lit(0.0).alias("mtime"), F.lit("merged").alias("problem"))
-    entries = _parts(rows).withColumn("problem", F.lit(None).cast("string")).unionByName(gone)
-    store.commit(simulation_id, FEATURE, rows, materialize(entries, "merged"))
-    drop_work(store.spark, path)
+    new = crowded.select(
+        _name(F.col(_BUCKET), F.concat("_last", F.lit("+"))).alias(_PART), F.lit(0.0).alias("mtime"), F.lit(None).cast("string").alias("problem")
+    )
+    store.commit(simulation_id, FEATURE, merged, materialize(new.unionByName(gone), "merged"), placed=True)
     return crowded.drop("_last")
