@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starfold.llm.common import pa_schema
@@ -53,6 +53,10 @@ SHARD = 25_000
 SHARD_WORDS = 2_000_000
 # Words seen so often have an embedding row of their own.
 SEEN = 5
+# Words of all shards, on average, whose rows are averaged and sent in one group.
+BLOCK_WORDS = 500_000
+# Weights of the network that are averaged in one group.
+SLICE = 1024
 BATCH = 1024
 RATE = 0.1
 # Words that go through the network at once.
@@ -70,8 +74,13 @@ SHAPES = {
     "low_b": (CLASSES, CLASSES),
 }
 VECTOR = [f"v{k}" for k in range(WIDTH)]
-SHARDS = "doc_ids array<long>, lengths array<long>, tokens binary, words array<string>, counts array<long>"
-LEARNT = "core array<float>, learnt double, id long, used double, " + ", ".join(f"{v} float" for v in VECTOR)
+SHARDS = "doc_ids array<long>, lengths array<long>, tokens binary, size int, words array<string>, counts array<long>"
+# Words of a shard in a block; the first `own` have rows, in the order of `ids`.
+PLACES = "part long, block int, size int, own int, ids binary, pos binary, n binary, core binary"
+GIVEN = "part long, block int, rows binary"
+# A shard's rows of a block or, below 0, its weights of a slice.
+LEARNT = "block int, size int, learnt double, ids binary, used binary, rows binary"
+ROWS = "block int, id long, " + ", ".join(f"{v} float" for v in VECTOR)
 SCORES = "doc_id long, n_words long, log_prob double, mean_log_prob double"
 
 
@@ -84,15 +93,29 @@ class Vocabulary:
         self.ids = {w: k for k, w in enumerate(words)}
 
 
-def pack(tokens: np.ndarray) -> bytes:
-    """Places as compressed byte planes: the upper ones are nearly constant."""
-    planes = np.ascontiguousarray(tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+def pack(values: np.ndarray, kind: str = "<i4") -> bytes:
+    """Numbers as compressed byte planes: the upper ones are nearly constant."""
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, np.dtype(kind).itemsize).T)
     return pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def unpack(data: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 4 * size, codec="zstd"), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
+def unpack(data: bytes, size: int, kind: str = "<i4") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, width * size, codec="zstd"), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
+
+
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Ascending numbers by their differences."""
+    return pack(np.diff(ids, prepend=0), "<i8")
+
+
+def unpack_ids(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpack(data, size, "<i8"))
+
+
+def to_table(rows: list[tuple], target: pa.Schema) -> pa.Table:
+    return pa.table([pa.array([r[k] for r in rows], type=f.type) for k, f in enumerate(target)], schema=target)
 
 
 def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -109,7 +132,7 @@ def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         def row() -> pa.RecordBatch:
             tokens = np.concatenate(parts)
             counts = np.bincount(tokens, minlength=len(place))
-            cells = (ids, [len(p) for p in parts], pack(tokens), list(place), counts.tolist())
+            cells = (ids, [len(p) for p in parts], pack(tokens), len(place), list(place), counts.tolist())
             return pa.RecordBatch.from_arrays([pa.array([c], type=f.type) for c, f in zip(cells, target, strict=True)], schema=target)
 
         for batch in batches:
@@ -125,13 +148,13 @@ def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield row()
 
     rows = docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, SHARDS)
-    return materialize(rows.withColumn("shard", F.monotonically_increasing_id()), "lm-shards")
+    return materialize(rows.withColumn("shard", F.monotonically_increasing_id()), "lm-shards", release=True)
 
 
 def count_words(shards: DataFrame) -> DataFrame:
     """(word, n) over all documents."""
     each = shards.select(F.explode(F.arrays_zip("words", "counts")).alias("x"))
-    return materialize(each.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("n")), "lm-words")
+    return materialize(each.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("n")), "lm-words", release=True)
 
 
 def vocabulary(counts: DataFrame, size: int = WORDS) -> Vocabulary:
@@ -144,7 +167,7 @@ def number_words(counts: DataFrame, vocab: Vocabulary) -> DataFrame:
     top = counts.sparkSession.createDataFrame(list(vocab.ids.items()), "word string, rank int")
     bucket = F.lit(WORDS) + F.crc32(F.col("word").cast("binary")) % BUCKETS
     rows = counts.join(top, "word", "left").select("word", "n", F.coalesce("rank", bucket).cast("int").alias("core"))
-    return materialize(rows.withColumn("id", F.monotonically_increasing_id()), "lm-numbers")
+    return materialize(rows.withColumn("id", F.monotonically_increasing_id()), "lm-numbers", release=True)
 
 
 def bucket_totals(numbers: DataFrame) -> np.ndarray:
@@ -156,26 +179,83 @@ def bucket_totals(numbers: DataFrame) -> np.ndarray:
 
 
 def place_words(shards: DataFrame, numbers: DataFrame) -> DataFrame:
-    """(part, pos, id, n, core): the words of every shard by number."""
+    """The words of every shard by number, packed by block; see PLACES."""
+    target = pa_schema(shards.sparkSession, PLACES)
+    pairs = shards.agg(F.sum("size").alias("n")).first()["n"] or 0
+    blocks = max(1, -(-pairs // BLOCK_WORDS))
+
+    def run(near: pa.Table) -> pa.Table:
+        part = near.column("part")[0].as_py()
+        block, ids, pos, n, core = (near.column(c).to_numpy() for c in ("block", "id", "pos", "n", "core"))
+        known = has_row(core, n)
+        order = np.lexsort((ids, ~known, block))
+        ends = np.flatnonzero(np.append(np.diff(block[order]) != 0, True)) + 1
+        rows = []
+        for at in np.split(order, ends[:-1]):
+            own = int(known[at].sum())
+            rows.append((part, block[at[0]], len(at), own, pack_ids(ids[at[:own]]), pack(pos[at]), pack(n[at], "<i8"), pack(core[at], "<u2")))
+        return to_table(rows, target)
+
     places = shards.select(F.col("shard").alias("part"), F.posexplode("words").alias("pos", "word"))
-    return materialize(places.join(numbers, "word").drop("word"), "lm-places")
+    near = places.join(numbers.withColumn("block", F.pmod(F.hash("id"), F.lit(blocks)).cast("int")), "word").drop("word")
+    return materialize(near.groupBy("part").applyInArrow(run, PLACES), "lm-places", release=True)
+
+
+def has_row(core: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return (core >= WORDS) & (n >= SEEN)
 
 
-def with_row() -> Column:
-    return (F.col("core") >= WORDS) & (F.col("n") >= SEEN)
+def give_rows(places: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows that every shard asks for, by block."""
+    target = pa_schema(places.sparkSession, GIVEN)
+
+    def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        ids = rows.column("id").to_numpy()
+        order = np.argsort(ids)
+        ids = ids[order]
+        values = np.column_stack([rows.column(v).to_numpy() for v in VECTOR]).astype("<f2")[order]
+        out = []
+        for part, block, own, wanted in zip(*(asked.column(c).to_pylist() for c in ("part", "block", "own", "ids")), strict=True):
+            at = np.searchsorted(ids, unpack_ids(wanted, own))
+            out.append((part, block, pack(values[at].ravel(), "<f2")))
+        return to_table(out, target)
+
+    asks = places.where("own > 0").select("part", "block", "own", "ids")
+    return asks.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(run, GIVEN)
 
 
 def by_shard(shards: DataFrame, places: DataFrame, rows: DataFrame | None):
     """Shards next to their words and the words' rows; without `rows` all rows are zero."""
-    if rows is None:
-        near = places.select("*", *(F.lit(0.0).cast("float").alias(v) for v in VECTOR))
-    else:
-        near = places.where(with_row()).join(rows, "id", "left").fillna(0.0, VECTOR).unionByName(
-            places.where(~with_row()).select("*", *(F.lit(0.0).cast("float").alias(v) for v in VECTOR))
-        )
+    near = places.withColumn("rows", F.lit(None).cast("binary"))
+    if rows is not None:
+        near = near.unionByName(give_rows(places, rows), allowMissingColumns=True)
     return shards.select("shard", "doc_ids", "lengths", "tokens").groupBy("shard").cogroup(near.groupBy("part"))
 
 
+def near_words(packed: pa.Table) -> tuple[pa.Table, list[tuple[int, np.ndarray]]]:
+    """(pos, id, n, core, row) of a shard's words, and the numbers of those with a row by block."""
+    rows = packed.to_pylist()
+    given = {r["block"]: r["rows"] for r in rows if r["rows"] is not None}
+    blocks = []
+    cells: dict[str, list[np.ndarray]] = {c: [np.empty(0, dtype=kind)] for c, kind in (("pos", "i4"), ("id", "i8"), ("n", "i8"), ("core", "i4"))}
+    vectors = [np.empty((0, WIDTH), dtype=np.float32)]
+    for r in rows:
+        if r["pos"] is None:
+            continue
+        size, own = r["size"], r["own"]
+        ids = np.zeros(size, dtype=np.int64)
+        ids[:own] = unpack_ids(r["ids"], own)
+        blocks.append((r["block"], ids[:own]))
+        vector = np.zeros((size, WIDTH), dtype=np.float32)
+        if r["block"] in given:
+            vector[:own] = unpack(given[r["block"]], own * WIDTH, "<f2").reshape(-1, WIDTH)
+        vectors.append(vector)
+        for c, values in (("pos", unpack(r["pos"], size)), ("id", ids), ("n", unpack(r["n"], size, "<i8")), ("core", unpack(r["core"], size, "<u2").astype(np.int32))):
+            cells[c].append(values)
+    table = np.concatenate(vectors)
+    return pa.table({c: np.concatenate(v) for c, v in cells.items()} | {v: table[:, k] for k, v in enumerate(VECTOR)}), blocks
+
+
 class Shard:
     """A shard with its rows: `core` has the output place of every word, `own` its row in the embeddings of
     the network followed by `rows`."""
@@ -190,7 +270,7 @@ class Shard:
         self.core[pos] = near.column("core").to_numpy()
         self.n = np.ones(size, dtype=np.int64)
         self.n[pos] = near.column("n").to_numpy()
-        known = np.flatnonzero((near.column("core").to_numpy() >= WORDS) & (near.column("n").to_numpy() >= SEEN))
+        known = np.flatnonzero(has_row(near.column("core").to_numpy(), near.column("n").to_numpy()))
         self.ids = near.column("id").to_numpy()[known]
         self.rows = np.empty((len(known), WIDTH), dtype=np.float32)
         for k, v in enumerate(VECTOR):
@@ -228,10 +308,12 @@ class Shard:
 
 def _sum_rows(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct indices and the sums of their rows."""
-    order = np.argsort(index)
-    ordered = index[order]
+    # Sorting numbers is several times as fast as sorting by them.
+    bits = len(index).bit_length()
+    keyed = np.sort((index.astype(np.int64) << bits) | np.arange(len(index)))
+    order, ordered = keyed & ((1 << bits) - 1), keyed >> bits
     first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    return ordered[first], np.add.reduceat(values[order], first, axis=0)
+    return ordered[first], np.add.reduceat(np.take(values, order, axis=0), first, axis=0)
 
 
 class Network:
@@ -259,7 +341,7 @@ class Network:
 
     def forward(self, context: np.ndarray, ids: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
         """`table`: the embeddings and more rows below them."""
-        x = (self.views["embed"] if table is None else table)[context].reshape(len(context), -1)
+        x = np.take(self.views["embed"] if table is None else table, context, axis=0).reshape(len(context), -1)
         h, zu, zl, upper, lower = self.logits(x, ids)
         up, low = self.bounds()
         return x, h, _softmax(zu, up), _softmax(zl, low), upper, lower
@@ -318,9 +400,14 @@ class Network:
 
 
 def _step(values: np.ndarray, seen: np.ndarray, at: np.ndarray | slice, grad: np.ndarray) -> None:
-    squares = seen[at] + grad * grad
+    squares = grad * grad
+    squares += seen[at]
     seen[at] = squares
-    values[at] -= RATE * grad / (np.sqrt(squares) + 1e-6)
+    np.sqrt(squares, out=squares)
+    squares += 1e-6
+    grad = grad * RATE
+    grad /= squares
+    values[at] -= grad
 
 
 def _softmax(z: np.ndarray, bound: float) -> np.ndarray:
@@ -351,7 +438,8 @@ def train(shards: DataFrame, places: DataFrame, rounds: int = ROUNDS) -> tuple[N
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             flat, turn = shared.value  # noqa: B023
-            part = Shard(left, right)
+            near, blocks = near_words(right)
+            part = Shard(left, near)
             net, seen = Network(flat.copy()), Network(np.full_like(flat, 1e-4))
             table = np.concatenate([net.views["embed"], part.rows])
             table_seen = np.full_like(table, 1e-4)
@@ -364,36 +452,50 @@ def train(shards: DataFrame, places: DataFrame, rounds: int = ROUNDS) -> tuple[N
             for k in range(0, len(targets), 16 * BLOCK):
                 used += np.bincount(part.own[part.context(targets[k : k + 16 * BLOCK])].ravel(), minlength=len(used))
             net.views["embed"][:] = table[: SIZE + 1]
-            m = len(part.ids)
-            head = pa.array([net.flat.tolist()] + [None] * m, type=target.field("core").type)
-            first = [head, pa.array([float(len(targets))] + [None] * m, pa.float64())]
-            rest = [part.ids, used[SIZE + 1 :].astype(np.float64), *table[SIZE + 1 :].T]
-            cells = [pa.chunked_array([pa.nulls(1, f.type), pa.array(c, type=f.type)]) for c, f in zip(rest, list(target)[2:], strict=True)]
-            return pa.table(first + cells, schema=target)
-
-        learnt = materialize(by_shard(shards, places, rows).applyInArrow(run, LEARNT), "lm-learnt")
-        mean = (
-            learnt.where("learnt > 0")
-            .select("learnt", F.posexplode("core").alias("at", "value"))
-            .groupBy("at")
-            .agg((F.sum(F.col("value") * F.col("learnt")) / F.sum("learnt")).alias("v"))
-            .collect()  # one row per weight
-        )
-        if mean:
-            flat = np.empty_like(net.flat)
-            for r in mean:
-                flat[r["at"]] = r["v"]
-            net = Network(flat)
-        weight = F.sum("used")
-        rows = materialize(
-            learnt.where("id is not null").groupBy("id").agg(
-                *(F.when(weight > 0, F.sum(F.col("used") * F.col(v)) / weight).otherwise(F.first(v)).cast("float").alias(v) for v in VECTOR),
-            ),
-            "lm-rows",
-        )
+            whole = np.append(net.flat, np.zeros(-len(net.flat) % SLICE, dtype=np.float32)).reshape(-1, SLICE)
+            out = [(-1 - k, SLICE, float(len(targets)), None, None, piece.tobytes()) for k, piece in enumerate(whole)]
+            at = SIZE + 1
+            for block, ids in blocks:
+                own = slice(at, at + len(ids))
+                out.append((block, len(ids), None, pack_ids(ids), pack(used[own]), pack(table[own].ravel(), "<f2")))
+                at += len(ids)
+            return to_table(out, target)
+
+        learnt = by_shard(shards, places, rows).applyInArrow(run, LEARNT)
+        found = materialize(learnt.groupBy("block").applyInArrow(average, ROWS), "lm-rows", release=True)
+        mean = found.where("block < 0").orderBy(F.desc("block"), "id").select(*VECTOR).toArrow()  # the network's weights
+        if mean.num_rows:
+            net = Network(np.column_stack([mean.column(v).to_numpy() for v in VECTOR]).ravel()[: len(net.flat)].copy())
+        rows = found.where("block >= 0")
     return net, rows
 
 
+def average(key: tuple[pa.Scalar, ...], learnt: pa.Table) -> pa.Table:
+    """Mean of a slice of the weights by words learnt, or of a block's rows by their use."""
+    block = key[0].as_py()
+    if block < 0:
+        weight = np.array(learnt.column("learnt").to_pylist())
+        values = np.array([np.frombuffer(b, dtype=np.float32) for b in learnt.column("rows").to_pylist()])
+        mean = (weight @ values / weight.sum() if weight.any() else values[0]).reshape(-1, WIDTH)
+        ids = np.arange(len(mean))
+    else:
+        sizes = learnt.column("size").to_pylist()
+        parts = [list(zip(learnt.column(c).to_pylist(), sizes, strict=True)) for c in ("ids", "used", "rows")]
+        ids = np.concatenate([unpack_ids(b, n) for b, n in parts[0]])
+        weight = np.concatenate([unpack(b, n) for b, n in parts[1]]).astype(np.float64)
+        values = np.concatenate([unpack(b, n * WIDTH, "<f2") for b, n in parts[2]]).reshape(-1, WIDTH)
+        order = np.argsort(ids, kind="stable")
+        ids, weight, values = ids[order], weight[order], values[order]
+        first = np.flatnonzero(np.append(True, np.diff(ids) != 0)[: len(ids)])
+        total = np.add.reduceat(weight, first) if len(first) else weight
+        summed = np.add.reduceat(values * weight[:, None], first, axis=0) if len(first) else values
+        # Rows are sent in half precision, so they are kept in it.
+        mean = np.where(total[:, None] > 0, summed / np.maximum(total, 1)[:, None], values[first]).astype(np.float16)
+        ids = ids[first]
+    mean = mean.astype(np.float32)
+    return pa.table({"block": pa.array([block] * len(ids), pa.int32()), "id": ids.astype(np.int64)} | {v: mean[:, k] for k, v in enumerate(VECTOR)})
+
+
 def score(shards: DataFrame, places: DataFrame, totals: np.ndarray, net: Network, rows: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_prob, mean_log_prob) of every document."""
     spark: SparkSession = shards.sparkSession
@@ -402,7 +504,7 @@ def score(shards: DataFrame, places: DataFrame, totals: np.ndarray, net: Network
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         flat, totals = shared.value
-        part = Shard(left, right)
+        part = Shard(left, near_words(right)[0])
         upto = np.append(0.0, np.cumsum(part.log_probs(Network(flat), totals)))
         ends = np.cumsum(part.lengths)
         sums = upto[ends] - upto[ends - part.lengths]
