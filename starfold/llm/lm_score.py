@@ -30,6 +30,7 @@ ids are scored row by row. A document is never cut: one longer than a shard is a
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,6 +64,7 @@ RATE = 0.1
 BLOCK = 2048
 # Exponents of this size neither overflow nor vanish in single precision.
 SAFE = 80.0
+OFFSETS = np.array([k for k in range(-REACH, REACH + 1) if k])
 
 SHAPES = {
     "embed": (SIZE + 1, WIDTH),
@@ -118,6 +120,13 @@ def to_table(rows: list[tuple], target: pa.Schema) -> pa.Table:
     return pa.table([pa.array([r[k] for r in rows], type=f.type) for k, f in enumerate(target)], schema=target)
 
 
+def new_places() -> defaultdict[str, int]:
+    """Every word asked for gets the next free number."""
+    place: defaultdict[str, int] = defaultdict()
+    place.default_factory = place.__len__
+    return place
+
+
 def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per shard: its documents' ids and lengths, its words and their counts, and the place of
     every token in these words."""
@@ -126,7 +135,7 @@ def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int | None] = []
         parts: list[np.ndarray] = []
-        place: dict[str, int] = {}
+        place = new_places()
         held = 0
 
         def row() -> pa.RecordBatch:
@@ -140,9 +149,9 @@ def encode_shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 words = words_of(text)
                 if ids and (len(ids) >= SHARD or held + len(words) > SHARD_WORDS):
                     yield row()
-                    ids, parts, place, held = [], [], {}, 0
+                    ids, parts, place, held = [], [], new_places(), 0
                 ids.append(doc_id)
-                parts.append(np.fromiter((place.setdefault(w, len(place)) for w in words), dtype=np.int32, count=len(words)))
+                parts.append(np.fromiter(map(place.__getitem__, words), dtype=np.int32, count=len(words)))
                 held += len(words)
         if ids:
             yield row()
@@ -281,12 +290,12 @@ class Shard:
         self.padded = np.full(len(self.tokens) + 2 * REACH * len(self.lengths), size, dtype=np.int32)
         self.at = np.arange(len(self.tokens)) + REACH * (2 * docs.astype(np.int64) + 1)
         self.padded[self.at] = self.tokens
+        self.around = self.own[self.padded]
         self.turn = docs + np.arange(len(self.tokens)) - (np.cumsum(self.lengths) - self.lengths)[docs]
 
     def context(self, places: np.ndarray) -> np.ndarray:
-        """Words around the tokens at these places."""
-        offsets = np.array([k for k in range(-REACH, REACH + 1) if k])
-        return self.padded[self.at[places][:, None] + offsets]
+        """Rows of the words around the tokens at these places."""
+        return np.take(self.around, np.take(self.at, places)[:, None] + OFFSETS)
 
     def targets(self, turn: int, rounds: int) -> np.ndarray:
         """Places learnt in a round; over all rounds every place once."""
@@ -297,11 +306,11 @@ class Shard:
         rare = core >= WORDS
         share = np.zeros(len(core))
         share[rare] = np.log(self.n[rare]) - np.log(totals[core[rare] - WORDS])
-        embed = np.concatenate([net.views["embed"], self.rows])[self.own]
+        embed = np.concatenate([net.views["embed"], self.rows])
         out = np.empty(len(self.tokens))
         for at in range(0, len(out), BLOCK):
             places = np.arange(at, min(at + BLOCK, len(out)))
-            x = embed[self.context(places)].reshape(len(places), -1)
+            x = np.take(embed, self.context(places), axis=0).reshape(len(places), -1)
             out[places] = net.target_log_probs(x, core[self.tokens[places]])
         return out + share[self.tokens]
 
@@ -312,8 +321,16 @@ def _sum_rows(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
     bits = len(index).bit_length()
     keyed = np.sort((index.astype(np.int64) << bits) | np.arange(len(index)))
     order, ordered = keyed & ((1 << bits) - 1), keyed >> bits
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    return ordered[first], np.add.reduceat(np.take(values, order, axis=0), first, axis=0)
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    first = np.flatnonzero(new)
+    out = np.take(values, np.take(order, first), axis=0)
+    # Most indices stand alone; only the others are summed.
+    sizes = np.diff(np.append(first, len(order)))
+    several = sizes > 1
+    if several.any():
+        starts = np.cumsum(sizes[several]) - sizes[several]
+        out[several] = np.add.reduceat(np.take(values, order[np.repeat(several, sizes)], axis=0), starts, axis=0)
+    return np.take(ordered, first), out
 
 
 class Network:
@@ -355,7 +372,7 @@ class Network:
         zu = h @ v["up"]
         zu += v["up_b"]
         zl = h @ v["low"]
-        zl += v["low_b"][upper]
+        zl += np.take(v["low_b"], upper, axis=0)
         return h, zu, zl, upper, lower
 
     def bounds(self) -> tuple[float, float]:
@@ -392,22 +409,25 @@ class Network:
         one_hot[row, upper] = 1
         grads = {"up": h.T @ pu, "up_b": pu.sum(axis=0), "low": h.T @ pl, "low_b": one_hot.T @ pl, "w": x.T @ back, "b": back.sum(axis=0)}
         for name, g in grads.items():
-            _step(v[name], seen.views[name], slice(None), g)
+            _step(v[name], seen.views[name], None, g)
         at, total = _sum_rows(context.ravel(), into)
         if table is None:
             table, table_seen = v["embed"], seen.views["embed"]
         _step(table, table_seen, at, total)
 
 
-def _step(values: np.ndarray, seen: np.ndarray, at: np.ndarray | slice, grad: np.ndarray) -> None:
+def _step(values: np.ndarray, seen: np.ndarray, at: np.ndarray | None, grad: np.ndarray) -> None:
+    """Moves the rows `at`, or all."""
     squares = grad * grad
-    squares += seen[at]
-    seen[at] = squares
-    np.sqrt(squares, out=squares)
-    squares += 1e-6
-    grad = grad * RATE
-    grad /= squares
-    values[at] -= grad
+    squares += seen if at is None else np.take(seen, at, axis=0)
+    moved = RATE * grad
+    moved /= np.sqrt(squares) + 1e-6
+    if at is None:
+        seen[...] = squares
+        values -= moved
+    else:
+        seen[at] = squares
+        values[at] = np.take(values, at, axis=0) - moved
 
 
 def _softmax(z: np.ndarray, bound: float) -> np.ndarray:
@@ -448,9 +468,9 @@ def train(shards: DataFrame, places: DataFrame, rounds: int = ROUNDS) -> tuple[N
             core = part.core.astype(np.int64)
             for k in range(0, len(targets), BATCH):
                 at = targets[k : k + BATCH]
-                net.learn(part.own[part.context(at)], core[part.tokens[at]], seen, table, table_seen)
+                net.learn(part.context(at), core[part.tokens[at]], seen, table, table_seen)
             for k in range(0, len(targets), 16 * BLOCK):
-                used += np.bincount(part.own[part.context(targets[k : k + 16 * BLOCK])].ravel(), minlength=len(used))
+                used += np.bincount(part.context(targets[k : k + 16 * BLOCK]).ravel(), minlength=len(used))
             net.views["embed"][:] = table[: SIZE + 1]
             whole = np.append(net.flat, np.zeros(-len(net.flat) % SLICE, dtype=np.float32)).reshape(-1, SLICE)
             out = [(-1 - k, SLICE, float(len(targets)), None, None, piece.tobytes()) for k, piece in enumerate(whole)]

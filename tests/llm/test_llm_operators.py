@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import textwrap
+import time
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -30,6 +31,7 @@ from starfold.llm.common import prepare
 from starfold.llm.components import components
 from starfold.llm.queries import QUERIES, tokenizer_path
 from starfold.llm.shingles import shingle_hashes, shingle_set
+from starfold.session import materialize
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, sf_doc string, H string"
 SYLLABLES = "ba co du fe gi lo mu na pe ri so tu va wo xi".split()
@@ -404,6 +406,69 @@ def test_lm_packed_places():
         assert got.tolist() == tokens
 
 
+def test_lm_rows_are_sent_packed(spark, monkeypatch):
+    """A shard's words are one row a block, not one a word, and it gets the rows that it asks for."""
+    prepare(spark)
+    monkeypatch.setattr(lm_score, "BLOCK_WORDS", 700)
+    rows = [(k, " ".join(f"w{(k * 20 + j) % 2000}" for j in range(20))) for k in range(1000)]
+    shards = lm_score.encode_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(2), "doc_id", "text")
+    counts = lm_score.count_words(shards)
+    numbers = lm_score.number_words(counts, lm_score.vocabulary(counts))
+    places = lm_score.place_words(shards, numbers)
+    packed = places.collect()
+    assert sum(r["size"] for r in packed) == sum(r["size"] for r in shards.collect())
+    assert len({r["block"] for r in packed}) > 1 and len(packed) == len({(r["part"], r["block"]) for r in packed}) < 20
+    asked = {(r["part"], r["block"]): lm_score.unpack_ids(r["ids"], r["own"]) for r in packed}
+    block_of = {i: block for (_, block), ids in asked.items() for i in ids.tolist()}
+    assert len(block_of) == 2000 - lm_score.WORDS
+    vectors = [(block, i, *(float(n + k) for k in range(lm_score.WIDTH))) for n, (i, block) in enumerate(block_of.items())]
+    given = lm_score.give_rows(places, spark.createDataFrame(vectors, lm_score.ROWS)).collect()
+    of = {i: v for _, i, *v in vectors}
+    assert {(r["part"], r["block"]) for r in given} == {key for key, ids in asked.items() if len(ids)}
+    for r in given:
+        ids = asked[r["part"], r["block"]]
+        got = lm_score.unpack(r["rows"], len(ids) * lm_score.WIDTH, "<f2").reshape(-1, lm_score.WIDTH)
+        assert got.tolist() == [of[i] for i in ids.tolist()]
+
+
+def test_lm_averages_by_use():
+    def sent(ids, used, value):
+        values = np.repeat(np.array(value, dtype=np.float32), lm_score.WIDTH)
+        return (0, len(ids), None, lm_score.pack_ids(np.array(ids)), lm_score.pack(np.array(used)), lm_score.pack(values, "<f2"))
+
+    names = ["block", "size", "learnt", "ids", "used", "rows"]
+    rows = [sent([3, 5, 9], [1, 0, 2], [1.0, 4.0, 7.0]), sent([3, 5], [3, 0], [5.0, 4.0])]
+    got = lm_score.average((pa.scalar(0),), pa.table(dict(zip(names, zip(*rows, strict=True), strict=True))))
+    assert got.column("id").to_pylist() == [3, 5, 9] and got.column("v0").to_pylist() == [4.0, 4.0, 7.0]
+    slices = [(-1, 32, n, None, None, np.full(32, v, dtype=np.float32).tobytes()) for n, v in ((1.0, 2.0), (3.0, 6.0), (0.0, 99.0))]
+    got = lm_score.average((pa.scalar(-1),), pa.table(dict(zip(names, zip(*slices, strict=True), strict=True))))
+    assert got.column("id").to_pylist() == [0, 1] and got.column("v3").to_pylist() == [5.0, 5.0]
+
+
+def test_lm_sums_repeated_rows():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 300):
+        index, values = rng.integers(0, n // 2 + 1, n), rng.standard_normal((n, 4))
+        at, total = lm_score._sum_rows(index, values)
+        assert at.tolist() == sorted(set(index.tolist()))
+        assert np.allclose(total, [values[index == k].sum(axis=0) for k in at])
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    prepare(spark)
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for k in range(found.size()) if (name := found.apply(k).getName()).startswith("shuffle_")}
+
+    before = files()
+    frame = materialize(spark.range(1000).repartition(3, "id"), "released", release=True)
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and frame.count() == 1000
+
+
 def test_lm_softmax_of_large_logits():
     z = np.array([[1000.0, 999.0, -1000.0], [0.5, 0.25, 0.125]])
     e = np.exp(z - z.max(axis=1, keepdims=True))
