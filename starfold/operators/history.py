@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from starfold import constants as K
@@ -10,6 +12,12 @@ from starfold.operators.snapshot import SNAPSHOT
 
 OBJECT = ["simulation_id", "object_id"]
 KEY = [*OBJECT, "ttot"]
+# Number of the partition that a caller has chosen for the rows of a key.
+PLACE = "_place"
+# The key of placed rows; ids come first, as the first column alone decides most comparisons of a sort.
+PLACED_KEY = ["object_id", "ttot", "simulation_id", PLACE]
+# Order of a star's roles in one snapshot.
+_ROLE = ["member", "object_id_1", "object_id_2"]
 
 
 def first_row(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
@@ -22,8 +30,8 @@ def first_row(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def member_rows(binaries: DataFrame) -> DataFrame:
-    """Each pair seen from both members; a star found twice in a snapshot keeps its first role."""
+def members(binaries: DataFrame) -> DataFrame:
+    """Each pair seen from both members."""
     pair = [c for c in binaries.columns if c not in SNAPSHOT]
 
     def role(i: int) -> Column:
@@ -33,8 +41,12 @@ def member_rows(binaries: DataFrame) -> DataFrame:
             F.col(f"object_id_{3 - i}").alias("companion_id"),
         )
 
-    both = binaries.select(*SNAPSHOT, *pair, F.inline(F.array(role(1), role(2))))
-    return first_row(both, KEY, "member", "object_id_1", "object_id_2")
+    return binaries.select(*SNAPSHOT, *pair, F.inline(F.array(role(1), role(2))))
+
+
+def member_rows(binaries: DataFrame) -> DataFrame:
+    """Each pair seen from both members; a star found twice in a snapshot keeps its first role."""
+    return first_row(members(binaries), KEY, *_ROLE)
 
 
 def particle_history(
@@ -43,23 +55,33 @@ def particle_history(
     object_ids: DataFrame | None = None,
     *,
     raw_state: bool = False,
+    sightings: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    place: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Full outer join of the single and binary sightings of every particle.
 
     Colliding columns of the pair get the suffix `_from_binary`. `state` is 'binary' where a pair
     was found. `object_ids` (simulation_id, object_id) restricts the particles. `raw_state` adds
     the compatibility column `state_raw`, NULL for single rows of particles that are ever in a
-    pair; it costs one more shuffle.
+    pair; it costs one more shuffle. `sightings` picks the single rows of a key that count. `place`
+    adds the column PLACE and shuffles by it: rows of both tables then meet there and stay there.
     """
-    members = member_rows(binaries)
-    stars = singles
+    stars, both = singles, members(binaries)
     if object_ids is not None:
         wanted = object_ids.select(*OBJECT).distinct()
         stars = stars.join(wanted, OBJECT, "left_semi")
-        members = members.join(wanted, OBJECT, "left_semi")
-    clash = [c for c in members.columns if c in stars.columns and c not in KEY]
-    members = members.withColumnsRenamed({c: f"{c}_from_binary" for c in clash})
-    joined = stars.join(members, KEY, "full_outer")
+        both = both.join(wanted, OBJECT, "left_semi")
+    keys = KEY
+    if place is not None:
+        stars, both, keys = place(stars), place(both), PLACED_KEY
+    if sightings is not None:
+        stars = sightings(stars, keys)
+    pairs = first_row(both, keys, *_ROLE)
+    clash = [c for c in pairs.columns if c in stars.columns and c not in keys]
+    pairs = pairs.withColumnsRenamed({c: f"{c}_from_binary" for c in clash})
+    joined = stars.join(pairs, keys, "full_outer")
+    if place is not None:
+        joined = joined.select(*KEY, *[c for c in joined.columns if c not in keys])
     paired = F.col("companion_id").isNotNull()
     out = joined.withColumn("state", F.when(paired, "binary").otherwise("single"))
     if not raw_state:

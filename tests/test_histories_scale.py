@@ -76,3 +76,59 @@ def test_only_asked_particles_reach_the_as_of_join(spark, tmp_path, monkeypatch)
         assert [(r["object_id"], r["found_ttot"]) for r in got] == [(3, None if "after" in name else 2.0)]
         assert written(spark, "lake-snapshot_singles") == before
     assert seen == [3, 3, 3]
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_placing_is_by_ranges(spark, buckets):
+    """Every row goes to the range that its (bucket, object_id) lies in, also with more ends than are looked through at once."""
+    ids = sorted({*range(-60, 240, 3), -(2**62), 2**62})
+    cuts = sorted({(i % buckets, i) for i in ids[1::2]})
+    rows = spark.createDataFrame([("s", float(i % 5), i) for i in [*range(-70, 250), -(2**63), 2**63 - 1]], "simulation_id string, ttot double, object_id long")
+    nobody = spark.range(200).selectExpr("'s' simulation_id", "id * 1D ttot", "cast(null as long) object_id")
+    placed = histories.placing(cuts, buckets)(rows.unionByName(nobody)).withColumn("at", F.spark_partition_id()).collect()
+    assert max(len([c for c in cuts if c[0] == b]) for b in range(buckets)) > (32 if buckets == 1 else 10)
+    for r in (r for r in placed if r["object_id"] is not None):
+        assert r["at"] == r["_place"] == sum(c <= (r["object_id"] % buckets, r["object_id"]) for c in cuts)
+    empty = {r["at"] for r in placed if r["object_id"] is None}
+    assert max(empty) <= len([c for c in cuts if c[0] == 0]) and len(empty) > 5
+
+
+def test_an_update_shuffles_its_wide_rows_once(spark, tmp_path, monkeypatch):
+    """Both tables cross one shuffle into the ranges that are joined and written, and no sampling pass runs over them."""
+    monkeypatch.setattr(histories, "FILE_ROWS", 100)
+    store, plans, write = FeatureStore(spark, str(tmp_path)), [], FeatureStore._write_rows
+
+    def seen(self, simulation_id, feature, rows, version, placed=False):
+        plans.append((placed, rows._jdf.queryExecution().executedPlan().toString()))
+        write(self, simulation_id, feature, rows, version, placed)
+
+    monkeypatch.setattr(FeatureStore, "_write_rows", seen)
+    singles = spark.createDataFrame([("s", float(t), i, 1, float(i), f) for t in range(4) for i in range(150) for f in "ab"], SINGLES)
+    nobody = singles.where("object_id < 2 and ttot < 3").withColumn("object_id", F.lit(None).cast("long"))
+    pairs = spark.createDataFrame([("s", float(t), i, i + 200, i, "f") for t in range(4) for i in range(0, 150, 3)], BINARIES)
+    plain = history.particle_history(histories.last_sightings(singles.unionByName(nobody)), pairs)
+    got = histories.update_histories(store, "s", singles.unionByName(nobody), pairs, buckets=4)
+    assert [p[0] for p in plans] == [True] and plans[0][1].count("Exchange") == 2
+    columns = sorted(plain.columns)
+    assert sorted(map(str, got.select(columns).collect())) == sorted(map(str, plain.select(columns).collect()))
+    held = store.read("s", histories.FEATURE).where("object_id is not null")
+    key = F.struct("history_bucket", "object_id")
+    ends = sorted(tuple(r) for r in held.groupBy(F.input_file_name()).agg(F.min(key).alias("a"), F.max(key).alias("z")).select("a", "z").collect())
+    assert len(ends) > 8 and all(z < a for (_, z), (a, _) in zip(ends, ends[1:]))
+
+
+def test_merged_histories_are_read_as_they_are(spark, tmp_path, frames):
+    """After a merge of every bucket its rows are the only ones read, without a comparison of updates."""
+    store = FeatureStore(spark, str(tmp_path))
+    for mass in (1.0, 2.0):
+        histories.update_histories(store, "s", frames[0].withColumn("mass_msun", F.lit(mass)), frames[1], buckets=2)
+    unmerged = histories.read_histories(store, "s")
+    assert "Window" in unmerged._jdf.queryExecution().executedPlan().toString()
+    histories.compact_histories(store, "s", deltas=1)
+    got = histories.read_histories(store, "s")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and all("version=3" in f for f in got.inputFiles())
+    assert sorted(map(str, got.collect())) == sorted(map(str, unmerged.select(got.columns).collect()))
+    histories.update_histories(store, "s", frames[0].where("object_id = 1").withColumn("mass_msun", F.lit(3.0)), frames[1], buckets=2)
+    rows = {(r["object_id"], r["mass_msun"]) for r in histories.read_histories(store, "s").collect()}
+    assert rows == {(0, 2.0), (1, 3.0), (2, 2.0), (2, None), (3, 2.0)}  # the pair alone was seen again with star 2
